@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from .common import held_out, load
 from .decontaminate import contaminated, matches
 from .exact_dedup import exact_report
+from .html_extract import extract_main_text
 from .language_id import fit_language_model, identify_language
 from .line_dedup import dedup_lines
 from .packing import pack_documents
+from .quality import fit_quality_model, score_quality
 from .simhash import simhash_components
+from .toxicity import fit_toxicity_model, score_toxicity
+from .warc import build_derivatives, responses
 
 #: Tokens in a packed sequence.
 CAPACITY = 2048
@@ -26,6 +30,24 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = fit_toxicity_model(docs, load(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    found = score_toxicity(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), model, threshold=0.7)
+    return found.select("doc_id", "held_out", "score", "predicted", "n_matches")
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(load(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = fit_quality_model(docs, load(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    found = score_quality(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text"), model, threshold=0.5)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(load(spark, sf_dir, "documents"), tokenizer_path(), capacity=CAPACITY)
 
@@ -57,6 +79,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = build_derivatives(responses(load(spark, sf_dir, "pages")).select("page_id", "record"))
+    return made.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
 _OP5_SQL = r"""
 WITH l AS (
   SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
@@ -103,7 +130,7 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_packing, op5_line_dedup, op6_simhash, op7_exact_dedup, op8_language_id, op9_decontamination)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_quality, op4_packing, op5_line_dedup, op6_simhash, op7_exact_dedup, op8_language_id, op9_decontamination, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
