@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import baseline, streams, synthesis, traces
+
+_ALL = (traces.query, synthesis.query, streams.query, baseline.query)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: f for r in _ALL for k, f in r.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for r in _ALL for k, s in r.sql.items()}
