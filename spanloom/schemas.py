@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "array<string>": T.ArrayType(T.StringType())}
 
 
-CALL = "struct<id:string,type:string,name:string,arguments:string>"
-MESSAGE = f"struct<role:string,content:string,name:string,tool_call_id:string,tool_calls:array<{CALL}>>"
+def _of(fields: str, **nested: T.DataType) -> T.StructType:
+    """A schema from ``name type`` pairs, read without a session; ``nested`` types follow the plain ones."""
+    plain = [T.StructField(*(n := f.split())[:1], _TYPES[n[1]]) for f in fields.split(", ")]
+    return T.StructType(plain + [T.StructField(k, v) for k, v in nested.items()])
+
+
+CALL = _of("id string, type string, name string, arguments string")
+MESSAGE = _of("role string, content string, name string, tool_call_id string", tool_calls=T.ArrayType(CALL))
 
 #: input, output, usage and metadata keep their JSON text: their shapes differ from row to row.
 SPANS = _of("trace_id string, span_id string, span_type string, span_name string, model string, input string, output string, start_time_s string, end_time_s string, usage string, metadata string, parent_id string, level string, src_file string, line_no bigint, _raw string")
-MESSAGES = _of(f"trace_id string, span_id string, msg_idx int, role string, content string, name string, tool_call_id string, tool_calls array<{CALL}>")
-CONVERSATIONS = _of(f"trace_id string, span_id string, agent_name string, messages array<{MESSAGE}>, tools string")
+MESSAGES = _of("trace_id string, span_id string, msg_idx int, role string, content string, name string, tool_call_id string", tool_calls=T.ArrayType(CALL))
+CONVERSATIONS = _of("trace_id string, span_id string, agent_name string, tools string", messages=T.ArrayType(MESSAGE))
 TAXONOMY_NODES = _of("framework string, id string, parent_id string, en string, zh string, sib_pos int")
 TAXONOMY_PATHS = _of("framework string, path_id string, node_ids array<string>, labels_en array<string>, labels_zh array<string>, depth int")
 SAMPLING_COUNTS = _of("framework string, path_id string, n bigint")
