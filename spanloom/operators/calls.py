@@ -41,15 +41,20 @@ def simple_calls(text: Column) -> Column:
     return F.transform(bodies, lambda b: F.struct(F.trim(F.regexp_extract(b, r"(?s)<tool_name>(.*?)</tool_name>", 1)).alias("name"), xml_params(F.regexp_extract(b, r"(?s)<parameter>(.*?)</parameter>", 1)).alias("params")))
 
 
-def pair_results(messages: Column) -> Column:
+def pair_results(messages: Column, call: str = "struct<id:string,name:string>") -> Column:
     """The messages with each message of tool results replaced by one ``tool`` message per result, ids matched.
 
-    ``messages`` is array<struct<role,content,tool_calls array<struct<id,name>>>> in
-    order.  A result takes the earliest pending call of its name, else the
-    earliest pending call, else a new id; what is pending stays so across turns.
+    ``messages`` is array<struct<role,content,tool_calls>> in order, ``call`` the
+    type of a call (with ``id`` and ``name``).  A result takes the earliest pending
+    call of its name, else the earliest pending call, else a new id; what is
+    pending stays so across turns.  Other messages keep their calls.
     """
-    out = "array<struct<role:string,content:string,name:string,tool_call_id:string>>"
-    zero = F.struct(F.expr("cast(array() as array<struct<id:string,name:string>>)").alias("queue"), F.expr(f"cast(array() as {out})").alias("out"))
+    out = f"array<struct<role:string,content:string,name:string,tool_call_id:string,tool_calls:array<{call}>>>"
+    none = F.expr(f"cast(array() as array<{call}>)")
+    zero = F.struct(none.alias("queue"), F.expr(f"cast(array() as {out})").alias("out"))
+
+    def message(role: Column, content: Column, name: Column, ident: Column, made: Column) -> Column:
+        return F.struct(role.alias("role"), content.alias("content"), name.alias("name"), ident.alias("tool_call_id"), made.alias("tool_calls"))
 
     def emit(acc: Column, r: Column) -> Column:
         queue = acc["queue"]
@@ -57,14 +62,14 @@ def pair_results(messages: Column) -> Column:
         at = F.when(at > 0, at).when(F.size(queue) > 0, F.lit(1)).otherwise(F.lit(0)).cast("int")
         fresh = call_id(F.size(acc["out"]), r["name"])
         ident = F.when(at > 0, F.coalesce(F.get(queue, at - 1)["id"], fresh)).otherwise(fresh)
-        made = F.struct(F.lit("tool").alias("role"), r["content"].alias("content"), r["name"].alias("name"), ident.alias("tool_call_id"))
+        made = message(F.lit("tool"), r["content"], r["name"], ident, F.lit(None).cast(f"array<{call}>"))
         return F.struct(F.filter(queue, lambda c, i: i != at - 1).alias("queue"), F.concat(acc["out"], F.array(made)).alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
-        calls = F.coalesce(m["tool_calls"], F.expr("cast(array() as array<struct<id:string,name:string>>)"))
         is_result = F.coalesce((m["role"] == "user") & m["content"].startswith(RESULT_PREFIX), F.lit(False))
-        passed = F.struct(m["role"].alias("role"), m["content"].alias("content"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("tool_call_id"))
-        kept = F.struct(F.when(m["role"] == "assistant", F.concat(acc["queue"], calls)).otherwise(acc["queue"]).alias("queue"), F.concat(acc["out"], F.array(passed)).alias("out"))
+        passed = message(m["role"], m["content"], F.lit(None).cast("string"), F.lit(None).cast("string"), m["tool_calls"])
+        queue = F.when(m["role"] == "assistant", F.concat(acc["queue"], F.coalesce(m["tool_calls"], none))).otherwise(acc["queue"])
+        kept = F.struct(queue.alias("queue"), F.concat(acc["out"], F.array(passed)).alias("out"))
         return F.when(is_result, F.aggregate(tool_results(m["content"]), acc, emit)).otherwise(kept)
 
     return F.aggregate(messages, zero, step, lambda acc: acc["out"])

@@ -99,4 +99,4 @@ def flatten_messages(messages: DataFrame, keys: list[str], order: str) -> DataFr
 
 
 def finish_reason(calls: Column) -> Column:
-    return F.when(F.size(F.coalesce(calls, F.expr("cast(array() as array<string>)"))) > 0, "tool_calls").otherwise("stop")
+    return F.when(F.coalesce(F.size(calls), F.lit(0)) > 0, "tool_calls").otherwise("stop")

@@ -158,3 +158,28 @@ def changed_files(spark: SparkSession, path: str, known: DataFrame) -> DataFrame
     """Files under ``path`` whose md5 differs from that in ``known`` (path, hash) or that it lacks."""
     now = spark.read.format("binaryFile").load(path).select("path", F.md5("content").alias("hash"))
     return now.join(known.select("path", F.col("hash").alias("was")), "path", "left").filter("was is null or was <> hash").drop("was")
+
+
+def framework_description(config: Column, language: Column) -> Column:
+    """A framework's description in a language, from its JSON configuration; empty without one."""
+    zh, en = F.get_json_object(config, "$.description_chinese"), F.get_json_object(config, "$.description")
+    return F.coalesce(F.when(F.lower(language) == "chinese", F.coalesce(zh, en)).otherwise(en), F.lit(""))
+
+
+def located(candidates: DataFrame, order: str = "rank") -> DataFrame:
+    """Of each framework's candidate paths (framework, path, rank) the first."""
+    return candidates.groupBy("framework").agg(F.min_by("path", order).alias("path"))
+
+
+def server_tools(spark: SparkSession, servers: DataFrame, fetch) -> DataFrame:
+    """(server, url_key, tool_name, description, parameters) of the tools that ``fetch`` (url -> JSON list) names; the url's md5 is the cache key."""
+    from ..adapters import as_udf
+
+    schema = "array<struct<name:string,description:string,inputSchema:string>>"
+    asked = servers.withColumn("__t", F.explode(F.from_json(as_udf(fetch)(F.col("url")), schema)))
+    return asked.select("server", F.md5("url").alias("url_key"), F.col("__t.name").alias("tool_name"), F.col("__t.description").alias("description"), F.col("__t.inputSchema").alias("parameters"))
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, modificationTime) of the files of a cache folder, contents unread."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
