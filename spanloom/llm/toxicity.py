@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -113,59 +114,83 @@ class ToxicityModel:
         return 1 - clear
 
 
-def _features(texts: list[str]) -> list[list[str]]:
-    out = []
+def _features(texts: list[str]) -> list[list]:
+    """Per text: its words and word beginnings, and a number that near copies share (the least hash of three words in a row)."""
+    terms, groups = [], []
     for t in texts:
-        words = {w for c in clauses(t) for w in c}
+        flat = [w for c in clauses(t) for w in c]
+        words = set(flat)
         # a seed says nothing about other words that begin like it
-        out.append(sorted(words | {f"{w[:k]}*" for w in words.difference(INSULTS) for k in STEMS if len(w) > k}))
-    return out
+        terms.append(sorted(words | {f"{w[:k]}*" for w in words.difference(INSULTS) for k in STEMS if len(w) > k}))
+        groups.append(min((zlib.crc32(" ".join(x).encode("utf-8", "surrogatepass")) for x in zip(flat, flat[1:] or flat, flat[2:] or flat, strict=False)), default=0))
+    return [terms, groups]
 
 
-def fit_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 6000, most_terms: int = 20_000, surprise: float = 6.0) -> ToxicityModel:
-    """Learn the lexicon and the contexts' weights from about ``per_class`` labelled documents of each class.
+def _telling(terms: DataFrame, most: int, surprise: float) -> dict[str, float]:
+    """Term -> share of toxic texts, of the terms whose toxic share is too large to be chance.
 
-    A word or beginning enters when the chance that so many toxic texts and so
-    few others hold it is below 10^-``surprise``; at most ``most_terms`` (the most
-    frequent ones) enter.  Without labels the seeds and default weights stay.
+    Near copies count once: their words would otherwise look as telling as an insult.
     """
-    known = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("y in (0, 1)")
-    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if set(sizes) != {0, 1}:
-        return ToxicityModel()
-    share = F.coalesce(*[F.when(F.col("y") == k, F.lit(per_class / n)) for k, n in sizes.items()])
-    drawn = known.filter(unit_hash("__id", F.lit(29)) < share)
-    rows = materialize(docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(drawn, "__id").select("y", "__text"), "toxicity-sample")
-    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("bad")).first()
+    each = terms.groupBy("copies").agg(F.max("y").alias("y"))
+    totals = each.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("bad")).first()
     if not 0 < totals["bad"] < totals["n"]:
-        return ToxicityModel()
-    terms = append_columns(rows, "__text", [("terms", "array<string>")], lambda: lambda texts: [_features(texts)])
-    counts = terms.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n"))
+        return {}
     base = totals["bad"] / totals["n"]
+    once = terms.select("y", "copies", F.explode("terms").alias("term")).groupBy("term", "copies").agg(F.max("y").alias("y"))
+    counts = once.groupBy("term").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n"))
     # Chernoff bound on drawing so large a toxic share by chance
     q = F.least(F.col("bad") / F.col("n"), F.lit(1 - 1e-9))
     odd = F.col("n") * (q * F.log(q / base) + (1 - q) * F.log((1 - q) / (1 - base)))
-    strong = counts.filter((q > 0.95) & (odd / math.log(10) > surprise)).orderBy(F.col("bad").desc(), "term").limit(most_terms).collect()
-    weight = {r["term"]: (r["bad"] + 0.5) / (r["n"] + 1) for r in strong}
-    model = ToxicityModel(dict.fromkeys(INSULTS, 0.9) | {t: w for t, w in weight.items() if not t.endswith("*")}, {t[:-1]: w for t, w in weight.items() if t.endswith("*")})
+    strong = counts.filter((q > 0.95) & (odd / math.log(10) > surprise)).orderBy(F.col("bad").desc(), "term").limit(most).collect()
+    return {r["term"]: (r["bad"] + 0.5) / (r["n"] + 1) for r in strong}
+
+
+def _with_terms(model: ToxicityModel, found: dict[str, float]) -> ToxicityModel:
+    words = {t: w for t, w in found.items() if not t.endswith("*")}
+    return ToxicityModel(model.lexicon | words, model.stems | {t[:-1]: w for t, w in found.items() if t.endswith("*")}, model.context, model.aimed)
+
+
+def _seen_contexts(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``rows`` plus ``kinds``: the contexts of each text's matches."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    def contexts():
+    def make():
         m = shared.value
 
         def run(texts: list[str]) -> list[list]:
-            out = []
-            for t in texts:
-                kinds = {kind for kind, _, _ in m.matches(t)}
-                out.append(next(iter(kinds)) if len(kinds) == 1 else None)  # only texts that tell contexts apart
-            return [out]
+            return [[sorted({kind for kind, _, _ in m.matches(t)}) for t in texts]]
 
         return run
 
-    seen = append_columns(rows, "__text", [("kind", "string")], contexts).filter("kind is not null").groupBy("kind").agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
-    # the defaults count as two documents
-    learned = {r["kind"]: (r["bad"] + 2 * model.context[r["kind"]]) / (r["n"] + 2) for r in seen}
-    return ToxicityModel(model.lexicon, model.stems, model.context | learned)
+    return append_columns(rows, "__text", [("kinds", "array<string>")], make)
+
+
+def fit_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 6000, most_terms: int = 20_000, sure: float = 15.0, surprise: float = 6.0) -> ToxicityModel:
+    """Learn the lexicon and the contexts' weights from about ``per_class`` labelled documents of each class.
+
+    First the terms (words and beginnings of words) enter that are toxic beyond
+    doubt: the chance of so many toxic and so few other texts is below
+    10^-``sure``.  Then the toxic texts without a match are looked at alone, and
+    terms below 10^-``surprise`` enter: words that merely stand beside an insult
+    have no support there.  At most ``most_terms`` enter each time.  Without
+    labels of both classes the seeds and default weights stay.
+    """
+    known = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("y in (0, 1)")
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    model = ToxicityModel()
+    if set(sizes) != {0, 1}:
+        return model
+    share = F.coalesce(*[F.when(F.col("y") == k, F.lit(per_class / n)) for k, n in sizes.items()])
+    drawn = known.filter(unit_hash("__id", F.lit(29)) < share)
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(drawn, "__id").select("y", "__text")
+    rows = materialize(append_columns(rows, "__text", [("terms", "array<string>"), ("copies", "bigint")], lambda: _features), "toxicity-sample")
+    model = _with_terms(model, _telling(rows, most_terms, sure))
+    rest = _seen_contexts(rows, model).filter((F.col("y") == 0) | (F.size("kinds") == 0))
+    model = _with_terms(model, _telling(rest, most_terms, surprise))
+    # texts with one kind of match tell the contexts apart; the defaults count as two texts
+    alone = _seen_contexts(rows, model).filter(F.size("kinds") == 1).groupBy(F.get("kinds", 0).alias("kind")).agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n")).collect()
+    learned = {r["kind"]: (r["bad"] + 2 * model.context[r["kind"]]) / (r["n"] + 2) for r in alone}
+    return ToxicityModel(model.lexicon, model.stems, model.context | learned, model.aimed)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
