@@ -23,9 +23,12 @@ NO_TEXT = {"script", "style", "noscript", "template", "svg", "iframe", "object",
 NOT_CONTENT = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-#: Class, id or role words of parts that aren't the article.
-NOT_CONTENT_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "notice", "notices", "gdpr", "alert", "popup", "modal", "newsletter", "subscribe", "sidebar", "side", "aside", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "foot", "copyright", "comment", "comments", "disqus", "replies", "share", "sharing", "social", "related", "recommended", "search", "login", "pagination", "pager", "complementary", "contentinfo", "widget", "toolbar"}
-#: Classes whose words would mislead: they hold the article itself.
+#: Class, id or role words of parts that aren't the article, wherever they stand.
+NEVER = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "breadcrumb", "breadcrumbs", "copyright", "comment", "comments", "disqus", "replies", "share", "sharing", "social", "related", "recommended", "login", "pagination", "pager", "complementary", "contentinfo"}
+#: Words that may also name a wrapper around the article (``with-sidebar``): an article or main element inside is content again.
+OFTEN = {"banner", "notice", "notices", "alert", "sidebar", "side", "aside", "menu", "nav", "navbar", "navigation", "header", "masthead", "footer", "foot", "search", "widget", "toolbar"}
+#: With one of these, ``header`` names the article's own.
+OWN = {"article", "post", "entry", "story"}
 CONTENT_TAGS = {"html", "body", "main", "article"}
 #: Closed by the start of another of the same group.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -36,24 +39,28 @@ _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """Path step of an element, and whether markup says that it isn't content."""
-    if not attrs or tag in CONTENT_TAGS:
-        return tag, tag in NOT_CONTENT
-    words, out, hidden = [], tag in NOT_CONTENT, False
+def _label(tag: str, attrs: str) -> tuple[str, int]:
+    """Path step of an element, and whether markup says that it isn't content: 0 no, 1 often, 2 in any case."""
+    level = 2 if tag in NOT_CONTENT or tag in NO_TEXT else 0
+    if not attrs or (tag in CONTENT_TAGS and tag != "article"):
+        return tag, level
+    words = []
     for name, *value in _ATTR.findall(attrs):
         text = next((v for v in value if v), "")
         if name.lower() == "hidden" or (name.lower() == "aria-hidden" and text.lower() == "true"):
-            hidden = True
+            level = 2
         else:
-            words += re.split(r"[^a-z]+", text.lower())
-    out = out or hidden or not NOT_CONTENT_WORDS.isdisjoint(words)
-    return (f"{tag}.{'.'.join(w for w in words if w)}" if words else tag), out
+            words += [w for w in re.split(r"[^a-z]+", text.lower()) if w]
+    if not NEVER.isdisjoint(words):
+        level = 2
+    elif tag not in CONTENT_TAGS and not (OFTEN - {"header"} if not OWN.isdisjoint(words) else OFTEN).isdisjoint(words):
+        level = max(level, 1)
+    return (f"{tag}.{'.'.join(words)}" if words else tag), level
 
 
-def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, bool]]:
-    """Text nodes in page order: (path, block number, raw text, declared not content)."""
-    out, stack, block = [], [], 0  # stack: (tag, step, declared)
+def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, int]]:
+    """Text nodes in page order: (path, block number, raw text, how surely markup says that they aren't content)."""
+    out, stack, block = [], [], 0  # stack: (tag, step, level)
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
         if tag is not None:
@@ -61,7 +68,7 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, bool]]:
             if tag not in INLINE and tag != "br":
                 block += 1
             if tag == "br":
-                out.append((tuple(s for _, s, _ in stack), block, " ", bool(stack) and stack[-1][2]))
+                out.append((tuple(s for _, s, _ in stack), block, " ", stack[-1][2] if stack else 0))
             elif m["end"]:
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                 if at is not None and (tag not in INLINE or not any(t in BARRIER for t, _, _ in stack[at + 1 :])):
@@ -75,20 +82,23 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, bool]]:
                             break
                         if stack[i][0] in BARRIER:
                             break
-                step, declared = _label(tag, m["attrs"])
-                # a page's own header is none of the article's; an article's or main's header holds its headline
-                if tag == "header" and not any(t in ("article", "main") for t, _, _ in stack):
-                    declared = True
-                stack.append((tag, step, declared or tag in NO_TEXT or (bool(stack) and stack[-1][2])))
+                step, level = _label(tag, m["attrs"])
+                inside = any(t in ("article", "main") for t, _, _ in stack)
+                if tag == "header" and not inside:  # the page's own; an article's header holds its headline
+                    level = max(level, 1)
+                above = stack[-1][2] if stack else 0
+                if tag in ("article", "main") and above == 1:
+                    above = 0
+                stack.append((tag, step, max(level, above)))
         elif m["text"] is not None:
-            out.append((tuple(s for _, s, _ in stack), block, m["text"], bool(stack) and stack[-1][2]))
+            out.append((tuple(s for _, s, _ in stack), block, m["text"], stack[-1][2] if stack else 0))
     return out
 
 
-def _blocks(found: list[tuple[tuple[str, ...], int, str, bool]]) -> str:
+def _blocks(found: list[tuple[tuple[str, ...], int, str, int]]) -> str:
     """Nodes as text: characters decoded, white space single, one block a line."""
     lines, current, parts = [], None, []
-    for _, block, text, _ in [*found, ((), -1, "", False)]:
+    for _, block, text, _ in [*found, ((), -1, "", 0)]:
         if block != current:
             line = " ".join(html.unescape("".join(parts)).split())
             if line:
@@ -98,7 +108,7 @@ def _blocks(found: list[tuple[tuple[str, ...], int, str, bool]]) -> str:
     return "\n".join(lines)
 
 
-def path_scores(found: list[tuple[tuple[str, ...], int, str, bool]], width: float = 1.0) -> dict[tuple[str, ...], float]:
+def path_scores(found: list[tuple[tuple[str, ...], int, str, int]], width: float = 1.0) -> dict[tuple[str, ...], float]:
     """Smoothed, fused ratio of each path; paths in the order of their first node."""
     length: dict[tuple, float] = {}
     marks: dict[tuple, float] = {}
@@ -128,7 +138,14 @@ def path_scores(found: list[tuple[tuple[str, ...], int, str, bool]], width: floa
 
 def main_text(page: str) -> str:
     """The article of a page, one block a line; empty if there is none."""
-    found = [n for n in nodes(page) if not n[3]]
+    every = nodes(page)
+    text = _article([n for n in every if not n[3]])
+    if not text:  # all of it stands in a part that only often isn't content
+        text = _article([n for n in every if n[3] < 2])
+    return text
+
+
+def _article(found: list[tuple[tuple[str, ...], int, str, int]]) -> str:
     scores = path_scores(found)
     if not scores:
         return ""
