@@ -104,18 +104,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = matches(docs, benchmark, id_col, text_col, **how).filter("n_hit > 0").withColumn("__bad", contaminated(one_in=one_in))
     found = found.select(F.col("__id").alias("__mid"), F.col("__h").alias("__mh"), "hits", "__bad").dropDuplicates(["__mid", "__mh"])
     on = docs[f"`{id_col}`"].eqNullSafe(found["__mid"]) & (F.xxhash64(docs[f"`{text_col}`"]) == found["__mh"])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [docs[f"`{c}`"] for c in docs.columns]
     if remove == "documents":
         return docs.join(found.filter("__bad"), on, "left_anti").select(*columns)
     joined = docs.join(found, on, "left")
     if remove == "both":
-        joined = joined.filter("__bad is null or not __bad")
-    text = F.col(f"`{text_col}`")
+        joined = joined.filter(found["__bad"].isNull() | ~found["__bad"])
+    text = docs[f"`{text_col}`"]
     chunks = F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0))
-    clear = lambda i: ~F.exists(F.col("hits"), lambda r: (i >= r["from"]) & (i < r["to"]))
+    clear = lambda i: ~F.exists(found["hits"], lambda r: (i >= r["from"]) & (i < r["to"]))
     tail = F.regexp_extract(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\z", 0)
-    cut = F.when(F.col("hits").isNull(), text).otherwise(F.concat(F.array_join(F.filter(chunks, lambda x, i: clear(i)), ""), tail))
+    cut = F.when(found["hits"].isNull(), text).otherwise(F.concat(F.array_join(F.filter(chunks, lambda x, i: clear(i)), ""), tail))
     swapped = {text_col: cut}
     if count_col:
         swapped[count_col] = F.length(cut).cast(docs.schema[count_col].dataType)
-    return joined.select(*[swapped[c].alias(c) if c in swapped else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*[swapped[c].alias(c) if c in swapped else docs[f"`{c}`"] for c in docs.columns])

@@ -18,13 +18,20 @@ once are dropped at each level: their longer blocks can't repeat either.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import append_columns, materialize, release
 
-KEY = ["__id", "__h"]
+#: A row is known by whether it has an id, its id and a hash of its text; none of them is null, so that joins keep every row.
+KEY = ["__known", "__id", "__h"]
+
+
+def _key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    ident = F.col(f"`{id_col}`")
+    instead = F.lit("0").try_cast(docs.schema[id_col].dataType.simpleString())
+    return [ident.isNotNull().alias("__known"), F.coalesce(ident, instead).alias("__id"), F.xxhash64(f"`{text_col}`").alias("__h")]
 
 
 def _ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -35,9 +42,9 @@ def _ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
-    """(__id, __h, spans): per document the minimal windows (pos, len, in lines that have a word) with an earlier copy."""
+    """(:data:`KEY`, spans): per document the minimal windows (pos, len, in lines that have a word) with an earlier copy."""
     # each line's 128-bit digest stands for its text
-    keyed = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(f"`{text_col}`").alias("__h"), F.col(f"`{text_col}`").alias("t"))
+    keyed = docs.select(*_key(docs, id_col, text_col), F.col(f"`{text_col}`").alias("t"))
 
     def make():
         import xxhash
@@ -59,7 +66,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(names)
     windows = materialize(_windows(seq, min_words), "windows")
     deepest = windows.agg(F.max("len")).first()[0] or 0
-    levels, spare = [seq.select(*KEY, "pos", F.lit(0).alias("k"), "rank")], [seq, windows]
+    levels = [seq.select(*KEY, "pos", F.lit(0).alias("k"), "rank")]
     level = seq.select(*KEY, "pos", "rank")
     for k in range(1, max(1, deepest).bit_length()):
         half = 1 << (k - 1)
@@ -122,7 +129,7 @@ def _windows(seq: DataFrame, min_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)).take(take) for c in KEY], pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32())], names=[*KEY, "pos", "len"])
 
     kind = seq.schema["__id"].dataType.simpleString()
-    return total.select(*KEY, "xs").mapInArrow(cut, f"__id {kind}, __h bigint, pos int, len int")
+    return total.select(*KEY, "xs").mapInArrow(cut, f"__known boolean, __id {kind}, __h bigint, pos int, len int")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, count_col: str | None = None) -> DataFrame:
@@ -138,21 +145,24 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids come first in the order.  A text that repeats another as a whole is left empty.  All
     input columns are kept.
     """
-    spans = repeated_spans(docs, id_col, text_col, min_words).select(F.col("__id").alias("__sid"), F.col("__h").alias("__sh"), "spans")
-    own = docs.withColumn("__h", F.xxhash64(f"`{text_col}`"))
-    joined = own.join(spans, own[f"`{id_col}`"].eqNullSafe(spans["__sid"]) & (own["__h"] == spans["__sh"]), "left").drop("__h", "__sid", "__sh")
     names = [c for c in docs.columns if c != "lines_removed"]
-    return _cut(joined.select(*[F.col(f"`{c}`") for c in names], F.col("spans").alias("__spans")), names, text_col, count_col)
+    found = "__spans"
+    while found in names:
+        found += "_"
+    spans = repeated_spans(docs, id_col, text_col, min_words)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *_key(docs, id_col, text_col))
+    joined = own.join(spans, KEY, "left")
+    return _cut(joined.select("row.*", F.col("spans").alias(found)), names, found, text_col, count_col)
 
 
-def _cut(joined: DataFrame, names: list[str], text_col: str, count_col: str | None) -> DataFrame:
+def _cut(joined: DataFrame, names: list[str], found_col: str, text_col: str, count_col: str | None) -> DataFrame:
     from pyspark.sql import types as T
 
     schema = T.StructType([*[joined.schema[c] for c in names], T.StructField("lines_removed", T.IntegerType())])
 
     def run(batches):
         for batch in batches:
-            spans = batch.column(batch.schema.get_field_index("__spans"))
+            spans = batch.column(batch.schema.get_field_index(found_col))
             texts = batch.column(batch.schema.get_field_index(text_col))
             out, removed, lengths = [], [], []
             for i in range(len(batch)):

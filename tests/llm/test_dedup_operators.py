@@ -162,7 +162,7 @@ def test_line_dedup_on_random_runs(spark):
     rng = random.Random(3)
     lines = ["a b c", "d e", "f", "g h i j", "", "k l m"]
     docs = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(0, 12)))) for i in range(60)] + [(100, None), (None, "a b c\nd e\nf\ng h i j"), (101, "\n\n"), (7000, "a b c\nd e\nf"), (7000, "a b c\nd e\nf")]
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("lines_removed", F.lit("clash")).withColumn("__sid", F.lit(1))
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("lines_removed", F.lit("clash")).withColumn("__sid", F.lit(1)).withColumn("spans", F.lit(1)).withColumn("__spans", F.lit(1))
     want = brute_lines(docs, 6)
     got = LD.dedup_lines(df, min_words=6).collect()
     assert len(got) == len(docs)
@@ -301,7 +301,7 @@ def test_matches(spark, most):
         n = min(13, len(w))
         for i in range(len(w) - n + 1) if n else []:
             grams[tuple(w[i : i + n])].add(str(k))
-    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("items", F.lit(1))
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("items", F.lit(1)).withColumn("hits", F.lit(1)).withColumn("__mid", F.lit(1))
     b = spark.createDataFrame(bench, "item_id long, text string")
     got = Counter((r["__id"], r.n_words, r.n_hit, tuple(r["items"])) for r in D.matches(d, b, max_broadcast=most).collect())
     assert got == Counter((k, n, h, tuple(i)) for k, t in docs for n, h, i in [brute_hits(t, grams)])
