@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -63,7 +64,9 @@ def test_toxicity_without_labels(spark, odd):
 
 
 def test_toxicity_learns_stems(spark):
-    docs = [(i, f"Es {'grimmo' + 'abcdef'[i % 6] if i % 4 == 0 else 'ruhig'} heute hier.") for i in range(200)]
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    docs = [(i, f"{word()} {word()} {'grimmo' + 'abcdef'[i % 6] if i % 4 == 0 else 'ruhig'} {word()} {word()}.") for i in range(200)]
     labels = [(i, int(i % 4 == 0)) for i in range(200)]
     m = X.fit_toxicity_model(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert m.score("Es grimmoz heute.") >= 0.7 > m.score("Es ruhig heute.")
