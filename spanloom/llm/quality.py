@@ -154,7 +154,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.coalesce(*[F.when(F.col("y") == k, F.lit(per_class / n)) for k, n in sizes.items()], F.lit(0.0))
     drawn = known.filter(unit_hash("__id", F.lit(23)) < share)
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(drawn, "__id")
+    # the draw is bounded by per_class: with it on every executor no text is shuffled
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(F.broadcast(drawn), "__id")
 
     def make():
         def run(texts: list[str]) -> list[list]:
