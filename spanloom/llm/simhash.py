@@ -156,11 +156,14 @@ def _packed(fps: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(fps), [None, pa.py_buffer(np.arange(0, len(data) + 1, width, dtype=np.int32).tobytes()), pa.py_buffer(data)])
 
 
-def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: int = 1 << 16) -> DataFrame:
+#: Fingerprints in a block: a sixteenth of all, between these bounds.  The upper one bounds what a task holds.
+LEAST_BLOCK, MOST_BLOCK = 1 << 13, 1 << 16
+
+
+def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: int | None = None) -> DataFrame:
     """Distinct ``simhash`` values -> (u, v) edges that connect exactly the linked ones.
 
-    ``block`` bounds what a task holds: two blocks of fingerprints and the links
-    of a few tiles.
+    A task holds two blocks of fingerprints and the links of a few tiles.
     """
     spark = fps.sparkSession
 
@@ -171,7 +174,9 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bytes(k).ljust(10, b"\0") for k in keys], pa.binary())], names=["simhash", "order"])
 
     ordered = materialize(fps.select("simhash").mapInArrow(keyed, "simhash binary, order binary"), "keyed")
-    parts = max(1, -(-ordered.count() // block))
+    n = ordered.count()
+    block = block or min(MOST_BLOCK, max(LEAST_BLOCK, n // 16))
+    parts = max(1, -(-n // block))
     ranged = ordered.repartitionByRange(parts, "order", "simhash").sortWithinPartitions("order", "simhash")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +224,12 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
         u, v = links_between(sides[0], sides[1] if len(sides) > 1 else None, radius)
         return pa.table({"u": _packed(u), "v": _packed(v)})
 
-    return dealt.groupBy("cell").applyInArrow(compare, "u binary, v binary")
+    # cells are few and small but slow: one task for each, not as many as their bytes suggest
+    tasks = min(cell, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    return dealt.repartition(tasks, "cell").groupBy("cell").applyInArrow(compare, "u binary, v binary")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, seed: int = 42, words: int = 1, block: int = 1 << 16) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, seed: int = 42, words: int = 1, block: int | None = None) -> DataFrame:
     """Every row with its ``fingerprint`` (16 hex digits for each of its ``words``) and ``component_id``.
 
     Two rows are linked when their fingerprints differ in at most ``radius``
