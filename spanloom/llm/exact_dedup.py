@@ -40,13 +40,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seen = docs.select(*_key(docs, id_col, text_col), normalised(F.col(f"`{text_col}`")).alias("t"))
     marks = materialize(seen.select("__id", "__k", F.length("t").alias("n"), F.xxhash64(F.substring("t", 1, prefix)).alias("p")), "marks")
     lengths = marks.groupBy("n").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("n")
-    heads = marks.groupBy("n", "p").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").join(lengths, "n", "left_semi").select("n", "p")
+    # tables of keys are written before they are joined: both sides are then plain shuffles, whose hot partitions Spark splits
+    heads = materialize(marks.groupBy("n", "p").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").join(lengths, "n", "left_semi").select("n", "p"), "heads")
     survivors = marks.join(heads, ["n", "p"]).select(F.col("__id").alias("__sid"), F.col("__k").alias("__sk")).distinct()
     content = docs.select(*_key(docs, id_col, text_col), F.col(f"`{text_col}`").alias("t"))
     on = F.col("__id").eqNullSafe(F.col("__sid")) & (F.col("__k") == F.col("__sk"))
     hashed = materialize(content.join(survivors, on, "left_semi").select("__id", "__k", F.unhex(content_hash(F.col("t"))).alias("h")), "hashes")
-    groups = hashed.groupBy("h").agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
-    return hashed.join(groups, "h").select("__id", "__k", "keep_id", "group_size").distinct()
+    groups = materialize(hashed.groupBy("h").agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"), "groups")
+    return hashed.distinct().join(groups, "h").select("__id", "__k", "keep_id", "group_size")
 
 
 def exact_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
