@@ -88,7 +88,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     second = table.select(*KEY, F.col("pos").alias("end"), "k", F.col("rank").alias("b"))
     interval = ["len", "a", "b"]
     named = materialize(wanted.join(first, [*KEY, "pos", "k"]).join(second, [*KEY, "end", "k"]).select(*KEY, "pos", *interval), "intervals")
-    earliest = named.groupBy(*interval).agg(F.min(F.struct(*KEY, "pos")).alias("first"))
+    # written before it is joined: the join is then between plain shuffles, whose hot partitions Spark splits
+    earliest = materialize(named.groupBy(*interval).agg(F.min(F.struct(*KEY, "pos")).alias("first")), "earliest")
     later = named.join(earliest, interval).filter(~F.struct(*KEY, "pos").eqNullSafe(F.col("first")))
     return later.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "len")).alias("spans"))
 
