@@ -11,6 +11,7 @@ their number within their length, with joins only.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,51 +26,79 @@ from .common import SLICE_BYTES, SLICE_ROWS, materialize
 END = b"\0\0\0\0"
 
 
+# The byte-level tokenizer's pattern of pre-tokens and its printable stand-ins for the 256 bytes.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> the letter that stands for it: itself if printable, else the next letter from 256 on."""
+    others = iter(range(256, 512))
+    return {b: chr(b if b in PRINTABLE else next(others)) for b in range(256)}
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, through a bounded cache of space-separated chunks.
+    """Ids of texts as little-endian unsigned 32-bit bytes, through two bounded caches.
 
-    The byte-level pre-tokeniser never joins a space with what precedes it, so a
-    text whose only white space is single spaces and line feeds can be encoded
-    chunk by chunk (a chunk keeps the space before it); any other text is encoded as a whole.
+    The pre-tokeniser never joins a space with what precedes it, so a text whose
+    only white space is single spaces and line feeds can be encoded chunk by
+    chunk (a chunk has the space before it); any other text is encoded as a
+    whole.  A chunk that the first cache lacks is cut into pre-tokens; one that
+    the second lacks goes through the tokenizer's own merge model.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 400_000, most_words: int = 400_000):
         import os
-        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-        self.most = most
-        self.odd = re.compile(r"  |[^\S \n]|[\x1c-\x1f\x85]")
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.most, self.most_words = most, most_words
+        # other white space than single spaces and line feeds; a scan for each is far cheaper than a pattern
+        self.odd = ("  ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
+        self.pre_tokens = regex.compile(PRE_TOKEN).findall
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            spelled = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(spelled)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.words) < self.most_words:
+                self.words[word] = found
+        return found
+
+    def _chunk(self, chunk: str) -> bytes:
+        """A chunk without the space before it, encoded with it."""
+        if chunk.isalpha():
+            found = self._word(" " + chunk)
+        elif chunk[-1:] in (".", ",", "!", ";") and chunk[:-1].isalpha():
+            found = self._word(" " + chunk[:-1]) + self._word(chunk[-1])
+        else:
+            found = b"".join(map(self._word, self.pre_tokens(" " + chunk)))
+        if len(self.chunks) < self.most:
+            self.chunks[chunk] = found
+        return found
+
+    def _text(self, text: str) -> bytes:
+        if any(w in text for w in self.odd):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        first, *rest = text.split(" ")
+        out = list(map(self.chunks.get, rest))
+        if None in out:
+            make = self._chunk
+            out = [make(c) if x is None else x for c, x in zip(rest, out, strict=True)]
+        return b"".join([*map(self._word, self.pre_tokens(first)), *out])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for t in texts:
-            if self.odd.search(t):
-                split.append(None)
-            else:
-                chunks = (" " + t).split(" ")[1:]
-                split.append([chunks[0], *[" " + c for c in chunks[1:]]])
-        missing = list({c for chunks in split if chunks for c in chunks if c not in self.cache})
-        fresh = dict(zip(missing, self._whole(missing), strict=True))
-        if len(self.cache) + len(fresh) <= self.most:
-            self.cache.update(fresh)
-            get = self.cache.__getitem__
-        else:
-            both = self.cache
-            get = lambda c: fresh[c] if c in fresh else both[c]
-        out = [b"".join(map(get, chunks)) if chunks is not None else b"" for chunks in split]
-        whole = [i for i, chunks in enumerate(split) if chunks is None]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
-            out[i] = ids
-        return out
+        return [self._text(t) for t in texts]
 
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
