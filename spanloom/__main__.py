@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     v = sub.add_parser("validate", help="keep the records whose assistant messages hold valid XML")
     v.add_argument("records")
     v.add_argument("out")
-    v.add_argument("--mode", choices=["a4a", "nexau"], default="a4a")
+    v.add_argument("--mode", choices=["full", "tools"], default="full")
     d = sub.add_parser("dialect", help="rewrite the string leaves of JSON records")
     d.add_argument("records")
     d.add_argument("out")

@@ -185,7 +185,7 @@ def _check_tool(what: str, body: str, mode: str, strict: bool, errors: list[str]
         errors += [f"{what} lacks {t}" for t, m in (("tool_name", name), ("parameter", block)) if not m][:1]
         return
     errors += [f"{what}: {e}" for e in tag_errors(block[1], strict)]
-    if mode == "nexau" and name[1].strip().startswith("agent:") and not _has(block[1], "message"):
+    if mode == "tools" and name[1].strip().startswith("agent:") and not _has(block[1], "message"):
         errors.append(f"{what} lacks message")
 
 
@@ -235,7 +235,7 @@ def _parallel_agents(text: str, mode: str, strict: bool, errors: list[str]) -> N
 
 def _batches(text: str, mode: str, strict: bool, errors: list[str]) -> None:
     for what, body in _blocks(text, "use_batch_agent", errors):
-        if mode == "nexau":
+        if mode == "tools":
             name = _has(body, "tool_name")
             if not name or not name[1].strip().startswith("agent:"):
                 errors.append(f"{what} lacks a tool_name of an agent")
@@ -247,10 +247,10 @@ def _batches(text: str, mode: str, strict: bool, errors: list[str]) -> None:
             errors.append(f"{what} lacks message")
 
 
-VALIDATORS = {"a4a": [_tools, _agents, _parallel_tools, _parallel_agents, _batches], "nexau": [_tools, _parallel_tools, _batches]}
+VALIDATORS = {"full": [_tools, _agents, _parallel_tools, _parallel_agents, _batches], "tools": [_tools, _parallel_tools, _batches]}
 
 
-def message_errors(text: str | None, mode: str = "a4a", strict: bool = True) -> list[str]:
+def message_errors(text: str | None, mode: str = "full", strict: bool = True) -> list[str]:
     """All errors of a message; none for null, empty text or text without ``<``."""
     errors: list[str] = []
     if text and "<" in text:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import xmlcalls
 
-TAGS = {"a4a": ["tool_use", "sub-agent", "use_parallel_tool_calls", "use_parallel_sub_agents", "use_batch_agent"], "nexau": ["tool_use", "use_parallel_tool_calls", "use_batch_agent"]}
+TAGS = {"full": ["tool_use", "sub-agent", "use_parallel_tool_calls", "use_parallel_sub_agents", "use_batch_agent"], "tools": ["tool_use", "use_parallel_tool_calls", "use_batch_agent"]}
 
 
-def error_finder(mode: str = "a4a", strict: bool = True):
+def error_finder(mode: str = "full", strict: bool = True):
     """Arrow-batched UDF from a text to its list of errors."""
 
     @F.pandas_udf("array<string>")
@@ -29,7 +29,7 @@ def tag_balance():
     return find
 
 
-def message_errors(messages: DataFrame, mode: str = "a4a", strict: bool = True, text_col: str = "content", role_col: str = "role") -> DataFrame:
+def message_errors(messages: DataFrame, mode: str = "full", strict: bool = True, text_col: str = "content", role_col: str = "role") -> DataFrame:
     """``messages`` plus ``errors``; only assistants' texts that hold an opener of the mode go through the parser."""
     risky = F.coalesce((F.col(role_col) == "assistant") & F.col(text_col).rlike("<(" + "|".join(TAGS[mode]) + ")>"), F.lit(False))
     clean = messages.filter(~risky).withColumn("errors", F.expr("cast(array() as array<string>)"))
@@ -43,7 +43,7 @@ def valid_shape(text: Column) -> Column:
     return F.when(F.size(blocks) == 0, ~F.contains(text, F.lit("<tool_use>"))).otherwise(whole)
 
 
-def filter_valid(records: DataFrame, line_col: str = "line", mode: str = "a4a", strict: bool = True) -> DataFrame:
+def filter_valid(records: DataFrame, line_col: str = "line", mode: str = "full", strict: bool = True) -> DataFrame:
     """JSON records (one a line) plus ``valid`` and ``errors`` (two a message, with the message's number).
 
     Lines that aren't JSON, and records without a list of messages, are invalid.

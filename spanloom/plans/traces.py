@@ -150,7 +150,7 @@ WHEN 1 THEN '<tool_use><tool_name>a</tool_name></tool_use>' WHEN 2 THEN '<tool_u
 @query(f"""SELECT conv_id, turn FROM (SELECT *, {_XML_CASES} AS content FROM conversations) WHERE role <> 'assistant' OR turn % 4 IN (0, 3)""")
 def xml_valid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").withColumn("content", F.expr(_XML_CASES))
-    return quality.message_errors(c, "a4a").filter(F.size("errors") == 0).select("conv_id", "turn")
+    return quality.message_errors(c, "full").filter(F.size("errors") == 0).select("conv_id", "turn")
 
 
 @query(f"""SELECT count(*) AS total, count(*) FILTER (turn % 4 IN (0, 3)) AS valid, count(*) FILTER (turn % 4 NOT IN (0, 3)) AS invalid FROM conversations""")

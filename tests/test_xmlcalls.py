@@ -36,7 +36,7 @@ def test_corrected_mode_closes_spaced_tags():
 
 def test_modes_differ():
     batch = "<use_batch_agent><agent_name>r</agent_name><input_data_source><file_name>f</file_name><format>j</format></input_data_source><message>m</message></use_batch_agent>"
-    assert not x.message_errors(batch, "a4a") and x.message_errors(batch, "nexau")
+    assert not x.message_errors(batch, "full") and x.message_errors(batch, "tools")
 
 
 def test_extraction_is_by_category():
@@ -98,7 +98,7 @@ def test_leaves():
 @given(st.text(alphabet="<>/ab&tool_use \n", max_size=80))
 def test_parsers_never_raise(text):
     x.message_errors(text)
-    x.message_errors(text, "nexau")
+    x.message_errors(text, "tools")
     x.extract_calls(text)
     for d in x.DIALECTS:
         x.rewrite_message(text, d)
