@@ -182,7 +182,8 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
         return model
     share = F.coalesce(*[F.when(F.col("y") == k, F.lit(per_class / n)) for k, n in sizes.items()])
     drawn = known.filter(unit_hash("__id", F.lit(29)) < share)
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(drawn, "__id").select("y", "__text")
+    # the draw is bounded by per_class: with it on every executor no text is shuffled
+    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("__text")).join(F.broadcast(drawn), "__id").select("y", "__text")
     rows = materialize(append_columns(rows, "__text", [("terms", "array<string>"), ("copies", "bigint")], lambda: _features), "toxicity-sample")
     model = _with_terms(model, _telling(rows, most_terms, sure))
     rest = _seen_contexts(rows, model).filter((F.col("y") == 0) | (F.size("kinds") == 0))
