@@ -7,6 +7,11 @@ counts, again skipping tile pairs whose bit counts (of the whole and of four
 16-bit lanes) differ beyond the radius.  Each block pair yields a spanning
 forest of its links with bounded degree, never all pairs of a group, and
 :mod:`.components` joins the forests.
+
+Near copies (:func:`keep_one_per_component`) are pairs of shingle sets with a
+given Jaccard similarity.  Fingerprints within a wide radius and of sets whose
+sizes allow it only name candidates; the sets themselves are compared before a
+pair counts as a link.
 """
 
 from __future__ import annotations
@@ -28,18 +33,20 @@ LANES = 4
 FANOUT = 16
 
 
-def fingerprint(text: str, shingle: int = 4, seed: int = 42, words: int = 1) -> np.ndarray:
-    """SimHash of the word shingles (repeats count) in ``words`` 64-bit words; zero for a text without words.
-
-    The first word takes the votes of the shingles' XXH64; each further word
-    those of the hash mixed once more.
-    """
+def shingle_hashes(text: str, shingle: int = 4, seed: int = 42) -> np.ndarray:
+    """XXH64 of each word shingle in text order, repeats included; a shorter text is one shingle, one without words none."""
     tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER_TABLE).split()
     if not tokens:
-        return np.zeros(words, dtype=np.uint64)
+        return np.zeros(0, dtype="<u8")
     digest = xxhash.xxh64_intdigest
     shingles = zip(*(tokens[i:] for i in range(shingle)), strict=False) if len(tokens) > shingle else [tokens]
-    hashes = np.array([digest(b" ".join(t), seed) for t in shingles], dtype="<u8")
+    return np.array([digest(b" ".join(t), seed) for t in shingles], dtype="<u8")
+
+
+def simhash_of(hashes: np.ndarray, words: int = 1) -> np.ndarray:
+    """``words`` 64-bit words of SimHash: the first takes the votes of the hashes, each further one those of the hash mixed once more."""
+    if not len(hashes):
+        return np.zeros(words, dtype=np.uint64)
     out = []
     for word in range(words):
         if word:
@@ -53,6 +60,11 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42, words: int = 1) ->
     return np.array(out, dtype=np.uint64)
 
 
+def fingerprint(text: str, shingle: int = 4, seed: int = 42, words: int = 1) -> np.ndarray:
+    """SimHash of the word shingles (repeats count) in ``words`` 64-bit words; zero for a text without words."""
+    return simhash_of(shingle_hashes(text, shingle, seed), words)
+
+
 def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, seed: int = 42, words: int = 1) -> DataFrame:
     """``docs`` plus ``simhash`` (binary: the words, big-endian).  Null text: zero."""
 
@@ -87,11 +99,27 @@ def fold(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             labels = jumped
 
 
+def forest(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (two index arrays) of a tree of bounded degree over each label's members."""
+    size = np.bincount(labels, minlength=len(labels))
+    members = np.flatnonzero(size[labels] > 1)
+    members = members[np.argsort(labels[members], kind="stable")]
+    own = labels[members]
+    first = np.r_[True, own[1:] != own[:-1]] if len(own) else np.zeros(0, dtype=bool)
+    base = np.flatnonzero(first)[np.cumsum(first) - 1] if len(own) else np.zeros(0, dtype=np.int64)
+    rank = np.arange(len(own)) - base
+    child = rank > 0
+    parent = base[child] + (rank[child] - 1) // FANOUT
+    return members[child], members[parent]
+
+
 def near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two tiles whose fingerprints differ in at most ``radius`` bits: half of the words first, the rest where those allow it."""
+    """Index pairs of two tiles whose fingerprints differ in at most ``radius`` bits: half of the words first (more for a wide radius), the rest where those allow it."""
     words = a.shape[1]
-    lead = -(-words // 2)
+    lead = min(words, max(-(-words // 2), -(-radius // 24)))  # unrelated words differ in 32 bits
     differ = np.bitwise_count(a[:, None, 0] ^ b[None, :, 0])
+    if 64 * lead > 255:
+        differ = differ.astype(np.int16)
     for w in range(1, lead):
         differ = differ + np.bitwise_count(a[:, None, w] ^ b[None, :, w])
     i, j = np.nonzero(differ <= radius)
@@ -101,30 +129,45 @@ def near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndar
     return i, j
 
 
-def links_between(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int = 512) -> tuple[np.ndarray, np.ndarray]:
+def sizes_allow(low: np.ndarray, high: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of these sizes can have that Jaccard similarity."""
+    return low >= similarity * high - 1e-9
+
+
+def links_between(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int = 512, similarity: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Bounded-degree forest of the links within ``a`` (b None) or between ``a`` and ``b``, given as rows of words.
 
-    Both are sorted by bit counts.  Returns two arrays of fingerprints; every
+    Both are sorted by bit counts; with a ``similarity`` the first word is the
+    size of a set, both are sorted by it, and only sizes that allow the
+    similarity link.  Returns two arrays of fingerprints; every
     pair of linked fingerprints ends in one tree.
     """
     both = a if b is None else np.concatenate([a, b])
-    labels, counts = np.arange(len(both)), counts_of(both)
+    labels, prints = np.arange(len(both)), both[:, 1:] if similarity else both
+    sizes = both[:, 0].astype(np.int64)
+    counts = counts_of(prints)
     starts = [(s, min(s + tile, len(a))) for s in range(0, len(a), tile)]
     others = starts if b is None else [(s, min(s + tile, len(both))) for s in range(len(a), len(both), tile)]
     low = np.array([counts[s:e].min(axis=0) for s, e in others]).reshape(-1, LANES + 1)
     high = np.array([counts[s:e].max(axis=0) for s, e in others]).reshape(-1, LANES + 1)
+    least, most = sizes[[s for s, _ in others]], sizes[[e - 1 for _, e in others]]
     held_i, held_j, held = [], [], 0
     for at, (s, e) in enumerate(starts):
         lo, hi = counts[s:e].min(axis=0), counts[s:e].max(axis=0)
         gap = np.maximum(0, np.maximum(low - hi, lo - high))  # least difference of each count
-        met = np.flatnonzero((gap[:, 0] <= radius) & (gap[:, 1:].sum(axis=1) <= radius))
+        can = (gap[:, 0] <= radius) & (gap[:, 1:].sum(axis=1) <= radius)
+        if similarity:
+            can &= sizes_allow(np.minimum(sizes[e - 1], most), np.maximum(sizes[s], least), similarity)
+        met = np.flatnonzero(can)
         if b is None:
             met = met[met >= at]
         for k in met:
             s2, e2 = others[k]
-            i, j = near(both[s:e], both[s2:e2], radius)
+            i, j = near(prints[s:e], prints[s2:e2], radius)
             i, j = i + s, j + s2
             keep = labels[i] != labels[j]
+            if similarity:
+                keep &= sizes_allow(np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j]), similarity)
             if keep.any():
                 held_i.append(i[keep])
                 held_j.append(j[keep])
@@ -134,16 +177,8 @@ def links_between(a: np.ndarray, b: np.ndarray | None, radius: int, tile: int =
                     held_i, held_j, held = [], [], 0
     if held:
         labels = fold(labels, np.concatenate(held_i), np.concatenate(held_j))
-    size = np.bincount(labels, minlength=len(labels))
-    members = np.flatnonzero(size[labels] > 1)
-    members = members[np.argsort(labels[members], kind="stable")]
-    own = labels[members]
-    first = np.r_[True, own[1:] != own[:-1]] if len(own) else np.zeros(0, dtype=bool)
-    base = np.flatnonzero(first)[np.cumsum(first) - 1] if len(own) else np.zeros(0, dtype=np.int64)
-    rank = np.arange(len(own)) - base
-    child = rank > 0
-    parent = base[child] + (rank[child] - 1) // FANOUT
-    return both[members[child]], both[members[parent]]
+    child, parent = forest(labels)
+    return both[child], both[parent]
 
 
 def _rows(packed: bytes, words: int) -> np.ndarray:
@@ -160,17 +195,25 @@ def _packed(fps: np.ndarray) -> pa.Array:
 LEAST_BLOCK, MOST_BLOCK = 1 << 13, 1 << 16
 
 
-def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: int | None = None) -> DataFrame:
+def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: int | None = None, similarity: float = 0.0) -> DataFrame:
     """Distinct ``simhash`` values -> (u, v) edges that connect exactly the linked ones.
 
-    A task holds two blocks of fingerprints and the links of a few tiles.
+    With a ``similarity``, a value is the size of a set (a word of its own)
+    followed by its fingerprint, and blocks of sizes too different for it are
+    never compared.  A task holds two blocks of fingerprints and the links of a
+    few tiles.
     """
     spark = fps.sparkSession
+    if similarity:
+        words += 1
+
+    def order_of(rows: np.ndarray) -> np.ndarray:
+        return rows[:, :1].astype(np.int64) if similarity else counts_of(rows)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _rows(b"".join(batch.column(0).to_pylist()), words)
-            keys = counts_of(rows).astype(">u2").view("S10").ravel().astype(object) if len(rows) else []
+            keys = np.ascontiguousarray(order_of(rows).astype(">u4" if similarity else ">u2")).view("S4" if similarity else "S10").ravel().astype(object) if len(rows) else []
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bytes(k).ljust(10, b"\0") for k in keys], pa.binary())], names=["simhash", "order"])
 
     ordered = materialize(fps.select("simhash").mapInArrow(keyed, "simhash binary, order binary"), "keyed")
@@ -186,7 +229,7 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
 
         def out(part: np.ndarray) -> pa.RecordBatch:
             nonlocal k
-            c = counts_of(part)[:, 0]
+            c = order_of(part)[:, 0]
             k += 1
             return pa.RecordBatch.from_pydict({"block": pa.array([(pid << 20) + k], pa.int64()), "low": pa.array([int(c.min())], pa.int32()), "high": pa.array([int(c.max())], pa.int32()), "n": pa.array([len(part)], pa.int32()), "fps": pa.array([part.astype(">u8").tobytes()], pa.binary())})
 
@@ -210,7 +253,7 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
     cells, cell = [], 0
     for i, x in enumerate(runs):
         for y in runs[i:]:
-            if max(y["low"] - x["high"], x["low"] - y["high"]) <= radius:
+            if sizes_allow(min(x["high"], y["high"]), max(x["low"], y["low"]), similarity) if similarity else max(y["low"] - x["high"], x["low"] - y["high"]) <= radius:
                 cells += [(b, cell, side) for side, run in enumerate([x] if y is x else [x, y]) for b in run["of"]]
                 cell += 1
     if not cells:
@@ -221,7 +264,7 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
     def compare(key, table):
         rows = sorted(zip(table.column("side").to_pylist(), table.column("block").to_pylist(), table.column("fps").to_pylist(), strict=True))
         sides = [np.concatenate([_rows(f, words) for s, _, f in rows if s == side]) for side in sorted({r[0] for r in rows})]
-        u, v = links_between(sides[0], sides[1] if len(sides) > 1 else None, radius)
+        u, v = links_between(sides[0], sides[1] if len(sides) > 1 else None, radius, similarity=similarity)
         return pa.table({"u": _packed(u), "v": _packed(v)})
 
     # cells are few and small but slow: one task for each, not as many as their bytes suggest
@@ -254,12 +297,136 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return own.join(classes, "simhash").select(F.col("__id").alias(id_col), F.lower(F.hex("simhash")).alias("fingerprint"), "component_id")
 
 
+#: Members of a candidate group that are compared at a time: a sixteenth of the group, between these bounds.
+LEAST_SHARE, MOST_SHARE = 128, 1024
+
+
+def similar_pairs(of: list, sides: list, prints: np.ndarray, sets: list[np.ndarray], radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Bounded-degree forest of the pairs with the given Jaccard similarity among the rows of each group (``of``), only across sides where a group has two.
+
+    Pairs within ``radius`` are candidates; each is decided by its two sets,
+    unless decided ones connect its ends already.
+    """
+    root = list(range(len(sets)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    groups: dict = {}
+    for i, g in enumerate(of):
+        groups.setdefault(g, ([], []))[sides[i]].append(i)
+    for a, b in groups.values():
+        a, b = np.array(a, dtype=np.int64), np.array(b or a, dtype=np.int64)
+        within = len(a) and b[0] == a[0]
+        if not len(a):
+            continue
+        i, j = near(prints[a], prints[b], radius)
+        i, j = a[i], b[j]
+        can = sizes_allow(np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j]), similarity)
+        if within:
+            can &= i < j
+        for x, y in zip(i[can].tolist(), j[can].tolist(), strict=True):
+            p, q = top(x), top(y)
+            if p != q:
+                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if shared >= similarity * (len(sets[x]) + len(sets[y]) - shared) - 1e-9:
+                    root[q] = p
+    return forest(np.array([top(i) for i in range(len(sets))], dtype=np.int64))
+
+
+def _verified_links(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, n: int, radius: int, words: int, shingle: int, seed: int, similarity: float) -> DataFrame:
+    """(u, v) edges between ``set_key``s of the same candidate group whose sets have the similarity.
+
+    Only texts of candidates are read again.  A group larger than its share is
+    compared in pairs of shares, so that no task holds a whole group.
+    """
+    spark = docs.sparkSession
+    text = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(f"`{text_col}`").alias("__k"), F.col(f"`{text_col}`").alias("text"))
+    on = text["__id"].eqNullSafe(members["rep_id"]) & (text["__k"] == members["rep_k"])
+    found = text.join(members, on).select("set_key", "root", "node", "m", "text")
+
+    def make():
+        def run(texts: list[str]) -> list[list]:
+            return [[np.unique(shingle_hashes(t, shingle, seed)).tobytes() for t in texts]]
+
+        return run
+
+    sets = append_columns(found, "text", [("hashes", "binary")], make).drop("text")
+    share = F.least(F.lit(MOST_SHARE), F.greatest(F.lit(LEAST_SHARE), F.expr("int(m div 16)")))
+    shares = F.when(F.col("m") <= 2 * LEAST_SHARE, F.lit(1)).otherwise(F.ceil(F.col("m") / share).cast("int"))
+    sets = sets.withColumn("shares", shares).withColumn("part", F.expr("int(pmod(xxhash64(set_key, 7), shares))"))
+    small = max(1, -(-n // LEAST_SHARE))  # groups of one share go together
+    dealt = sets.withColumn("other", F.explode(F.expr("sequence(0, shares - 1)"))).select(
+        "set_key", "root", "node", "hashes", F.expr("int(part > other)").alias("side"),
+        F.expr(f"if(shares = 1, pmod(xxhash64(root, 3), {small}), xxhash64(root, least(part, other), greatest(part, other)))").alias("cell"),
+    )
+
+    def compare(key, table):
+        columns = {c: table.column(c).to_pylist() for c in ("set_key", "root", "node", "hashes", "side")}
+        rows = sorted({k: (r, s, k, f, h) for k, r, f, h, s in zip(columns["set_key"], columns["root"], columns["node"], columns["hashes"], columns["side"], strict=True)}.values())
+        prints = _rows(b"".join(r[3] for r in rows), words + 1)[:, 1:]
+        u, v = similar_pairs([r[0] for r in rows], [r[1] for r in rows], prints, [np.frombuffer(r[4], dtype="<u8") for r in rows], radius, similarity)
+        return pa.table({"u": pa.array([rows[i][2] for i in u], pa.binary()), "v": pa.array([rows[i][2] for i in v], pa.binary())})
+
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n // LEAST_SHARE, 4 * spark.sparkContext.defaultParallelism))
+    return dealt.repartition(tasks, "cell").groupBy("cell").applyInArrow(compare, "u binary, v binary")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, radius: int = 72, shingle: int = 5, seed: int = 42, words: int = 4, block: int | None = None) -> DataFrame:
+    """(__id, __k, keep_id, keep_k): every row's id and text hash, and those of the row that its component keeps.
+
+    Rows are linked when their sets of word shingles have a Jaccard similarity
+    of ``similarity`` or more; sets are compared by the shingles' XXH64.  Pairs
+    of different sets are compared where their fingerprints differ in at most
+    ``radius`` bits.  Null and empty texts have the same, empty set.  A component
+    keeps the row with the smallest id, then text hash; null ids are never kept
+    as such (null if it has no other).
+    """
+    base = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(f"`{text_col}`").alias("__k"), F.col(f"`{text_col}`").alias("__text"))
+
+    def make():
+        def run(texts: list[str]) -> list[list]:
+            keys, found = [], []
+            for t in texts:
+                hashes = shingle_hashes(t, shingle, seed)
+                own = np.unique(hashes)
+                keys.append(xxhash.xxh3_128_digest(own.tobytes()))
+                found.append(np.r_[np.uint64(len(own)), simhash_of(hashes, words)].astype(">u8").tobytes())
+            return [keys, found]
+
+        return run
+
+    own = materialize(append_columns(base, "__text", [("set_key", "binary"), ("node", "binary")], make).drop("__text"), "sets")
+    row = F.struct("__id", "__k")
+    distinct = materialize(own.groupBy("set_key").agg(F.first("node").alias("node"), F.min(row).alias("rep"), F.min(F.when(F.col("__id").isNotNull(), row)).alias("keep")), "distinct")
+    size = F.conv(F.hex(F.substring("node", 1, 8)), 16, 10).cast("long")
+    # a set too small to be that similar to any other one is like itself only
+    able = distinct.filter(size >= F.lit(similarity) * (size + 1) - 1e-9)
+    edges = materialize(link_fingerprints(able.select(F.col("node").alias("simhash")).distinct(), radius, words, block, similarity), "links")
+    roots = connected_components(edges)
+    release(edges)
+    rooted = materialize(able.select("set_key", "node", "rep").join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    groups = materialize(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "groups")
+    members = materialize(rooted.join(groups, "root").select("set_key", "root", "node", "m", F.col("rep.__id").alias("rep_id"), F.col("rep.__k").alias("rep_k")), "members")
+    links = materialize(_verified_links(docs, id_col, text_col, members, members.count(), radius, words, shingle, seed, similarity), "verified")
+    joined = connected_components(links)
+    release(links)
+    components = materialize(distinct.select("set_key", "keep").join(joined.select(F.col("node").alias("set_key"), "root"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), "components")
+    least = materialize(components.groupBy("root").agg(F.min("keep").alias("keep")), "least")
+    classes = materialize(components.select("set_key", "root").join(least, "root").select("set_key", "keep"), "classes")
+    return own.join(classes, "set_key").select("__id", "__k", F.col("keep.__id").alias("keep_id"), F.col("keep.__k").alias("keep_k"))
+
+
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without near copies: of each component the row with the smallest id stays.
+    """``docs`` without near copies: of each component of :func:`near_copies` the row with the smallest id stays.
 
     All input columns are kept.  Rows with a null id stay: nothing identifies
     them as a copy of a kept row.
     """
-    found = simhash_components(docs, id_col, text_col, **how)
-    gone = found.filter(f"`{id_col}` <> component_id").select(id_col).distinct()
+    found = near_copies(docs, id_col, text_col, **how)
+    gone = found.filter("__id <> keep_id").select(F.col("__id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

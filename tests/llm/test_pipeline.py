@@ -77,6 +77,55 @@ def test_near_stage_against_jaccard(planted, spark):
             assert not (j >= 0.9 and far > C.SIMHASH_RADIUS) and not (j < 0.5 and min(len(sets[a]), len(sets[b])) > 20 and far <= C.SIMHASH_RADIUS), (a, b, j, far)
 
 
+def edited(rng, n, edits):
+    """Two texts of n own words, the second with so many words replaced, and their five-word Jaccard similarity."""
+    a = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    b = list(a)
+    for at in rng.sample(range(n), edits):
+        b[at] = f"v{rng.randrange(10**9)}"
+    x, y = ({tuple(t[i : i + 5]) for i in range(n - 4)} for t in (a, b))
+    return " ".join(a), " ".join(b), len(x & y) / len(x | y)
+
+
+def test_near_stage_decides_at_the_similarity(spark):
+    """Recall and precision around 0.8: exactly the pairs at 0.8 and above lose their second text."""
+    rng = random.Random(17)
+    pairs = []
+    while len(pairs) < 400:
+        n = rng.randrange(60, 400)
+        a, b, j = edited(rng, n, max(1, round(n * rng.uniform(0.015, 0.04))))
+        if 0.7 <= j <= 0.9:
+            pairs.append((a, b, j))
+    pairs += [(t, t.rsplit(" ", 1)[0], j) for n, j in ((9, 0.8), (8, 0.75)) for t in (" ".join(f"x{rng.randrange(10**9)}" for _ in range(n)) for _ in range(100))]
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p[:2])], "doc_id long, text string")
+    kept = set(texts(C.near_duplicates(spark, docs, SF)))
+    want = {2 * i for i in range(len(pairs))} | {2 * i + 1 for i, p in enumerate(pairs) if p[2] < 0.8}
+    assert sum(p[2] >= 0.8 for p in pairs) > 150 < sum(p[2] < 0.8 for p in pairs)
+    assert kept == want
+
+
+def test_near_stage_on_a_large_group(spark):
+    """A candidate group beyond one share is compared whole: links across shares count, and texts near the group but below 0.8 stay."""
+    rng = random.Random(18)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(600):
+        t = list(base)
+        for at in rng.sample(range(300), 1 if i < 500 else 12):
+            t[at] = f"v{i}.{at}"
+        rows.append((i, " ".join(t)))
+    kept = set(texts(C.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(296)} for _, t in rows]
+    link = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    label = list(range(600))
+    for i in range(600):
+        for j in range(i):
+            if label[i] != label[j] and link(sets[i], sets[j]):
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    assert kept == set(label) and len(kept) > 20
+
+
 def test_benchmark_stage(planted, spark):
     docs, _, item = planted
     kept = texts(C.benchmark(spark, docs, SF))
