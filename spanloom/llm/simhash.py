@@ -8,7 +8,7 @@ counts, again skipping tile pairs whose bit counts (of the whole and of four
 forest of its links with bounded degree, never all pairs of a group, and
 :mod:`.components` joins the forests.
 
-Near copies (:func:`keep_one_per_component`) are pairs of shingle sets with a
+Near copies (:func:`keep_one_per_component`) are pairs of shingle sets, without repeats, with a
 given Jaccard similarity.  Fingerprints within a wide radius and of sets whose
 sizes allow it only name candidates; the sets themselves are compared before a
 pair counts as a link.
@@ -60,9 +60,10 @@ def simhash_of(hashes: np.ndarray, words: int = 1) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def fingerprint(text: str, shingle: int = 4, seed: int = 42, words: int = 1) -> np.ndarray:
-    """SimHash of the word shingles (repeats count) in ``words`` 64-bit words; zero for a text without words."""
-    return simhash_of(shingle_hashes(text, shingle, seed), words)
+def fingerprint(text: str, shingle: int = 4, seed: int = 42, words: int = 1, distinct: bool = False) -> np.ndarray:
+    """SimHash of the word shingles (repeats count unless ``distinct``) in ``words`` 64-bit words; zero for a text without words."""
+    hashes = shingle_hashes(text, shingle, seed)
+    return simhash_of(np.unique(hashes) if distinct else hashes, words)
 
 
 def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = 4, seed: int = 42, words: int = 1) -> DataFrame:
@@ -392,17 +393,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         def run(texts: list[str]) -> list[list]:
             keys, found = [], []
             for t in texts:
-                hashes = shingle_hashes(t, shingle, seed)
-                own = np.unique(hashes)
+                own = np.unique(shingle_hashes(t, shingle, seed))
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
-                found.append(np.r_[np.uint64(len(own)), simhash_of(hashes, words)].astype(">u8").tobytes())
+                found.append(np.r_[np.uint64(len(own)), simhash_of(own, words)].astype(">u8").tobytes())
             return [keys, found]
 
         return run
 
     own = materialize(append_columns(base, "__text", [("set_key", "binary"), ("node", "binary")], make).drop("__text"), "sets")
     row = F.struct("__id", "__k")
-    distinct = materialize(own.groupBy("set_key").agg(F.first("node").alias("node"), F.min(row).alias("rep"), F.min(F.when(F.col("__id").isNotNull(), row)).alias("keep")), "distinct")
+    distinct = materialize(own.groupBy("set_key", "node").agg(F.min(row).alias("rep"), F.min(F.when(F.col("__id").isNotNull(), row)).alias("keep")), "distinct")
     size = F.conv(F.hex(F.substring("node", 1, 8)), 16, 10).cast("long")
     # a set too small to be that similar to any other one is like itself only
     able = distinct.filter(size >= F.lit(similarity) * (size + 1) - 1e-9)

@@ -104,6 +104,17 @@ def test_near_stage_decides_at_the_similarity(spark):
     assert kept == want
 
 
+def test_near_stage_counts_a_repeated_shingle_once(spark):
+    """A phrase repeated in two texts doesn't make them copies, and each one's own repeated phrase doesn't hide that they are."""
+    rng = random.Random(19)
+    own = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    phrase, common = own(8), own(200)
+    rows = [(0, f"{own(150)} {' '.join([phrase] * 40)}"), (1, f"{own(150)} {' '.join([phrase] * 40)}")]
+    rows += [(2 + i, f"{common} {' '.join([own(8)] * 10)}") for i in range(2)]
+    kept = set(texts(C.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)))
+    assert kept == {0, 1, 2}
+
+
 def test_near_stage_on_a_large_group(spark):
     """A candidate group beyond one share is compared whole: links across shares count, and texts near the group but below 0.8 stay."""
     rng = random.Random(18)
