@@ -422,11 +422,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without near copies: of each component of :func:`near_copies` the row with the smallest id stays.
+    """``docs`` without near copies: of each component of :func:`near_copies` the row with the smallest id (then text hash) stays.
 
-    All input columns are kept.  Rows with a null id stay: nothing identifies
-    them as a copy of a kept row.
+    All input columns are kept.  A row is known by its id and a hash of its text:
+    rows with other texts may share an id.  Rows with a null id stay: nothing
+    identifies them as a copy of a kept row.
     """
     found = near_copies(docs, id_col, text_col, **how)
-    gone = found.filter("__id <> keep_id").select(F.col("__id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = found.filter("__id <> keep_id or (__id is not null and __k <> keep_k)").select(F.col("__id").alias("__gid"), F.col("__k").alias("__gk")).distinct()
+    on = (docs[f"`{id_col}`"] == gone["__gid"]) & (F.xxhash64(docs[f"`{text_col}`"]) == gone["__gk"])
+    return docs.join(gone, on, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -115,6 +115,17 @@ def test_near_stage_counts_a_repeated_shingle_once(spark):
     assert kept == {0, 1, 2}
 
 
+def test_near_stage_tells_rows_of_one_id_apart(spark):
+    """An id on two rows: only the row whose text is a copy goes, and the row that its own group keeps stays."""
+    rng = random.Random(20)
+    (a, b, _), (c, d, _), (e, f, _) = (edited(rng, 300, 2) for _ in range(3))
+    clean = edited(rng, 300, 2)[0]
+    rows = [(1, a), (5, b), (5, clean), (5, c), (9, d), (7, e), (7, f), (7, f), (None, e)]
+    out = C.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    kept = [(r.doc_id, r.text) for r in out]
+    assert {x for x in kept if x[0] != 7} == {(1, a), (5, clean), (5, c), (None, e)} and len({t for i, t in kept if i == 7}) == 1
+
+
 def test_near_stage_on_a_large_group(spark):
     """A candidate group beyond one share is compared whole: links across shares count, and texts near the group but below 0.8 stay."""
     rng = random.Random(18)
