@@ -5,7 +5,8 @@ of the text and its punctuation are added up and divided by the number of nodes;
 both ratios are smoothed over the paths in page order, fused by multiplication
 and held against a threshold taken from the page itself.  The nodes of the chosen
 paths show the container of the article; its blocks, without the parts that
-markup declares not to be content, are the text.
+markup declares not to be content, are the text.  Where a part that only its
+names or a form declare so holds most of the page's text, the ratios decide.
 """
 
 from __future__ import annotations
@@ -35,32 +36,40 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 BARRIER = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body", "nav", "aside", "header", "footer", "form", "blockquote"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|noscript|template|svg|iframe|title)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)""", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
 def _label(tag: str, attrs: str) -> tuple[str, int]:
-    """Path step of an element, and whether markup says that it isn't content: 0 no, 1 often, 2 in any case."""
-    level = 2 if tag in NOT_CONTENT or tag in NO_TEXT else 0
+    """Path step of an element, and whether markup says that it isn't content: 0 no, 1 often, 2 by a name or a form, 3 in any case."""
+    level = 2 if tag == "form" else 3 if tag in NOT_CONTENT or tag in NO_TEXT else 0
     if not attrs or (tag in CONTENT_TAGS and tag != "article"):
         return tag, level
-    words = []
+    names, words = [], []
     for name, *value in _ATTR.findall(attrs):
-        text = next((v for v in value if v), "")
-        if name.lower() == "hidden" or (name.lower() == "aria-hidden" and text.lower() == "true"):
-            level = 2
-        else:
+        name, text = name.lower(), next((v for v in value if v), "")
+        if name == "hidden" or (name == "aria-hidden" and text.lower() == "true"):
+            level = 3
+        elif name in ("class", "id", "role"):
+            names += text.lower().split()
             words += [w for w in re.split(r"[^a-z]+", text.lower()) if w]
-    if not NEVER.isdisjoint(words):
-        level = 2
+    # an article is named by what its names begin with: category-social is one about social matters
+    never = [re.split(r"[^a-z]+", n)[0] for n in names] if tag == "article" else words
+    if not NEVER.isdisjoint(never):
+        level = max(level, 2)
     elif tag not in CONTENT_TAGS and not (OFTEN - {"header"} if not OWN.isdisjoint(words) else OFTEN).isdisjoint(words):
         level = max(level, 1)
     return (f"{tag}.{'.'.join(words)}" if words else tag), level
 
 
-def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, int]]:
-    """Text nodes in page order: (path, block number, raw text, how surely markup says that they aren't content)."""
-    out, stack, block = [], [], 0  # stack: (tag, step, level)
+def nodes(page: str, under: list | None = None) -> list[tuple[tuple[str, ...], int, str, int]]:
+    """Text nodes in page order: (path, block number, raw text, how surely markup says that they aren't content).
+
+    ``under`` receives for each node the elements (number, level) of level 1 or
+    2 that it stands in, and whether it is in an article, main or so named element.
+    """
+    out, stack, block, count = [], [], 0, 0  # stack: (tag, step, level, elements of level 1 or 2, article)
+    under = [] if under is None else under
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
         if tag is not None:
@@ -68,10 +77,11 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, int]]:
             if tag not in INLINE and tag != "br":
                 block += 1
             if tag == "br":
-                out.append((tuple(s for _, s, _ in stack), block, " ", stack[-1][2] if stack else 0))
+                out.append((tuple(x[1] for x in stack), block, " ", stack[-1][2] if stack else 0))
+                under.append(stack[-1][3:] if stack else ((), False))
             elif m["end"]:
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None and (tag not in INLINE or not any(t in BARRIER for t, _, _ in stack[at + 1 :])):
+                if at is not None and (tag not in INLINE or not any(x[0] in BARRIER for x in stack[at + 1 :])):
                     del stack[at:]
             elif tag not in VOID and not m["attrs"].endswith("/"):
                 group = CLOSES.get(tag) or ({"p"} if tag not in INLINE else None)
@@ -83,15 +93,20 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str, int]]:
                         if stack[i][0] in BARRIER:
                             break
                 step, level = _label(tag, m["attrs"])
-                inside = any(t in ("article", "main") for t, _, _ in stack)
+                inside = any(x[0] in ("article", "main") for x in stack)
                 if tag == "header" and not inside:  # the page's own; an article's header holds its headline
                     level = max(level, 1)
-                above = stack[-1][2] if stack else 0
+                above, declared, own = stack[-1][2:] if stack else (0, (), False)
                 if tag in ("article", "main") and above == 1:
-                    above = 0
-                stack.append((tag, step, max(level, above)))
+                    above, declared = 0, ()
+                if level in (1, 2):
+                    count += 1
+                    declared = (*declared, (count, level))
+                own = own or tag in ("article", "main") or not OWN.isdisjoint(step.split(".")[1:])
+                stack.append((tag, step, max(level, above), declared, own))
         elif m["text"] is not None:
-            out.append((tuple(s for _, s, _ in stack), block, m["text"], stack[-1][2] if stack else 0))
+            out.append((tuple(x[1] for x in stack), block, m["text"], stack[-1][2] if stack else 0))
+            under.append(stack[-1][3:] if stack else ((), False))
     return out
 
 
@@ -138,20 +153,49 @@ def path_scores(found: list[tuple[tuple[str, ...], int, str, int]], width: float
 
 def main_text(page: str) -> str:
     """The article of a page, one block a line; empty if there is none."""
-    every = nodes(page)
-    text = _article([n for n in every if not n[3]])
-    if not text:  # all of it stands in a part that only often isn't content
-        text = _article([n for n in every if n[3] < 2])
+    under: list = []
+    every = nodes(page, under)
+    freed = _holding_most(every, under)
+    if freed:
+        every = [(p, b, t, 3 if level == 3 else max((x for e, x in declared if e not in freed), default=0)) for (p, b, t, level), (declared, _) in zip(every, under, strict=True)]
+    for most in range(3):  # more where all of it stands in a part that only often isn't content, or is named so
+        text = _article([n for n in every if n[3] <= most])
+        if text:
+            break
     return text
 
 
+def _holding_most(every: list[tuple[tuple[str, ...], int, str, int]], under: list) -> set[int]:
+    """Elements of level 1 or 2 that hold most of the text, of all and of the chosen paths, where no article outside of them has a tenth of the latter."""
+    can = [(n, *u, len(n[2].strip())) for n, u in zip(every, under, strict=True) if n[3] < 3]
+    held: dict[int, int] = {}
+    for _, declared, _, size in can:
+        for e, _ in declared:
+            held[e] = held.get(e, 0) + size
+    half = sum(x[3] for x in can) / 2
+    found = {e for e, size in held.items() if size > half}
+    if not found:
+        return found
+    chosen = _chosen(path_scores([x[0] for x in can]))
+    can = [x for x in can if x[0][0] in chosen]
+    total = sum(x[3] for x in can)
+    if sum(size for n, _, own, size in can if own and not n[3]) >= 0.1 * total:
+        return set()
+    return {e for e in found if 2 * sum(size for _, declared, _, size in can if e in dict(declared)) > total}
+
+
+def _chosen(scores: dict[tuple[str, ...], float]) -> set[tuple[str, ...]]:
+    """Paths that reach the page's threshold."""
+    values = np.array(list(scores.values()))
+    threshold = values.mean() if len(values) > 1 else 0.0
+    return {p for p, v in scores.items() if v >= threshold}
+
+
 def _article(found: list[tuple[tuple[str, ...], int, str, int]]) -> str:
     scores = path_scores(found)
     if not scores:
         return ""
-    values = np.array(list(scores.values()))
-    threshold = values.mean() if len(values) > 1 else 0.0
-    chosen = {p for p, v in scores.items() if v >= threshold}
+    chosen = _chosen(scores)
     inline = lambda p: tuple(p[: next((i for i in range(len(p) - 1, -1, -1) if p[i].split(".")[0] not in INLINE), 0) + 1])
     weight: dict[tuple, float] = {}
     for path, _, text, _ in found:

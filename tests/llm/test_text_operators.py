@@ -86,6 +86,29 @@ def test_article(opened, closed):
     assert H.main_text(PAGE.replace("{0}", opened).replace("{1}", closed)) == TEXT
 
 
+BODY = "<h1>Head</h1><p>A first paragraph, long enough to be one.</p><p>A second paragraph, with more: words, marks.</p>"
+BODY_TEXT = "Head\nA first paragraph, long enough to be one.\nA second paragraph, with more: words, marks."
+
+
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'data-hidden="false"', 'title="the hidden, class=ad truth"', 'data-id="ad"', "data-class=comments", 'aria-hidden="false"'])
+def test_attributes_go_by_name(attrs):
+    assert H.main_text(f"<body><p>Skip, please.</p><article {attrs}>{BODY}</article></body>") == BODY_TEXT
+
+
+@pytest.mark.parametrize("opened", ["form", 'article class="post category-social"', 'div class="content has-comments"', 'section id="promo"', 'div class="with-sidebar"'])
+def test_a_blocked_wrapper_of_most_text_is_content(opened):
+    inner = f'{BODY}<div class="share">Share this.</div><div hidden>Not, shown.</div>'
+    for outside in ("", "<p>Skip</p>"):
+        assert H.main_text(f"<body><nav>a, b</nav>{outside}<{opened}>{inner}</{opened.split()[0]}><footer>c, d</footer></body>").endswith(BODY_TEXT)
+
+
+def test_long_comments_stay_out():
+    comments = "<p>I agree, of course; well said.</p>" * 8
+    for opened in ("article", 'div class="post"'):
+        assert H.main_text(f'<body><{opened}>{BODY}</{opened.split()[0]}><div class="comments">{comments}</div></body>') == BODY_TEXT
+    assert H.main_text('<body><nav>Only, a menu.</nav><div hidden>Not, shown.</div></body>') == ""
+
+
 def test_broken_pages():
     for page, text in (("", ""), ("plain, text.", "plain, text."), ("<p>one", "one"), ("<script>x", ""), ("<article><p>cut &am", "cut &am"), ("<!-- open", "")):
         assert H.main_text(page) == text
