@@ -42,8 +42,8 @@ class Encoder:
 
     The pre-tokeniser never joins a space with what precedes it, so a text whose
     only white space is single spaces and line feeds can be encoded chunk by
-    chunk (a chunk has the space before it); any other text is encoded as a
-    whole.  A chunk that the first cache lacks is cut into pre-tokens; one that
+    chunk (a chunk has the space before it); any other text, and one that holds
+    an added token, is encoded as a whole.  A chunk that the first cache lacks is cut into pre-tokens; one that
     the second lacks goes through the tokenizer's own merge model.
     """
 
@@ -55,14 +55,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.most, self.most_words = most, most_words
         # other white space than single spaces and line feeds; a scan for each is far cheaper than a pattern
-        self.odd = ("  ", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
+        # and an added token, which stands for one id wherever it occurs
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = ("  ", *added, *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
         self.pre_tokens = regex.compile(PRE_TOKEN).findall
 
     def _word(self, word: str) -> bytes:

@@ -89,6 +89,14 @@ def test_cached_encoding_is_the_tokenizers(text):
 test_cached_encoding_is_the_tokenizers.pair = (lambda e: (e, e.tokenizer))(P.Encoder(tokenizer_path(), most=50))
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|>y, z.", "<|endoftext", "plain words, only."])
+def test_added_tokens_are_the_tokenizers(text):
+    from tokenizers import Tokenizer
+
+    want = Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(P.Encoder(tokenizer_path(), most=50).encode([text])[0], "<u4").tolist() == want
+
+
 def test_packing(spark, sample):
     docs, texts = sample
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "word " * 9000), (-4, "<|endoftext|>"), (-4, "<|endoftext|>")], "doc_id long, text string")
