@@ -1,8 +1,8 @@
 """Quality classification by attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded
-from counts of its own (case, digits, symbols, word lengths, repetition,
-function words); a gated attention, learned from document labels only, weighs
+from counts of its own (case, digits, symbols, word lengths, repetition);
+a gated attention, learned from document labels only, weighs
 the passages, and a logistic layer scores the weighted representation.
 Encoder, attention and scorer are trained together in numpy on a bounded sample.
 """
@@ -143,12 +143,12 @@ def fit(bags: list[np.ndarray], labels: list[int], hidden: int = 16, gates: int
     return model
 
 
-def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 2000, most_passages: int = 400, **how) -> QualityModel:
+def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 2000, most_passages: int = 1_600_000, **how) -> QualityModel:
     """Fit on about ``per_class`` labelled documents of each class (the documented bound), drawn by a hash of the id.
 
-    The executors turn the drawn documents into passage features.  Of a drawn
-    document longer than ``most_passages`` passages, evenly spaced ones are
-    used for training; scoring always reads every passage.
+    The executors turn the drawn documents into passage features, every passage
+    of a document.  Where the draw has more than ``most_passages`` in all, whole
+    documents are left out of it, so that each class has half of that at most.
     """
     known = labels.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("y in (0, 1)")
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -159,17 +159,23 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
     def make():
         def run(texts: list[str]) -> list[list]:
-            out = []
-            for t in texts:
-                x = passages(t)
-                if len(x) > most_passages:
-                    x = x[np.linspace(0, len(x) - 1, most_passages).astype(int)]
-                out.append(x.astype("<f4").tobytes())
-            return [out]
+            return [[passages(t).astype("<f4").tobytes() for t in texts]]
 
         return run
 
-    found = materialize(append_columns(rows, "__text", [("x", "binary")], make).select("__id", "y", "x"), "quality-sample").collect()
+    sample = materialize(append_columns(rows, "__text", [("x", "binary")], make).select("__id", "y", "x", unit_hash("__id", F.lit(29)).alias("u")), "quality-sample")
+    sample = sample.withColumn("h", F.xxhash64("x"))
+    room, taken, left_out = {0: most_passages // 2, 1: most_passages // 2}, [], False
+    for r in sorted(sample.select("u", "h", "y", (F.length("x") / (4 * FEATURES)).cast("long").alias("n")).collect()):
+        if r["n"] <= room[r["y"]]:
+            room[r["y"]] -= r["n"]
+            taken.append((r["u"], r["h"]))
+        else:
+            left_out = True
+    if left_out:
+        chosen = docs.sparkSession.createDataFrame(sorted(set(taken)), "u double, h long")
+        sample = sample.join(F.broadcast(chosen), ["u", "h"], "left_semi")
+    found = sample.select("__id", "y", "x").collect()
     found.sort(key=lambda r: (str(r["__id"]), r["x"]))
     return fit([np.frombuffer(r["x"], "<f4").reshape(-1, FEATURES) for r in found], [r["y"] for r in found], **how)
 

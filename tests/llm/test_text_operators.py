@@ -179,6 +179,17 @@ def test_gradient_matches_differences():
     assert loss(after) < 0.2 * loss(before)
 
 
+def test_quality_trains_on_every_passage(spark, monkeypatch):
+    """Long documents go into the fit whole; a bound leaves out whole documents."""
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda bags, labels, **how: seen.append(sorted(map(len, bags))))
+    docs = spark.createDataFrame([(i, "w " * (Q.PASSAGE * n)) for i, n in enumerate((500, 700, 3, 4))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    Q.fit_quality_model(docs, labels)
+    Q.fit_quality_model(docs, labels, most_passages=1200)
+    assert seen == [[3, 4, 500, 700], [3, 4, 500]]
+
+
 def test_quality_on_odd_rows(odd):
     m = Q.fit([Q.passages("A calm text."), Q.passages("XX!! " * 90)], [1, 0])
     rows = Q.score_quality(odd, m).collect()
