@@ -38,18 +38,77 @@ def test_held_out_is_crc32(spark):
 
 def test_grammar_contexts():
     m = X.ToxicityModel()
-    kinds = lambda t: [k for k, _, _ in m.matches(t)]
-    assert kinds("What an idiot.") == ["plain"] and kinds("He is not an idiot.") == ["negated"]
-    assert kinds("She said he was an idiot.") == ["reported"] and kinds("I will hurt you.") == ["threat"]
-    assert kinds("Not today. An idiot came.") == ["plain"]  # a negation ends with its clause
-    assert kinds("not a b c d idiot") == ["plain"]  # and with its scope
-    assert m.score("You are an idiot.") > m.score("She said he was an idiot.") > m.score("A sunny day.") == 0
+    kinds = lambda t: [set(found[2]) for found in m.matches(t)]
+    assert kinds("What an idiot.") == [{"bare", "insult-unaimed"}] and kinds("You are an idiot.") == [{"predicate"}] and kinds("You idiot!") == [{"address"}]
+    assert kinds("He is not an idiot.") == [{"predicate", "negated"}]
+    assert kinds("She said he was an idiot.") == kinds("You are an idiot, he said.") == [{"predicate", "reported"}]
+    assert kinds("I will hurt you.") == [{"intended"}] and kinds("It hurt a lot.") == [{"casual", "threat-unaimed"}]
+    assert kinds("I will not hurt you.") == [{"intended", "negated"}] and kinds("She said he would hurt you.") == [{"intended", "reported"}]
+    assert kinds("An idiot, you know.") == [{"bare"}]  # a target after the core aims it as well
+    assert kinds("Not today. An idiot came.") == [{"bare", "insult-unaimed"}]  # a negation ends with its clause
+    assert "negated" not in kinds("not a b c d idiot")[0]  # and with its scope
+    assert kinds("You're a moron; du bist ein Trottel; no eres un imbécil.") == [{"predicate"}, {"predicate"}, {"predicate", "negated"}]
+    assert m.score("You are an idiot.") > m.score("What an idiot.") >= 0.7 > m.score("She said he was an idiot.") > m.score("A sunny day.") == 0
+
+
+def test_every_machine_bears_on_the_score():
+    """Each of the composed transducers changes what some clause is worth."""
+    m = X.ToxicityModel()
+    for strong, weak in (("You are an idiot", "One saw an idiot"), ("I will hurt you", "I hurt you"), ("I will hurt you", "I will hurt one"), ("I will hurt you", "I will not hurt you"), ("I will hurt you", "He wrote I will hurt you")):
+        assert m.score(strong) > m.score(weak) + 0.05
+
+
+def _brute_paths(words, model):
+    """Every choice of a core, read by rules instead of machines: the largest weight."""
+    symbols = [(c, w, term) for word in words for cs, w, term in [model.classify(word)] for c in cs]
+    best = 0.0
+    for i, (c, w, _) in enumerate(symbols):
+        if c not in X.CORES:
+            continue
+        before, after = [x for x, _, _ in symbols[:i]], [x for x, _, _ in symbols[i + 1 :]]
+        value = w
+        if c == X.THREAT:
+            value *= model.arcs["intended" if X.INTENT in before[-X.REACH :] else "casual"]
+        else:
+            kind, left = "bare", 0
+            for x in before:
+                kind, left = ("address", X.REACH) if x == X.TARGET else ("predicate", X.REACH) if x == X.COPULA and kind == "address" else (kind, left - 1) if left > 1 else ("bare", 0)
+            value *= model.arcs["bare" if kind == "address" and left < X.REACH else kind]
+        if X.TARGET not in before + after:
+            value *= model.arcs["threat-unaimed" if c == X.THREAT else "insult-unaimed"]
+        value *= model.arcs["negated"] if X.NEGATION in before[-X.SCOPE :] else 1
+        value *= model.arcs["reported"] if X.REPORT in before + after else 1
+        best = max(best, value)
+    return best
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.sampled_from(["you", "are", "not", "idiot", "scum", "said", "will", "hurt", "kill", "a", "the", "isn't", "you'll"]), min_size=1, max_size=9))
+def test_parse_is_the_best_path(words):
+    m = X.ToxicityModel()
+    found = m.parse(words)
+    assert abs((found[0] * found[1] if found else 0.0) - _brute_paths(words, m)) < 1e-9
 
 
-def test_grammar_is_the_product():
-    assert len(X.GRAMMAR) == 4 * 2 * 2 * 6
-    for (state, c), (after, marks) in X.GRAMMAR.items():
-        assert after[0] == (3 if c == X.NEGATION else max(0, state[0] - 1)) and ("insult" in marks) == (c == X.INSULT)
+def test_grammar_beats_its_word_list(spark):
+    """Where context decides the label, the fitted grammar is right and the same lexicon without arcs' weights is not."""
+    rng = random.Random(3)
+    bad, calm = ("idiot", "moron", "clown"), ("table", "garden", "river", "lamp")
+    kinds = [(1, "You are a {b}"), (0, "You are not a {b}"), (0, "He said you are a {b}"), (1, "I will hurt you"), (0, "I will not hurt you"), (0, "They reported someone will hurt them"), (0, "Falling can hurt a lot"), (0, "The {c} is new")]
+    rows = [(i, y, f"The {rng.choice(calm)} {rng.choice(calm)}. {t.format(b=rng.choice(bad), c=rng.choice(calm))} {rng.choice(calm)} n{i}.") for i in range(800) for y, t in [kinds[i % len(kinds)]]]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    m = X.fit_toxicity_model(docs, spark.createDataFrame([(i, y) for i, y, _ in rows[:600]], "doc_id long, toxic int"))
+    flat = X.ToxicityModel(m.insults, m.threats, dict.fromkeys(m.arcs, 1.0))
+    right = lambda model: sum((model.score(t) >= 0.7) == y for _, y, t in rows[600:]) / 200
+    assert right(m) >= 0.97 and right(flat) <= 0.6
+
+
+def test_learned_word_of_intent_is_a_threat(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    docs = [(i, f"{word()} {word()} i will {'zorkle' if i % 4 == 0 else word()} you {word()}.") for i in range(200)]
+    m = X.fit_toxicity_model(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int"))
+    assert "zorkle" in m.threats and m.score("we will zorkle you") >= 0.7 > m.score("we will not zorkle you")
 
 
 def test_toxicity_on_odd_rows(odd):
@@ -60,7 +119,9 @@ def test_toxicity_on_odd_rows(odd):
 
 def test_toxicity_without_labels(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    assert X.fit_toxicity_model(odd, none).lexicon.keys() == set(X.INSULTS)
+    assert X.fit_toxicity_model(odd, none) == X.ToxicityModel()
+    one = spark.createDataFrame([(1, 1), (2, 1), (6, None)], "doc_id long, toxic int")
+    assert X.fit_toxicity_model(odd, one) == X.ToxicityModel()
 
 
 def test_toxicity_learns_stems(spark):
@@ -220,7 +281,7 @@ def test_letters():
     assert L.letters_only("123 ²") == "" and L.letters_only("É1é") == " é é "
 
 
-@pytest.mark.parametrize(("name", "label", "least"), [("op8_language_id", "lang", 0.99), ("op3_quality", "quality", 0.97), ("op1_toxicity", "toxic", 0.9)])
+@pytest.mark.parametrize(("name", "label", "least"), [("op8_language_id", "lang", 0.99), ("op3_quality", "quality", 0.97)])
 def test_held_out_accuracy(spark, name, label, least):
     out = queries()[name](spark, SF)
     if label == "lang":
@@ -230,3 +291,15 @@ def test_held_out_accuracy(spark, name, label, least):
     rows = joined.filter("held_out").select("ok").collect()
     assert out.count() == load(spark, SF, "documents").count()
     assert sum(r.ok for r in rows) / len(rows) >= least
+
+
+def test_toxicity_finds_most_and_little_else(spark):
+    """Recall and precision of label 1 on held-out rows, and terms learned in the languages whose training rows have enough toxic texts."""
+    big = SF.replace("0.01", "0.1")
+    out = queries()["op1_toxicity"](spark, big)
+    assert out.count() == load(spark, big, "documents").count()
+    n = {(r.toxic, r.predicted): r["count"] for r in out.filter("held_out").join(load(spark, big, "labels"), "doc_id").groupBy("toxic", "predicted").count().collect()}
+    assert n[1, 1] / (n[1, 1] + n[1, 0]) >= 0.88 and n[1, 1] / (n[1, 1] + n[0, 1]) >= 0.88
+    m = X.fit_toxicity_model(load(spark, SF, "documents"), load(spark, SF, "labels").filter(~held_out("doc_id")))
+    learned = set(m.insults) - set(X.INSULTS)
+    assert any(t.startswith("achl") for t in learned) and any(t.startswith("bome") for t in learned)
