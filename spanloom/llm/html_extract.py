@@ -2,17 +2,22 @@
 
 Every text node lies under a path of tags from the root.  Per path, the length
 of the text and its punctuation are added up and divided by the number of nodes;
-both ratios are smoothed over the paths in page order, fused by multiplication
-and held against a threshold taken from the page itself.  The nodes of the chosen
-paths show the container of the article; its blocks, without the parts that
-markup declares not to be content, are the text.  Where a part that only its
-names or a form declare so holds most of the page's text, the ratios decide.
+both ratios are smoothed over the paths in page order and fused, by
+multiplication, with the path's length and a prior: what markup declares about
+the elements of the path (a name such as ``sidebar`` makes it unlikely, a
+``footer`` impossible).  The paths that reach a threshold taken from the page
+select the content nodes.
+
+Short parts of an article (headlines, list items, captions) have poor ratios.
+They are content where they stand among content nodes: inside the smallest
+element that holds all of these, as :func:`_grown` says.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,9 +26,12 @@ from .common import append_columns
 
 # Elements by their role in HTML.
 NO_TEXT = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "head", "title", "textarea"}
-NOT_CONTENT = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog"}
+NOT_CONTENT = {"nav", "footer", "aside", "button", "select", "menu", "dialog"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Blocks that hold running text rather than lay out a page.
+PROSE = HEADINGS | {"p", "ul", "ol", "dl", "li", "dt", "dd", "table", "pre", "blockquote", "figure", "figcaption", "caption", "tr", "td", "th", "thead", "tbody", "tfoot", "address", "hgroup"}
 #: Class, id or role words of parts that aren't the article, wherever they stand.
 NEVER = {"ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "breadcrumb", "breadcrumbs", "copyright", "comment", "comments", "disqus", "replies", "share", "sharing", "social", "related", "recommended", "login", "pagination", "pager", "complementary", "contentinfo"}
 #: Words that may also name a wrapper around the article (``with-sidebar``): an article or main element inside is content again.
@@ -35,13 +43,60 @@ CONTENT_TAGS = {"html", "body", "main", "article"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = {"ul", "ol", "dl", "table", "select", "div", "section", "article", "main", "body", "nav", "aside", "header", "footer", "form", "blockquote"}
 
+#: What markup says, as a factor of a path's score, by how surely it isn't content: nothing, often, by a name or a form, in any case.
+PRIOR = (1.0, 0.02, 0.004, 0.0)
+#: A path is content from this share of the page's best score on, and from the mean of the page's scores on.
+THRESHOLD = 0.3
+
+#: Share of the selected text in paragraphs and the like from which on only these select.
+PARAGRAPHS = 0.4
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|noscript|template|svg|iframe|title)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)""", re.S | re.I)
 _ATTR = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
+class Element:
+    """An element of the page: its path, the element around it, and what markup says of it."""
+
+    __slots__ = ("above", "article", "declared", "headline", "level", "link", "own", "path", "prose", "tag", "unseen")
+
+    def __init__(self, tag: str, step: str, level: int, above: Element | None) -> None:
+        self.tag, self.own, self.above = tag, level, above
+        self.path: tuple[str, ...] = (*above.path, f"{step}!{level}" if level else step) if above else ()
+        self.prose = tag in PROSE or (tag in INLINE and above is not None and above.prose)
+        self.headline = tag in ("h1", "h2") or (tag in INLINE and above is not None and above.headline)
+        self.link = tag == "a" or (above is not None and above.link)
+        self.unseen = tag in NO_TEXT or (above is not None and above.unseen)
+        around, declared, article = (above.level, above.declared, above.article) if above else (0, (), False)
+        if tag in ("article", "main") and around == 1:
+            around, declared = 0, ()
+        #: The surest level of the element and those around it; the elements of level 1 and 2 among them; in an article, main or so named element.
+        self.level = max(level, around)
+        self.declared: tuple[Element, ...] = (*declared, self) if level in (1, 2) else declared
+        self.article = article or tag in ("article", "main") or not OWN.isdisjoint(step.split(".")[1:])
+
+
+ROOT = Element("", "", 0, None)
+
+
+@dataclass(slots=True)
+class Node:
+    """A text node: the element it stands in, its block's number, its raw text, how surely markup says that it isn't content."""
+
+    at: Element
+    block: int
+    text: str
+    level: int
+    size: int
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.at.path
+
+
 def _label(tag: str, attrs: str) -> tuple[str, int]:
-    """Path step of an element, and whether markup says that it isn't content: 0 no, 1 often, 2 by a name or a form, 3 in any case."""
+    """Path step of an element, and how surely markup says that it isn't content: 0 not, 1 often, 2 by a name or a form, 3 in any case."""
     level = 2 if tag == "form" else 3 if tag in NOT_CONTENT or tag in NO_TEXT else 0
     if not attrs or (tag in CONTENT_TAGS and tag != "article"):
         return tag, level
@@ -62,78 +117,72 @@ def _label(tag: str, attrs: str) -> tuple[str, int]:
     return (f"{tag}.{'.'.join(words)}" if words else tag), level
 
 
-def nodes(page: str, under: list | None = None) -> list[tuple[tuple[str, ...], int, str, int]]:
-    """Text nodes in page order: (path, block number, raw text, how surely markup says that they aren't content).
-
-    ``under`` receives for each node the elements (number, level) of level 1 or
-    2 that it stands in, and whether it is in an article, main or so named element.
-    """
-    out, stack, block, count = [], [], 0, 0  # stack: (tag, step, level, elements of level 1 or 2, article)
-    under = [] if under is None else under
+def nodes(page: str) -> list[Node]:
+    """Text nodes in page order.  Broken markup is read as far as it goes."""
+    out: list[Node] = []
+    stack: list[Element] = [ROOT]
+    block = 0
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
-        if tag is not None:
-            tag = tag.lower()
-            if tag not in INLINE and tag != "br":
-                block += 1
-            if tag == "br":
-                out.append((tuple(x[1] for x in stack), block, " ", stack[-1][2] if stack else 0))
-                under.append(stack[-1][3:] if stack else ((), False))
-            elif m["end"]:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None and (tag not in INLINE or not any(x[0] in BARRIER for x in stack[at + 1 :])):
-                    del stack[at:]
-            elif tag not in VOID and not m["attrs"].endswith("/"):
-                group = CLOSES.get(tag) or ({"p"} if tag not in INLINE else None)
-                if group:  # an open paragraph or item ends here
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] in group:
-                            del stack[i:]
-                            break
-                        if stack[i][0] in BARRIER:
-                            break
-                step, level = _label(tag, m["attrs"])
-                inside = any(x[0] in ("article", "main") for x in stack)
-                if tag == "header" and not inside:  # the page's own; an article's header holds its headline
-                    level = max(level, 1)
-                above, declared, own = stack[-1][2:] if stack else (0, (), False)
-                if tag in ("article", "main") and above == 1:
-                    above, declared = 0, ()
-                if level in (1, 2):
-                    count += 1
-                    declared = (*declared, (count, level))
-                own = own or tag in ("article", "main") or not OWN.isdisjoint(step.split(".")[1:])
-                stack.append((tag, step, max(level, above), declared, own))
-        elif m["text"] is not None:
-            out.append((tuple(x[1] for x in stack), block, m["text"], stack[-1][2] if stack else 0))
-            under.append(stack[-1][3:] if stack else ((), False))
+        if tag is None:
+            if m["text"] is not None:
+                at = stack[-1]
+                out.append(Node(at, block, m["text"], at.level, len(m["text"].strip())))
+            continue
+        tag = tag.lower()
+        if tag == "br":
+            out.append(Node(stack[-1], block, " ", stack[-1].level, 0))
+            continue
+        if tag not in INLINE:
+            block += 1
+        if m["end"]:
+            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
+            if at is not None and (tag not in INLINE or not any(x.tag in BARRIER for x in stack[at + 1 :])):
+                del stack[at:]
+        elif tag not in VOID and not m["attrs"].endswith("/"):
+            group = CLOSES.get(tag) or ({"p"} if tag not in INLINE else None)
+            if group:  # an open paragraph or item ends here
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag in group:
+                        del stack[i:]
+                        break
+                    if stack[i].tag in BARRIER:
+                        break
+            step, level = _label(tag, m["attrs"])
+            if tag == "header" and not any(x.tag in ("article", "main") for x in stack):  # the page's own; an article's header holds its headline
+                level = max(level, 1)
+            stack.append(Element(tag, step, level, stack[-1]))
     return out
 
 
-def _blocks(found: list[tuple[tuple[str, ...], int, str, int]]) -> str:
+def _blocks(found: list[Node]) -> str:
     """Nodes as text: characters decoded, white space single, one block a line."""
     lines, current, parts = [], None, []
-    for _, block, text, _ in [*found, ((), -1, "", 0)]:
-        if block != current:
+    for node in [*found, None]:
+        if node is None or node.block != current:
             line = " ".join(html.unescape("".join(parts)).split())
             if line:
                 lines.append(line)
-            current, parts = block, []
-        parts.append(text)
+            if node is None:
+                break
+            current, parts = node.block, []
+        parts.append(node.text)
     return "\n".join(lines)
 
 
-def path_scores(found: list[tuple[tuple[str, ...], int, str, int]], width: float = 1.0) -> dict[tuple[str, ...], float]:
+def path_scores(found: list[Node], width: float = 1.0) -> dict[tuple[str, ...], float]:
     """Smoothed, fused ratio of each path; paths in the order of their first node."""
     length: dict[tuple, float] = {}
     marks: dict[tuple, float] = {}
     count: dict[tuple, int] = {}
-    for path, _, text, _ in found:
-        n = len(text.strip())
-        if n:
-            length[path] = length.get(path, 0) + n
-            marks[path] = marks.get(path, 0) + len(_PUNCTUATION.findall(text))
+    prior: dict[tuple, float] = {}
+    for node in found:
+        if node.size:
+            path = node.path
+            length[path] = length.get(path, 0) + node.size
+            marks[path] = marks.get(path, 0) + len(_PUNCTUATION.findall(node.text))
             count[path] = count.get(path, 0) + 1
+            prior[path] = max(prior.get(path, 0.0), PRIOR[node.level])
     paths = list(length)
     if not paths:
         return {}
@@ -141,88 +190,182 @@ def path_scores(found: list[tuple[tuple[str, ...], int, str, int]], width: float
     kernel /= kernel.sum()
 
     def smooth(x: list[float]) -> np.ndarray:
-        y = np.pad(np.array(x, dtype=float), 2, mode="edge")
-        near = np.convolve(y, kernel, mode="valid")
-        return 0.7 * np.array(x) + 0.3 * near  # few paths a page: neighbours count less than the path itself
+        near = np.convolve(np.pad(np.array(x, dtype=float), 2, mode="edge"), kernel, mode="valid")
+        return 0.85 * np.array(x) + 0.15 * near  # few paths a page: neighbours count less than the path itself
 
     text_ratio = smooth([length[p] / count[p] for p in paths])
     mark_ratio = smooth([marks[p] / count[p] for p in paths])
     mass = np.log1p([length[p] for p in paths])
-    return dict(zip(paths, np.log1p(text_ratio) * np.log1p(mark_ratio) * mass, strict=True))
+    fused = np.log1p(text_ratio) * np.log(1.2 + mark_ratio) * mass * np.array([prior[p] for p in paths])
+    return dict(zip(paths, map(float, fused), strict=True))
+
+
+def _chosen(scores: dict[tuple[str, ...], float]) -> set[tuple[str, ...]]:
+    """Paths that reach the page's threshold."""
+    best = max(scores.values(), default=0.0)
+    least = max(THRESHOLD * best, sum(scores.values()) / max(1, len(scores)))
+    return {p for p, v in scores.items() if v and v >= least - 1e-12}
 
 
 def main_text(page: str) -> str:
     """The article of a page, one block a line; empty if there is none."""
-    under: list = []
-    every = nodes(page, under)
-    freed = _holding_most(every, under)
+    found = nodes(page)
+    freed = _holding_most(found)
     if freed:
-        every = [(p, b, t, 3 if level == 3 else max((x for e, x in declared if e not in freed), default=0)) for (p, b, t, level), (declared, _) in zip(every, under, strict=True)]
-    for most in range(3):  # more where all of it stands in a part that only often isn't content, or is named so
-        text = _article([n for n in every if n[3] <= most])
-        if text:
-            break
-    return text
-
-
-def _holding_most(every: list[tuple[tuple[str, ...], int, str, int]], under: list) -> set[int]:
-    """Elements of level 1 or 2 that hold most of the text, of all and of the chosen paths, where no article outside of them has a tenth of the latter."""
-    can = [(n, *u, len(n[2].strip())) for n, u in zip(every, under, strict=True) if n[3] < 3]
-    held: dict[int, int] = {}
-    for _, declared, _, size in can:
-        for e, _ in declared:
-            held[e] = held.get(e, 0) + size
-    half = sum(x[3] for x in can) / 2
-    found = {e for e, size in held.items() if size > half}
-    if not found:
-        return found
-    chosen = _chosen(path_scores([x[0] for x in can]))
-    can = [x for x in can if x[0][0] in chosen]
-    total = sum(x[3] for x in can)
-    if sum(size for n, _, own, size in can if own and not n[3]) >= 0.1 * total:
+        for node in found:
+            if node.level < 3:
+                node.level = max((e.own for e in node.at.declared if e not in freed), default=0)
+    chosen = _chosen(path_scores(found))
+    selected = [n.path in chosen for n in found]
+    # where much of the selected text is in paragraphs, text that stands bare in a layout element selects nothing
+    if sum(n.size for n, x in zip(found, selected, strict=True) if x and n.at.prose) >= PARAGRAPHS * sum(n.size for n, x in zip(found, selected, strict=True) if x):
+        selected = [x and n.at.prose for n, x in zip(found, selected, strict=True)]
+    return _blocks(_grown(found, selected))
+
+
+def _holding_most(found: list[Node]) -> set[Element]:
+    """Elements of level 1 or 2 that hold most of the text, of all and of the chosen paths.
+
+    None where an article outside of them has a tenth of the latter, or where the
+    headline (h1 or h2) stands outside and none inside.
+    """
+    can = [n for n in found if n.level < 3]
+    held: dict[Element, int] = {}
+    for n in can:
+        for e in n.at.declared:
+            held[e] = held.get(e, 0) + n.size
+    half = sum(n.size for n in can) / 2
+    big = {e for e, size in held.items() if size > half}
+    if not big:
+        return big
+    free = [Node(n.at, n.block, n.text, 0, n.size) for n in can]
+    chosen = _chosen(path_scores(free))
+    can = [n for n in can if n.path in chosen]
+    total = sum(n.size for n in can)
+    if sum(n.size for n in can if n.at.article and not n.level) >= 0.1 * total:
         return set()
-    return {e for e in found if 2 * sum(size for _, declared, _, size in can if e in dict(declared)) > total}
-
-
-def _chosen(scores: dict[tuple[str, ...], float]) -> set[tuple[str, ...]]:
-    """Paths that reach the page's threshold."""
-    values = np.array(list(scores.values()))
-    threshold = values.mean() if len(values) > 1 else 0.0
-    return {p for p, v in scores.items() if v >= threshold}
-
-
-def _article(found: list[tuple[tuple[str, ...], int, str, int]]) -> str:
-    scores = path_scores(found)
-    if not scores:
-        return ""
-    chosen = _chosen(scores)
-    inline = lambda p: tuple(p[: next((i for i in range(len(p) - 1, -1, -1) if p[i].split(".")[0] not in INLINE), 0) + 1])
-    weight: dict[tuple, float] = {}
-    for path, _, text, _ in found:
-        if path in chosen:
-            parent = inline(path)[:-1]  # the block's container
-            for k in range(1, len(parent) + 1):
-                weight[parent[:k]] = weight.get(parent[:k], 0) + len(text)
-    if not weight:
-        return _blocks([n for n in found if n[0] in chosen])
-    total = max(weight.values())
-    # the article element where there is one, else the deepest container that holds nearly all of the chosen text
-    marked = [p for p in weight if p[-1].split(".")[0] in ("article", "main") and weight[p] >= 0.5 * total]
-    container = min(marked, key=len) if marked else max((p for p in weight if weight[p] >= 0.9 * total), key=len)
-    return _blocks([n for n in found if n[0][: len(container)] == container])
+    headed = [n.at.declared for n in found if n.size and n.level < 3 and n.at.headline]
+    outside = any(not d for d in headed)
+    return {e for e in big if 2 * sum(n.size for n in can if e in n.at.declared) > total and (not outside or any(e in d for d in headed))}
+
+
+class _Part:
+    """A node of the page's tree: an element with its parts, or a run of text."""
+
+    __slots__ = ("above", "chosen", "element", "linked", "nodes", "open", "parts", "size")
+
+    def __init__(self, element: Element | None, above: _Part | None) -> None:
+        self.element, self.above = element, above
+        self.parts: list[_Part] = []
+        self.nodes: list[int] = []  # places of the text nodes that are direct children
+        self.size = self.chosen = self.linked = self.open = 0  # characters: in all, of chosen nodes, in links, not declared to be something else
+
+    @property
+    def tag(self) -> str:
+        return self.element.tag if self.element else ""
+
+    def leaf(self) -> bool:
+        """A block without blocks inside, or a run of text."""
+        return self.element is None or all(p.element is None or (p.tag in INLINE and p.leaf()) for p in self.parts)
+
+    def prose(self) -> bool:
+        return self.element is None or self.tag in INLINE or self.tag in PROSE
+
+
+def _tree(found: list[Node], chosen: list[bool]) -> _Part:
+    """The page's elements that hold text, with their sums."""
+    root = _Part(ROOT, None)
+    made = {id(ROOT): root}
+
+    def part(e: Element) -> _Part:
+        if id(e) not in made:
+            above = part(e.above)
+            made[id(e)] = _Part(e, above)
+            above.parts.append(made[id(e)])
+        return made[id(e)]
+
+    for i, node in enumerate(found):
+        at = part(node.at)
+        if not at.parts or at.parts[-1].element is not None:
+            at.parts.append(_Part(None, at))
+        run = at.parts[-1]
+        run.nodes.append(i)
+        while run is not None:
+            run.size += node.size
+            run.chosen += node.size if chosen[i] else 0
+            run.linked += node.size if node.at.link else 0
+            run.open += node.size if node.level == 0 else 0
+            run = run.above
+    return root
+
+
+def _grown(found: list[Node], chosen: list[bool]) -> list[Node]:
+    """The chosen nodes and the short parts of the article around them, in page order.
+
+    Start from the smallest element that holds every chosen node, and go up while
+    a headline stands beside it.  From there down, an element that holds chosen
+    nodes keeps its other parts
+
+    * all of them where it is an article or most of its chosen text is in blocks
+      of its own: the paragraphs' siblings;
+    * elsewhere, where elements only lay out the page, those between two parts
+      with chosen nodes, and headings, paragraphs, lists and tables;
+
+    but never what markup declares not to be content, and outside of articles no
+    parts of which most text is links.
+    """
+    root = _tree(found, chosen)
+    if not root.chosen:
+        return []
+    top = root
+    while (inner := next((p for p in top.parts if p.element is not None and p.chosen == root.chosen), None)) is not None and not inner.leaf():
+        top = inner
+    while top.above is not None and top.tag not in ("article", "main", "body", "html", ""):
+        above = top.above
+        before = above.parts[: above.parts.index(top)]
+        if not any(p.prose() and p.tag not in ("ul", "ol", "") and p.open and 2 * p.linked < p.size for p in before):
+            break
+        top = above
+    keep: set[int] = set()
+
+    def every(part: _Part) -> None:
+        todo = [part]
+        while todo:
+            p = todo.pop()
+            keep.update(i for i in p.nodes if found[i].level == 0)
+            todo += p.parts
+
+    todo = [(top, top.element.article)]
+    while todo:
+        part, article = todo.pop()
+        with_chosen = [i for i, p in enumerate(part.parts) if p.chosen]
+        own = sum(p.chosen for p in part.parts if p.leaf() or p.tag in PROSE)
+        siblings = article or (2 * own >= part.chosen and part.tag not in ("body", "html", ""))
+        for i, p in enumerate(part.parts):
+            if p.chosen:
+                keep.update(k for k in p.nodes if chosen[k] or found[k].level == 0)
+                todo.append((p, article or (p.element is not None and p.element.article)))
+            elif not p.open:
+                continue
+            elif siblings or ((with_chosen[0] < i < with_chosen[-1] or p.prose()) and 2 * p.linked < p.size):
+                every(p)
+    # a block is content as a whole: its inline parts may lie under paths of their own
+    blocks = {found[i].block for i in keep}
+    return [n for i, n in enumerate(found) if i in keep or (n.block in blocks and n.level == 0)]
 
 
 def visible_text(page: str) -> str:
     """All text that a reader sees, boilerplate included."""
-    return _blocks([n for n in nodes(page) if not any(s.split(".")[0] in NO_TEXT for s in n[0])])
+    return _blocks([n for n in nodes(page) if not n.at.unseen])
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` plus ``text`` and ``n_chars`` (its code points).
 
-    The whole html is read.  Null or empty html, and pages without text, give an
-    empty text.  Broken markup (open elements, cut tags) is read as far as it goes.
-    Input columns keep their values; ones named like an output are replaced.
+    The whole html is read, each row for itself.  Null or empty html, and pages
+    without text, give an empty text.  Broken markup (open elements, cut tags) is
+    read as far as it goes.  Input columns keep their values; ones named like an
+    output are replaced.
     """
 
     def make():

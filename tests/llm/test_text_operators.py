@@ -193,15 +193,58 @@ def test_extraction_on_odd_rows(spark):
     assert out[1].text == "" and out[2].n_chars == 0 and out[None].text == "x, y." and out[4].text.count("\n") == 19_999
 
 
-def test_op2_against_the_articles(spark):
+LONG = "A long sentence, with marks; and more of it, as prose has."
+
+
+@pytest.mark.parametrize(
+    ("body", "expected"),
+    [
+        (f'<div class=post><h1>Head</h1><p class=lead>Lead, short.</p><div class=entry><p>{LONG}</p><p>{LONG}</p></div><div class=more><p>{LONG}</p></div></div><div>Buy, now.</div>', ["Head", "Lead, short.", LONG, LONG, LONG]),
+        (f"<div><a href=x>Home</a></div><h1>Head</h1><div><p>{LONG}</p><p>{LONG}</p></div><div>Foot, er.</div>", ["Head", LONG, LONG]),
+        (f"<h1>Head</h1><p>{LONG}</p><ul><li>one<li>two</ul><p>{LONG}</p><footer>x, y.</footer>", ["Head", LONG, "one", "two", LONG]),
+        (f"<section><h2>A</h2><p>{LONG}</p></section><section><h2>B</h2><p>Short, one.</p></section><section><h2>C</h2><p>{LONG}</p></section>", ["A", LONG, "B", "Short, one.", "C", LONG]),
+        (f"<div><div>{LONG}</div><div>Short.</div><div>{LONG}</div></div><div><a href=1>one</a> <a href=2>two</a></div>", [LONG, "Short.", LONG]),
+        (f"<div><p>{LONG}</p><pre>code x</pre><blockquote><p>Quote, q.</p></blockquote><p>{LONG}</p></div>", [LONG, "code x", "Quote, q.", LONG]),
+        (f"<article><p>{LONG}</p><p hidden>{LONG}</p></article>", [LONG]),
+        ("<nav>menu</nav><article><h1>Title</h1><p>only words here</p></article><div class=ad>buy</div>", ["Title", "only words here"]),
+        (f'<div class=content><h1>T</h1><p>Short, text.</p></div><div class=sidebar><p>{LONG}</p></div>', ["T", "Short, text."]),
+        (f"<table><tr><td><a href=1>menu</a></td><td><p>{LONG}</p><p>{LONG}</p></td></tr></table>", [LONG, LONG]),
+    ],
+)
+def test_layouts(body, expected):
+    assert H.main_text(f"<body>{body}</body>").split("\n") == expected
+
+
+def _article_of(page):
     import html
     import re
 
+    body = re.search(r"<article>(.*)</article>", page, re.S)[1].replace("<br>", " ")
+    return "\n".join(filter(None, (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body))))
+
+
+def _neutral(page):
+    """The page with every name and every telling tag taken away."""
+    import re
+
+    return re.sub(r"<(/?)(nav|aside|header|footer|form|article)\b", r"<\1div", re.sub(r'\s(class|id|role)="[^"]*"', "", page))
+
+
+def test_ratios_find_the_article_without_names(spark, monkeypatch):
+    pages = [r.html for r in load(spark, SF, "pages").collect()]
+    expected = [_article_of(p) for p in pages]
+    right = lambda: sum(H.main_text(_neutral(p)) == e for p, e in zip(pages, expected, strict=True)) / len(pages)
+    assert right() >= 0.98
+    real = H.path_scores
+    monkeypatch.setattr(H, "path_scores", lambda found: dict.fromkeys(real(found), 1.0))
+    assert right() == 0  # the ratios do it
+    assert not any(H.main_text(p) == e for p, e in zip(pages, expected, strict=True))
+
+
+def test_op2_against_the_articles(spark):
     pages = {r.page_id: r.html for r in load(spark, SF, "pages").collect()}
     for r in queries()["op2_html_extraction"](spark, SF).collect():
-        body = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1].replace("<br>", " ")
-        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
-        assert r.text == "\n".join(filter(None, blocks)) and r.n_chars == len(r.text)
+        assert r.text == _article_of(pages[r.page_id]) and r.n_chars == len(r.text)
 
 
 # ----------------------------------------------------------------- quality
