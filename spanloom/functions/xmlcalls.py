@@ -9,11 +9,96 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import NamedTuple
 from xml.etree import ElementTree
 
 from .text import CALL_TAGS
 
+# ------------------------------------------------------------------- tags
+
+# A tag's name begins with a letter or an ideograph and goes on with word characters, ideographs, colons or hyphens.
+_NAME = re.compile("[A-Za-z\u4e00-\u9fff][\\w\u4e00-\u9fff:-]*")
+#: HTML elements that need no closer.
+_VOID = {"br", "img", "hr", "input", "meta", "link"}
+_ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+class Tag(NamedTuple):
+    """A tag of a text: ``/name`` for a closer; whether it ends by ``/>`` right after its name, and at all."""
+
+    name: str
+    at: int
+    closer: bool
+    empty: bool
+    slashed: bool
+
+
+def tags(text: str) -> Iterator[Tag]:
+    """The tags of a text in order; a ``<`` that begins no tag is text."""
+    at = text.find("<")
+    while at >= 0:
+        closer = text.startswith("/", at + 1)
+        name = _NAME.match(text, at + 1 + closer)
+        end = -1
+        if name:
+            after = text[name.end() : name.end() + 2]
+            if after[:1] == ">":
+                end = name.end()
+            elif after == "/>":
+                end = name.end() + 1
+            elif after[:1].isspace():
+                end = text.find(">", name.end())
+        if end >= 0:
+            yield Tag(name[0], at, closer, end == name.end() + 1 and text[end - 1] == "/", text[end - 1] == "/")
+        at = text.find("<", at + 1 if end < 0 else end)
+
+
+class Span(NamedTuple):
+    """A block ``<tag>...</tag>``: where it begins and ends, and what it holds."""
+
+    start: int
+    end: int
+    body: str
+
+
+def spans(text: str, tag: str, any_case: bool = False) -> list[Span]:
+    """The blocks of a tag, each up to its first closer, from left to right."""
+    seen, opener, closer = text.translate(_ASCII_LOWER) if any_case else text, f"<{tag}>", f"</{tag}>"
+    out, at = [], 0
+    while (start := seen.find(opener, at)) >= 0 and (stop := seen.find(closer, start + len(opener))) >= 0:
+        at = stop + len(closer)
+        out.append(Span(start, at, text[start + len(opener) : stop]))
+    return out
+
+
+def first(text: str, tag: str, any_case: bool = False) -> str | None:
+    """What the first block of a tag holds; None without one."""
+    return next((s.body for s in spans(text, tag, any_case)), None)
+
+
+def plain(text: str, tag: str, any_case: bool = False) -> str | None:
+    """What the first block of a tag without markup inside holds; None without one."""
+    for s in spans(text, tag, any_case):
+        folded = s.body.translate(_ASCII_LOWER) if any_case else s.body
+        body = s.body[folded.rfind(f"<{tag}>") + len(tag) + 2 :] if f"<{tag}>" in folded else s.body
+        if body and "<" not in body:
+            return body
+    return None
+
+
+def replaced(text: str, found: list[Span], by: Callable[[Span], str | None]) -> str:
+    """The text with each span's replacement; None leaves it."""
+    out, at = [], 0
+    for s in found:
+        new = by(s)
+        if new is not None:
+            out += [text[at : s.start], new]
+            at = s.end
+    return "".join([*out, text[at:]])
+
+
 # ---------------------------------------------------------------- recovery
 
 
@@ -24,37 +109,36 @@ def _tree(body: str) -> ElementTree.Element | None:
         return None
 
 
-def _close_lines(body: str) -> str:
-    """Blank lines dropped, and a line that is one opener and text gets its closer."""
-    out = []
-    for line in filter(None, map(str.strip, body.strip().split("\n"))):
-        balanced = re.search(r"<(\w+)(?:\s+[^>]*)?>[^<]*?(?:</\1>|$)", line)
-        lone = None if balanced else re.match(r"<(\w+)(?:\s+[^>]*)?>\s*([^<]*)\s*$", line)
-        out.append(f"<{lone[1]}>{lone[2]}</{lone[1]}>" if lone else line)
-    return "\n".join(out)
-
-
-def _escape_values(body: str) -> str:
-    """Values inside the first parameter block that hold markup, escaped."""
-    m = re.search(r"<parameter>(.*?)</parameter>", body, re.S)
-    if not m:
+def _values_as_text(body: str) -> str:
+    """The first parameter block with each value that holds markup escaped."""
+    block = first(body, "parameter")
+    if block is None:
         return body
-    escaped = re.sub(r"<(\w+)>(.*?)</\1>", lambda v: f"<{v[1]}>{html.escape(v[2])}</{v[1]}>" if "<" in v[2] and ">" in v[2] else v[0], m[1], flags=re.S)
-    return body.replace(m[1], escaped)
-
-
-def _escape_ampersands(body: str) -> str:
+    out, at = [], 0
+    for tag in tags(block):
+        if tag.at < at or tag.closer or not {":", "-"}.isdisjoint(tag.name) or block[tag.at :].partition(">")[0] != f"<{tag.name}":
+            continue  # inside of a value, or no plain opener
+        start = tag.at + len(tag.name) + 2
+        stop = block.find(f"</{tag.name}>", start)
+        if stop >= 0:
+            value = block[start:stop]
+            out += [block[at:start], html.escape(value) if {"<", ">"} <= set(value) else value]
+            at = stop
+    return body.replace(block, "".join([*out, block[at:]]))
+
+
+def _bare_ampersands(body: str) -> str:
     return body.replace("&", "&amp;")
 
 
-def _rebuild(body: str) -> str:
-    """Only the name and the parameter block, found by pattern."""
-    name = re.search(r"<tool_name>\s*([^<]+)\s*</tool_name>", body, re.S | re.I)
-    block = re.search(r"<parameter>(.*?)</parameter>", body, re.S | re.I)
-    return f"<tool_name>{name[1].strip() if name else 'unknown'}</tool_name>" + (f"<parameter>{block[1].strip()}</parameter>" if block else "")
+def _name_and_block(body: str) -> str:
+    """Nothing but the name and the parameter block, whatever stands around them."""
+    name, block = plain(body, "tool_name", any_case=True), first(body, "parameter", any_case=True)
+    return f"<tool_name>{'unknown' if name is None else name.strip()}</tool_name>" + ("" if block is None else f"<parameter>{block.strip()}</parameter>")
 
 
-RECOVERY: list[Callable[[str], str]] = [lambda b: b, _close_lines, _escape_values, _escape_ampersands, _rebuild]
+#: In this order.  Trimming lines isn't among them: white space never makes a body well-formed.
+RECOVERY: list[Callable[[str], str]] = [str, _values_as_text, _bare_ampersands, _name_and_block]
 
 
 def robust_tree(body: str) -> ElementTree.Element | None:
@@ -73,43 +157,55 @@ def restore_closing(text: str) -> str:
     return text
 
 
+# Parameters by pattern, and a sub-agent call, which holds its two parts and nothing else.
+_ANY_PARAM = re.compile(r"<([^>]+)>(.*?)</\1>", re.S)
+_SUB_AGENT = re.compile(r"<sub-agent>(\s*<agent_name>[^<]+</agent_name>\s*<message>.*?</message>\s*)</sub-agent>", re.S)
+
+
 def pattern_params(body: str) -> dict[str, str]:
     if "<" in body and ">" in body:
-        return {k.strip(): v.strip() for k, v in re.findall(r"<([^>]+)>(.*?)</\1>", body, re.S)}
+        return {k.strip(): v.strip() for k, v in _ANY_PARAM.findall(body)}
     return {"content": body.strip()} if body.strip() else {}
 
 
 def _call(name: str, arguments: dict) -> tuple[str, str]:
-    return name, json.dumps(arguments, ensure_ascii=False)
+    return name.strip(), json.dumps(arguments, ensure_ascii=False)
 
 
 def _tool(body: str) -> tuple[str, str] | None:
-    body = body.strip()
-    root = robust_tree(body)
-    if root is None:  # by pattern alone
-        name = re.search(r"<tool_name>(.*?)</tool_name>", body, re.S)
-        block = re.search(r"<parameter>(.*?)</parameter>", body, re.S)
-        return _call(name[1].strip(), pattern_params(block[1]) if block else {}) if name else None
-    name = root.find("tool_name")
+    root = robust_tree(body.strip())
+    if root is None:  # by position alone
+        name, block = first(body, "tool_name"), first(body, "parameter")
+        return None if name is None else _call(name, {} if block is None else pattern_params(block))
+    name, block = root.find("tool_name"), root.find("parameter")
     if name is None:
         return None
-    block = root.find("parameter")
-    values = {p.tag: html.unescape(p.text if p.text is not None else "".join(p.itertext())).strip() for p in (block if block is not None else [])}
-    return _call((name.text or "").strip(), values)
+    values = {p.tag: html.unescape(p.text if p.text is not None else "".join(p.itertext())).strip() for p in (() if block is None else block)}
+    return _call(name.text or "", values)
 
 
 def _agent(body: str) -> tuple[str, str] | None:
-    name = re.search(r"<agent_name>([^<]+)</agent_name>", body, re.S)
-    message = re.search(r"<message>(.*?)</message>", body, re.S)
-    return _call(f"{name[1].strip()}_sub_agent", {"message": message[1].strip()}) if name and message else None
+    name, message = plain(body, "agent_name"), first(body, "message")
+    return None if name is None or message is None else _call(f"{name.strip()}_sub_agent", {"message": message.strip()})
 
 
 def _batch(body: str) -> tuple[str, str] | None:
-    name = re.search(r"<agent_name>(.*?)</agent_name>", body, re.S)
-    if not name:
+    name = first(body, "agent_name")
+    if name is None:
         return None
-    part = lambda tag, default: (m[1].strip() if (m := re.search(rf"<{tag}>(.*?)</{tag}>", body, re.S)) else default)
-    return _call(f"{name[1].strip()}_sub_agent", {"batch_mode": True, "input_file": part("file_name", ""), "format": part("format", "jsonl"), "message_template": part("message", "")})
+    part = lambda tag, default: default if (found := first(body, tag)) is None else found.strip()
+    return _call(f"{name.strip()}_sub_agent", {"batch_mode": True, "input_file": part("file_name", ""), "format": part("format", "jsonl"), "message_template": part("message", "")})
+
+
+Parser = Callable[[str], tuple[str, str] | None]
+#: Categories in the order in which they are taken: the block's tag, and the parser of its body or of the blocks inside.
+_CATEGORIES: list[tuple[str, Parser | list[tuple[str, Parser]]]] = [
+    ("tool_use", _tool),
+    ("sub-agent", _agent),
+    ("use_parallel_tool_calls", [("parallel_tool", _tool)]),
+    ("use_parallel_sub_agents", [("parallel_agent", _agent), ("parallel_tool", _tool)]),
+    ("use_batch_agent", _batch),
+]
 
 
 def extract_calls(text: str | None) -> tuple[str, list[tuple[str, str]]]:
@@ -118,81 +214,71 @@ def extract_calls(text: str | None) -> tuple[str, list[tuple[str, str]]]:
     Null is an empty text without calls.
     """
     text, calls = restore_closing(text or ""), []
+    for tag, how in _CATEGORIES:
 
-    def take(pattern: str, parse: Callable[[str], list | None], body: int = 1) -> None:
-        nonlocal text
-
-        def one(m: re.Match) -> str:
-            found = parse(m[body])
-            if found is None:
-                return m[0]
-            calls.extend(found)
+        def take(block: Span, how=how) -> str | None:
+            inner = [how(block.body)] if callable(how) else [parse(s.body) for t, parse in how for s in spans(block.body, t)]
+            if callable(how) and inner == [None]:
+                return None  # no call: the block stays
+            calls.extend(c for c in inner if c is not None)
             return ""
 
-        text = re.sub(pattern, one, text, flags=re.S)
-
-    each = lambda body, tag, parse: [c for c in map(parse, re.findall(rf"<{tag}>(.*?)</{tag}>", body, re.S)) if c]
-    one = lambda parse: lambda body: None if (c := parse(body)) is None else [c]
-    take(r"<tool_use>(.*?)</tool_use>", one(_tool))
-    take(r"<sub-agent>(\s*<agent_name>[^<]+</agent_name>\s*<message>.*?</message>\s*)</sub-agent>", one(_agent))
-    take(r"<use_parallel_tool_calls>(.*?)</use_parallel_tool_calls>", lambda b: each(b, "parallel_tool", _tool))
-    take(r"<use_parallel_sub_agents>(.*?)</use_parallel_sub_agents>", lambda b: each(b, "parallel_agent", _agent) + each(b, "parallel_tool", _tool))
-    take(r"<use_batch_agent>(.*?)</use_batch_agent>", one(_batch))
+        found = [Span(m.start(), m.end(), m[1]) for m in _SUB_AGENT.finditer(text)] if tag == "sub-agent" else spans(text, tag)
+        text = replaced(text, found, take)
     return text.strip(), calls
 
 
 # -------------------------------------------------------------- validation
 
-_TAG = re.compile(r"<(/?)([a-zA-Z一-鿿][\w一-鿿:-]*)(?:\s+[^>]*)?\s*(/?)>")
-#: HTML elements that need no closer.
-_VOID = {"br", "img", "hr", "input", "meta", "link"}
+
+def _without_comments(text: str) -> str:
+    out, at = [], 0
+    while (start := text.find("<!--", at)) >= 0 and (stop := text.find("-->", start + 4)) >= 0:
+        out.append(text[at:start])
+        at = stop + 3
+    return "".join([*out, text[at:]])
 
 
 def tag_errors(text: str, strict: bool = True) -> list[str]:
     """One error for each tag without its partner.  Without ``strict``, a slash after attributes or a space closes a tag too."""
-    text = re.sub(r"<!--.*?-->", "", text, flags=re.S)
-    stack, errors = [], []
-    for m in _TAG.finditer(text):
-        closing, name = bool(m[1]), m[2]
-        if m[3] or (not strict and m[0].endswith("/>")) or (not closing and name.lower() in _VOID):
-            continue
-        if not closing:
-            stack.append((name, m.start()))
-        elif not stack:
-            errors.append(f"</{name}> at {m.start()} closes nothing")
-        else:
-            top, at = stack.pop()
-            if top != name:
-                errors.append(f"<{top}> at {at} meets </{name}> at {m.start()}")
-    return errors + [f"<{name}> at {at} is not closed" for name, at in stack]
-
-
-def _has(body: str, tag: str) -> re.Match | None:
-    return re.search(rf"<{tag}>(.*?)</{tag}>", body, re.S)
+    errors: list[str] = []
+    waiting: list[Tag] = []
+    for tag in tags(_without_comments(text)):
+        alone = tag.empty or (tag.slashed and not strict) or (tag.name.lower() in _VOID and not tag.closer)
+        if not alone and not tag.closer:
+            waiting.append(tag)
+        elif not alone:
+            partner = waiting.pop() if waiting else None  # a wrong partner is used up too
+            if partner is None:
+                errors.append(f"</{tag.name}> at {tag.at} closes nothing")
+            elif partner.name != tag.name:
+                errors.append(f"<{partner.name}> at {partner.at} meets </{tag.name}> at {tag.at}")
+    errors.extend(f"<{tag.name}> at {tag.at} is not closed" for tag in waiting)
+    return errors
 
 
 def _blocks(text: str, tag: str, errors: list[str]) -> list[tuple[str, str]]:
     """(description, body) of the closed blocks; an opener without any closed block is an error."""
-    found = [(f"{tag} #{i}", m[1]) for i, m in enumerate(re.finditer(rf"<{tag}>(.*?)</{tag}>", text, re.S), 1)]
+    found = [(f"{tag} #{i}", s.body) for i, s in enumerate(spans(text, tag), 1)]
     if not found and f"<{tag}>" in text:
         errors.append(f"{tag} is not closed")
     return found
 
 
 def _check_tool(what: str, body: str, mode: str, strict: bool, errors: list[str]) -> None:
-    name, block = _has(body, "tool_name"), _has(body, "parameter")
-    if not name or not block:
-        errors += [f"{what} lacks {t}" for t, m in (("tool_name", name), ("parameter", block)) if not m][:1]
+    name, block = first(body, "tool_name"), first(body, "parameter")
+    if name is None or block is None:
+        errors.append(f"{what} lacks {'tool_name' if name is None else 'parameter'}")
         return
-    errors += [f"{what}: {e}" for e in tag_errors(block[1], strict)]
-    if mode == "tools" and name[1].strip().startswith("agent:") and not _has(block[1], "message"):
+    errors += [f"{what}: {e}" for e in tag_errors(block, strict)]
+    if mode == "tools" and name.strip().startswith("agent:") and first(block, "message") is None:
         errors.append(f"{what} lacks message")
 
 
 def _check_agent(what: str, body: str, errors: list[str]) -> None:
-    errors += [f"{what} lacks {t}" for t in ("agent_name", "message") if not _has(body, t)]
-    history = _has(body, "history")
-    if history and not ("<![CDATA[" in history[1] and "]]>" in history[1]):
+    errors += [f"{what} lacks {t}" for t in ("agent_name", "message") if first(body, t) is None]
+    history = first(body, "history")
+    if history is not None and not ("<![CDATA[" in history and "]]>" in history):
         errors.append(f"{what}: history is not CDATA")
 
 
@@ -207,7 +293,7 @@ def _agents(text: str, mode: str, strict: bool, errors: list[str]) -> None:
 
 
 def _inner(what: str, body: str, tag: str, errors: list[str]) -> list[tuple[str, str]]:
-    found = [(f"{what} {tag} #{i}", m[1]) for i, m in enumerate(re.finditer(rf"<{tag}>(.*?)</{tag}>", body, re.S), 1)]
+    found = [(f"{what} {tag} #{i}", s.body) for i, s in enumerate(spans(body, tag), 1)]
     if body.count(f"<{tag}>") > len(found):
         errors.append(f"{what} has a {tag} that is not closed")
     return found
@@ -236,14 +322,13 @@ def _parallel_agents(text: str, mode: str, strict: bool, errors: list[str]) -> N
 def _batches(text: str, mode: str, strict: bool, errors: list[str]) -> None:
     for what, body in _blocks(text, "use_batch_agent", errors):
         if mode == "tools":
-            name = _has(body, "tool_name")
-            if not name or not name[1].strip().startswith("agent:"):
+            if not (first(body, "tool_name") or "").strip().startswith("agent:"):
                 errors.append(f"{what} lacks a tool_name of an agent")
-        elif not _has(body, "agent_name"):
+        elif first(body, "agent_name") is None:
             errors.append(f"{what} lacks agent_name")
-        source = _has(body, "input_data_source")
-        errors += [f"{what} lacks input_data_source"] if not source else [f"{what} lacks {t}" for t in ("file_name", "format") if not _has(source[1], t)]
-        if not _has(body, "message"):
+        source = first(body, "input_data_source")
+        errors += [f"{what} lacks input_data_source"] if source is None else [f"{what} lacks {t}" for t in ("file_name", "format") if first(source, t) is None]
+        if first(body, "message") is None:
             errors.append(f"{what} lacks message")
 
 
@@ -329,20 +414,10 @@ def rewrite_message(text: str | None, dialect: str) -> str | None:
         return text
 
     def blocks(t: str, tag: str, parse: Callable) -> str:
-        def one(m: re.Match) -> str:
-            found = parse(m[1])
-            return m[0] if found is None else render(*found, dialect)
-
-        return re.sub(rf"<{tag}>(.*?)</{tag}>", one, t, flags=re.S)
+        return replaced(t, spans(t, tag), lambda s: None if (found := parse(s.body)) is None else render(*found, dialect))
 
     def within(t: str, wrapper: str, parts: list[tuple[str, Callable]]) -> str:
-        def one(m: re.Match) -> str:
-            body = m[1]
-            for tag, parse in parts:
-                body = blocks(body, tag, parse)
-            return f"<{wrapper}>{body}</{wrapper}>"
-
-        return re.sub(rf"<{wrapper}>(.*?)</{wrapper}>", one, t, flags=re.S)
+        return replaced(t, spans(t, wrapper), lambda s: f"<{wrapper}>{reduce(lambda body, part: blocks(body, *part), parts, s.body)}</{wrapper}>")
 
     text = blocks(text, "use_batch_agent", parse_batch)
     text = within(text, "use_parallel_sub_agents", [("parallel_agent", parse_agent), ("parallel_tool", parse_tool)])

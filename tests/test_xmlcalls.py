@@ -55,6 +55,27 @@ def test_extraction_recovers():
     assert x.extract_calls(None) == ("", [])
 
 
+@pytest.mark.parametrize(
+    ("body", "found"),
+    [
+        ("<tool_name>a</tool_name><parameter><q><b>1</b></q></parameter>", {"q": "1"}),  # well-formed as it is: the text of the inner element
+        ("<tool_name>a</tool_name><parameter><q>x<br>y</q><n>2</n></parameter>", {"q": "x<br>y", "n": "2"}),  # values as text
+        ("<tool_name>a</tool_name><parameter><q>1 & 2</q></parameter>", {"q": "1 & 2"}),  # bare ampersands
+        ("<TOOL_NAME>a</TOOL_NAME> < <Parameter><q>1</q></Parameter>", {"q": "1"}),  # name and block alone
+        ("<tool_name>a</tool_name><parameter><q>1</parameter>", {}),  # by position alone, no parameter is whole
+        ("<tool_name>a</tool_name> & < <parameter><sub-x>1 & </sub-x></parameter>", {"sub-x": "1 &"}),
+    ],
+)
+def test_recovery_steps(body, found):
+    ((name, arguments),) = x.extract_calls(f"<tool_use>{body}</tool_use>")[1]
+    assert name == "a" and json.loads(arguments) == found
+
+
+def test_tags_and_spans():
+    assert [(t.name, t.at, t.closer, t.empty, t.slashed) for t in x.tags("a < b <q x='1'/> <p/></p ><1>")] == [("q", 6, False, False, True), ("p", 17, False, True, True), ("p", 21, True, False, False)]
+    assert [s.body for s in x.spans("<a>1</a><a><a>2</a></a>", "a")] == ["1", "<a>2"] and x.plain("<a>1<b></a><a><a>2</a>", "a") == "2"
+
+
 def test_parallel_and_batch():
     text = "<use_parallel_tool_calls><parallel_tool><tool_name>t</tool_name><parameter><k>v</k></parameter></parallel_tool></use_parallel_tool_calls>"
     text += "<use_batch_agent><agent_name>b</agent_name><input_data_source><file_name>f</file_name></input_data_source><message>m</message></use_batch_agent>"
