@@ -16,6 +16,7 @@ pair counts as a link.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,7 +193,7 @@ def _packed(fps: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(fps), [None, pa.py_buffer(np.arange(0, len(data) + 1, width, dtype=np.int32).tobytes()), pa.py_buffer(data)])
 
 
-#: Fingerprints in a block: a sixteenth of all, between these bounds.  The upper one bounds what a task holds.
+#: Fingerprints in a block: about a sixteenth of all, between these bounds.  The upper one, half as much again, bounds what a task holds.
 LEAST_BLOCK, MOST_BLOCK = 1 << 13, 1 << 16
 
 
@@ -202,7 +203,8 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
     With a ``similarity``, a value is the size of a set (a word of its own)
     followed by its fingerprint, and blocks of sizes too different for it are
     never compared.  A task holds two blocks of fingerprints and the links of a
-    few tiles.
+    few tiles; which blocks meet is a join, nothing of it is on the driver.  An
+    empty table has no edges.
     """
     spark = fps.sparkSession
     if similarity:
@@ -232,45 +234,53 @@ def link_fingerprints(fps: DataFrame, radius: int = 4, words: int = 1, block: in
             nonlocal k
             c = order_of(part)[:, 0]
             k += 1
-            return pa.RecordBatch.from_pydict({"block": pa.array([(pid << 20) + k], pa.int64()), "low": pa.array([int(c.min())], pa.int32()), "high": pa.array([int(c.max())], pa.int32()), "n": pa.array([len(part)], pa.int32()), "fps": pa.array([part.astype(">u8").tobytes()], pa.binary())})
+            return pa.RecordBatch.from_pydict({"block": pa.array([(pid << 20) + k], pa.int64()), "low": pa.array([int(c.min())], pa.int32()), "high": pa.array([int(c.max())], pa.int32()), "fps": pa.array([part.astype(">u8").tobytes()], pa.binary())})
 
         for batch in batches:
             held = np.concatenate([held, _rows(b"".join(batch.column(0).to_pylist()), words)])
-            while len(held) >= block:
+            while len(held) > 2 * block:
                 yield out(held[:block])
                 held = held[block:]
-        if len(held):
-            yield out(held)
-
-    blocks = materialize(ranged.select("simhash").mapInArrow(pack, "block bigint, low int, high int, n int, fps binary"), "blocks")
-    # The manifest has one small row for each block of up to 65,536 distinct fingerprints, not one per document.
-    manifest = sorted((r.block, r.low, r.high, r.n) for r in blocks.select("block", "low", "high", "n").collect())
-    runs: list[dict] = []  # neighbouring small blocks count as one
-    for x, lo, hi, size in manifest:
-        if runs and runs[-1]["n"] + size <= block:
-            runs[-1] = {"of": [*runs[-1]["of"], x], "low": min(lo, runs[-1]["low"]), "high": max(hi, runs[-1]["high"]), "n": runs[-1]["n"] + size}
-        else:
-            runs.append({"of": [x], "low": lo, "high": hi, "n": size})
-    cells, cell = [], 0
-    for i, x in enumerate(runs):
-        for y in runs[i:]:
-            if sizes_allow(min(x["high"], y["high"]), max(x["low"], y["low"]), similarity) if similarity else max(y["low"] - x["high"], x["low"] - y["high"]) <= radius:
-                cells += [(b, cell, side) for side, run in enumerate([x] if y is x else [x, y]) for b in run["of"]]
-                cell += 1
-    if not cells:
-        return spark.createDataFrame([], "u binary, v binary")
-    where = spark.createDataFrame(cells, "block bigint, cell bigint, side int").groupBy("block").agg(F.collect_list(F.struct("cell", "side")).alias("at"))
-    dealt = blocks.join(F.broadcast(where), "block").select(F.explode("at").alias("a"), "block", "fps").select("a.cell", "a.side", "block", "fps")
+        for part in np.array_split(held, max(1, -(-len(held) * 2 // (3 * block)))):  # no block over 1.5 times the size, and no small rest
+            if len(part):
+                yield out(part)
+
+    blocks = materialize(ranged.select("simhash").mapInArrow(pack, "block bigint, low int, high int, fps binary"), "blocks")
+    cells = materialize(_cells(blocks.select("block", "low", "high"), radius, similarity), "cells")
+    sides = cells.select("a", "b", F.explode(F.expr("if(a = b, array(struct(a as block, 0 as side)), array(struct(a as block, 0 as side), struct(b as block, 1 as side)))")).alias("x"))
+    dealt = blocks.select("block", "fps").join(sides.select("a", "b", "x.*"), "block")
 
     def compare(key, table):
         rows = sorted(zip(table.column("side").to_pylist(), table.column("block").to_pylist(), table.column("fps").to_pylist(), strict=True))
-        sides = [np.concatenate([_rows(f, words) for s, _, f in rows if s == side]) for side in sorted({r[0] for r in rows})]
-        u, v = links_between(sides[0], sides[1] if len(sides) > 1 else None, radius, similarity=similarity)
+        both = [_rows(f, words) for _, _, f in rows]
+        u, v = links_between(both[0], both[1] if len(both) > 1 else None, radius, similarity=similarity)
         return pa.table({"u": _packed(u), "v": _packed(v)})
 
     # cells are few and small but slow: one task for each, not as many as their bytes suggest
-    tasks = min(cell, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
-    return dealt.repartition(tasks, "cell").groupBy("cell").applyInArrow(compare, "u binary, v binary")
+    tasks = max(1, min(cells.count(), max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)))
+    return dealt.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(compare, "u binary, v binary")
+
+
+def _cells(blocks: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """(a, b), a <= b: the pairs of blocks that may hold links, a joined with itself included.
+
+    Blocks cover ranges of bit counts (of sizes, with a ``similarity``).  Each
+    range is cut into the strips that it touches, and a range meets another by
+    the strips that both touch, one of them widened by what links may differ in.
+    """
+    if similarity:
+        strip = lambda c: F.floor(F.log(F.greatest(c, F.lit(1))) / F.lit(-math.log(similarity))).cast("int")
+        wider = strip(F.col("high")) + 1
+    else:
+        strip = lambda c: c
+        wider = F.col("high") + radius
+    own = blocks.withColumn("strip", F.explode(F.sequence(strip(F.col("low")), strip(F.col("high")))))
+    reached = blocks.select(*[F.col(c).alias(f"{c}2") for c in blocks.columns], F.explode(F.sequence(strip(F.col("low")), wider)).alias("strip"))
+    if similarity:
+        can = F.least("high", "high2") >= F.lit(similarity) * F.greatest("low", "low2") - 1e-9
+    else:
+        can = F.greatest(F.col("low2") - F.col("high"), F.col("low") - F.col("high2")) <= radius
+    return own.join(reached, "strip").filter(can).select(F.least("block", "block2").alias("a"), F.greatest("block", "block2").alias("b")).distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4, seed: int = 42, words: int = 1, block: int | None = None) -> DataFrame:
