@@ -30,12 +30,14 @@ def _key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
-    """(__id, __k, keep_id, group_size): the rows whose text occurs more than once, each id and text once.
+    """(__id, __k, times, keep_id, keep_k, group_size): the rows whose text occurs more than once, each id and text once.
 
     Texts are equal when :func:`normalised` makes them identical; equality is
-    that of length, of a 64-bit prefix hash and of SHA-256.  ``keep_id`` is the
-    smallest id of the group (null only if all its ids are null), ``group_size``
-    the number of its rows, repeated rows included.  Null equals empty.
+    that of length, of a 64-bit prefix hash and of SHA-256.  ``keep_id`` and
+    ``keep_k`` name the row that stays: the smallest id (null only if all ids are
+    null), then the smallest hash of the raw text.  ``group_size`` is the number
+    of the group's rows, repeated rows included, ``times`` the number of rows
+    that are this one.  Null equals empty.
     """
     seen = docs.select(*_key(docs, id_col, text_col), normalised(F.col(f"`{text_col}`")).alias("t"))
     marks = materialize(seen.select("__id", "__k", F.length("t").alias("n"), F.xxhash64(F.substring("t", 1, prefix)).alias("p")), "marks")
@@ -46,28 +48,58 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     content = docs.select(*_key(docs, id_col, text_col), F.col(f"`{text_col}`").alias("t"))
     on = F.col("__id").eqNullSafe(F.col("__sid")) & (F.col("__k") == F.col("__sk"))
     hashed = materialize(content.join(survivors, on, "left_semi").select("__id", "__k", F.unhex(content_hash(F.col("t"))).alias("h")), "hashes")
-    groups = materialize(hashed.groupBy("h").agg(F.min("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"), "groups")
-    return hashed.distinct().join(groups, "h").select("__id", "__k", "keep_id", "group_size")
+    keep = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__k").alias("k"))).alias("keep")
+    groups = materialize(hashed.groupBy("h").agg(keep, F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"), "groups")
+    rows = hashed.groupBy("__id", "__k", "h").agg(F.count(F.lit(1)).alias("times"))
+    return rows.join(groups, "h").select("__id", "__k", "times", F.col("keep.id").alias("keep_id"), F.col("keep.k").alias("keep_k"), "group_size")
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, prefix: int) -> tuple[DataFrame, bool]:
+    """:func:`exact_groups` under names of its own, plus ``__stays``; and whether a row that stays occurs more than once."""
+    found = exact_groups(docs, id_col, text_col, prefix).select(
+        F.col("__id").alias("__gid"), F.col("__k").alias("__gk"), F.col("keep_id").alias("__keep"), F.col("group_size").alias("__size"), F.col("times").alias("__times"),
+        (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__k") == F.col("keep_k"))).alias("__stays"),
+    )
+    found = materialize(found, "exact")
+    return found, not found.filter("__stays and __times > 1").isEmpty()
 
 
 def exact_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
     """One row per input row, dropped ones too: the id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
-    ``kept`` is true for every row whose id is its group's ``keep_id``; rows that
-    repeat both id and text are one document and share its fate.
+    ``kept`` is true for exactly one row of each group: the one with the smallest
+    id, of several texts under that id the one with the smallest hash, of rows
+    that are equal in id and text any one.
     """
-    found = exact_groups(docs, id_col, text_col, prefix).select(F.col("__id").alias("__gid"), F.col("__k").alias("__gk"), "keep_id", "group_size")
+    found, again = _found(docs, id_col, text_col, prefix)
     rows = docs.select(*_key(docs, id_col, text_col), content_hash(F.col(f"`{text_col}`")).alias("text_sha256"))
     joined = rows.join(found, F.col("__id").eqNullSafe(F.col("__gid")) & (F.col("__k") == F.col("__gk")), "left")
-    keep = F.when(F.col("group_size").isNull(), F.col("__id")).otherwise(F.col("keep_id"))
-    return joined.select(F.col("__id").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("__id").eqNullSafe(keep).alias("kept"), "text_sha256")
+    keep, one = F.when(F.col("__size").isNull(), F.col("__id")).otherwise(F.col("__keep")), F.lit(1).cast("long")
+    stays = F.coalesce("__stays", F.lit(True))
+    out = joined.select(F.col("__id").alias(id_col), keep.alias("keep_id"), F.coalesce("__size", one).alias("group_size"), stays.alias("kept"), "text_sha256", "__k", F.coalesce("__times", one).alias("times"))
+    names = [F.col(f"`{c}`") for c in (id_col, "keep_id", "group_size", "kept", "text_sha256")]
+    if not again:
+        return out.select(*names)
+    # rows equal in id and text get numbers, which are written, and the smallest stays
+    out = materialize(out.withColumn("__row", F.monotonically_increasing_id()), "report")
+    same = out.filter("kept and times > 1")
+    least = same.groupBy(F.col(f"`{id_col}`"), "__k").agg(F.min("__row").alias("__row")).select("__row", F.lit(True).alias("__least"))
+    one_of = same.join(least, "__row", "left").withColumn("kept", F.coalesce("__least", F.lit(False))).select(*names)
+    return out.filter("not (kept and times > 1)").select(*names).unionByName(one_of)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
-    """``docs`` without the rows whose text equals that of a row with a smaller id; all columns are kept.
+    """``docs`` with one row of each group of equal texts, as :func:`exact_report` says; all columns are kept.
 
-    Null ids count as larger than any other id: such a row goes if its text has a row with an id.
+    Null ids count as larger than any other id: such a row goes if its text has a
+    row with an id.  Of rows equal in id and text any one stays, whatever its other
+    columns are.
     """
-    gone = exact_groups(docs, id_col, text_col, prefix).filter("not (__id <=> keep_id)").select(F.col("__id").alias("__gid"), F.col("__k").alias("__gk"))
-    on = docs[f"`{id_col}`"].eqNullSafe(gone["__gid"]) & (F.xxhash64(docs[f"`{text_col}`"]) == gone["__gk"])
-    return docs.join(gone, on, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found, again = _found(docs, id_col, text_col, prefix)
+    on = docs[f"`{id_col}`"].eqNullSafe(found["__gid"]) & (F.xxhash64(docs[f"`{text_col}`"]) == found["__gk"])
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    if not again:
+        return docs.join(found.filter("not __stays"), on, "left_anti").select(*names)
+    single = docs.join(found.filter("not (__stays and __times = 1)"), on, "left_anti").select(*names)
+    several = docs.join(found.filter("__stays and __times > 1"), on).groupBy("__gid", "__gk").agg(F.first(F.struct(*names)).alias("__row"))
+    return single.unionByName(several.select("__row.*"))
