@@ -3,12 +3,15 @@
 The benchmark's normalised word windows, with their hashes, are the small side;
 each document's windows are hashed where the document is read, matched against
 them and verified word by word.  The small side is broadcast only while it has
-at most ``max_broadcast`` windows (its size is counted first); above that the
-same join runs by shuffle on the hash.
+at most ``max_broadcast`` windows of ``max_bytes`` in all (both are measured
+first); above that the hashes are joined by shuffle, without any text, and only
+the windows that met are read again and verified.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,15 +36,16 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return grams.groupBy("gram").agg(F.collect_set("item").alias("items")).select(F.xxhash64("gram").alias("hash"), F.size("gram").alias("n"), "gram", "items")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_text: str = "text", window: int = 13, max_broadcast: int = 500_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", bench_text: str = "text", window: int = 13, max_broadcast: int = 500_000, max_bytes: int = 256 << 20) -> DataFrame:
     """Per row of ``docs``: ``__id``, ``__h`` (hash of the text), ``n_words``, ``n_hit``, ``hits`` (disjoint word ranges [from, to)), ``items``.
 
     Whole texts are read once.  Null or empty texts have no words and no hits.
     Rows equal in id and text appear as often as they are in the input.
     """
     grams = benchmark_windows(benchmark, item_col, bench_text, window)
-    sizes = {r["n"]: r["c"] for r in grams.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}  # at most `window` rows
-    few = sum(sizes.values()) <= max_broadcast
+    held = F.lit(64) + F.aggregate(F.concat("gram", "items"), F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x) + 24)
+    sizes = {r["n"]: (r["c"], r["b"]) for r in grams.groupBy("n").agg(F.count(F.lit(1)).alias("c"), F.sum(held).alias("b")).collect()}  # at most `window` rows
+    few = sum(c for c, _ in sizes.values()) <= max_broadcast and sum(b for _, b in sizes.values()) <= max_bytes
     read = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(f"`{text_col}`").alias("__h"), F.explode(F.array(words_of(F.col(f"`{text_col}`")))).alias("w"))
 
     def starts(w: Column) -> Column:
@@ -54,17 +58,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         lead = F.array(F.struct(F.lit(-1).alias("at"), F.size(w).alias("n"), F.lit(None).cast("bigint").alias("hash")))
         return F.concat(lead, *[of(n) for n in sorted(sizes)])
 
-    # a first row per document (at -1) carries its number of words through the join
-    placed = read.select("__id", "__h", "w", F.explode(starts(F.col("w"))).alias("x"))
     small = grams.select(F.col("hash").alias("g_hash"), F.col("n").alias("g_n"), "gram", "items")
     on = (F.col("x.hash") == F.col("g_hash")) & (F.col("x.n") == F.col("g_n"))
-    # the words themselves are compared after the join, so that only the hash is its key
-    same = F.slice(F.col("w"), F.greatest(F.col("x.at") + 1, F.lit(1)), F.greatest(F.col("x.n"), F.lit(1))) == F.col("gram")
     if few:
+        # a first row per document (at -1) carries its number of words through the join
+        placed = read.select("__id", "__h", "w", F.explode(starts(F.col("w"))).alias("x"))
+        # the words themselves are compared after the join, so that only the hash is its key
+        same = F.slice(F.col("w"), F.greatest(F.col("x.at") + 1, F.lit(1)), F.greatest(F.col("x.n"), F.lit(1))) == F.col("gram")
         found = placed.join(F.broadcast(small), on, "left").filter((F.col("x.at") == -1) | (F.col("gram").isNotNull() & same))
     else:
-        met = placed.filter("x.at >= 0").join(small, on).filter(same)
-        found = met.unionByName(placed.filter("x.at = -1").select("*", *[F.lit(None).cast(small.schema[c].dataType).alias(c) for c in small.columns]))
+        found = _met_by_shuffle(read, starts, small, on)
     first = F.col("x.at") < 0
     grouped = found.groupBy("__id", "__h").agg(
         F.count(F.when(first, 1)).alias("rows"),
@@ -85,6 +88,31 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return out.select("__id", "__h", "n_words", hit.alias("n_hit"), "hits", "items", each.alias("__copy")).drop("__copy")
 
 
+#: Ways into which the places of one window are dealt: a passage of many documents is no hot key.
+SALTS = 16
+
+
+def _met_by_shuffle(read: DataFrame, starts: Callable[[Column], Column], small: DataFrame, on: Column) -> DataFrame:
+    """The rows of the broadcast join, made without shuffling a document's words for each of its windows.
+
+    Hashes and places alone meet the benchmark's hashes; per document, the places
+    that met go back to its words, and only these windows' words meet the
+    benchmark's.  A document's places are bounded by its own length.
+    """
+    salt = F.pmod(F.xxhash64("__id", "__h", "x.at"), F.lit(SALTS)).cast("int")
+    salted = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    places = read.select("__id", "__h", F.explode(starts(F.col("w"))).alias("x"))
+    keys = salted.select("g_hash", "g_n", "salt").distinct()
+    met = places.filter("x.at >= 0").withColumn("salt", salt).join(keys, on & (F.col("x.hash") == F.col("g_hash")) & (salt == keys["salt"]), "left_semi")
+    per_row = met.groupBy("__id", "__h").agg(F.collect_set("x").alias("xs")).select(F.col("__id").alias("__mid"), F.col("__h").alias("__mh"), "xs")
+    same_row = F.col("__id").eqNullSafe(F.col("__mid")) & (F.col("__h") == F.col("__mh"))
+    words = read.dropDuplicates(["__id", "__h"]).join(per_row, same_row).select("__id", "__h", F.explode(F.transform("xs", lambda x: F.struct(x.alias("x"), F.slice("w", x["at"] + 1, x["n"]).alias("of")))).alias("y"))
+    words = words.select("__id", "__h", F.col("y.x").alias("x"), F.col("y.of").alias("of")).withColumn("salt", salt)
+    hits = words.join(salted, on & (words["salt"] == salted["salt"])).filter(F.col("of") == F.col("gram")).select("__id", "__h", "x", "gram", "items")
+    rows = read.select("__id", "__h", F.struct(F.lit(-1).alias("at"), F.size("w").alias("n"), F.lit(None).cast("bigint").alias("hash")).alias("x"))
+    return rows.select("*", *[F.lit(None).cast(small.schema[c].dataType).alias(c) for c in ("gram", "items")]).unionByName(hits)
+
+
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words", one_in: int = 20) -> Column:
     """At least one word in ``one_in`` stands in a benchmark window."""
     return (F.col(n_hit) > 0) & (F.col(n_hit) * one_in >= F.col(n_words))
