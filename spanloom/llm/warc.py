@@ -13,12 +13,13 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns
+from .common import SLICE_BYTES, SLICE_ROWS, append_columns
 from .html_extract import visible_text
 
 CRLF = b"\r\n"
@@ -36,9 +37,10 @@ def record_id(kind: str, *parts: str) -> str:
 
 
 def serialise(headers: list[tuple[str, str]], block: bytes) -> bytes:
-    """A WARC/1.1 record; Content-Length is added."""
-    head = "".join(f"{k}: {v}\r\n" for k, v in [*headers, ("Content-Length", str(len(block)))])
-    return b"WARC/1.1\r\n" + head.encode() + CRLF + block + CRLF + CRLF
+    """A WARC/1.1 record; Content-Length is added.  Control characters in a value become percent escapes: no value ends its line."""
+    clean = lambda v: v if v.isprintable() else "".join(f"%{ord(c):02X}" if c < " " or c == "\x7f" else c for c in v)
+    head = "".join(f"{k}: {clean(v)}\r\n" for k, v in [*headers, ("Content-Length", str(len(block)))])
+    return b"WARC/1.1\r\n" + head.encode("utf-8", "surrogatepass") + CRLF + block + CRLF + CRLF
 
 
 def _headers(raw: bytes) -> list[tuple[str, str]]:
@@ -151,17 +153,24 @@ def derivatives(data: bytes | None) -> list[dict]:
 
 def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """``pages`` plus ``record``: the bytes of each page's response record.  Null html is an empty page, null url an empty target."""
-    packed = pages.withColumn("__page", F.to_json(F.array(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.coalesce(F.col(f"`{url_col}`"), F.lit("")), F.coalesce(F.col(f"`{html_col}`"), F.lit("")))))
-
-    def make():
-        import json
-
-        def run(rows: list[str]) -> list[list]:
-            return [[response(url, page, date, number) for number, url, page in map(json.loads, rows)]]
-
-        return run
-
-    return append_columns(packed, "__page", [("record", "binary")], make).drop("__page")
+    from pyspark.sql import types as T
+
+    own = "__number", "__target", "__html"
+    named = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in zip((id_col, url_col, html_col), own, strict=True)]
+    kept = [c for c in pages.columns if c != "record"]
+    schema = T.StructType([*[pages.schema[c] for c in kept], T.StructField("record", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = max(1, batch.nbytes // max(1, len(batch)))
+            step = max(1, min(SLICE_ROWS, SLICE_BYTES // size))
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
+                number, target, page = (part.column(part.schema.get_field_index(c)).to_pylist() for c in own)
+                made = [response(u, p, date, n) for n, u, p in zip(number, target, page, strict=True)]
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in kept], pa.array(made, pa.binary())], names=[*kept, "record"])
+
+    return pages.select(*[F.col(f"`{c}`") for c in kept], *named).mapInArrow(run, schema)
 
 
 def build_derivatives(records: DataFrame, record_col: str = "record") -> DataFrame:
