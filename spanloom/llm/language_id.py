@@ -3,8 +3,9 @@
 A text's features are the 3- and 4-byte substrings of its words (with the word
 boundary), hashed into a table of embeddings whose mean goes through a linear
 softmax.  Embeddings and softmax are trained together by stochastic gradient
-descent in numpy on a bounded sample; a temperature and a rejection threshold
-are then set on the part of the sample that training didn't see.
+descent in numpy on a bounded sample.  On the part of the sample that training
+didn't see, and on as many texts of random subwords, which no language should be
+sure of, a temperature and a rejection threshold are set.
 """
 
 from __future__ import annotations
@@ -120,19 +121,25 @@ def fit(rows: list, dim: int = 16, epochs: int = 6, rate: float = 8.0, seed: int
     z = np.array([weight @ table[idx] + b for _, idx, weight in (rest or train)])
     y = np.array([of[r[0]] for r in (rest or train)])
 
-    def probabilities(temperature: float) -> np.ndarray:
+    # texts of unknown subwords: as many buckets as the held-back rows have, drawn at random
+    strange = np.array([weight @ table[rng.integers(0, BUCKETS, len(idx))] + b for _, idx, weight in (rest or train)])
+
+    def probabilities(z: np.ndarray, temperature: float) -> np.ndarray:
         p = np.exp((z - z.max(axis=1, keepdims=True)) / temperature)
         return p / p.sum(axis=1, keepdims=True)
 
     def loss(temperature: float) -> float:
-        return float(-np.log(probabilities(temperature)[np.arange(len(y)), y] + 1e-9).mean())
+        """Known rows should be sure of their language, strange ones of none."""
+        known = np.log(probabilities(z, temperature)[np.arange(len(y)), y] + 1e-9).mean()
+        return float(-known - np.log(probabilities(strange, temperature) + 1e-9).mean())
 
-    temperature = min(np.geomspace(0.05, 5, 40), key=loss)
-    p = probabilities(temperature)
+    temperature = float(min(np.geomspace(0.05, 50, 60), key=loss))
+    p = probabilities(z, temperature)
     confidence, right = p.max(axis=1), p.argmax(axis=1) == y
-    # reject what is less sure than any but a few of the rows that are right, and never more than that
-    below = float(np.quantile(confidence[right], most_rejected)) if right.any() else 0.0
-    return LanguageModel(langs, table, b, float(temperature), min(below * 0.8, 0.6))
+    # between all but a few of the strange rows and all but a few of the right ones, nearer to the former; where these overlap, the right ones decide
+    least = float(np.quantile(confidence[right], most_rejected)) if right.any() else 0.0
+    most = float(np.quantile(probabilities(strange, temperature).max(axis=1), 0.99))
+    return LanguageModel(langs, table, b, temperature, min(least, most + (least - most) / 4))
 
 
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_class: int = 600, **how) -> LanguageModel:

@@ -1,9 +1,9 @@
 """Quality classification by attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE`` words.  Each passage is encoded
-from counts of its own (case, digits, symbols, word lengths, repetition);
-a gated attention, learned from document labels only, weighs
-the passages, and a logistic layer scores the weighted representation.
+from counts of its own (case, digits, symbols, word lengths, repetition); a
+gated attention, learned from document labels only, weighs the passages, and a
+logistic layer scores the weighted representation.
 Encoder, attention and scorer are trained together in numpy on a bounded sample.
 """
 
