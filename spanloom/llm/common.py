@@ -37,11 +37,13 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` where the session has it.
 
-    Only where neither that nor a checkpoint directory is set (local tests) is a
-    temporary folder made.
+    Only where neither that nor a checkpoint directory is set, and driver and
+    executors are one process (local tests), is a temporary folder made.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spanloom-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()

@@ -320,9 +320,104 @@ def test_matches(spark, most):
     assert D.matches(d.limit(0), b).count() == 0 and D.matches(d, b.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_matches_by_shuffle_carries_no_text(spark):
+    """Beyond the broadcast's bounds, in windows or in bytes, the same rows come out, and no exchange of windows holds a document's words."""
+    d, b = load(spark, SF, "documents"), load(spark, SF, "benchmark")
+    d = d.unionByName(d.limit(3))
+    want = Counter(map(str, D.matches(d, b).collect()))
+    for bound in ({"max_broadcast": 0}, {"max_bytes": 100}):
+        df = D.matches(d, b, **bound)
+        assert Counter(map(str, df.collect())) == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    keys = [line for line in plan.split("\n") if "hashpartitioning" in line]
+    assert keys and not any("slice" in line for line in keys)
+
+
+def test_exact_dedup_keeps_one_of_identical_rows(spark):
+    rows = [(1, "a b", 1), (1, "a  b", 2), (2, "x", 3), (2, "x", 4), (None, "x", 5), (3, None, 6), (4, "", 7), (None, "q", 8), (None, "q", 9), (5, "solo", 1), (6, "solo two", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, z int")
+    left = E.exact_dedup(df)
+    assert left.columns == df.columns and Counter(r.doc_id for r in left.collect()) == Counter([1, 2, 3, None, 5, 6])
+    report = E.exact_report(df).collect()
+    assert len(report) == len(rows)
+    kept, size = Counter(), {}
+    for r in report:
+        kept[r.text_sha256] += r.kept
+        size[r.text_sha256] = r.group_size
+    assert set(kept.values()) == {1} and sorted(size.values()) == [1, 1, 2, 2, 2, 3]
+    assert E.exact_dedup(df.limit(0)).count() == 0 == E.exact_report(df.limit(0)).count()
+
+
+def test_which_blocks_meet(spark):
+    """The pairs of ranges are those of a loop over all pairs, for bit counts and for sizes of sets."""
+    rng = random.Random(6)
+    ranges = [(i, lo, lo + rng.randrange(4)) for i in range(60) for lo in [rng.randrange(1, 65)]]
+    wide = [(i, lo, lo + rng.randrange(1 + lo)) for i in range(60) for lo in [int(10 ** rng.uniform(0, 6))]]
+    for rows, similarity in ((ranges, 0.0), (wide, 0.8)):
+        got = {tuple(r) for r in S._cells(spark.createDataFrame(rows, "block bigint, low int, high int"), 4, similarity).collect()}
+        near = lambda x, y: min(x[2], y[2]) >= 0.8 * max(x[1], y[1]) - 1e-9 if similarity else max(y[1] - x[2], x[1] - y[2]) <= 4  # noqa: E731, B023
+        assert got == {(x[0], y[0]) for x in rows for y in rows if x[0] <= y[0] and near(x, y)}
+    assert S.link_fingerprints(spark.createDataFrame([], "simhash binary")).count() == 0
+
+
+def test_very_long_and_repeated_rows(spark):
+    """Line dedup and SimHash read whole texts; rows equal in id and text are one document."""
+    line = " ".join(f"w{i}" for i in range(60))
+    long = "\n".join(f"only {i} here" for i in range(30_000)) + "\n" + line
+    df = spark.createDataFrame([(1, line), (2, long), (3, "x " * 200_000), (4, "x " * 200_000), (5, "solo"), (5, "solo"), (5, line + " more"), (None, None)], "doc_id long, text string")
+    cut = {(r.doc_id, r.text is None or len(r.text)): r.lines_removed for r in LD.dedup_lines(df).collect()}
+    assert cut[2, len(long) - len(line) - 1] == 1 and cut[1, len(line)] == 0
+    found = S.simhash_components(df)
+    by = {}
+    for r in found.collect():
+        by.setdefault(r.doc_id, []).append(r.component_id)
+    assert found.count() == 8 and by[3] == by[4] == [3] and len(by[5]) == 3
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    from spanloom.llm import common
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        common.shared_dir(Session())
+
+
 # -------------------------------------------------------------------- warc
 
 
+def _by_hand(data):
+    """A record read by the format's rules alone: header lines up to an empty line, then Content-Length bytes and two line ends."""
+    head, _, rest = data.partition(b"\r\n\r\n")
+    first, *lines = head.decode().split("\r\n")
+    fields = dict(x.split(": ", 1) for x in lines)
+    n = int(fields["Content-Length"])
+    assert first == "WARC/1.1" and rest[n:] == b"\r\n\r\n"
+    return fields, rest[:n]
+
+
+def test_warc_bytes_by_hand():
+    import base64
+    import hashlib
+
+    data = Wc.response("http://a.example/x\r\nWARC-Type: forged", "<p>Hi.</p>", "2024-01-01T00:00:00Z", "7")
+    fields, block = _by_hand(data)
+    assert fields["WARC-Type"] == "response" and "%0D%0A" in fields["WARC-Target-URI"]
+    assert fields["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+    for made in Wc.derivatives(data):
+        own, body = _by_hand(made["record"])
+        assert own["WARC-Type"] == made["record_type"] and own["WARC-Refers-To"] == fields["WARC-Record-ID"]
+        assert own["WARC-Block-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode() and own["WARC-Target-URI"] == fields["WARC-Target-URI"]
+
+
 def test_warc_round_trip():
     data = Wc.response("http://a.example/é", "<p>Hi, <b>you</b>.</p>", "2024-01-01T00:00:00Z", "7")
     meta, conv = Wc.derivatives(data)

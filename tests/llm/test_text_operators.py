@@ -269,6 +269,27 @@ def test_attention_weights_sum_to_one():
     assert np.allclose(np.bincount(bag, m.forward(x, bag, 2)["weight"]), 1)
 
 
+def test_attention_finds_the_one_bad_passage():
+    """Documents of ten good passages, of which one may be bad: the gate weighs that one, and without it accuracy falls."""
+    rng = np.random.default_rng(2)
+    bags, labels = [], []
+    for i in range(200):
+        x = rng.normal(0, 1, (10, Q.FEATURES))
+        x[:, 0] = rng.normal(0, 0.1, 10)
+        if i % 2:
+            x[rng.integers(10), 0] = 6.0
+        bags.append(x)
+        labels.append(1 - i % 2)
+    m = Q.fit(bags[:150], labels[:150], epochs=300)
+    x, bag = m.scaled(bags[150:])
+    out = m.forward(x, bag, 50)
+    weight = out["weight"].reshape(50, 10)
+    bad = np.array([np.argmax(b[:, 0]) for b in bags[150:]])
+    odd = np.arange(50) % 2 == 1
+    assert np.mean(weight[np.arange(50), bad][odd]) > 0.3  # uniform would be 0.1
+    assert np.mean((out["y"] >= 0.5) == np.array(labels[150:])) >= 0.9
+
+
 def test_gradient_matches_differences():
     rng = np.random.default_rng(0)
     bags, labels = [rng.normal(size=(n, Q.FEATURES)).astype(np.float64) for n in (1, 3, 5)], [0, 1, 1]
@@ -320,6 +341,17 @@ def test_no_labels_is_und(spark, odd):
     assert {r.lang_pred for r in L.identify_language(odd, m).collect()} == {"und"}
 
 
+def test_rejection(spark):
+    """Texts of unknown scripts and letters are rejected, nearly no text of a known language is."""
+    docs = load(spark, SF, "documents")
+    m = L.fit_language_model(docs.filter(~held_out("doc_id")))
+    strange = ["Привет мир, это русский текст.", "这是中文文本。", "qwx zzkv pprt llkk vvq", "これは日本語です。", "Ωδε και εκει"]
+    assert not any(m.score(t)[1] >= m.reject_below for t in strange)
+    seen = L.identify_language(docs.filter(held_out("doc_id") & F.col("text").rlike("[a-z]{3}")), m).groupBy("lang_accepted").count().collect()
+    n = {r.lang_accepted: r["count"] for r in seen}
+    assert n.get(False, 0) <= 0.005 * n[True]
+
+
 def test_letters():
     assert L.letters_only("123 ²") == "" and L.letters_only("É1é") == " é é "
 
