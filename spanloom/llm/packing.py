@@ -168,14 +168,14 @@ def slots_of(plan: list[tuple[list[int], int]]) -> list[tuple]:
     return out
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, cache: int = 400_000) -> DataFrame:
     """(__id, piece, start, length, ids_crc32, part, nth): nth is the place among the pieces of that length in that part."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder, seen = TaskContext.get().partitionId(), Encoder(tokenizer_path), [0] * (capacity + 1)
+        part, encoder, seen = TaskContext.get().partitionId(), Encoder(tokenizer_path, cache, cache), [0] * (capacity + 1)
         for batch in batches:
             texts = batch.column(1)
             step = max(1, min(SLICE_ROWS, SLICE_BYTES // max(1, texts.nbytes // max(1, len(texts)))))
@@ -195,17 +195,18 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     return read.mapInArrow(run, f"__id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, cache: int = 400_000) -> DataFrame:
     """One row per piece: the id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A document is its token ids and a final 0.  Longer ones than ``capacity`` are
     cut into full pieces, of which only the first may be shorter.  Places in a
     sequence are gapless from 0.  Null and empty texts are the one id 0.
     Repeated rows and null ids are packed like any other; an empty table gives
-    no rows.  Other input columns are not read.
+    no rows.  Other input columns are not read.  ``cache``: how many chunks and
+    words each worker remembers; it changes no result.
     """
     spark = docs.sparkSession
-    pieces = materialize(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity), "pieces")
+    pieces = materialize(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, cache), "pieces")
     parts = materialize(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "part-lengths")
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     slots = slots_of(plan_bins(histogram, capacity))
