@@ -24,6 +24,8 @@ from spanloom.llm.simhash import keep_one_per_component
 #: sets that can have it, 4 and 5 shingles; the radius is 3.8 deviations above the
 #: latter and 5.7 above the former.  Every candidate is decided by its two sets.
 SIMILARITY = 0.8
+#: What a worker of the packing stage remembers: less than in packing alone, as it shares the executor with the other stages' workers.
+CACHE = 100_000
 SIMHASH_WORDS, SIMHASH_RADIUS, SHINGLE = 4, 72, 5
 
 
@@ -51,7 +53,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in full sequences."""
-    return pack_documents(docs, tokenizer_path(), capacity=CAPACITY)
+    return pack_documents(docs, tokenizer_path(), capacity=CAPACITY, cache=CACHE)
 
 
 STAGES = [("language ID", language), ("line dedup", lines), ("SimHash near-dedup", near_duplicates), ("benchmark decontamination", benchmark), ("best-fit packing", packing)]
