@@ -11,8 +11,11 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import stored
+
 
 class TextService(Protocol):
     """A completion, search or probe service: one answer for each request, in order."""
@@ -32,6 +35,19 @@ def as_udf(service: TextService, returns: str = "string") -> Callable:
     return call
 
 
+def ask(df: DataFrame, request: Column, service: TextService, out: str) -> DataFrame:
+    """``df`` plus ``out``: the service's answer to each row's request; a null request gets null.
+
+    Each distinct request goes out once: answers are stored with a hash of their
+    request before they are joined, so neither a second use of the result nor a
+    lost executor repeats a call.
+    """
+    asked = stored(df.withColumn("__request", request).withColumn("__key", F.md5("__request")), "requests")
+    once = asked.filter("__key is not null").select("__key", "__request").dropDuplicates(["__key"])
+    answers = stored(once.select("__key", as_udf(service)(F.col("__request")).alias(out)), "answers")
+    return asked.drop(out, "__request").join(answers, "__key", "left").drop("__key")
+
+
 def _pick(text: str, n: int) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) % n
 

@@ -61,10 +61,20 @@ def rewrite_messages(messages: DataFrame, dialect: str, text_col: str = "content
 
 
 def rewrite_conversations(rows: DataFrame, dialect: str, messages_col: str = "messages", tools_col: str | None = None) -> DataFrame:
-    """Rows of conversations in ``dialect``: messages of system and assistants, and (if named) all strings of the tools' JSON."""
-    at = rows.withColumn("__row", F.monotonically_increasing_id())
-    flat = at.select("__row", F.posexplode(messages_col).alias("__i", "__m")).select("__row", "__i", "__m", F.col("__m.role").alias("role"), F.col("__m.content").alias("content"))
-    done = rewrite_messages(flat, dialect).withColumn("__m", F.col("__m").withField("content", F.col("content")))
-    back = done.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("__i", "__m"))).alias("__ms"))
-    out = at.join(back, "__row", "left").withColumn(messages_col, F.coalesce(F.transform("__ms", lambda x: x["__m"]), F.col(messages_col))).drop("__row", "__ms")
+    """Rows of conversations in ``dialect``: messages of system and assistants, and (if named) all strings of the tools' JSON.
+
+    A conversation's texts go through the parser as one array and come back in
+    their places; all other fields of its messages stay.
+    """
+    if dialect not in DIALECTS:
+        raise ValueError(f"dialect: {dialect}; there are {DIALECTS}")
+
+    @F.pandas_udf("array<string>")
+    def rewrite(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda ts: [xmlcalls.rewrite_message(t, dialect) for t in ts], na_action="ignore")
+
+    said = F.transform(messages_col, lambda m: F.when(m["role"].isin("system", "assistant"), m["content"]))
+    done = rows.withColumn("__said", rewrite(said))
+    put = F.zip_with(messages_col, "__said", lambda m, t: m.withField("content", F.coalesce(t, m["content"])))
+    out = done.withColumn(messages_col, put).drop("__said")
     return out.withColumn(tools_col, leaf_rewriter(dialect)(F.col(tools_col))) if tools_col else out

@@ -36,27 +36,32 @@ def message_errors(messages: DataFrame, mode: str = "full", strict: bool = True,
     return clean.unionByName(messages.filter(risky).withColumn("errors", error_finder(mode, strict)(F.col(text_col))))
 
 
-def valid_shape(text: Column) -> Column:
-    """Whether every ``<tool_use>`` block of a text is closed and holds a name and a parameter block, by expressions alone."""
-    blocks = F.regexp_extract_all(text, F.lit(r"(?s)<tool_use>(.*?)</tool_use>"), F.lit(1))
-    whole = F.forall(blocks, lambda b: b.rlike(r"(?s)<tool_name>.*?</tool_name>") & b.rlike(r"(?s)<parameter>.*?</parameter>"))
-    return F.when(F.size(blocks) == 0, ~F.contains(text, F.lit("<tool_use>"))).otherwise(whole)
+def record_checker(mode: str = "full", strict: bool = True, most: int = 2):
+    """Arrow-batched UDF from a record's messages (array<struct<role,content>>) to its errors, at most ``most`` a message, each with the message's number."""
+
+    @F.pandas_udf("array<string>")
+    def check(records: pd.Series) -> pd.Series:
+        def one(messages) -> list[str]:
+            said = [(i, m["content"]) for i, m in enumerate(messages if messages is not None else []) if m is not None and m["role"] == "assistant" and m["content"]]
+            return [f"Msg{i}: {e}" for i, text in said if "<" in text for e in xmlcalls.message_errors(text, mode, strict)[:most]]
+
+        return pd.Series([one(r) for r in records], dtype=object)
+
+    return check
 
 
 def filter_valid(records: DataFrame, line_col: str = "line", mode: str = "full", strict: bool = True) -> DataFrame:
     """JSON records (one a line) plus ``valid`` and ``errors`` (two a message, with the message's number).
 
     Lines that aren't JSON, and records without a list of messages, are invalid.
+    A record is read and checked in its own row: one scan, no join, no shuffle.
     """
-    parsed = records.withColumn("__r", F.monotonically_increasing_id())
     doc = F.try_parse_json(line_col)
-    read = parsed.select("__r", F.coalesce(F.schema_of_variant(F.try_variant_get(doc, "$.messages", "variant")).startswith("ARRAY"), F.lit(False)).alias("listed"), F.from_json(F.get_json_object(line_col, "$.messages"), "array<struct<role:string,content:string>>").alias("ms"))
-    flat = read.filter("listed").select("__r", F.posexplode("ms").alias("i", "m")).select("__r", "i", F.col("m.role").alias("role"), F.col("m.content").alias("content"))
-    found = message_errors(flat, mode, strict).filter(F.size("errors") > 0)
-    per = found.groupBy("__r").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("i", "errors"))), lambda x: F.transform(F.slice(x["errors"], 1, 2), lambda e: F.concat(F.lit("Msg"), x["i"].cast("string"), F.lit(": "), e)))).alias("errors"))
-    joined = parsed.join(read.select("__r", "listed"), "__r").join(per, "__r", "left")
-    errors = F.when(~F.col("listed"), F.array(F.lit("no list of messages"))).otherwise(F.coalesce("errors", F.expr("cast(array() as array<string>)")))
-    return joined.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0).drop("__r", "listed")
+    listed = F.coalesce(F.schema_of_variant(F.try_variant_get(doc, "$.messages", "variant")).startswith("ARRAY"), F.lit(False))
+    messages = F.from_json(F.get_json_object(line_col, "$.messages"), "array<struct<role:string,content:string>>")
+    read = records.withColumn("__listed", listed).withColumn("__errors", record_checker(mode, strict)(messages))
+    errors = F.when(~F.col("__listed"), F.array(F.lit("no list of messages"))).otherwise(F.col("__errors"))
+    return read.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0).drop("__listed", "__errors")
 
 
 def filter_statistics(checked: DataFrame) -> DataFrame:

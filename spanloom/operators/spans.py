@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import created_hour, restore_closing_tags
+from ..storage import stored
 
 #: Span name of a provider's generation, by provider.
 PROVIDERS = {"openai": "OpenAI-generation", "anthropic": "anthropic.chat"}
@@ -22,13 +22,16 @@ def last_generation_per_parent(spans: DataFrame, provider: str = "openai") -> Da
     """Of each parent's generations the one with the latest start (as text; none counts as 1970), of equals the last line.
 
     A generation without a parent stands for itself.  The row keeps the place
-    of its group's first line in ``first_line``.
+    of its group's first line in ``first_line``.  Only keys are compared and
+    shuffled for that, with a map-side combine; the winners' rows are joined back.
     """
     key = F.when(F.coalesce("parent_id", F.lit("")) != "", F.col("parent_id")).otherwise(F.col("span_id"))
     found = spans.filter(is_generation(provider)).withColumn("__key", key)
-    group = W.partitionBy("trace_id", "__key")
-    ranked = found.withColumn("first_line", F.min("line_no").over(group)).withColumn("__rn", F.row_number().over(group.orderBy(F.coalesce("start_time_s", F.lit(EPOCH)).desc(), F.col("line_no").desc())))
-    return ranked.filter("__rn = 1").drop("__rn", "__key")
+    best = F.max(F.struct(F.coalesce("start_time_s", F.lit(EPOCH)).alias("t"), F.col("line_no").alias("line"), F.col("span_id").alias("id")))
+    won = found.groupBy("trace_id", "__key").agg(best.alias("w"), F.min("line_no").alias("first_line"))
+    won = won.select("trace_id", "__key", F.col("w.line").alias("line_no"), F.col("w.id").alias("span_id"), "first_line")
+    out = found.join(won, ["trace_id", "__key", "line_no", "span_id"]).drop("__key")
+    return out.select(*spans.columns, "first_line")
 
 
 def with_parent_name(spans: DataFrame, index: DataFrame) -> DataFrame:
@@ -50,18 +53,21 @@ def resolve_agent(spans: DataFrame, agents: DataFrame, provider: str = "openai")
 
 
 def resolve_agent_by_ancestry(spans: DataFrame, provider: str = "openai", most: int = 20) -> DataFrame:
-    """(trace_id, span_id, agent_name): the nearest ancestor's name that isn't the provider's, up to ``most`` steps (loops end there)."""
+    """(trace_id, span_id, agent_name): the nearest ancestor's name that isn't the provider's, up to ``most`` steps (loops end there).
+
+    Pointer jumping: a span that has not met a name yet looks where the span it
+    points to points, so ``most`` steps take a logarithm of joins, each stored.
+    """
     index = spans.groupBy("trace_id", "span_id").agg(F.max_by(F.struct("span_name", "parent_id"), "line_no").alias("s"))
-    index = index.select("trace_id", "span_id", F.coalesce("s.span_name", F.lit("")).alias("span_name"), "s.parent_id")
-    index.createOrReplaceTempView("__span_index")
-    return spans.sparkSession.sql(
-        f"""WITH RECURSIVE up(trace_id, span_id, at, name, k) AS (
-              SELECT c.trace_id, c.span_id, p.parent_id, p.span_name, 1 FROM __span_index c JOIN __span_index p ON p.trace_id = c.trace_id AND p.span_id = c.parent_id
-              UNION ALL
-              SELECT u.trace_id, u.span_id, p.parent_id, p.span_name, k + 1 FROM up u JOIN __span_index p ON p.trace_id = u.trace_id AND p.span_id = u.at
-              WHERE u.name IN ('', '{PROVIDERS[provider]}') AND k < {most})
-            SELECT trace_id, span_id, min_by(name, k) AS agent_name FROM up WHERE name NOT IN ('', '{PROVIDERS[provider]}') GROUP BY trace_id, span_id"""
-    )
+    index = stored(index.select("trace_id", "span_id", F.coalesce("s.span_name", F.lit("")).alias("span_name"), "s.parent_id"), "span-index")
+    above = index.select("trace_id", F.col("span_id").alias("parent_id"), F.col("span_name").alias("name"), F.col("parent_id").alias("at"))
+    own = F.when(~F.col("name").isin("", PROVIDERS[provider]), F.col("name"))
+    jumps = stored(index.join(above, ["trace_id", "parent_id"]).select("trace_id", "span_id", own.alias("name"), F.col("parent_id").alias("at"), F.lit(1).alias("steps")), "jumps")
+    for _ in range(max(1, most).bit_length()):
+        further = jumps.select("trace_id", F.col("span_id").alias("at"), F.col("name").alias("name2"), F.col("at").alias("at2"), F.col("steps").alias("steps2"))
+        moved = jumps.filter("name is null").join(further, ["trace_id", "at"]).select("trace_id", "span_id", F.col("name2").alias("name"), F.col("at2").alias("at"), (F.col("steps") + F.col("steps2")).alias("steps"))
+        jumps = stored(jumps.filter("name is not null").unionByName(moved), "jumps")
+    return jumps.filter((F.col("name").isNotNull()) & (F.col("steps") <= most)).select("trace_id", "span_id", F.col("name").alias("agent_name"))
 
 
 def drop_meta(df: DataFrame, meta: str = "meta") -> DataFrame:

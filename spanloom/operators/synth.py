@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..adapters import StubLLM, StubProbe, StubSearch, TextService, as_udf
+from ..adapters import StubLLM, StubProbe, StubSearch, TextService, ask
 from ..functions import text as X
+from ..storage import stored
 from .urls import repair_urls
 
 #: Prompt templates by stage and language; ``{name}`` is replaced by the column of that name.
@@ -103,11 +104,11 @@ def gate(p: float, seed: str, purpose: str, key: Column) -> Column:
 
 def with_persona(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     """Personas judged against the framework; unsuitable ones are rewritten."""
-    ask = as_udf(cfg.llm)
-    judged = df.withColumn("__judged", ask(prompt("suitability", persona=F.col("persona"), framework=F.col("framework"))))
+    parts = {"persona": F.col("persona"), "framework": F.col("framework")}
+    judged = ask(df, prompt("suitability", cfg.language, **parts), cfg.llm, "__judged")
     marked = judged.withColumn("persona_was_rewritten", ~X.suitable(F.col("__judged"))).drop("__judged")
-    fine, other = marked.filter("not persona_was_rewritten"), marked.filter("persona_was_rewritten")
-    return fine.unionByName(other.withColumn("persona", ask(prompt("rewrite", persona=F.col("persona"), framework=F.col("framework")))))
+    written = ask(marked, F.when(F.col("persona_was_rewritten"), prompt("rewrite", cfg.language, **parts)), cfg.llm, "__persona")
+    return written.withColumn("persona", F.coalesce("__persona", "persona")).drop("__persona")
 
 
 def with_search(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
@@ -116,7 +117,7 @@ def with_search(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     on = df.withColumn("used_web_search", gate(cfg.web_search, cfg.seed, "search", F.col("draw_id")))
     terms = F.array_distinct(F.array(X.shorten(F.concat_ws(" ", "problem_type", "persona")), X.shorten(F.col("problem_type"))))
     asked = on.filter("used_web_search").withColumn("__q", terms)
-    flat = asked.select("draw_id", F.posexplode("__q").alias("i", "query")).withColumn("results", F.from_json(as_udf(cfg.search)(F.col("query")), schema))
+    flat = ask(asked.select("draw_id", F.posexplode("__q").alias("i", "query")), F.col("query"), cfg.search, "answer").withColumn("results", F.from_json("answer", schema))
     found = flat.groupBy("draw_id").agg(F.sort_array(F.collect_list(F.struct("i", "query", F.to_json("results").alias("r")))).alias("s"))
     block = search_block(F.transform("s", lambda x: F.struct(x["query"].alias("query"), F.from_json(x["r"], schema).alias("results"))))
     return on.join(found, "draw_id", "left").withColumn("search_context", F.coalesce(block, F.lit(""))).drop("s")
@@ -124,29 +125,28 @@ def with_search(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
 
 def with_query(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     """``query`` and ``difficulty`` from the model's answer; a row without any parsed query gets an error."""
-    ask = prompt("queries", cfg.language, persona=F.col("persona"), problem_type=F.col("problem_type"), capabilities=F.col("capabilities"), search_context=F.col("search_context"))
-    answered = df.withColumn("__answer", as_udf(cfg.llm)(ask))
+    wanted = prompt("queries", cfg.language, persona=F.col("persona"), problem_type=F.col("problem_type"), capabilities=F.col("capabilities"), search_context=F.col("search_context"))
+    answered = ask(df, wanted, cfg.llm, "__answer")
     parse = X.chinese_queries if cfg.language == "chinese" else X.english_queries
     picked = pick_query(parse(F.col("__answer")), drawn_difficulty(cfg.distribution, X.bucket(F.lit(cfg.seed), F.lit("difficulty"), F.col("draw_id"))))
     done = answered.withColumn("__q", picked).withColumn("query", F.col("__q.query")).withColumn("difficulty", F.col("__q.difficulty"))
-    return done.withColumn("errors", F.when(F.col("query").isNull(), F.array_append("errors", F.lit("no query parsed"))).otherwise(F.col("errors"))).drop("__answer", "__q")
+    return done.withColumn("errors", F.when(F.col("query").isNull(), F.array_append("errors", F.lit("empty_query"))).otherwise(F.col("errors"))).drop("__answer", "__q")
 
 
 def with_files(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     """Whether the query needs local files, and which."""
     r = X.requirement_response(F.col("__files"))
-    return df.withColumn("__files", as_udf(cfg.llm)(prompt("files", query=F.col("query")))).withColumn("requires_local_files", r["requires_files"]).withColumn("file_requirement_reason", F.when(r["requires_files"], r["reason"])).withColumn("file_required_items", F.when(r["requires_files"], r["required_items"])).drop("__files")
+    return ask(df, F.when(F.col("query").isNotNull(), prompt("files", cfg.language, query=F.col("query"))), cfg.llm, "__files").withColumn("requires_local_files", r["requires_files"]).withColumn("file_requirement_reason", F.when(r["requires_files"], r["reason"])).withColumn("file_required_items", F.when(r["requires_files"], r["required_items"])).drop("__files")
 
 
 def with_fuzzy(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     """The query made less exact where the gate lets pass; the exact one stays in ``original_query``."""
     on = df.withColumn("__on", gate(cfg.fuzzify, cfg.seed, "fuzzify", F.col("draw_id")) & F.col("query").isNotNull())
-    rest = on.filter("not __on").withColumn("fuzzified", F.lit(False)).withColumn("original_query", F.lit(None).cast("string"))
-    answered = on.filter("__on").withColumn("__r", X.fuzzify_response(as_udf(cfg.llm)(prompt("fuzzify", query=F.col("query")))))
+    answered = ask(on, F.when(F.col("__on"), prompt("fuzzify", cfg.language, query=F.col("query"))), cfg.llm, "__answer").withColumn("__r", X.fuzzify_response(F.col("__answer")))
     ok = F.col("__r").isNotNull()
-    failed = F.when(~ok & F.lit(cfg.fuzzify_errors_fatal), F.array_append("errors", F.lit("fuzzifier: no fuzzy_query"))).otherwise(F.col("errors"))
-    done = answered.withColumn("fuzzified", ok).withColumn("original_query", F.when(ok, F.col("query"))).withColumn("query", F.coalesce("__r.fuzzy_query", "query")).withColumn("errors", failed).drop("__r")
-    return rest.unionByName(done).drop("__on")
+    failed = F.when(F.col("__on") & ~ok & F.lit(cfg.fuzzify_errors_fatal), F.array_append("errors", F.lit("fuzzifier: no fuzzy_query"))).otherwise(F.col("errors"))
+    done = answered.withColumn("fuzzified", ok).withColumn("original_query", F.when(ok, F.col("query"))).withColumn("query", F.coalesce("__r.fuzzy_query", "query")).withColumn("errors", failed)
+    return done.drop("__r", "__answer", "__on")
 
 
 def with_urls(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
@@ -157,10 +157,14 @@ STAGES: list[Callable[[DataFrame, SynthesisConfig], DataFrame]] = [with_persona,
 
 
 def synthesise(draws: DataFrame, cfg: SynthesisConfig | None = None, stages: list[Callable] | None = None) -> DataFrame:
-    """Draws (draw_id, framework, persona, problem_type, trace_context, capabilities) through all stages."""
+    """Draws (draw_id, framework, persona, problem_type, trace_context, capabilities) through all stages.
+
+    Each stage's rows are stored: a stage reads what the one before it wrote and
+    never runs it again.
+    """
     cfg = cfg or SynthesisConfig()
     start = draws.withColumn("errors", F.expr("cast(array() as array<string>)"))
-    return reduce(lambda df, stage: stage(df, cfg), stages or STAGES, start)
+    return reduce(lambda df, stage: stored(stage(df, cfg), "stage"), stages or STAGES, start)
 
 
 def query_records(done: DataFrame) -> DataFrame:

@@ -7,21 +7,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import bucket, path_weight
+from ..storage import stored
 
 
 def paths(nodes: DataFrame) -> DataFrame:
-    """Every root-to-leaf path in depth-first order: node_ids, labels, path_id (ids joined by an arrow), depth (nodes), dfs_key."""
-    nodes.createOrReplaceTempView("__taxonomy")
-    spark = nodes.sparkSession
-    walked = spark.sql(
-        """WITH RECURSIVE walk(framework, id, node_ids, labels_en, labels_zh, dfs_key) AS (
-             SELECT framework, id, array(id), array(en), array(zh), array(sib_pos) FROM __taxonomy WHERE parent_id IS NULL
-             UNION ALL
-             SELECT n.framework, n.id, concat(w.node_ids, array(n.id)), concat(w.labels_en, array(n.en)), concat(w.labels_zh, array(n.zh)), concat(w.dfs_key, array(n.sib_pos))
-             FROM walk w JOIN __taxonomy n ON n.framework = w.framework AND n.parent_id = w.id)
-           SELECT * FROM walk"""
-    )
-    leaves = walked.join(nodes.select("framework", F.col("parent_id").alias("id")).distinct(), ["framework", "id"], "left_anti")
+    """Every root-to-leaf path in depth-first order: node_ids, labels, path_id (ids joined by an arrow), depth (nodes), dfs_key.
+
+    Walked level by level, one join each, however many paths there are; a node
+    that is its own ancestor is never reached from a root.
+    """
+    tree = stored(nodes.select("framework", "id", "parent_id", "en", "zh", "sib_pos"), "taxonomy")
+    level = tree.filter("parent_id is null").select("framework", "id", F.array("id").alias("node_ids"), F.array("en").alias("labels_en"), F.array("zh").alias("labels_zh"), F.array("sib_pos").alias("dfs_key"))
+    under = tree.filter("parent_id is not null").select("framework", F.col("parent_id").alias("above"), F.col("id").alias("next"), "en", "zh", "sib_pos")
+    inner = under.select("framework", F.col("above").alias("id")).distinct()
+    leaves = None
+    while True:
+        level = stored(level, "taxonomy-level")
+        ends = level.join(inner, ["framework", "id"], "left_anti")
+        leaves = ends if leaves is None else leaves.unionByName(ends)
+        if level.join(inner, ["framework", "id"], "left_semi").isEmpty():
+            break
+        grown = level.join(under, (level["framework"] == under["framework"]) & (F.col("id") == F.col("above")))
+        level = grown.select(level["framework"], F.col("next").alias("id"), *[F.array_append(a, F.col(b)).alias(a) for a, b in (("node_ids", "next"), ("labels_en", "en"), ("labels_zh", "zh"), ("dfs_key", "sib_pos"))])
     return leaves.select("framework", path_id(F.col("node_ids")).alias("path_id"), "node_ids", "labels_en", "labels_zh", F.size("node_ids").alias("depth"), "dfs_key")
 
 
@@ -55,25 +62,32 @@ def count_statistics(counts: DataFrame) -> DataFrame:
 def probabilities(found: DataFrame, counts: DataFrame) -> DataFrame:
     """Each path's weight and its share of its framework's weight; without any weight all shares are equal."""
     joined = found.select("framework", "path_id").join(counts, ["framework", "path_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    whole = W.partitionBy("framework")
     weighted = joined.withColumn("weight", path_weight(F.col("n")))
-    total = F.sum("weight").over(whole)
-    return weighted.withColumn("probability", F.when(total > 0, F.col("weight") / total).otherwise(1 / F.count(F.lit(1)).over(whole)))
+    # one row per framework, combined before the shuffle: a framework of many paths is no single task
+    total = weighted.groupBy("framework").agg(F.sum("weight").alias("__total"), F.count(F.lit(1)).alias("__n"))
+    share = F.when(F.col("__total") > 0, F.col("weight") / F.col("__total")).otherwise(1 / F.col("__n"))
+    return weighted.join(total, "framework").withColumn("probability", share).select("framework", "path_id", "n", "weight", "probability")
+
+
+#: Strips of the unit interval by which draws meet the intervals of paths.
+STRIPS = 1024
 
 
 def draw_paths(shares: DataFrame, draws: DataFrame, seed: str) -> DataFrame:
     """One path for each row of ``draws`` (framework, draw_id), by its framework's shares; all draws see one snapshot of the counts.
 
-    Shares become half-open intervals; the intervals (one row per path) are the broadcast side while
-    they are few, and the drawn number is a hash, so a repeated run draws the same.
+    Shares become half-open intervals in the order of the path ids, the last one
+    open-ended.  A range join by strips: an interval stands in every strip that it
+    touches, a draw in one, so a draw meets only the few intervals of its strip.
+    The drawn number is a hash: a repeated run draws the same.
     """
-    order = W.partitionBy("framework").orderBy("path_id").rowsBetween(W.unboundedPreceding, 0)
-    upto = F.sum("probability").over(order)
-    table = shares.withColumn("hi", upto).withColumn("lo", upto - F.col("probability"))
-    lines = table.groupBy("framework").agg(F.sort_array(F.collect_list(F.struct("hi", "path_id"))).alias("cuts"))  # one row per framework
-    u = bucket(F.lit(seed), F.col("framework"), F.col("draw_id"))
-    first = F.element_at(F.filter("cuts", lambda c: c["hi"] > F.col("u")), 1)["path_id"]
-    return draws.withColumn("u", u).join(lines, "framework").withColumn("path_id", F.coalesce(F.when(F.exists("cuts", lambda c: c["hi"] > F.col("u")), first), F.element_at("cuts", -1)["path_id"])).drop("cuts", "u")
+    order = W.partitionBy("framework").orderBy("path_id")
+    upto = F.sum("probability").over(order.rowsBetween(W.unboundedPreceding, 0))
+    table = shares.withColumn("hi", upto).withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0.0))).withColumn("hi", F.when(F.lead("path_id").over(order).isNull(), F.lit(2.0)).otherwise(F.col("hi")))
+    strip = lambda x: F.least(F.floor(x * STRIPS), F.lit(STRIPS - 1)).cast("int")
+    cuts = table.filter("hi > lo").select("framework", "path_id", "lo", "hi", F.explode(F.sequence(strip(F.col("lo")), strip(F.col("hi")))).alias("strip"))
+    drawn = draws.withColumn("u", bucket(F.lit(seed), F.col("framework"), F.col("draw_id"))).withColumn("strip", strip(F.col("u")))
+    return drawn.join(cuts, ["framework", "strip"]).filter("u >= lo and u < hi").drop("u", "strip", "lo", "hi")
 
 
 def truncate(node_ids: Column, *key: Column) -> Column:
@@ -83,11 +97,16 @@ def truncate(node_ids: Column, *key: Column) -> Column:
 
 
 def expansion_parents(found: DataFrame, draws: DataFrame, seed: str) -> DataFrame:
-    """For each draw the node under which a new tag goes: a path at random, then one of its nodes but the root."""
-    lists = found.groupBy("framework").agg(F.sort_array(F.collect_list("node_ids")).alias("all"))
-    picked = draws.join(lists, "framework").withColumn("path", F.get("all", F.floor(bucket(F.lit(seed), F.lit("path"), F.col("draw_id")) * F.size("all")).cast("int")))
-    at = 1 + F.floor(bucket(F.lit(seed), F.lit("node"), F.col("draw_id")) * (F.size("path") - 1))
-    return picked.withColumn("parent_id", F.get("path", at.cast("int"))).drop("all", "path")
+    """For each draw the node under which a new tag goes: a path at random, then one of its nodes but the root.
+
+    Paths are numbered, and a draw meets the one path of its number.
+    """
+    numbered = found.select("framework", "node_ids", (F.row_number().over(W.partitionBy("framework").orderBy("node_ids")) - 1).alias("__at"))
+    sizes = found.groupBy("framework").agg(F.count(F.lit(1)).alias("__n"))
+    picked = draws.join(sizes, "framework").withColumn("__at", F.floor(bucket(F.lit(seed), F.lit("path"), F.col("draw_id")) * F.col("__n")).cast("int"))
+    picked = picked.join(numbered, ["framework", "__at"])
+    at = 1 + F.floor(bucket(F.lit(seed), F.lit("node"), F.col("draw_id")) * (F.size("node_ids") - 1))
+    return picked.withColumn("parent_id", F.get("node_ids", at.cast("int"))).drop("__at", "__n", "node_ids")
 
 
 def add_children(nodes: DataFrame, new: DataFrame) -> DataFrame:

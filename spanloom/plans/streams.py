@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import shared_folder
 from ..streaming import streams
 from .base import Registry
 
@@ -25,8 +25,7 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checkpoint(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spanloom-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return shared_folder(spark, "stream")
 
 
 @query("""SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id""")

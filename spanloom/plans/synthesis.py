@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import stats, synth, taxonomy, urls
-from ..adapters import StubLLM, StubProbe
+from ..adapters import StubLLM, StubProbe, ask
 from .base import Registry, table
 
 query = Registry()
@@ -206,8 +206,6 @@ def taxonomy_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _nodes(spark, sf_dir)
     draws = table(spark, sf_dir, "region").select(F.lit("geo").alias("framework"), F.col("r_regionkey").alias("draw_id"))
     parents = taxonomy.expansion_parents(taxonomy.paths(n), draws, "3")
-    from ..adapters import as_udf
-
-    tag: Column = X.new_tag(as_udf(StubLLM())(synth.prompt("tag", parent_id=F.col("parent_id"), siblings=F.col("draw_id"))), F.col("parent_id"))
-    new = parents.withColumn("t", tag).filter("t is not null").select("framework", "t.id", "parent_id", "t.en", "t.zh")
+    answered = ask(parents, synth.prompt("tag", parent_id=F.col("parent_id"), siblings=F.col("draw_id")), StubLLM(), "answer")
+    new = answered.withColumn("t", X.new_tag(F.col("answer"), F.col("parent_id"))).filter("t is not null").select("framework", "t.id", "parent_id", "t.en", "t.zh")
     return taxonomy.add_children(n, new)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..storage import shared_folder
+
 
 def last_per_key(stream: DataFrame, key: str, order: str, kept: list[str]) -> DataFrame:
     """(update mode) of each key the row with the largest ``order`` so far; a struct maximum, combined before the shuffle."""
@@ -59,10 +61,21 @@ def closed_groups(stream: DataFrame, key: str, time_col: str, value: str, idle_s
 
 
 def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """All that is there now, as a table in memory: for bounded inputs and tests."""
-    w = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    (w.option("checkpointLocation", checkpoint) if checkpoint else w).start().awaitTermination()
-    return stream.sparkSession.table(name)
+    """All that is there now, as a table of files in the shared folder: no row of it passes the driver.
+
+    In append mode every batch adds files; in complete mode each batch's table
+    takes the last one's place.
+    """
+    spark = stream.sparkSession
+    path = shared_folder(spark, f"stream-{name}")
+    spark.createDataFrame([], stream.schema).write.parquet(path)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+
+    w = stream.writeStream.foreachBatch(put).queryName(name).outputMode(mode).trigger(availableNow=True)
+    w.option("checkpointLocation", checkpoint or shared_folder(spark, "stream-checkpoint")).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str):
