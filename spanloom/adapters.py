@@ -66,6 +66,10 @@ class StubLLM:
             return "NOT_SUITABLE" if _pick(prompt, 4) == 0 else "SUITABLE"
         if "fuzz" in kind:
             return json.dumps({"fuzzy_query": f"something about {tag}", "reason": "stub"})
+        if "plan" in kind:
+            return json.dumps({"files": [{"name": f"table-{tag}.csv", "url": f"https://files.example/{tag}.csv", "description": "stub"}, {"name": "x", "url": "http://no.example/x"}]})
+        if "with files" in kind:
+            return json.dumps({"query": f"use the files of {tag}"})
         if "file" in kind:
             return json.dumps({"requires_files": _pick(prompt, 3) == 0, "reason": "stub", "required_items": [f"table-{tag}"]})
         if "repair" in kind:
@@ -77,6 +81,14 @@ class StubLLM:
         return f"**EASY:** question {tag} one\n**MEDIUM:** question {tag} two\n**HARD:** question {tag} three"
 
 
+@dataclass(frozen=True)
+class StubDownload:
+    """``downloaded`` for four fifths of the URLs and all data URLs, else why not."""
+
+    def __call__(self, requests: list[str]) -> list[str]:
+        return ["downloaded" if u.startswith("data:") or _pick(u, 5) else "failed: 404" for u in requests]
+
+
 @dataclass(frozen=True)
 class StubSearch:
     """Five made-up results as a JSON array of title, snippet, url, source, date."""

@@ -139,6 +139,24 @@ def requirement_response(response: Column) -> Column:
     return F.struct(F.coalesce(r["requires_files"], F.lit(False)).alias("requires_files"), F.coalesce(r["reason"], F.lit("")).alias("reason"), F.coalesce(r["required_items"], F.expr("cast(array() as array<string>)")).alias("required_items"))
 
 
+def file_plan(response: Column) -> Column:
+    """array<struct<name,url,description>> of a plan's ``files`` that can be fetched: https or data URLs; a missing name comes from the URL."""
+    r = F.from_json(json_payload(response), "files array<struct<name:string,url:string,description:string>>")
+    can = F.filter(F.coalesce(r["files"], F.expr("cast(array() as array<struct<name:string,url:string,description:string>>)")), lambda f: F.coalesce(f["url"].rlike("^(https://|data:)"), F.lit(False)))
+    return F.transform(can, lambda f: F.struct(F.when(strip(f["name"]) != "", strip(f["name"])).otherwise(file_name(f["url"])).alias("name"), f["url"].alias("url"), F.coalesce(f["description"], F.lit("")).alias("description")))
+
+
+def download_folder(base: str, framework: Column, query: Column, key: Column) -> Column:
+    """``<base>/<framework>/<slug of the query, or bundle>-<key>``."""
+    return F.concat_ws("/", F.lit(base), framework, F.concat(F.coalesce(slug(query), F.lit("bundle")), F.lit("-"), key.cast("string")))
+
+
+def augmented_query(response: Column) -> Column:
+    """The ``query`` of a JSON answer; null without one."""
+    found = strip(F.from_json(json_payload(response), "query string")["query"])
+    return F.when(found != "", found)
+
+
 def file_name(url: Column) -> Column:
     """The last part of a URL's path; ``download`` where there is none."""
     path = F.regexp_extract(url, r"\A[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..adapters import StubLLM, StubProbe, StubSearch, TextService, ask
+from ..adapters import StubDownload, StubLLM, StubProbe, StubSearch, TextService, ask
 from ..functions import text as X
 from ..storage import stored
 from .urls import repair_urls
@@ -26,6 +26,19 @@ TEMPLATES = {
     ("queries", "chinese"): "# queries\n请用中文。人物：{persona}\n问题类型：{problem_type}\n工具：{capabilities}\n{search_context}\n写出简单、中等、困难各一个问题。",
     ("fuzzify", "english"): "# fuzzify\nMake this query less exact, as JSON with fuzzy_query: {query}",
     ("files", "english"): "# files\nDoes this query need local files? JSON with requires_files, reason, required_items: {query}",
+    ("suitability", "chinese"): "# suitability\n请用中文。人物：{persona}\n框架：{framework}\n回答 SUITABLE 或 NOT_SUITABLE。",
+    ("rewrite", "chinese"): "# rewrite\n请用中文改写这个人物，使其适合 {framework}：{persona}",
+    ("fuzzify", "chinese"): "# fuzzify\n请用中文把问题写得更模糊，JSON，含 fuzzy_query：{query}",
+    ("files", "chinese"): "# files\n这个问题需要本地文件吗？JSON，含 requires_files、reason、required_items：{query}",
+    ("repair", "english"): "# repair {round}\n{url}\n{note}",
+    ("repair", "chinese"): "# repair {round}\n请用中文。{url}\n{note}",
+    ("plan", "english"): "# plan\nWhich public files does this query need? JSON with files (name, url, description): {query}\nItems: {items}",
+    ("plan", "chinese"): "# plan\n这个问题需要哪些公开文件？JSON，含 files（name、url、description）：{query}\n项目：{items}",
+    ("augment", "english"): "# with files\nRewrite this query so that it uses these files, as JSON with query: {query}\nFiles: {files}",
+    ("augment", "chinese"): "# with files\n请改写这个问题，使其使用这些文件，JSON，含 query：{query}\n文件：{files}",
+    ("urls", "english"): "# urls\nRewrite this query with these changes of its links, as JSON with query: {query}\nChanges: {changes}",
+    ("urls", "chinese"): "# urls\n请按这些链接改动改写问题，JSON，含 query：{query}\n改动：{changes}",
+    ("tag", "chinese"): "# tag\n请在 {parent_id} 下建议一个新标签；同级：{siblings}。JSON，含 id、en、zh。",
     ("tag", "english"): "# tag\nSuggest a new tag under {parent_id}; siblings: {siblings}. JSON with id, en, zh.",
 }
 DETAIL = {"low": "Keep it short.", "medium": "Give some detail.", "high": "Give full detail."}
@@ -64,6 +77,8 @@ class SynthesisConfig:
     llm: TextService = field(default_factory=StubLLM)
     search: TextService = field(default_factory=StubSearch)
     probe: TextService = field(default_factory=StubProbe)
+    download: TextService = field(default_factory=StubDownload)
+    download_base: str = "downloads"
 
 
 def parse_distribution(text: str) -> dict[str, float]:
@@ -139,6 +154,52 @@ def with_files(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     return ask(df, F.when(F.col("query").isNotNull(), prompt("files", cfg.language, query=F.col("query"))), cfg.llm, "__files").withColumn("requires_local_files", r["requires_files"]).withColumn("file_requirement_reason", F.when(r["requires_files"], r["reason"])).withColumn("file_required_items", F.when(r["requires_files"], r["required_items"])).drop("__files")
 
 
+def with_downloads(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
+    """``files`` (name, url, path, status) of the queries that need some: planned by the model, each distinct URL fetched once."""
+    wanted = F.when(F.col("requires_local_files"), prompt("plan", cfg.language, query=F.col("query"), items=F.array_join("file_required_items", ", ")))
+    planned = ask(df, wanted, cfg.llm, "__plan").withColumn("__files", X.file_plan(F.col("__plan"))).drop("__plan")
+    each = planned.select("draw_id", X.download_folder(cfg.download_base, F.col("framework"), F.col("query"), F.col("draw_id")).alias("folder"), F.posexplode("__files").alias("i", "f"))
+    got = ask(each.select("draw_id", "folder", "i", "f.name", "f.url"), F.col("url"), cfg.download, "status")
+    per = got.groupBy("draw_id").agg(F.sort_array(F.collect_list(F.struct("i", "name", "url", F.concat_ws("/", "folder", "name").alias("path"), "status"))).alias("__got"))
+    none = F.expr("cast(array() as array<struct<name:string,url:string,path:string,status:string>>)")
+    files = F.coalesce(F.transform("__got", lambda x: F.struct(x["name"].alias("name"), x["url"].alias("url"), x["path"].alias("path"), x["status"].alias("status"))), none)
+    return planned.drop("__files").join(per, "draw_id", "left").withColumn("files", files).drop("__got")
+
+
+def usable_files(files: Column) -> Column:
+    """The files that were downloaded."""
+    return F.filter(files, lambda f: f["status"] == "downloaded")
+
+
+def with_file_rewrite(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
+    """Queries with usable files rewritten to use them; without an answer the query stays and the row gets an error."""
+    names = F.array_join(F.transform(usable_files(F.col("files")), lambda f: f["path"]), ", ")
+    on = df.withColumn("__on", F.size(usable_files(F.col("files"))) > 0)
+    answered = ask(on, F.when(F.col("__on"), prompt("augment", cfg.language, query=F.col("query"), files=names)), cfg.llm, "__answer").withColumn("__new", X.augmented_query(F.col("__answer")))
+    errors = F.when(F.col("__on") & F.col("__new").isNull(), F.array_append("errors", F.lit("files: no query"))).otherwise(F.col("errors"))
+    return answered.withColumn("errors", errors).withColumn("query", F.coalesce("__new", "query")).drop("__on", "__answer", "__new")
+
+
+def error_rows(done: DataFrame) -> DataFrame:
+    """(draw_id, success, stop, errors) of the rows that failed; ``stop`` is the first error."""
+    return done.filter(F.size("errors") > 0).select("draw_id", F.lit(False).alias("success"), F.get("errors", 0).alias("stop"), "errors")
+
+
+def until_failure(draws: DataFrame, cfg: SynthesisConfig, stages: list[Callable]) -> tuple[DataFrame, list[tuple[str, float]]]:
+    """Stages one after another: a row with an error takes no part in later ones.  Also each stage's name and seconds."""
+    import time
+
+    rows, failed, times = draws.withColumn("errors", F.expr("cast(array() as array<string>)")), None, []
+    for stage in stages:
+        start = time.time()
+        rows = stored(stage(rows, cfg), "stage")
+        times.append((stage.__name__, time.time() - start))
+        bad = rows.filter(F.size("errors") > 0)
+        failed = bad if failed is None else failed.unionByName(bad, allowMissingColumns=True)
+        rows = rows.filter(F.size("errors") == 0)
+    return rows if failed is None else rows.unionByName(failed, allowMissingColumns=True), times
+
+
 def with_fuzzy(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     """The query made less exact where the gate lets pass; the exact one stays in ``original_query``."""
     on = df.withColumn("__on", gate(cfg.fuzzify, cfg.seed, "fuzzify", F.col("draw_id")) & F.col("query").isNotNull())
@@ -153,7 +214,7 @@ def with_urls(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     return repair_urls(df, "draw_id", "query", cfg.probe, cfg.llm)
 
 
-STAGES: list[Callable[[DataFrame, SynthesisConfig], DataFrame]] = [with_persona, with_search, with_query, with_urls, with_files, with_fuzzy]
+STAGES: list[Callable[[DataFrame, SynthesisConfig], DataFrame]] = [with_persona, with_search, with_query, with_urls, with_files, with_downloads, with_file_rewrite, with_fuzzy]
 
 
 def synthesise(draws: DataFrame, cfg: SynthesisConfig | None = None, stages: list[Callable] | None = None) -> DataFrame:

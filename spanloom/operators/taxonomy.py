@@ -90,6 +90,35 @@ def draw_paths(shares: DataFrame, draws: DataFrame, seed: str) -> DataFrame:
     return drawn.join(cuts, ["framework", "strip"]).filter("u >= lo and u < hi").drop("u", "strip", "lo", "hi")
 
 
+def tag_traces(found: DataFrame, counts: DataFrame, draws: DataFrame, seed: str, expansion: float = 0.0, new_tag=None) -> tuple[DataFrame, DataFrame]:
+    """A tag trace for each draw (framework, draw_id), and the counts after them.
+
+    A path is drawn by its weight; a draw that the gate ``expansion`` lets pass
+    asks ``new_tag`` (rows with ``parent_id`` -> rows with ``tag``, null for none)
+    for a new node under one of its path's nodes, which then ends the trace.  All
+    draws see the counts as they were; the new counts include them.
+    """
+    drawn = draw_paths(probabilities(found, counts), draws, seed).join(found.select("framework", "path_id", "node_ids"), ["framework", "path_id"])
+    at = 1 + F.floor(bucket(F.lit(seed), F.lit("node"), F.col("draw_id")) * (F.size("node_ids") - 1))
+    grows = (bucket(F.lit(seed), F.lit("expand"), F.col("draw_id")) < expansion) & (F.size("node_ids") > 1)
+    drawn = stored(drawn.withColumn("parent_id", F.when(grows, F.get("node_ids", at.cast("int")))), "drawn")
+    if new_tag is not None and expansion > 0:
+        tags = new_tag(drawn.filter("parent_id is not null")).select("framework", "draw_id", "tag")
+        drawn = drawn.join(tags, ["framework", "draw_id"], "left")
+        cut = F.slice("node_ids", 1, F.array_position("node_ids", F.col("parent_id")).cast("int"))
+        drawn = drawn.withColumn("node_ids", F.when(F.col("tag").isNotNull(), F.array_append(cut, F.col("tag"))).otherwise(F.col("node_ids"))).drop("tag")
+    traces = drawn.select(*draws.columns, "path_id", path_id(F.col("node_ids")).alias("trace"))
+    return traces, merge_counts(counts, count_samples(drawn))
+
+
+def uniform_pick(rows: DataFrame, draws: DataFrame, seed: str, purpose: str) -> DataFrame:
+    """Each draw (framework, draw_id) with one of its framework's ``rows`` (framework, item), all alike likely."""
+    numbered = rows.select("framework", "item", (F.row_number().over(W.partitionBy("framework").orderBy("item")) - 1).alias("__at"))
+    sizes = rows.groupBy("framework").agg(F.count(F.lit(1)).alias("__n"))
+    at = F.floor(bucket(F.lit(seed), F.lit(purpose), F.col("draw_id")) * F.col("__n")).cast("int")
+    return draws.join(sizes, "framework").withColumn("__at", at).join(numbered, ["framework", "__at"]).drop("__at", "__n").withColumnRenamed("item", purpose)
+
+
 def truncate(node_ids: Column, *key: Column) -> Column:
     """The path cut after its third or a later node, drawn by hash; null for paths of fewer than three nodes."""
     n = F.size(node_ids)

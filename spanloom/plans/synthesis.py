@@ -126,7 +126,8 @@ def json_payload_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT split_part(url, '/', 3) AS host, count(*) AS total_extracted, count(*) FILTER (page_id % 3 <> 0) AS accessible FROM pages GROUP BY 1""")
 def url_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", F.explode(X.urls_in(F.concat(F.lit("see "), "url", F.lit(".")))).alias("u"))
-    return p.groupBy(F.expr("try_parse_url(u, 'HOST')").alias("host")).agg(F.count(F.lit(1)).alias("total_extracted"), F.count_if(F.col("page_id") % 3 != 0).alias("accessible"))
+    found = p.select(F.expr("try_parse_url(u, 'HOST')").alias("host"), (F.col("page_id") % 3 != 0).alias("ok"), F.lit(None).cast("string").alias("new_url"))
+    return urls.url_statistics(found, "host").select("host", "total_extracted", "accessible")
 
 
 @query("""SELECT page_id, 'see ' || CASE WHEN page_id % 2 = 0 THEN 'https://new.example/' || page_id ELSE '[URL removed]' END || ' now' AS query FROM pages""")
@@ -135,7 +136,9 @@ def url_rewrite_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.rewrite_urls(F.concat(F.lit("see "), "url", F.lit(" now")), change).alias("query"))
 
 
-@query()
+@query("""WITH u AS (SELECT page_id, url, contains(url, '://ok.') OR ('0x' || substr(md5(url), 1, 8))::BIGINT % 3 <> 0 AS ok FROM pages)
+SELECT page_id, 'read ' || CASE WHEN ok THEN url ELSE 'https://ok.example/' || substr(md5('# repair 0' || chr(10) || url || chr(10) || 'not accessible'), 1, 6) END AS query,
+1::BIGINT AS total_extracted, ok::BIGINT AS accessible, (NOT ok)::BIGINT AS repaired, 0::BIGINT AS removed FROM u""")
 def url_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("read "), "url").alias("query"))
     return urls.repair_urls(p, "page_id", "query", StubProbe(), StubLLM()).select("page_id", "query", "url_stats.*")
@@ -194,6 +197,28 @@ def file_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("hash"))
 
 
+@query("""WITH d AS (SELECT doc_id, (('0x' || substr(md5('5:persona:' || doc_id), 1, 8))::BIGINT % 1000000) / 1000000.0 AS u, (('0x' || substr(md5('5:detail:' || doc_id), 1, 8))::BIGINT % 1000000) / 1000000.0 AS v FROM documents),
+p AS (SELECT n_name AS item, row_number() OVER (ORDER BY n_name) - 1 AS place, count(*) OVER () AS n FROM nation)
+SELECT doc_id, item AS persona, ['high', 'low', 'medium'][1 + CAST(floor(v * 3) AS BIGINT)] AS detail FROM d JOIN p ON place = floor(u * n)""")
+def uniform_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draws = table(spark, sf_dir, "documents").select(F.lit("o").alias("framework"), F.col("doc_id").alias("draw_id"))
+    personas = table(spark, sf_dir, "nation").select(F.lit("o").alias("framework"), F.col("n_name").alias("item"))
+    details = spark.createDataFrame([("o", k) for k in synth.DETAIL], "framework string, item string")
+    both = taxonomy.uniform_pick(details, taxonomy.uniform_pick(personas, draws, "5", "persona"), "5", "detail")
+    return both.select(F.col("draw_id").alias("doc_id"), "persona", "detail")
+
+
+@query("""WITH c AS (SELECT c_custkey, c_nationkey, 'table-' || c_custkey || '.csv' AS name FROM customer)
+SELECT c_custkey, CASE WHEN c_nationkey % 3 = 2 THEN 0 ELSE 1 END::BIGINT AS n_files, CASE WHEN c_nationkey % 3 <> 2 THEN name END AS name,
+'base/geo/' || CASE WHEN c_nationkey % 2 = 0 THEN 'query-of-' || c_nationkey ELSE 'bundle' END || '-' || c_custkey AS folder FROM c""")
+def file_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, at = F.col("c_custkey").cast("string"), F.col("c_nationkey") % 3
+    one = F.concat(F.lit('{"name": "'), F.when(at == 0, F.concat(F.lit("table-"), k, F.lit(".csv"))).otherwise(""), F.lit('", "url": "'), F.when(at == 2, "http://no.example/").otherwise("https://files.example/"), F.lit("table-"), k, F.lit('.csv"}'))
+    plan = X.file_plan(F.concat(F.lit("Plan: {\"files\": ["), one, F.lit("]} end")))
+    wanted = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit(" Query of "), F.col("c_nationkey").cast("string"), F.lit("!"))).otherwise("???")
+    return table(spark, sf_dir, "customer").select("c_custkey", F.size(plan).cast("bigint").alias("n_files"), F.get(plan, 0)["name"].alias("name"), X.download_folder("base", F.lit("geo"), wanted, F.col("c_custkey")).alias("folder"))
+
+
 @query()
 def synthesised_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -201,7 +226,16 @@ def synthesised_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.query_records(synth.synthesise(draws)).withColumn("trace_context", taxonomy.path_id(F.col("trace_context")))
 
 
-@query()
+@query(f"""WITH {_NODES},
+all_nodes AS (SELECT 'geo' AS framework, 'root' AS id, NULL AS parent_id, 'World' AS en, '世界' AS zh, 0 AS sib_pos UNION ALL SELECT 'geo', 'r' || r_regionkey, 'root', r_name, r_name, r_regionkey FROM region UNION ALL SELECT 'geo', 'n' || n_nationkey, 'r' || n_regionkey, n_name, n_name, n_nationkey FROM nation),
+p AS (SELECT string_split(ids, '→') AS ids, row_number() OVER (ORDER BY string_split(ids, '→')) - 1 AS place, count(*) OVER () AS n FROM paths),
+d AS (SELECT r_regionkey AS draw, (('0x' || substr(md5('3:path:' || r_regionkey), 1, 8))::BIGINT % 1000000) / 1000000.0 AS u, (('0x' || substr(md5('3:node:' || r_regionkey), 1, 8))::BIGINT % 1000000) / 1000000.0 AS v FROM region),
+k AS (SELECT draw, ids[2 + CAST(floor(v * (len(ids) - 1)) AS BIGINT)] AS parent_id FROM d JOIN p ON place = floor(u * n)),
+t AS (SELECT parent_id, substr(md5('# tag' || chr(10) || 'Suggest a new tag under ' || parent_id || '; siblings: ' || draw || '. JSON with id, en, zh.'), 1, 6) AS tag FROM k),
+l AS (SELECT parent_id, max(sib_pos) AS last FROM all_nodes GROUP BY 1),
+f AS (SELECT DISTINCT t.parent_id || '_' || tag AS id, t.parent_id, 'Tag ' || tag AS en, '标签 ' || tag AS zh FROM t)
+SELECT framework, id, parent_id, en, zh, CAST(sib_pos AS INTEGER) AS sib_pos FROM all_nodes
+UNION ALL SELECT 'geo', f.id, f.parent_id, f.en, f.zh, CAST(coalesce(l.last, -1) + row_number() OVER (PARTITION BY f.parent_id ORDER BY f.id) AS INTEGER) FROM f LEFT JOIN l ON l.parent_id = f.parent_id""")
 def taxonomy_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _nodes(spark, sf_dir)
     draws = table(spark, sf_dir, "region").select(F.lit("geo").alias("framework"), F.col("r_regionkey").alias("draw_id"))

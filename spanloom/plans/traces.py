@@ -183,14 +183,14 @@ _DIALECT_SQL = {
 
 def _dialect(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        m = _tool_message(table(spark, sf_dir, "conversations")).withColumn("c", F.get(calls.simple_calls(F.col("content")), 0))
-        return m.select("conv_id", "turn", dialects.render_call(F.col("c.name"), F.col("c.params"), name).alias("content"))
+        said = _tool_message(table(spark, sf_dir, "conversations")).withColumn("role", F.lit("assistant"))
+        return dialects.rewrite_messages(said, name).select("conv_id", "turn", "content")
 
     return run
 
 
 for _name, _sql in _DIALECT_SQL.items():
-    query(f"SELECT conv_id, turn, {_sql} AS content FROM conversations", f"dialect_{_name}")(_dialect(_name))
+    query(f"SELECT conv_id, turn, 'before ' || {_sql} AS content FROM conversations", f"dialect_{_name}")(_dialect(_name))
 
 
 @query(f"""SELECT conv_id, turn, role, 'before ' || CASE WHEN role = 'user' THEN '<tool_use><tool_name>' || role || '</tool_name><parameter><turn>' || turn || '</turn><conv>' || conv_id || '</conv></parameter></tool_use>' ELSE {_DIALECT_SQL['qwen']} END AS content FROM conversations""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def taxonomies(spark: SparkSession, path: str) -> DataFrame:
                     continue
             yield pd.DataFrame(rows, columns=schemas.TAXONOMY_NODES.names)
 
-    return spark.read.option("wholetext", True).text(path).mapInPandas(parse, schemas.TAXONOMY_NODES)
+    return spark.read.text(path, wholetext=True).mapInPandas(parse, schemas.TAXONOMY_NODES)
 
 
 def nested_tree(nodes: list[tuple[str, str | None, str, int]], parent: str | None = None) -> list[dict]:
@@ -99,7 +100,7 @@ def framework_configs(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     A file that isn't JSON gives no rows; what is missing is null, and
     :func:`config_violations` reports it.
     """
-    docs = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+\z", 1).alias("framework"), F.col("value").alias("j"))
+    docs = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+\z", 1).alias("framework"), F.col("value").alias("j"))
 
     def table(field: str, element: str, **renamed: str) -> DataFrame:
         rows = docs.select("framework", F.explode(F.from_json(F.get_json_object("j", field), f"array<{element}>")).alias("x"))
@@ -117,6 +118,57 @@ def framework_configs(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
+def yaml_as_json(spark: SparkSession, path: str) -> DataFrame:
+    """(path, framework, value): YAML documents under ``path`` as JSON text; what can't be read is null.
+
+    Read with PyYAML where it is installed, on the executors, one file a row.
+    """
+
+    @F.pandas_udf("string")
+    def as_json(texts: pd.Series) -> pd.Series:
+        import yaml
+
+        def one(text: str) -> str | None:
+            try:
+                return json.dumps(yaml.safe_load(text), ensure_ascii=False, default=str)
+            except yaml.YAMLError:
+                return None
+
+        return texts.map(one)
+
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
+    return docs.select("path", F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1).alias("framework"), as_json("value").alias("value"))
+
+
+def tool_schemas(tools: DataFrame, yamls: DataFrame) -> DataFrame:
+    """``tools`` with ``description`` and ``input_schema`` filled from the YAML file of each tool, where it has one.
+
+    A tool's file is the one that ``config_path`` ends in, else ``tools/<name>.yaml``, else ``tools/<name>.yml``.
+    """
+    files = yamls.select(F.regexp_replace("path", r"^.*/(?=[^/]+/[^/]+\z)", "").alias("__at"), F.col("value").alias("__doc")).dropDuplicates(["__at"])
+    wanted = F.array(F.regexp_replace(F.coalesce("config_path", F.lit("")), r"^.*/(?=[^/]+/[^/]+\z)", ""), F.concat(F.lit("tools/"), "tool_name", F.lit(".yaml")), F.concat(F.lit("tools/"), "tool_name", F.lit(".yml")))
+    found = tools.select("framework", "tool_name", F.posexplode(wanted).alias("__rank", "__at")).join(files, "__at").groupBy("framework", "tool_name").agg(F.min_by("__doc", "__rank").alias("__doc"))
+    joined = tools.join(found, ["framework", "tool_name"], "left")
+    part = lambda c: F.coalesce(F.get_json_object("__doc", f"$.{c}"), F.col(c))
+    return joined.withColumn("description", part("description")).withColumn("input_schema", part("input_schema")).drop("__doc")
+
+
+def available_frameworks(spark: SparkSession, path: str) -> DataFrame:
+    """(framework) of the folders under ``path`` that hold a ``meta.yaml``, in order."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "meta.yaml").option("recursiveFileLookup", True).load(path)
+    return found.select(F.regexp_extract("path", r"([^/]+)/meta\.yaml\z", 1).alias("framework")).distinct().orderBy("framework")
+
+
+#: Keys of a synthesis configuration that have a place of their own.
+CONFIG_KEYS = ["name", "description", "description_chinese", "agents", "tools", "mcp_servers", "workflow", "llm_configs"]
+
+
+def config_metadata(config: Column) -> Column:
+    """map from each other key of a JSON configuration to its JSON text."""
+    every = F.from_json(config, "map<string,string>")
+    return F.map_filter(every, lambda k, v: ~k.isin(CONFIG_KEYS))
+
+
 def config_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """(framework, item, problem): one row per broken constraint."""
     a, t, m, n = tables["agents"], tables["tools"], tables["llm_configs"], tables["nodes"]
