@@ -28,6 +28,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -53,6 +54,7 @@ ARCS = {"predicate": 1.0, "address": 1.0, "bare": 0.85, "intended": 1.0, "casual
 
 _CLAUSE = re.compile(r"[.!?;:\n]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
+_TERM = itemgetter(2)
 STEMS = (4, 5)
 #: So many different words of one beginning in a text make it a feature of its own.
 BURST = 3
@@ -208,8 +210,9 @@ class ToxicityModel:
 
     def parse(self, words: list[str]) -> tuple[float, float, tuple[str, ...], str] | None:
         """Best path of a clause: (weight of the path, its core's weight, names of the path's weights, the core's term); None where no core stands."""
-        read = [self.classify(w) for w in words]
-        if not any(term for _, _, term in read):
+        known = self._known
+        read = [known.get(w) or self.classify(w) for w in words]
+        if not any(map(_TERM, read)):
             return None
         active: dict[int, tuple] = {0: (1.0, 1.0, (), "")}
         for symbols, lexical, term in read:
