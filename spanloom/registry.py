@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import baseline, blocks, streams, synthesis, traces
+from .plans import baseline, blocks, files, streams, synthesis, traces
 
-_ALL = (traces.query, blocks.query, synthesis.query, streams.query, baseline.query)
+_ALL = (traces.query, blocks.query, synthesis.query, files.query, streams.query, baseline.query)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
