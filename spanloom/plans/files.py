@@ -126,14 +126,14 @@ def valid_lines_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select("value")
 
 
-@query("""SELECT n_regionkey, count(*) AS n, sum(n_nationkey) AS total FROM nation GROUP BY 1""")
+@query("""SELECT n_regionkey, count(*) AS n, CAST(sum(n_nationkey) AS BIGINT) AS total FROM nation GROUP BY 1""")
 def array_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sinks.as_json_array(table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey"), ["n_regionkey"])
     rows = docs.select("n_regionkey", F.explode(F.from_json("document", "array<struct<n_nationkey:bigint>>")).alias("x"))
     return rows.groupBy("n_regionkey").agg(F.count("x").alias("n"), F.sum("x.n_nationkey").alias("total"))
 
 
-@query("""SELECT r_regionkey, r_regionkey = 0 AS is_new FROM region WHERE r_regionkey % 2 = 0""")
+@query("""SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_regionkey = 0 AS is_new FROM region WHERE r_regionkey % 2 = 0""")
 def changed_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of even regions have another hash than the stored one, or (region 0) none at all."""
     path = shared_folder(spark, "hashes")

@@ -219,7 +219,42 @@ def file_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", F.size(plan).cast("bigint").alias("n_files"), F.get(plan, 0)["name"].alias("name"), X.download_folder("base", F.lit("geo"), wanted, F.col("c_custkey")).alias("folder"))
 
 
-@query()
+def _md5_number(text: str, n: int) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % {n})"
+
+
+def _search_sql(term: str) -> str:
+    lines = " || chr(10) || ".join(f"'{i + 1}. ' || substr({term}, 1, 40) || ' {i} - about ' || substr({term}, 1, 40) || ' (https://site{i}.example/' || {_md5_number(term, 1000)} || ')'" for i in range(5))
+    return f"'Search: ' || {term} || chr(10) || {lines}"
+
+
+def _short_sql(text: str) -> str:
+    flat = f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+    return f"CASE WHEN length({flat}) <= 80 THEN {flat} ELSE rtrim(regexp_extract({flat}, '^(.{{0,77}}) ', 1)) || '...' END"
+
+
+#: Every stage in SQL: the stub services answer by the md5 of their prompts.
+_SYNTHESIS = f"""WITH a AS (SELECT c_custkey AS id, n_name AS problem_type, c_mktsegment || ' ' || c_name AS persona0 FROM customer JOIN nation ON c_nationkey = n_nationkey),
+b AS (SELECT *, {_md5_number("'# suitability' || chr(10) || 'Persona: ' || persona0 || chr(10) || 'Framework: geo' || chr(10) || 'Answer SUITABLE or NOT_SUITABLE.'", 4)} = 0 AS rewritten,
+  substr(md5('# rewrite' || chr(10) || 'Rewrite this persona so that it fits geo: ' || persona0), 1, 6) AS tag FROM a),
+c AS (SELECT *, CASE WHEN rewritten THEN '**EASY:** question ' || tag || ' one' || chr(10) || '**MEDIUM:** question ' || tag || ' two' || chr(10) || '**HARD:** question ' || tag || ' three' ELSE persona0 END AS persona,
+  {_md5_number("'0:search:' || id", 1000000)} / 1000000.0 < 0.3 AS used_web_search, {_md5_number("'0:difficulty:' || id", 1000000)} / 1000000.0 AS u FROM b),
+d AS (SELECT *, {_short_sql("problem_type || ' ' || persona")} AS term1, {_short_sql("problem_type")} AS term2, CASE WHEN u < 0.2 THEN 'easy' WHEN u < 0.7 THEN 'medium' ELSE 'hard' END AS difficulty FROM c),
+e AS (SELECT *, CASE WHEN used_web_search THEN {_search_sql("term1")} || chr(10) || chr(10) || {_search_sql("term2")} ELSE '' END AS search_context FROM d),
+f AS (SELECT *, 'question ' || substr(md5('# queries' || chr(10) || 'Persona: ' || persona || chr(10) || 'Problem type: ' || problem_type || chr(10) || 'Tools: search, lookup' || chr(10) || search_context || chr(10) || 'Write one EASY, one MEDIUM and one HARD query.'), 1, 6)
+  || CASE difficulty WHEN 'easy' THEN ' one' WHEN 'medium' THEN ' two' ELSE ' three' END AS asked FROM e),
+g AS (SELECT *, '# files' || chr(10) || 'Does this query need local files? JSON with requires_files, reason, required_items: ' || asked AS p FROM f),
+h AS (SELECT *, {_md5_number("p", 3)} = 0 AS needs, 'table-' || substr(md5(p), 1, 6) AS item FROM g),
+i AS (SELECT *, substr(md5('# plan' || chr(10) || 'Which public files does this query need? JSON with files (name, url, description): ' || asked || chr(10) || 'Items: ' || item), 1, 6) AS file FROM h),
+j AS (SELECT *, CASE WHEN needs AND {_md5_number("'https://files.example/' || file || '.csv'", 5)} <> 0
+  THEN 'use the files of ' || substr(md5('# with files' || chr(10) || 'Rewrite this query so that it uses these files, as JSON with query: ' || asked || chr(10) || 'Files: downloads/geo/' || replace(asked, ' ', '-') || '-' || id || '/table-' || file || '.csv'), 1, 6) ELSE asked END AS exact,
+  {_md5_number("'0:fuzzify:' || id", 1000000)} / 1000000.0 < 0.3 AS fuzzified FROM i)
+SELECT CASE WHEN fuzzified THEN 'something about ' || substr(md5('# fuzzify' || chr(10) || 'Make this query less exact, as JSON with fuzzy_query: ' || exact), 1, 6) ELSE exact END AS query, difficulty, problem_type, 'root→' || problem_type AS trace_context, 'geo' AS framework,
+  needs AS requires_local_files, used_web_search, fuzzified, CASE WHEN fuzzified THEN exact END AS original_query,
+  '{{"persona_was_rewritten":' || rewritten || CASE WHEN needs THEN ',"file_requirement_reason":"stub","file_required_items":["' || item || '"]' ELSE '' END || ',"source":"synth"}}' AS metadata FROM j"""
+
+
+@query(_SYNTHESIS)
 def synthesised_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     draws = d.select(F.col("c_custkey").alias("draw_id"), F.lit("geo").alias("framework"), F.concat_ws(" ", "c_mktsegment", "c_name").alias("persona"), F.col("n_name").alias("problem_type"), F.array(F.lit("root"), F.col("n_name")).alias("trace_context"), F.lit("search, lookup").alias("capabilities"))
