@@ -160,7 +160,17 @@ def xml_filter_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.filter_statistics(quality.filter_valid(c.select(line.alias("line"))))
 
 
-@query()
+#: Fixed values in SQL: what a tag's name holds, and the elements that need no closer.
+_TAG_NAME = r"[A-Za-z\x{4e00}-\x{9fff}][\p{L}\p{N}_:-]*"
+_TAG_STACK = rf"""WITH RECURSIVE t AS (SELECT page_id, list_filter(regexp_extract_all(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g'), '</?{_TAG_NAME}(?:>|/>|\s[^>]*>)'),
+  lambda x: NOT regexp_full_match(x, '</?{_TAG_NAME}/>') AND NOT (x NOT LIKE '</%' AND lower(regexp_extract(x, '^<({_TAG_NAME})', 1)) IN ('br', 'img', 'hr', 'input', 'meta', 'link'))) AS tags FROM pages),
+n AS (SELECT page_id, list_transform(tags, lambda x: x LIKE '</%') AS closer, list_transform(tags, lambda x: regexp_extract(x, '^</?({_TAG_NAME})', 1)) AS name FROM t),
+w(page_id, place, waiting, errors) AS (SELECT page_id, 1, []::VARCHAR[], 0 FROM n
+  UNION ALL SELECT page_id, place + 1, CASE WHEN NOT closer[place] THEN list_append(waiting, name[place]) ELSE waiting[1:len(waiting) - 1] END, errors + CASE WHEN closer[place] AND waiting[-1] IS DISTINCT FROM name[place] THEN 1 ELSE 0 END FROM w JOIN n USING (page_id) WHERE place <= len(name))
+SELECT page_id, CAST(errors + len(waiting) AS BIGINT) AS n_errors FROM w JOIN n USING (page_id) WHERE place = len(name) + 1"""
+
+
+@query(_TAG_STACK)
 def tag_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     return p.select("page_id", F.size(quality.tag_balance()(F.col("html"))).cast("long").alias("n_errors"))
