@@ -12,6 +12,7 @@ from spanloom.llm.packing import Encoder
 from spanloom.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
+KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +45,29 @@ def test_stage_names_and_columns(planted, spark):
         assert out.columns == docs.columns
 
 
+def test_stages_bound_what_workers_get_at_once(planted, spark):
+    """After each stage's call, when its result is computed, a partition of large texts reaches a worker in small batches; a caller's own bound stays."""
+    import pyarrow as pa
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.nbytes], pa.int64())})
+
+    large = spark.range(0, 4000, 1, 1).selectExpr("repeat('x', 4096 + cast(id % 2 as int)) AS text")
+    largest = lambda: max(r.n for r in large.mapInArrow(held, "n bigint").collect())
+    few, before = planted[0].filter("doc_id > 900004").coalesce(1), spark.conf.get(KEY, None)
+    try:
+        for _, f in C.STAGES:
+            spark.conf.unset(KEY)
+            f(spark, few, SF)
+            assert largest() < 5 << 20, f.__name__
+        spark.conf.set(KEY, "1m")
+        C.language(spark, few, SF)
+        assert largest() < 2 << 20
+    finally:
+        spark.conf.unset(KEY) if before is None else spark.conf.set(KEY, before)
+
+
 def test_language_stage(planted, spark):
     docs, _, _ = planted
     kept = texts(C.language(spark, docs, SF))
