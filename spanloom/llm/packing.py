@@ -11,7 +11,6 @@ their number within their length, with joins only.
 
 from __future__ import annotations
 
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -21,9 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, SLICE_ROWS, materialize
+from .common import materialize
 
 END = b"\0\0\0\0"
+#: Rows encoded at a time, in slices of about this many bytes; the larger a slice, the fewer chunks that Python looks up, and the more memory.
+ROWS, BYTES = 512, 1 << 20
+#: Chunks whose ids are put in place at a time; bounds the index arrays when a text is long.
+GATHER = 1 << 14
 
 
 # The byte-level tokenizer's pattern of pre-tokens and its printable stand-ins for the 256 bytes.
@@ -42,8 +45,9 @@ class Encoder:
 
     The pre-tokeniser never joins a space with what precedes it, so a text whose
     only white space is single spaces and line feeds can be encoded chunk by
-    chunk (a chunk has the space before it); any other text, and one that holds
-    an added token, is encoded as a whole.  A chunk that the first cache lacks is cut into pre-tokens; one that
+    chunk (a chunk starts at the text's start or at a space, which belongs to it); any other text, and one that holds
+    an added token, is encoded as a whole.  Chunks are told apart in Arrow, so Python sees each distinct one of a call once.
+    A chunk that the first cache lacks is cut into pre-tokens; one that
     the second lacks goes through the tokenizer's own merge model.
     """
 
@@ -69,37 +73,60 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            spelled = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            if word.isascii() and word.isprintable():  # only the space has a stand-in
+                spelled = word.replace(" ", self.letters[32])
+            else:
+                spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
             if len(self.words) < self.most_words:
                 self.words[word] = found
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        """A chunk without the space before it, encoded with it."""
-        if chunk.isalpha():
-            found = self._word(" " + chunk)
-        elif chunk[-1:] in (".", ",", "!", ";") and chunk[:-1].isalpha():
-            found = self._word(" " + chunk[:-1]) + self._word(chunk[-1])
+        """A chunk with the space before it, if it has one."""
+        bare = chunk.removeprefix(" ")
+        if bare.isalpha():
+            found = self._word(chunk)
+        elif bare[-1:] in (".", ",", "!", ";") and bare[:-1].isalpha():
+            found = self._word(chunk[:-1]) + self._word(chunk[-1])
         else:
-            found = b"".join(map(self._word, self.pre_tokens(" " + chunk)))
+            found = b"".join(map(self._word, self.pre_tokens(chunk)))
         if len(self.chunks) < self.most:
             self.chunks[chunk] = found
         return found
 
-    def _text(self, text: str) -> bytes:
-        if any(w in text for w in self.odd):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        first, *rest = text.split(" ")
-        out = list(map(self.chunks.get, rest))
-        if None in out:
-            make = self._chunk
-            out = [make(c) if x is None else x for c, x in zip(rest, out, strict=True)]
-        return b"".join([*map(self._word, self.pre_tokens(first)), *out])
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        """Texts without odd white space or added tokens."""
+        whole = pa.array(texts, pa.large_string())
+        _, offsets, data = whole.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(texts) + 1)
+        if not ends[-1]:
+            return [b""] * len(texts)
+        starts = np.frombuffer(data, np.uint8, ends[-1]) == ord(" ")
+        starts[ends[:-1][ends[:-1] < ends[-1]]] = True
+        at = np.append(np.flatnonzero(starts), ends[-1])
+        del starts
+        coded = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), data).dictionary_encode()
+        which = coded.indices.to_numpy()
+        get, make = self.chunks.get, self._chunk
+        # through numpy, as `to_pylist` makes a scalar of each first
+        found = [make(c) if (x := get(c)) is None else x for c in coded.dictionary.to_numpy(zero_copy_only=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
+        # a text's ids end where those of its last chunk end
+        upto = np.concatenate([[0], np.cumsum(sizes[which])])
+        cuts = upto[np.searchsorted(at[:-1], ends)]
+        out = np.empty(upto[-1], "<u4")
+        for lo in range(0, len(which), GATHER):
+            w = which[lo : lo + GATHER]
+            a, b = upto[lo], upto[lo + len(w)]
+            out[a:b] = ids[np.repeat(first[w] - upto[lo : lo + len(w)], sizes[w]) + np.arange(a, b)]
+        return [out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self._text(t) for t in texts]
+        odd = [any(w in text for w in self.odd) for text in texts]
+        plain = iter(self._texts([t for t, o in zip(texts, odd, strict=True) if not o]))
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if o else next(plain) for t, o in zip(texts, odd, strict=True)]
 
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -178,7 +205,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         part, encoder, seen = TaskContext.get().partitionId(), Encoder(tokenizer_path, cache, cache), [0] * (capacity + 1)
         for batch in batches:
             texts = batch.column(1)
-            step = max(1, min(SLICE_ROWS, SLICE_BYTES // max(1, texts.nbytes // max(1, len(texts)))))
+            step = max(1, min(ROWS, BYTES // max(1, texts.nbytes // max(1, len(texts)))))
             for at in range(0, len(batch), step):
                 row, rows = [], []
                 for i, ids in enumerate(encoder.encode([x or "" for x in texts.slice(at, step).to_pylist()])):

@@ -97,6 +97,40 @@ def test_added_tokens_are_the_tokenizers(text):
     assert np.frombuffer(P.Encoder(tokenizer_path(), most=50).encode([text])[0], "<u4").tolist() == want
 
 
+class Lookups(dict):
+    """Counts what is asked of it."""
+
+    asked = 0
+
+    def get(self, *args):
+        self.asked += 1
+        return super().get(*args)
+
+
+def test_chunks_are_looked_up_once_a_call():
+    """Each distinct chunk of a call, not each place where one stands."""
+    encoder = P.Encoder(tokenizer_path())
+    encoder.chunks = Lookups()
+    texts = ["one two, three\nfour " * 50 + "end"] * 20
+    want = encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == [want] * 20
+    assert encoder.chunks.asked == 5  # "one", " two,", " three\nfour", " one", " end"
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.text(alphabet="ab éĠ中\x00.\n\t '1,", max_size=12), max_size=8), st.integers(1, 5))
+def test_texts_of_a_call_are_kept_apart(texts, block):
+    """Texts that are empty or start or end with a space, side by side, with ids put in place in small blocks."""
+    own = test_texts_of_a_call_are_kept_apart.encoder
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(P, "GATHER", block)
+        found = own.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+test_texts_of_a_call_are_kept_apart.encoder = P.Encoder(tokenizer_path(), most=20, most_words=20)
+
+
 def test_packing(spark, sample):
     docs, texts = sample
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "word " * 9000), (-4, "<|endoftext|>"), (-4, "<|endoftext|>")], "doc_id long, text string")
