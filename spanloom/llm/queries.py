@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster_centroids
 from .common import held_out, load
+from .conversation_repair import repair_conversations
 from .decontaminate import contaminated, matches
 from .exact_dedup import exact_report
 from .html_extract import extract_main_text
@@ -15,6 +17,7 @@ from .language_id import fit_language_model, identify_language
 from .line_dedup import dedup_lines
 from .packing import pack_documents
 from .quality import fit_quality_model, score_quality
+from .quality_rules import apply_rules, fit_ratio_model
 from .simhash import simhash_components
 from .toxicity import fit_toxicity_model, score_toxicity
 from .warc import build_derivatives, responses
@@ -84,6 +87,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_ratio_model(docs, load(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    return apply_rules(docs, model).drop("text")
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_centroids(load(spark, sf_dir, "embeddings"), k=16, rounds=3, size=64)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(load(spark, sf_dir, "conversations"))
+
+
 _OP5_SQL = r"""
 WITH l AS (
   SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
@@ -129,9 +146,106 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
 
+#: CRC-32 in SQL: its table of bytes, and of a text's UTF-8 bytes in hexadecimal.
+_CRC_TABLE = "crc AS MATERIALIZED (SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n) AS c FROM range(256) AS r(n)))"
+
+
+def _crc(text: str) -> str:
+    digit = "strpos('0123456789ABCDEF', hex(encode({0}))[{1}])".format
+    byte = f"({digit(text, 'i')} - 1) * 16 + {digit(text, 'i + 1')} - 1"
+    return f"xor(list_reduce(list_transform(range(1, 2 * octet_length(encode({text})) + 1, 2), lambda i: {byte}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+_OP11_SQL = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+k AS MATERIALIZED (SELECT word, {_crc('word')} AS c FROM (SELECT DISTINCT word FROM e), crc),
+c AS (SELECT doc_id, i, c, lead(c) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM e JOIN k USING (word)),
+g AS MATERIALIZED (SELECT doc_id, c % 65536 AS b FROM c UNION ALL SELECT doc_id, (c * 31 + nxt) % 65536 FROM c WHERE nxt IS NOT NULL),
+l AS (SELECT doc_id, {_crc("CAST(doc_id AS VARCHAR)")} AS h FROM labels, crc WHERE doc_id IS NOT NULL AND quality IS NOT NULL
+      GROUP BY doc_id, t HAVING min(quality) = 1 AND max(quality) = 1 AND h % 3 <> 1 ORDER BY h, doc_id LIMIT 8000),
+r AS (SELECT b, count(*) AS raw, count(*) FILTER (h // 3 % 4 <> 0) AS trusted FROM g LEFT JOIN l USING (doc_id) GROUP BY 1),
+n AS (SELECT coalesce(sum(raw), 0) + 65536 AS nr, coalesce(sum(trusted), 0) + 65536 AS nt FROM r),
+wt AS (SELECT b, CAST(round(ln((trusted + 1) * nr / ((raw + 1) * nt)) * 1000) AS BIGINT) AS weight FROM r, n),
+s AS (SELECT doc_id, CAST(floor(CAST(sum(weight) AS BIGINT) / count(*)) AS BIGINT) AS ratio FROM g JOIN wt USING (b) GROUP BY 1),
+lim AS (SELECT coalesce(quantile_disc(ratio, 0.002), -4611686018427387904) AS least FROM s JOIN l USING (doc_id) WHERE h // 3 % 4 = 0),
+v AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS times FROM v) WHERE times > 1) GROUP BY 1),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
+o AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+       CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, ratio
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN s USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND coalesce(ratio, 0) >= (SELECT least FROM lim) AS kept FROM o
+"""
+
+
+def _op12_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every round as two tables: assignments, then centroids; components as rows."""
+    out = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {k})),"""
+    for i in range(rounds + 1):
+        out += f"""
+a{i} AS MATERIALIZED (SELECT r, min((dist, c)) AS best FROM (SELECT r, c, CAST(list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i]))) AS BIGINT) AS dist FROM v, c{i} AS c) GROUP BY r),"""
+        if i < rounds:
+            out += f"""
+m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (SELECT best[2] AS c, i, sum(x[i]) AS s, count(*) AS n FROM a{i} JOIN v USING (r), range(1, 65) AS q(i) GROUP BY ALL) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.x, o.x) AS x FROM c{i} AS o LEFT JOIN m{i} AS m USING (c)),"""
+    return (
+        out
+        + f"""
+f AS (SELECT r, vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance FROM a{rounds} JOIN v USING (r))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(x, ',')) AS centroid_sha256 FROM f JOIN c{rounds} AS c ON c.c = cluster
+"""
+    )
+
+
+_OP13_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc("k")} % 20 AS f
+        FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations), crc),
+hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM raw WHERE f <> 0),
+rows_ AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM hurt),
+x AS MATERIALIZED (SELECT conv_id, turn, role, text, i, role[1] AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+       WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault FROM rows_),
+delta AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS t(p, o, q)),
+ins AS (SELECT * FROM (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')) AS t(p, q, c, l)),
+arcs AS MATERIALIZED (
+  SELECT conv_id, i, p, q, min((c, l)) AS w FROM (
+    SELECT conv_id, i, ins.p, ins.q AS q, ins.c + 2 AS c, ins.l || 'D' AS l FROM x, ins
+    UNION ALL SELECT conv_id, i, ins.p, d.q, ins.c + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, ins.l || 'K' FROM x JOIN delta d ON d.o = ini JOIN ins ON ins.q = d.p WHERE fault IN ('', 'truncated')
+    UNION ALL SELECT conv_id, i, ins.p, d.q, ins.c + 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, ins.l || 'R' FROM x JOIN delta d ON d.o <> 's' JOIN ins ON ins.q = d.p WHERE fault IN ('', 'truncated')
+  ) GROUP BY ALL),
+best AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS c, '' AS l FROM x
+  UNION ALL
+  SELECT conv_id, i, q, w[1], w[2] FROM (SELECT a.conv_id, a.i, a.q, min((CAST(b.c + a.w[1] AS BIGINT), b.l || a.w[2])) AS w FROM best b JOIN arcs a ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.i = b.i + 1 AND a.p = b.q GROUP BY ALL)
+),
+n AS (SELECT conv_id, max(i) AS n FROM x GROUP BY 1),
+ends AS (SELECT b.conv_id, min((CAST(b.c + ins.c AS BIGINT), b.l || ins.l)) AS w FROM best b JOIN n ON n.conv_id IS NOT DISTINCT FROM b.conv_id AND n.n = b.i JOIN ins ON ins.p = b.q WHERE ins.q IN (0, 3) GROUP BY 1),
+lab AS (SELECT conv_id, w[2] AS l, j, w[2][j] AS e FROM (SELECT conv_id, w, unnest(range(1, length(w[2]) + 1)) AS j FROM ends)),
+pos AS (SELECT *, count(*) FILTER (e <> 'I') OVER u AS i, count(*) FILTER (e <> 'D') OVER u AS o, count(*) FILTER (e <> 'D') OVER (PARTITION BY conv_id) AS total FROM lab WINDOW u AS (PARTITION BY conv_id ORDER BY j)),
+fixed AS (SELECT pos.conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role ELSE CASE WHEN (o - 1 - total % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS sha
+          FROM pos LEFT JOIN x ON x.conv_id IS NOT DISTINCT FROM pos.conv_id AND x.i = pos.i WHERE e <> 'D' GROUP BY 1),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+          count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM (SELECT *, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM x) GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(w[1], 0) AS cost, coalesce(w[2], '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN fixed x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_quality, op4_packing, op5_line_dedup, op6_simhash, op7_exact_dedup, op8_language_id, op9_decontamination, op10_warc)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_quality, op4_packing, op5_line_dedup, op6_simhash, op7_exact_dedup, op8_language_id, op9_decontamination, op10_warc, op11_quality_rules, op12_centroid_clustering, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": _OP5_SQL, "op7_exact_dedup": _OP7_SQL, "op9_decontamination": _OP9_SQL}
+    return {
+        "op5_line_dedup": _OP5_SQL, "op7_exact_dedup": _OP7_SQL, "op9_decontamination": _OP9_SQL,
+        "op11_quality_rules": _OP11_SQL, "op12_centroid_clustering": _op12_sql(), "op13_conversation_repair": _OP13_SQL,
+    }
