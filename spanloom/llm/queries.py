@@ -209,9 +209,12 @@ raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') A
         FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations), crc),
 hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
          unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM raw WHERE f <> 0),
-rows_ AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM hurt),
-x AS MATERIALIZED (SELECT conv_id, turn, role, text, i, role[1] AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
-       WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault FROM rows_),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hurt),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+x AS MATERIALIZED (SELECT conv_id, turn, role, text, i, role[1] AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+       WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM rows_),
 delta AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS t(p, o, q)),
 ins AS (SELECT * FROM (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')) AS t(p, q, c, l)),
 arcs AS MATERIALIZED (
