@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import append_columns
 
 # Elements by their role in HTML.
-NO_TEXT = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "math", "head", "title", "textarea"}
+NO_TEXT = {"script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "head", "title", "textarea"}
 NOT_CONTENT = {"nav", "footer", "aside", "button", "select", "menu", "dialog"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
@@ -57,27 +57,33 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
 class Element:
-    """An element of the page: its path, the element around it, and what markup says of it."""
+    """An element of the page: its path, the element around it, and what markup says of it.
 
-    __slots__ = ("above", "article", "declared", "headline", "level", "link", "own", "path", "prose", "tag", "unseen")
+    A path is a number, given to each pair of the path above and a step by the
+    page's table ``paths``; an element knows only its neighbours upwards, so memory
+    grows with the page and not with its depth.
+    """
+
+    __slots__ = ("above", "article", "declared", "headline", "level", "link", "own", "path", "prose", "tag", "unseen", "wider")
 
-    def __init__(self, tag: str, step: str, level: int, above: Element | None) -> None:
+    def __init__(self, tag: str, step: str, level: int, above: Element | None, paths: dict[tuple[int, str, int], int]) -> None:
         self.tag, self.own, self.above = tag, level, above
-        self.path: tuple[str, ...] = (*above.path, f"{step}!{level}" if level else step) if above else ()
+        self.path: int = paths.setdefault((above.path, step, level), len(paths) + 1) if above else 0
         self.prose = tag in PROSE or (tag in INLINE and above is not None and above.prose)
         self.headline = tag in ("h1", "h2") or (tag in INLINE and above is not None and above.headline)
         self.link = tag == "a" or (above is not None and above.link)
         self.unseen = tag in NO_TEXT or (above is not None and above.unseen)
-        around, declared, article = (above.level, above.declared, above.article) if above else (0, (), False)
+        around, declared, article = (above.level, above.declared, above.article) if above else (0, None, False)
         if tag in ("article", "main") and around == 1:
-            around, declared = 0, ()
-        #: The surest level of the element and those around it; the elements of level 1 and 2 among them; in an article, main or so named element.
+            around, declared = 0, None
+        #: The surest level of the element and those around it; the nearest element of level 1 and 2 among them, and the next such around that; in an article, main or so named element.
         self.level = max(level, around)
-        self.declared: tuple[Element, ...] = (*declared, self) if level in (1, 2) else declared
+        self.wider: Element | None = declared
+        self.declared: Element | None = self if level in (1, 2) else declared
         self.article = article or tag in ("article", "main") or not OWN.isdisjoint(step.split(".")[1:])
 
 
-ROOT = Element("", "", 0, None)
+ROOT = Element("", "", 0, None, {})
 
 
 @dataclass(slots=True)
@@ -91,7 +97,7 @@ class Node:
     size: int
 
     @property
-    def path(self) -> tuple[str, ...]:
+    def path(self) -> int:
         return self.at.path
 
 
@@ -121,7 +127,15 @@ def nodes(page: str) -> list[Node]:
     """Text nodes in page order.  Broken markup is read as far as it goes."""
     out: list[Node] = []
     stack: list[Element] = [ROOT]
+    paths: dict[tuple[int, str, int], int] = {}
+    closable: dict[str, int] = {}  # open elements by tag
     block = 0
+
+    def close(at: int) -> None:
+        for e in stack[at:]:
+            closable[e.tag] -= 1
+        del stack[at:]
+
     for m in _TOKEN.finditer(page):
         tag = m["tag"]
         if tag is None:
@@ -136,22 +150,23 @@ def nodes(page: str) -> list[Node]:
         if tag not in INLINE:
             block += 1
         if m["end"]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
+            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None) if closable.get(tag) else None
             if at is not None and (tag not in INLINE or not any(x.tag in BARRIER for x in stack[at + 1 :])):
-                del stack[at:]
+                close(at)
         elif tag not in VOID and not m["attrs"].endswith("/"):
             group = CLOSES.get(tag) or ({"p"} if tag not in INLINE else None)
             if group:  # an open paragraph or item ends here
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in group:
-                        del stack[i:]
+                        close(i)
                         break
                     if stack[i].tag in BARRIER:
                         break
             step, level = _label(tag, m["attrs"])
-            if tag == "header" and not any(x.tag in ("article", "main") for x in stack):  # the page's own; an article's header holds its headline
+            if tag == "header" and not (closable.get("article") or closable.get("main")):  # the page's own; an article's header holds its headline
                 level = max(level, 1)
-            stack.append(Element(tag, step, level, stack[-1]))
+            stack.append(Element(tag, step, level, stack[-1], paths))
+            closable[tag] = closable.get(tag, 0) + 1
     return out
 
 
@@ -170,12 +185,12 @@ def _blocks(found: list[Node]) -> str:
     return "\n".join(lines)
 
 
-def path_scores(found: list[Node], width: float = 1.0) -> dict[tuple[str, ...], float]:
+def path_scores(found: list[Node], width: float = 1.0) -> dict[int, float]:
     """Smoothed, fused ratio of each path; paths in the order of their first node."""
-    length: dict[tuple, float] = {}
-    marks: dict[tuple, float] = {}
-    count: dict[tuple, int] = {}
-    prior: dict[tuple, float] = {}
+    length: dict[int, float] = {}
+    marks: dict[int, float] = {}
+    count: dict[int, int] = {}
+    prior: dict[int, float] = {}
     for node in found:
         if node.size:
             path = node.path
@@ -200,7 +215,7 @@ def path_scores(found: list[Node], width: float = 1.0) -> dict[tuple[str, ...],
     return dict(zip(paths, map(float, fused), strict=True))
 
 
-def _chosen(scores: dict[tuple[str, ...], float]) -> set[tuple[str, ...]]:
+def _chosen(scores: dict[int, float]) -> set[int]:
     """Paths that reach the page's threshold."""
     best = max(scores.values(), default=0.0)
     least = max(THRESHOLD * best, sum(scores.values()) / max(1, len(scores)))
@@ -212,9 +227,12 @@ def main_text(page: str) -> str:
     found = nodes(page)
     freed = _holding_most(found)
     if freed:
+        left: dict[Element, int] = {}  # the surest level of what is declared from an element upwards, but for the freed
+        for e in _declared(found):
+            left[e] = max(0 if e in freed else e.own, left[e.wider] if e.wider else 0)
         for node in found:
             if node.level < 3:
-                node.level = max((e.own for e in node.at.declared if e not in freed), default=0)
+                node.level = left[node.at.declared] if node.at.declared else 0
     chosen = _chosen(path_scores(found))
     selected = [n.path in chosen for n in found]
     # where much of the selected text is in paragraphs, text that stands bare in a layout element selects nothing
@@ -223,6 +241,30 @@ def main_text(page: str) -> str:
     return _blocks(_grown(found, selected))
 
 
+def _declared(found: list[Node]) -> list[Element]:
+    """The elements of level 1 and 2 around text nodes, each after those around it."""
+    out: dict[Element, None] = {}
+    for n in found:
+        e, chain = n.at.declared, []
+        while e is not None and e not in out:
+            chain.append(e)
+            e = e.wider
+        out.update(dict.fromkeys(reversed(chain)))
+    return list(out)
+
+
+def _held(order: list[Element], some: list[Node]) -> dict[Element, int]:
+    """Characters of ``some`` nodes inside each of the declared elements."""
+    held = dict.fromkeys(order, 0)
+    for n in some:
+        if n.at.declared is not None:
+            held[n.at.declared] += n.size
+    for e in reversed(order):
+        if e.wider is not None:
+            held[e.wider] += held[e]
+    return held
+
+
 def _holding_most(found: list[Node]) -> set[Element]:
     """Elements of level 1 or 2 that hold most of the text, of all and of the chosen paths.
 
@@ -230,44 +272,39 @@ def _holding_most(found: list[Node]) -> set[Element]:
     headline (h1 or h2) stands outside and none inside.
     """
     can = [n for n in found if n.level < 3]
-    held: dict[Element, int] = {}
-    for n in can:
-        for e in n.at.declared:
-            held[e] = held.get(e, 0) + n.size
+    order = _declared(can)
     half = sum(n.size for n in can) / 2
-    big = {e for e, size in held.items() if size > half}
+    big = {e for e, size in _held(order, can).items() if size > half}
     if not big:
         return big
     free = [Node(n.at, n.block, n.text, 0, n.size) for n in can]
     chosen = _chosen(path_scores(free))
+    headed = [n for n in can if n.size and n.at.headline]
+    outside, inside = any(n.at.declared is None for n in headed), _held(order, headed)
     can = [n for n in can if n.path in chosen]
     total = sum(n.size for n in can)
     if sum(n.size for n in can if n.at.article and not n.level) >= 0.1 * total:
         return set()
-    headed = [n.at.declared for n in found if n.size and n.level < 3 and n.at.headline]
-    outside = any(not d for d in headed)
-    return {e for e in big if 2 * sum(n.size for n in can if e in n.at.declared) > total and (not outside or any(e in d for d in headed))}
+    held = _held(order, can)
+    return {e for e in big if 2 * held[e] > total and (not outside or inside[e])}
 
 
 class _Part:
     """A node of the page's tree: an element with its parts, or a run of text."""
 
-    __slots__ = ("above", "chosen", "element", "linked", "nodes", "open", "parts", "size")
+    __slots__ = ("above", "chosen", "element", "leaf", "linked", "nodes", "open", "parts", "size")
 
     def __init__(self, element: Element | None, above: _Part | None) -> None:
         self.element, self.above = element, above
         self.parts: list[_Part] = []
         self.nodes: list[int] = []  # places of the text nodes that are direct children
         self.size = self.chosen = self.linked = self.open = 0  # characters: in all, of chosen nodes, in links, not declared to be something else
+        self.leaf = True  # a block without blocks inside, or a run of text
 
     @property
     def tag(self) -> str:
         return self.element.tag if self.element else ""
 
-    def leaf(self) -> bool:
-        """A block without blocks inside, or a run of text."""
-        return self.element is None or all(p.element is None or (p.tag in INLINE and p.leaf()) for p in self.parts)
-
     def prose(self) -> bool:
         return self.element is None or self.tag in INLINE or self.tag in PROSE
 
@@ -275,27 +312,30 @@ class _Part:
 def _tree(found: list[Node], chosen: list[bool]) -> _Part:
     """The page's elements that hold text, with their sums."""
     root = _Part(ROOT, None)
-    made = {id(ROOT): root}
-
-    def part(e: Element) -> _Part:
-        if id(e) not in made:
-            above = part(e.above)
-            made[id(e)] = _Part(e, above)
-            above.parts.append(made[id(e)])
-        return made[id(e)]
-
+    made, order = {id(ROOT): root}, [root]  # every part after the one above it
     for i, node in enumerate(found):
-        at = part(node.at)
+        e, missing = node.at, []
+        while id(e) not in made:
+            missing.append(e)
+            e = e.above
+        at = made[id(e)]
+        for e in reversed(missing):
+            at.parts.append(inner := _Part(e, at))
+            order.append(inner)
+            made[id(e)] = at = inner
         if not at.parts or at.parts[-1].element is not None:
-            at.parts.append(_Part(None, at))
+            at.parts.append(run := _Part(None, at))
+            order.append(run)
         run = at.parts[-1]
         run.nodes.append(i)
-        while run is not None:
-            run.size += node.size
-            run.chosen += node.size if chosen[i] else 0
-            run.linked += node.size if node.at.link else 0
-            run.open += node.size if node.level == 0 else 0
-            run = run.above
+        run.size += node.size
+        run.chosen += node.size if chosen[i] else 0
+        run.linked += node.size if node.at.link else 0
+        run.open += node.size if node.level == 0 else 0
+    for part in reversed(order):
+        if (above := part.above) is not None:
+            above.size, above.chosen, above.linked, above.open = above.size + part.size, above.chosen + part.chosen, above.linked + part.linked, above.open + part.open
+            above.leaf = above.leaf and (part.element is None or (part.tag in INLINE and part.leaf))
     return root
 
 
@@ -318,7 +358,7 @@ def _grown(found: list[Node], chosen: list[bool]) -> list[Node]:
     if not root.chosen:
         return []
     top = root
-    while (inner := next((p for p in top.parts if p.element is not None and p.chosen == root.chosen), None)) is not None and not inner.leaf():
+    while (inner := next((p for p in top.parts if p.element is not None and p.chosen == root.chosen), None)) is not None and not inner.leaf:
         top = inner
     while top.above is not None and top.tag not in ("article", "main", "body", "html", ""):
         above = top.above
@@ -339,7 +379,7 @@ def _grown(found: list[Node], chosen: list[bool]) -> list[Node]:
     while todo:
         part, article = todo.pop()
         with_chosen = [i for i, p in enumerate(part.parts) if p.chosen]
-        own = sum(p.chosen for p in part.parts if p.leaf() or p.tag in PROSE)
+        own = sum(p.chosen for p in part.parts if p.leaf or p.tag in PROSE)
         siblings = article or (2 * own >= part.chosen and part.tag not in ("body", "html", ""))
         for i, p in enumerate(part.parts):
             if p.chosen:
