@@ -1,8 +1,8 @@
 """Benchmark decontamination with DataFrame functions only.
 
 The benchmark's normalised word windows, with their hashes, are the small side;
-each document's windows are hashed where the document is read, matched against
-them and verified word by word.  The small side is broadcast only while it has
+each document's windows are hashed where the document is read; those that pass a
+bitmap of the benchmark's hashes are matched against them and verified word by word.  The small side is broadcast only while it has
 at most ``max_broadcast`` windows of ``max_bytes`` in all (both are measured
 first); above that the hashes are joined by shuffle, without any text, and only
 the windows that met are read again and verified.
@@ -61,11 +61,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     small = grams.select(F.col("hash").alias("g_hash"), F.col("n").alias("g_n"), "gram", "items")
     on = (F.col("x.hash") == F.col("g_hash")) & (F.col("x.n") == F.col("g_n"))
     if few:
+        maybe = _sieve(grams, sum(c for c, _ in sizes.values()))
+        w, nothing = F.col("w"), F.expr("cast(array() as array<struct<at:int,n:int,hash:bigint,of:array<string>>>)")
+
+        def likely(n: int) -> Column:
+            """The windows of ``n`` words that pass the sieve, with their words: a row carries no more of its document than that."""
+            hash_at = lambda i: F.xxhash64(F.slice(w, i, n))
+            row = lambda i: F.struct((i - 1).cast("int").alias("at"), F.lit(n).alias("n"), hash_at(i).alias("hash"), F.slice(w, i, n).alias("of"))
+            return F.when(F.size(w) >= n, F.transform(F.filter(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: maybe(hash_at(i))), row)).otherwise(nothing)
+
         # a first row per document (at -1) carries its number of words through the join
-        placed = read.select("__id", "__h", "w", F.explode(starts(F.col("w"))).alias("x"))
+        lead = F.array(F.struct(F.lit(-1).alias("at"), F.size(w).alias("n"), F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("array<string>").alias("of")))
+        placed = read.select("__id", "__h", F.explode(F.concat(lead, *[likely(n) for n in sorted(sizes)])).alias("x"))
         # the words themselves are compared after the join, so that only the hash is its key
-        same = F.slice(F.col("w"), F.greatest(F.col("x.at") + 1, F.lit(1)), F.greatest(F.col("x.n"), F.lit(1))) == F.col("gram")
-        found = placed.join(F.broadcast(small), on, "left").filter((F.col("x.at") == -1) | (F.col("gram").isNotNull() & same))
+        found = placed.join(F.broadcast(small), on, "left").filter((F.col("x.at") == -1) | (F.col("x.of") == F.col("gram")))
     else:
         found = _met_by_shuffle(read, starts, small, on)
     first = F.col("x.at") < 0
@@ -88,6 +97,27 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return out.select("__id", "__h", "n_words", hit.alias("n_hit"), "hits", "items", each.alias("__copy")).drop("__copy")
 
 
+def _sieve(grams: DataFrame, windows: int) -> Callable[[Column], Column]:
+    """A test of hashes that all of the benchmark's pass, and one in sixty others: two bits each in a bitmap of 16 bits a window.
+
+    The bitmap is made by Spark and comes to the driver as one number per 64
+    bits; its size is bounded as that of the broadcast windows is.
+    """
+    bits = 1 << max(10, (16 * windows - 1).bit_length())
+    places = lambda h: (h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1)))
+    each = grams.select(F.explode(F.array(*places(F.col("hash")))).alias("at"))
+    cells = each.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+    found = {r["cell"]: r["bits"] for r in cells.collect()}
+    bitmap = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(bits // 64))), ",").cast("array<bigint>")  # folded to one array when the plan is made
+    one = lambda at: F.getbit(F.get(bitmap, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def maybe(h: Column) -> Column:
+        a, b = places(h)
+        return one(a) & one(b)
+
+    return maybe
+
+
 #: Ways into which the places of one window are dealt: a passage of many documents is no hot key.
 SALTS = 16
 
