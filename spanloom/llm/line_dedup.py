@@ -42,7 +42,7 @@ def _ranked(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50) -> DataFrame:
-    """(:data:`KEY`, spans): per document the minimal windows (pos, len, in lines that have a word) with an earlier copy."""
+    """(:data:`KEY`, spans): per document the parts (pos, len, in lines that have a word) of minimal windows that lie outside of their earliest copy."""
     # each line's 128-bit digest stands for its text
     keyed = docs.select(*_key(docs, id_col, text_col), F.col(f"`{text_col}`").alias("t"))
 
@@ -91,7 +91,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # written before it is joined: the join is then between plain shuffles, whose hot partitions Spark splits
     earliest = materialize(named.groupBy(*interval).agg(F.min(F.struct(*KEY, "pos")).alias("first")), "earliest")
     later = named.join(earliest, interval).filter(~F.struct(*KEY, "pos").eqNullSafe(F.col("first")))
-    return later.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "len")).alias("spans"))
+    # a copy that overlaps the earliest one loses only what lies beyond it
+    inside = F.struct(*KEY).eqNullSafe(F.struct(*[F.col(f"first.{k}") for k in KEY]))
+    begin = F.when(inside, F.greatest("pos", F.col("first.pos") + F.col("len"))).otherwise(F.col("pos")).cast("int")
+    return later.groupBy(*KEY).agg(F.collect_set(F.struct(begin.alias("pos"), (F.col("pos") + F.col("len") - begin).cast("int").alias("len"))).alias("spans"))
 
 
 def _windows(seq: DataFrame, min_words: int) -> DataFrame:
@@ -136,8 +139,10 @@ def _windows(seq: DataFrame, min_words: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, count_col: str | None = None) -> DataFrame:
     """``docs`` with every later copy of a repeated line run cut from the text; adds ``lines_removed``.
 
-    The earliest copy (smallest id, then line) of each run of at least
-    ``min_words`` words stays, also within one document.  Lines without a word
+    A run of at least ``min_words`` words is cut wherever an earlier copy (smaller
+    id, then line) is; a copy that overlaps the earliest one, as in a line repeated
+    many times, is cut only beyond it.  Every line that is cut has an equal one at an
+    earlier place that stays.  Lines without a word
     take no part: runs continue across them and they stay where they are.
     ``count_col`` (if given) is set to the new text's length.
 

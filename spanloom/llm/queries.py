@@ -112,8 +112,8 @@ fwd AS (SELECT a.doc_id, a.pos AS p, min(b.pos) AS e FROM c a JOIN c b ON a.doc_
 bwd AS (SELECT b.doc_id, max(a.pos) AS p, b.pos AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.words >= 50 GROUP BY b.doc_id, b.pos),
 w AS (SELECT * FROM fwd UNION SELECT * FROM bwd),
 g AS (SELECT w.doc_id, p, e, string_agg(line, chr(10) ORDER BY pos) AS body FROM w JOIN c ON c.doc_id = w.doc_id AND c.pos BETWEEN p AND e GROUP BY 1, 2, 3),
-f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, p) AS nth FROM g),
-gone AS (SELECT DISTINCT c.doc_id, c.i FROM f JOIN c ON c.doc_id = f.doc_id AND c.pos BETWEEN p AND e WHERE nth > 1),
+f AS (SELECT *, row_number() OVER u AS nth, first_value(doc_id) OVER u AS first_id, first_value(e) OVER u AS first_end FROM g WINDOW u AS (PARTITION BY body ORDER BY doc_id, p)),
+gone AS (SELECT DISTINCT c.doc_id, c.i FROM f JOIN c ON c.doc_id = f.doc_id AND c.pos BETWEEN p AND e WHERE nth > 1 AND (c.doc_id <> first_id OR c.pos > first_end)),
 kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) ANTI JOIN gone USING (doc_id, i)

@@ -167,7 +167,7 @@ def test_packing(spark, sample):
 
 
 def brute_lines(docs, least):
-    """Every run of ``least`` words with an earlier copy is cut."""
+    """Every run of ``least`` words with an earlier copy is cut, but for lines inside its earliest copy."""
     seqs = [(d, t, [x for x in (t or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]) for d, t in sorted(set(docs), key=lambda r: (r[0] is not None, r[0] or 0, xxh(r[1])))]
     first, gone = {}, defaultdict(set)
     for look in (True, False):
@@ -181,7 +181,7 @@ def brute_lines(docs, least):
                         if look:
                             first.setdefault(key, (at, p))
                         elif first[key] != (at, p):
-                            gone[at].update(range(p, e + 1))
+                            gone[at].update(x for x in range(p, e + 1) if first[key][0] != at or x >= first[key][1] + len(key))
     out = {}
     for at, (d, t, _) in enumerate(seqs):
         kept, i = [], 0
@@ -217,7 +217,21 @@ def test_line_dedup_on_random_runs(spark):
 
 def test_repeats_within_one_document(spark):
     df = spark.createDataFrame([(1, "\n".join(["x y z"] * 5))], "doc_id long, text string")
-    assert LD.dedup_lines(df, min_words=6).first()["text"] == "x y z"
+    assert LD.dedup_lines(df, min_words=6).first()["text"] == "x y z\nx y z"  # the earliest run of six words stays whole
+
+
+def test_overlapping_copies_and_chains(spark):
+    line = " ".join("abcdefghij" * 2)
+    docs = [(1, "\n".join([line] * 6)), (2, "\n".join([line] * 3)), (3, "p q\nr s\nt u\nv w\nx y"), (4, "r s\nt u\nv w\nz"), (5, "t u\nv w\nx y\np q\nr s\nt u"), (6, "o\nab cd\nef gh\nab cd\nef gh\nab cd\nef gh")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for least in (6, 50):
+        want = brute_lines(docs, least)
+        assert {r.doc_id: r.text for r in LD.dedup_lines(df, min_words=least).collect()} == {d: want[d, t] for d, t in docs}
+    assert texts_of(LD.dedup_lines(df, min_words=50))[1].count("\n") == 2  # 60 words in three lines stay
+
+
+def texts_of(df):
+    return {r.doc_id: r.text for r in df.collect()}
 
 
 # ----------------------------------------------------------------- simhash

@@ -197,3 +197,16 @@ def test_entry_without_llm(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and not any(k.startswith('op') for k in e.queries()) and e.oracle_sql()"], cwd=tmp_path, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_input_columns_and_odd_rows_survive(spark):
+    """Columns named like what an operator adds keep their values; null, empty and repeated rows and an empty table are no error."""
+    base = load(spark, SF, "documents").limit(40)
+    more = "'mine' as score, 'mine' as lang_pred, 'mine' as lang_accepted, 7 as lines_removed, 'mine' as hits, 'mine' as component_id".split(", ")
+    odd = spark.createDataFrame([(910_001, None, "en", "s", None), (910_002, "", "en", None, 0), (910_003, " \n ", None, "s", 3)], base.schema)
+    docs = base.unionByName(odd).unionByName(base.limit(3)).selectExpr("*", *more)
+    for _, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert {(r.score, r.lang_pred, r.lang_accepted, r.lines_removed, r.hits, r.component_id) for r in out.collect()} == {("mine",) * 3 + (7,) + ("mine",) * 2}
+        assert stage(spark, docs.limit(0), SF).count() == 0

@@ -7,16 +7,21 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import centroids as ce
 from spanloom.llm import conversation_repair as cr
 from spanloom.llm import quality_rules as qr
 from spanloom.llm.common import held_out, load
+from spanloom.llm.decontaminate import matches
+from spanloom.llm.html_extract import extract_main_text, main_text, visible_text
+from spanloom.llm.warc import build_derivatives, responses
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -221,3 +226,44 @@ def test_empty_hash_of_dropped_conversation(spark):
     gone = next((c, t) for c in range(50) for t in range(3) if zlib.crc32(f"{c}:{t}".encode()) % 20 == 0)
     r = cr.repair_conversations(spark.createDataFrame([(*gone, "user", "x.")], "conv_id long, turn long, role string, text string")).first()
     assert tuple(r) == (gone[0], 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+# ---------------------------------------------------------------- deep pages, long documents
+
+
+DEEP = ["<div>" * 1200 + "Text, here.", "<p>" + "<b>" * 2000 + "x", "<p>" + "<b>x, y. " * 2000, "<div>a, b. " * 5000 + "</div></span>" * 5000, "<div class='sidebar'>x, y. " * 3000, "<article><header>" * 1500 + "<h1>T</h1><p>Some text, here."]
+
+
+@pytest.mark.parametrize("page", DEEP, ids=range(len(DEEP)))
+def test_deep_pages_are_read(page):
+    words = WORD.findall(re.sub("<[^>]*>", " ", page))
+    assert WORD.findall(visible_text(page)) == words
+    assert set(WORD.findall(main_text(page))) <= set(words)
+
+
+def test_memory_grows_with_the_page_and_not_with_its_depth():
+    def peak(page: str) -> int:
+        tracemalloc.start()
+        main_text(page)
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found
+
+    assert peak("<div>a, b. " * 8000) < 6 * peak("<div>a, b. " * 2000)
+
+
+def test_one_deep_page_leaves_the_others_alone(spark):
+    pages = spark.createDataFrame([(1, DEEP[0]), (2, "<body><p>Good text, really.</p></body>"), (3, DEEP[3])], "page_id long, html string")
+    out = {r["page_id"]: r["text"] for r in extract_main_text(pages).collect()}
+    assert out[1] == "Text, here." and out[2] == "Good text, really." and len(out) == 3
+    assert build_derivatives(responses(pages.withColumn("url", F.lit("http://a.example/"))).select("page_id", "record")).count() == 6
+
+
+def test_long_documents_on_both_decontamination_paths(spark):
+    item = " ".join(f"k{i}" for i in range(20))
+    text = " ".join(f"w{i % 977}" for i in range(150_000)) + " " + item + " tail " + item
+    docs = spark.createDataFrame([(1, text), (2, None), (None, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "K3 k4 k5"), (3, None)], "item_id long, text string")
+    a, b = (sorted(map(tuple, matches(docs, bench, **how).select("__id", "n_words", "n_hit", "hits", "items").collect()), key=repr) for how in ({}, {"max_broadcast": 0}))
+    assert a == b
+    assert {r[0]: r[1:3] for r in a} == {1: (150_041, 40), 2: (0, 0), None: (20, 20)}
