@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanloom.llm.common import held_out, load, shared_dir
 from spanloom.llm.decontaminate import decontaminate
@@ -50,35 +51,63 @@ def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame])
     return run
 
 
+def _with_row(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` over id, text and length, then the columns of ``docs`` in their order.
+
+    The other columns go through the operator in a struct, so that no column it
+    adds can take the place of one that the table has.
+    """
+    worked = ("doc_id", "text", "n_chars")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in worked] or [F.lit(0).alias("none")]
+    made = step(docs.select(*worked, F.struct(*others).alias("__row")))
+    return made.select(*[F.col(c) if c in worked else F.col("__row")[c].alias(c) for c in docs.columns])
+
+
 @in_small_batches
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those that the identifier rejects go."""
+    """Documents in a known language; those that the identifier rejects go.
+
+    Texts that are null or have no letter go.  Each row is judged for itself, by its whole
+    text, so repeated rows share their fate; an empty table stays empty.
+    """
     model = fit_language_model(docs.filter(~held_out("doc_id")))
-    return identify_language(docs, model).filter("lang_accepted").select(*docs.columns)
+    return _with_row(docs, lambda rows: identify_language(rows, model).filter("lang_accepted"))
 
 
 @in_small_batches
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs of 50 words or more are cut; a document of which nothing is left goes."""
-    cut = dedup_lines(docs, min_words=50, count_col="n_chars")
-    return cut.filter("lines_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select(*docs.columns)
+    """Later copies of line runs of 50 words or more are cut; a document of which nothing is left goes.
+
+    Null and empty texts stay as they are; rows equal in id and text keep equal texts.
+    """
+
+    def cut(rows: DataFrame) -> DataFrame:
+        return dedup_lines(rows, min_words=50, count_col="n_chars").filter("lines_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+
+    return _with_row(docs, cut)
 
 
 @in_small_batches
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays.
+
+    Of repeated rows one stays.  See the operator for texts without words.
+    """
     return keep_one_per_component(docs, similarity=SIMILARITY, radius=SIMHASH_RADIUS, shingle=SHINGLE, words=SIMHASH_WORDS)
 
 
 @in_small_batches
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; from the others the benchmark's windows are cut."""
+    """Contaminated documents go; from the others the benchmark's windows are cut.
+
+    Null and empty texts have no windows and stay; repeated rows share their fate.
+    """
     return decontaminate(docs, load(spark, sf_dir, "benchmark"), remove="both", count_col="n_chars")
 
 
 @in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in full sequences."""
+    """The documents' tokens in full sequences; a null text is an empty one, of one closing token."""
     return pack_documents(docs, tokenizer_path(), capacity=CAPACITY, cache=CACHE)
 
 
