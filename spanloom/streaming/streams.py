@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..sources.sinks import new_counts
+from ..sources.snapshots import Snapshots
 from ..storage import shared_folder
 
 
@@ -60,22 +64,151 @@ def closed_groups(stream: DataFrame, key: str, time_col: str, value: str, idle_s
     return marked.groupBy(key).applyInPandasWithState(step, f"{key} string, last_value string, n bigint", "at bigint, last string, n bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
+def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
     """All that is there now, as a table of files in the shared folder: no row of it passes the driver.
 
-    In append mode every batch adds files; in complete mode each batch's table
-    takes the last one's place.
+    Each micro-batch overwrites the folder of its own number, so one that is run
+    again after a failure changes nothing.  In append mode the batches' folders
+    together are the table, in complete mode the last one is.  With the
+    ``checkpoint`` and ``path`` of an earlier run it goes on where that ended.
     """
     spark = stream.sparkSession
-    path = shared_folder(spark, f"stream-{name}")
-    spark.createDataFrame([], stream.schema).write.parquet(path)
+    path = path or shared_folder(spark, f"stream-{name}")
+    schema = stream.schema.add("__batch", "long")
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/__batch={number}")
 
+    put(spark.createDataFrame([], stream.schema), -1)
     w = stream.writeStream.foreachBatch(put).queryName(name).outputMode(mode).trigger(availableNow=True)
     w.option("checkpointLocation", checkpoint or shared_folder(spark, "stream-checkpoint")).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    if mode == "complete":
+        found = found.filter(F.col("__batch") == found.agg(F.max("__batch")).first()[0])
+    return found.drop("__batch")
+
+
+def run_in_arrivals(parts: list[DataFrame], build: Callable[[DataFrame], DataFrame], name: str, mode: str = "append") -> DataFrame:
+    """The stream that ``build`` makes, run once after each part of its input has arrived, always from the same checkpoint.
+
+    Every run reads the files of its own part only, and goes on with the state
+    and the watermark that the one before left.
+    """
+    spark = parts[0].sparkSession
+    folder, checkpoint, path = (shared_folder(spark, f"stream-{k}") for k in ("arrivals", "checkpoint", name))
+    out = None
+    with rocksdb(spark):
+        for part in parts:
+            part.write.mode("append").parquet(folder)
+            out = run_available(build(spark.readStream.schema(part.schema).parquet(folder)), name, mode, checkpoint, path)
+    return out
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB: it is kept off the heap and on disk, so its size is not that of an executor's memory."""
+    key, value = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+class _Generations(StatefulProcessor):
+    """Per key the group that is open: first and last time (ms), the last row's value, rows so far; a timer closes it."""
+
+    def __init__(self, key: str, time_col: str, value: str, idle_ms: int) -> None:
+        self.key, self.time_col, self.value, self.idle = key, time_col, value, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.group = handle.getValueState("group", "first bigint, last bigint, value string, n bigint")
+
+    def _row(self, key: tuple, g: tuple) -> dict:
+        return {self.key: key[0], "first_ms": g[0], "last_ms": g[1], "last_value": g[2], "n": g[3]}
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        g = tuple(self.group.get()) if self.group.exists() else None
+        if g:
+            self.handle.deleteTimer(g[1] + self.idle)
+        pdf = pd.concat(rows)
+        pdf = pdf.assign(__ms=pdf[self.time_col].astype("datetime64[ms]").astype("int64")).sort_values(["__ms", self.value])
+        closed = []
+        for ms, value in zip(pdf["__ms"].tolist(), pdf[self.value].tolist(), strict=True):
+            if g and ms > g[1] + self.idle:
+                closed.append(self._row(key, g))
+                g = None
+            g = (min(g[0], ms), *((ms, value) if (ms, value) >= g[1:3] else g[1:3]), g[3] + 1) if g else (ms, ms, value, 1)
+        self.group.update(g)
+        self.handle.registerTimer(g[1] + self.idle)
+        if closed:
+            yield pd.DataFrame(closed)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        g = tuple(self.group.get())
+        self.group.clear()
+        yield pd.DataFrame([self._row(key, g)])
+
+    def close(self) -> None:
+        pass
+
+
+def closed_generations(stream: DataFrame, key: str, time_col: str, value: str, idle_ms: int, late: str) -> DataFrame:
+    """(append mode) a row for each group of a key that is final: no row came within ``idle_ms`` after its last, in event time.
+
+    A group ends by the next row of its key beyond that pause or, once the
+    watermark has passed it, by its timer; state and timer are cleared then, and a key that
+    comes back opens a new group.  ``key`` and ``value`` are strings.  A row that
+    is older than the watermark is dropped before it gets here.
+    """
+    marked = stream.withWatermark(time_col, late).select(key, time_col, value)
+    shape = f"{key} string, first_ms bigint, last_ms bigint, last_value string, n bigint"
+    return marked.groupBy(key).transformWithStateInPandas(_Generations(key, time_col, value, idle_ms), shape, "append", "EventTime")
+
+
+def with_parent_in_time(children: DataFrame, parents: DataFrame, key: str, within: str, late: str) -> DataFrame:
+    """(append mode) each child (key, child_id, child_ts) with the parents (key, parent_id, parent_ts) of its key up to ``within`` before it, or with none.
+
+    Both sides have a watermark and the condition bounds their distance, so state is
+    dropped once nothing can meet it any more; a child without a parent is given
+    out at that point.  Rows older than the watermark are dropped.
+    """
+    c = children.withWatermark("child_ts", late).alias("c")
+    p = parents.withWatermark("parent_ts", late).alias("p")
+    near = F.expr(f"c.{key} = p.{key} and p.parent_ts >= c.child_ts - interval {within} and p.parent_ts <= c.child_ts")
+    return c.join(p, near, "leftOuter").select(F.col(f"c.{key}").alias(key), "child_id", "child_ts", "parent_id", "parent_ts")
+
+
+class MergedCounts:
+    """A ``foreachBatch`` sink of counters: version N is version N-1 and batch N's counts.
+
+    A batch that comes again builds the same version from the same predecessor, so
+    it changes nothing; a version counts once it is committed in ``snapshots``.
+    """
+
+    def __init__(self, snapshots: Snapshots, *keys: str) -> None:
+        self.snapshots, self.keys = snapshots, list(keys)
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        delta = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
+        before = self.snapshots.read(batch.sparkSession, below=number)
+        self.snapshots.commit(delta if before is None else new_counts(before, delta), version=number)
+
+
+def merge_counts_once(parts: list[DataFrame], *keys: str) -> tuple[DataFrame, list[int]]:
+    """Counters over parts of a stream that arrive one after the other, and how many rows each run read."""
+    spark = parts[0].sparkSession
+    folder, checkpoint, base = (shared_folder(spark, f"stream-{k}") for k in ("arrivals", "checkpoint", "counters"))
+    kept, read = Snapshots(base), []
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        run = stream.writeStream.foreachBatch(MergedCounts(kept, *keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run.awaitTermination()
+        read.append(sum(p["numInputRows"] for p in run.recentProgress))
+    return kept.read(spark), read
 
 
 def append_files(stream: DataFrame, path: str, checkpoint: str):
