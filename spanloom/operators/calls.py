@@ -1,5 +1,9 @@
 """Tool calls: extraction, pairing with results, tool and sub-agent definitions, workflow edges."""
 
+import hashlib
+import re
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +79,71 @@ def pair_results(messages: Column, call: str = "struct<id:string,name:string>")
     return F.aggregate(messages, zero, step, lambda acc: acc["out"])
 
 
+_RESULT = re.compile(r"<tool_result>\s*<tool_name>([^<]+)</tool_name>\s*<result>(.*?)</result>\s*</tool_result>", re.S)
+
+
+class _Pairing:
+    """A conversation's messages in order, one by one; what is kept between them is the queue of calls without a result.
+
+    Pending calls lie in arrival order and, by name, in queues of their own, so a
+    result finds its call in constant time however many are pending.
+    """
+
+    def __init__(self) -> None:
+        self.waiting: dict[int, tuple] = {}
+        self.by_name: dict[str, deque] = {}
+        self.order, self.calls, self.made = deque(), 0, 0
+
+    def _take(self, name: str) -> str | None:
+        for queue in (self.by_name.get(name, ()), self.order):
+            while queue:
+                if (call := self.waiting.pop(queue.popleft(), None)) is not None:
+                    return call[0]
+        return None
+
+    def eval(self, row):
+        at, role, content = row["at"], row["role"], row["content"]
+        if role == "user" and content is not None and content.startswith(RESULT_PREFIX):
+            found = [(n.strip(), c.strip()) for n, c in _RESULT.findall(content)] or [("unknown_tool", content.replace(RESULT_PREFIX, "").strip())]
+            for k, (name, text) in enumerate(found):
+                ident = self._take(name)
+                self.made += 1
+                yield at, k, "tool", text, name, ident if ident is not None else "call_" + hashlib.md5(f"{at}:{k}:{name}".encode()).hexdigest(), None
+            return
+        if role == "assistant":
+            for call in row["tool_calls"] or ():
+                self.waiting[self.calls] = (call["id"], call["name"])
+                self.by_name.setdefault(call["name"], deque()).append(self.calls)
+                self.order.append(self.calls)
+                self.calls += 1
+        yield at, 0, role, content, None, None, row["tool_calls"]
+
+
+def paired_rows(messages: DataFrame, keys: list[str]) -> DataFrame:
+    """Messages as rows (``keys``, at, role, content, tool_calls) with tool results paired, however long a conversation is.
+
+    The same rules as :func:`pair_results`, over a table partitioned by the keys and ordered
+    by ``at``: messages stream through a table function that keeps the pending
+    calls only, so no conversation is ever one row.  A result without a pending call gets an id of
+    its place.  Rows come out with ``k``, the number of a result in its message.
+    """
+    call = messages.schema["tool_calls"].dataType.simpleString()
+    kinds = {c: messages.schema[c].dataType.simpleString() for c in [*keys, "at"]}
+    shape = ", ".join(f"{c} {t}" for c, t in kinds.items()) + f", k int, role string, content string, name string, tool_call_id string, tool_calls {call}"
+
+    class Pair:
+        def __init__(self) -> None:
+            self.pairing = _Pairing()
+
+        def eval(self, row):
+            head = tuple(row[c] for c in keys)
+            for out in self.pairing.eval(row):
+                yield (*head, *out)
+
+    pair = F.udtf(Pair, returnType=shape)
+    return pair(messages.select(*keys, "at", "role", "content", "tool_calls").asTable().partitionBy(*keys).orderBy("at")).select("*")
+
+
 def tool_definition(name: Column, description: Column, parameters: Column) -> Column:
     return F.struct(F.lit("function").alias("type"), F.struct(name.alias("name"), description.alias("description"), parameters.alias("parameters")).alias("function"))
 

@@ -69,25 +69,51 @@ def probabilities(found: DataFrame, counts: DataFrame) -> DataFrame:
     return weighted.join(total, "framework").withColumn("probability", share).select("framework", "path_id", "n", "weight", "probability")
 
 
-#: Strips of the unit interval by which draws meet the intervals of paths.
-STRIPS = 1024
+def stretches(rows: DataFrame, group: str, *order: str) -> DataFrame:
+    """``rows`` stored in ranges of (group, order), the range's number in ``__part``: a group of many rows lies in many ranges."""
+    return stored(rows.repartitionByRange(group, *order).withColumn("__part", F.spark_partition_id()), "stretches")
+
+
+def prefix(rows: DataFrame, group: str, order: str, value: str | None = None) -> DataFrame:
+    """``rows`` with ``place`` (from 0, by ``order`` within the group) and, for a ``value``, ``upto``: its sum to this row.
+
+    Two levels: sums within each range, and sums of the ranges before it, of which
+    there is one row per range.  No group is ever sorted by one task.
+    """
+    cut = stretches(rows, group, order)
+    within = W.partitionBy(group, "__part").orderBy(order)
+    amount = F.col(value) if value else F.lit(0.0)
+    parts = cut.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__n"), F.sum(amount).alias("__v"))
+    before = W.partitionBy(group).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    base = parts.select(group, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base_n"), F.coalesce(F.sum("__v").over(before), F.lit(0.0)).alias("__base_v"))
+    own = cut.withColumn("__at", F.row_number().over(within) - 1).withColumn("__sum", F.sum(amount).over(within.rowsBetween(W.unboundedPreceding, 0)))
+    out = own.join(base, [group, "__part"]).withColumn("place", F.col("__base_n") + F.col("__at"))
+    out = out.withColumn("upto", F.col("__base_v") + F.col("__sum")) if value else out
+    return out.select(*rows.columns, "place", *(["upto"] if value else []))
 
 
 def draw_paths(shares: DataFrame, draws: DataFrame, seed: str) -> DataFrame:
     """One path for each row of ``draws`` (framework, draw_id), by its framework's shares; all draws see one snapshot of the counts.
 
-    Shares become half-open intervals in the order of the path ids, the last one
-    open-ended.  A range join by strips: an interval stands in every strip that it
-    touches, a draw in one, so a draw meets only the few intervals of its strip.
-    The drawn number is a hash: a repeated run draws the same.
+    Shares become intervals in the order of the path ids; a draw takes the last
+    path whose interval begins at or before its number.  Beginnings and draws are
+    sorted together in ranges: a draw looks back within its range, and where its
+    range has no beginning before it, at the last one of the ranges before.  Neither
+    many paths nor many draws of one framework meet in one task.  The drawn
+    number is a hash: a repeated run draws the same.  Paths without weight, and
+    draws of frameworks without paths, take no part.
     """
-    order = W.partitionBy("framework").orderBy("path_id")
-    upto = F.sum("probability").over(order.rowsBetween(W.unboundedPreceding, 0))
-    table = shares.withColumn("hi", upto).withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0.0))).withColumn("hi", F.when(F.lead("path_id").over(order).isNull(), F.lit(2.0)).otherwise(F.col("hi")))
-    strip = lambda x: F.least(F.floor(x * STRIPS), F.lit(STRIPS - 1)).cast("int")
-    cuts = table.filter("hi > lo").select("framework", "path_id", "lo", "hi", F.explode(F.sequence(strip(F.col("lo")), strip(F.col("hi")))).alias("strip"))
-    drawn = draws.withColumn("u", bucket(F.lit(seed), F.col("framework"), F.col("draw_id"))).withColumn("strip", strip(F.col("u")))
-    return drawn.join(cuts, ["framework", "strip"]).filter("u >= lo and u < hi").drop("u", "strip", "lo", "hi")
+    begins = prefix(shares.filter("probability > 0").select("framework", "path_id", "probability"), "framework", "path_id", "probability")
+    begins = begins.select("framework", F.when(F.col("place") == 0, 0.0).otherwise(F.col("upto") - F.col("probability")).alias("__u"), "path_id", F.lit(None).cast(draws.schema).alias("__draw"))
+    drawn = draws.select("framework", bucket(F.lit(seed), F.col("framework"), F.col("draw_id")).alias("__u"), F.lit(None).cast("string").alias("path_id"), F.struct(*draws.columns).alias("__draw"))
+    line = stretches(begins.unionByName(drawn).withColumn("__k", F.col("__draw").isNotNull()), "framework", "__u", "__k", "path_id")
+    back = W.partitionBy("framework", "__part").orderBy("__u", "__k", "path_id").rowsBetween(W.unboundedPreceding, 0)
+    ends = line.groupBy("framework", "__part").agg(F.max(F.when(~F.col("__k"), F.struct("__u", "path_id"))).alias("__end"))
+    before = W.partitionBy("framework").orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select("framework", "__part", F.last("__end", ignorenulls=True).over(before)["path_id"].alias("__before"))
+    met = line.withColumn("__own", F.last("path_id", ignorenulls=True).over(back)).filter("__k").join(ends, ["framework", "__part"])
+    out = met.withColumn("__path", F.coalesce("__own", "__before")).filter("__path is not null")
+    return out.select(*[F.col("__draw")[c].alias(c) for c in draws.columns], F.col("__path").alias("path_id"))
 
 
 def tag_traces(found: DataFrame, counts: DataFrame, draws: DataFrame, seed: str, expansion: float = 0.0, new_tag=None) -> tuple[DataFrame, DataFrame]:
@@ -113,7 +139,7 @@ def tag_traces(found: DataFrame, counts: DataFrame, draws: DataFrame, seed: str,
 
 def uniform_pick(rows: DataFrame, draws: DataFrame, seed: str, purpose: str) -> DataFrame:
     """Each draw (framework, draw_id) with one of its framework's ``rows`` (framework, item), all alike likely."""
-    numbered = rows.select("framework", "item", (F.row_number().over(W.partitionBy("framework").orderBy("item")) - 1).alias("__at"))
+    numbered = prefix(rows.select("framework", "item"), "framework", "item").withColumnRenamed("place", "__at")
     sizes = rows.groupBy("framework").agg(F.count(F.lit(1)).alias("__n"))
     at = F.floor(bucket(F.lit(seed), F.lit(purpose), F.col("draw_id")) * F.col("__n")).cast("int")
     return draws.join(sizes, "framework").withColumn("__at", at).join(numbered, ["framework", "__at"]).drop("__at", "__n").withColumnRenamed("item", purpose)
@@ -130,7 +156,7 @@ def expansion_parents(found: DataFrame, draws: DataFrame, seed: str) -> DataFram
 
     Paths are numbered, and a draw meets the one path of its number.
     """
-    numbered = found.select("framework", "node_ids", (F.row_number().over(W.partitionBy("framework").orderBy("node_ids")) - 1).alias("__at"))
+    numbered = prefix(found.select("framework", "node_ids"), "framework", "node_ids").withColumnRenamed("place", "__at")
     sizes = found.groupBy("framework").agg(F.count(F.lit(1)).alias("__n"))
     picked = draws.join(sizes, "framework").withColumn("__at", F.floor(bucket(F.lit(seed), F.lit("path"), F.col("draw_id")) * F.col("__n")).cast("int"))
     picked = picked.join(numbered, ["framework", "__at"])

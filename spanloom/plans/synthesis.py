@@ -66,6 +66,25 @@ def weighted_path_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.draw_paths(shares, draws, "7").select(F.col("draw_id").alias("doc_id"), "path_id")
 
 
+@query("""WITH c AS (SELECT user_id, 'p' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS path_id, user_id % 2 AS f, CAST(event_id % 7 AS BIGINT) AS n FROM events),
+w AS (SELECT *, pow(n + 1, -1.5) AS w FROM c), t AS (SELECT f, sum(w) AS t FROM w GROUP BY 1),
+p AS (SELECT f, path_id, sum(w / t) OVER (PARTITION BY f ORDER BY path_id) - w / t AS lo FROM w JOIN t USING (f)),
+d AS (SELECT o_orderkey AS id, o_orderkey % 2 AS f, (('0x' || substr(md5('9:f' || (o_orderkey % 2) || ':' || o_orderkey), 1, 8))::BIGINT % 1000000) / 1000000.0 AS u,
+ (('0x' || substr(md5('9:persona:' || o_orderkey), 1, 8))::BIGINT % 1000000) / 1000000.0 AS v, (('0x' || substr(md5('9:difficulty:' || o_orderkey), 1, 8))::BIGINT % 1000000) / 1000000.0 AS x FROM orders),
+q AS (SELECT c_custkey % 2 AS f, c_name AS item, row_number() OVER (PARTITION BY c_custkey % 2 ORDER BY c_name) - 1 AS place, count(*) OVER (PARTITION BY c_custkey % 2) AS n FROM customer)
+SELECT id AS o_orderkey, p.path_id, q.item AS persona, CASE WHEN x < 0.2 THEN 'easy' WHEN x < 0.7 THEN 'medium' ELSE 'hard' END AS difficulty
+FROM d ASOF JOIN p ON d.f = p.f AND d.u >= greatest(p.lo, 0) JOIN q ON q.f = d.f AND q.place = floor(v * q.n)""")
+def whole_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path, persona and difficulty for every order, over as many paths as there are events."""
+    name = lambda k: F.concat(F.lit("f"), (F.col(k) % 2).cast("string")).alias("framework")
+    counts = table(spark, sf_dir, "events").select(name("user_id"), F.format_string("p%012d", "event_id").alias("path_id"), (F.col("event_id") % 7).alias("n"))
+    personas = table(spark, sf_dir, "customer").select(name("c_custkey"), F.col("c_name").alias("item"))
+    draws = table(spark, sf_dir, "orders").select(name("o_orderkey"), F.col("o_orderkey").alias("draw_id"))
+    drawn = taxonomy.uniform_pick(personas, taxonomy.draw_paths(taxonomy.probabilities(counts.select("framework", "path_id"), counts), draws, "9"), "9", "persona")
+    u = X.bucket(F.lit("9"), F.lit("difficulty"), F.col("draw_id"))
+    return drawn.select(F.col("draw_id").alias("o_orderkey"), "path_id", "persona", synth.drawn_difficulty({"easy": 0.2, "medium": 0.5, "hard": 0.3}, u).alias("difficulty"))
+
+
 @query("""SELECT doc_id, CASE WHEN u < 0.2 THEN 'easy' WHEN u < 0.7 THEN 'medium' ELSE 'hard' END AS difficulty FROM (SELECT doc_id, (('0x' || substr(md5('0:difficulty:' || doc_id), 1, 8))::BIGINT % 1000000) / 1000000.0 AS u FROM documents)""")
 def difficulty_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = X.bucket(F.lit("0"), F.lit("difficulty"), F.col("doc_id"))

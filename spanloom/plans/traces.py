@@ -113,6 +113,22 @@ def tool_result_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.filter("tool_call_id like 'call-%'")
 
 
+@query("""WITH c AS (SELECT conv_id, turn, role, CAST(role = 'assistant' AS INT) AS call, CAST(role = 'user' AND turn > 0 AS INT) AS res FROM conversations),
+n AS (SELECT *, sum(res) OVER w AS r, sum(call) OVER w AS p, row_number() OVER (PARTITION BY conv_id, call ORDER BY turn) AS nth FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+d AS (SELECT *, greatest(0, max(CASE WHEN res = 1 THEN r - p END) OVER (PARTITION BY conv_id ORDER BY turn)) AS short FROM n),
+x AS (SELECT *, coalesce(lag(short) OVER (PARTITION BY conv_id ORDER BY turn), 0) AS was FROM d)
+SELECT x.conv_id, x.turn, x.role, CASE WHEN x.res = 1 AND x.short = coalesce(x.was, 0) THEN 'call-' || a.turn WHEN x.res = 1 THEN 'call_' || md5(x.turn || ':0:lookup') END AS tool_call_id
+FROM (SELECT * REPLACE (CASE WHEN res = 1 THEN 'tool' ELSE role END AS role) FROM x) x LEFT JOIN n a ON a.conv_id = x.conv_id AND a.call = 1 AND a.nth = x.r - x.short""")
+def tool_result_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results paired with pending calls row by row; those without a pending call get an id of their place."""
+    c = table(spark, sf_dir, "conversations")
+    result = (F.col("role") == "user") & (F.col("turn") > 0)
+    body = F.concat(F.lit("Tool execution results:<tool_result><tool_name>lookup</tool_name><result>"), F.col("turn").cast("string"), F.lit("</result></tool_result>"))
+    call = F.array(F.struct(F.concat(F.lit("call-"), F.col("turn").cast("string")).alias("id"), F.lit("lookup").alias("name")))
+    m = c.select("conv_id", F.col("turn").alias("at"), "role", F.when(result, body).otherwise(F.lit("-")).alias("content"), F.when(F.col("role") == "assistant", call).alias("tool_calls"))
+    return calls.paired_rows(m, ["conv_id"]).select("conv_id", F.col("at").alias("turn"), "role", "tool_call_id")
+
+
 @query("""SELECT doc_id, md5(text || chr(10)) AS digest FROM documents""")
 def system_prompt_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
