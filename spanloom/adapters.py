@@ -6,12 +6,13 @@ A service is any picklable callable from a list of inputs to a list of outputs;
 
 import hashlib
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .storage import stored
@@ -35,17 +36,57 @@ def as_udf(service: TextService, returns: str = "string") -> Callable:
     return call
 
 
-def ask(df: DataFrame, request: Column, service: TextService, out: str) -> DataFrame:
+@dataclass(frozen=True)
+class AnswerCache:
+    """Answers kept across runs, under a hash of service and request; ``max_age_s`` after they were given they are asked for again.
+
+    A run appends its new answers to the table at ``path``; nothing is rewritten.  Of
+    several answers to one request (two runs at once, or one grown old) the newest counts.
+    """
+
+    path: str
+    service: str
+    max_age_s: float | None = None
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Every answer of the service that a run has added."""
+        make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        shape = "__key string, service string, answer string, given double"
+        there = make(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(make(self.path))
+        found = spark.read.schema(shape).parquet(self.path) if there else spark.createDataFrame([], shape)
+        return found.filter(F.col("service") == self.service)
+
+    def known(self, spark: SparkSession) -> DataFrame:
+        """(__key, answer) of the answers that are young enough."""
+        rows = self.rows(spark)
+        if self.max_age_s is not None:
+            rows = rows.filter(F.col("given") >= time.time() - self.max_age_s)
+        return rows.groupBy("__key").agg(F.max_by("answer", F.struct("given", "answer")).alias("answer"))
+
+    def add(self, answers: DataFrame) -> None:
+        """Append (__key, answer)."""
+        answers.select("__key", F.lit(self.service).alias("service"), "answer", F.lit(time.time()).alias("given")).write.mode("append").parquet(self.path)
+
+
+def ask(df: DataFrame, request: Column, service: TextService, out: str, cache: AnswerCache | None = None) -> DataFrame:
     """``df`` plus ``out``: the service's answer to each row's request; a null request gets null.
 
     Each distinct request goes out once: answers are stored with a hash of their
     request before they are joined, so neither a second use of the result nor a
-    lost executor repeats a call.
+    lost executor repeats a call.  With a ``cache`` only requests that it doesn't
+    know go out, and their answers are added to it.
     """
+    spark = df.sparkSession
     asked = stored(df.withColumn("__request", request).withColumn("__key", F.md5("__request")), "requests")
     once = asked.filter("__key is not null").select("__key", "__request").dropDuplicates(["__key"])
-    answers = stored(once.select("__key", as_udf(service)(F.col("__request")).alias(out)), "answers")
-    return asked.drop(out, "__request").join(answers, "__key", "left").drop("__key")
+    known = stored(cache.known(spark), "known-answers") if cache else None
+    new = once.join(known, "__key", "left_anti") if known is not None else once
+    answers = stored(new.select("__key", as_udf(service)(F.col("__request")).alias("answer")), "answers")
+    if known is not None:
+        if not answers.isEmpty():
+            cache.add(answers)
+        answers = answers.unionByName(known)
+    return asked.drop(out, "__request").join(answers.withColumnRenamed("answer", out), "__key", "left").drop("__key")
 
 
 def _pick(text: str, n: int) -> int:
@@ -109,8 +150,6 @@ def retry(service: TextService, attempts: int = 3, wait_s: float = 5.0) -> TextS
     """``service`` tried again after an error, ``attempts`` times in all; the last error is raised."""
 
     def call(requests: list[str]) -> list[str]:
-        import time
-
         for k in range(attempts):
             try:
                 return service(requests)

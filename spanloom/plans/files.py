@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..adapters import AnswerCache, ask
 from ..functions import text as X
 from ..operators import calls, spans, stats, synth, taxonomy
 from ..sources import files, sinks, traces
-from ..storage import shared_folder
-from .base import EVENT_SPANS, Registry, event_spans, table
+from ..sources.snapshots import Snapshots
+from ..storage import shared_folder, stored
+from ..streaming.streams import run_available
+from .base import EVENT_SPANS, Registry, event_spans, iso, table
 
 query = Registry()
 
@@ -144,13 +150,87 @@ def changed_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.changed_files(spark, f"{path}/*", known).select(at.alias("r_regionkey"), (at == 0).alias("is_new"))
 
 
-@query("""WITH t AS (SELECT 't' || lpad(CAST(i AS VARCHAR), 4, '0') AS trace_id, i FROM range(40) r(i) WHERE i BETWEEN 5 AND 30),
-s AS (SELECT trace_id, i, 4 + ('0x' || substr(md5(trace_id), 1, 2))::BIGINT % 5 AS n FROM t)
-SELECT trace_id, unnest(range(n)) AS line_no, trace_id || '-s' || (n - 1 - unnest(range(n))) AS span_id FROM s""")
+def _day_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as spans of traces, one a day."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.to_timestamp("ts"))
+    return e.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").cast("string").alias("span_id"), F.lit("GENERATION").alias("span_type"), F.col("event_type").alias("span_name"), iso("ts").alias("start_time_s"), F.col("user_id").cast("string").alias("parent_id"))
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS trace_id, CAST(event_id AS VARCHAR) AS span_id, event_type AS span_name,
+row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY ts) - 1 AS line_no FROM events""")
 def paged_trace_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of three spans, traces of a range of time, ordered by time: the store gives the latest first."""
-    found = traces.traces(spark, traces="40", page="3", start="2024-01-01T05:00:00", end="2024-01-02T06:00:00")
-    return found.select("trace_id", "line_no", "span_id")
+    """All pages of all traces; within a trace by time."""
+    path = shared_folder(spark, "pages")
+    traces.write_pages(_day_spans(spark, sf_dir), path, "day")
+    return traces.traces(spark, path=path).select("trace_id", "span_id", "span_name", "line_no")
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS trace_id, CAST(event_id AS VARCHAR) AS span_id, CAST(user_id AS VARCHAR) AS parent_id FROM events WHERE strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') >= '2024-01-05T06:00:00' AND strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') < '2024-01-08T18:00:00'""")
+def pushed_trace_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of time that the source gets: traces outside of it are not asked for."""
+    path = shared_folder(spark, "pages")
+    traces.write_pages(_day_spans(spark, sf_dir), path, "day")
+    found = traces.traces(spark, path=path).filter("start_time_s >= '2024-01-05T06:00:00' and start_time_s < '2024-01-08T18:00:00'")
+    return found.select("trace_id", "span_id", "parent_id")
+
+
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS trace_id, CAST(event_id AS VARCHAR) AS span_id FROM events WHERE ts < (SELECT max(date_trunc('day', ts)) FROM events)""")
+def pulled_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traces pulled in two runs from one checkpoint; the newest day may still grow and is left for a later one."""
+    rows, path, checkpoint, out = _day_spans(spark, sf_dir), *(shared_folder(spark, k) for k in ("pages", "pull-checkpoint", "pulled"))
+    for days in ("day <= '2024-01-15'", "day > '2024-01-15'"):
+        traces.write_pages(rows.filter(days), path, "day")
+        found = run_available(traces.trace_stream(spark, path=path, unsettled="1"), f"pull-{uuid.uuid4().hex}", "append", checkpoint, out)
+    return found.select("trace_id", "span_id")
+
+
+@query("""SELECT doc_id, source FROM documents WHERE doc_id % 3 = 1""")
+def valid_rows_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table rewritten in place to its valid rows; what was a version before stays readable."""
+    lines = Snapshots(shared_folder(spark, "lines"))
+    lines.commit(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    sinks.rewrite_valid(lines, spark, F.col("doc_id") % 3 == 1)
+    return lines.read(spark)
+
+
+@query("""SELECT o_orderpriority AS path_id, count(*) AS n FROM orders GROUP BY 1""")
+def counter_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs' counts, each merged into the version before."""
+    o = table(spark, sf_dir, "orders").select(F.lit("o").alias("framework"), F.col("o_orderpriority").alias("path_id"), (F.col("o_orderkey") % 3).alias("run"))
+    counters = Snapshots(shared_folder(spark, "counters"))
+    for k in range(3):
+        sinks.merge_counts(counters, taxonomy.count_samples(o.filter(F.col("run") == k)))
+    return counters.read(spark).select("path_id", "n")
+
+
+@query("""SELECT DISTINCT user_id AS trace_id, day(min(ts)) <= 10 AS early FROM events GROUP BY 1""")
+def ledger_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with a ledger: the second takes only users that the first did not."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("trace_id"), F.dayofmonth(F.to_timestamp("ts")).alias("day"))
+    ledger = Snapshots(shared_folder(spark, "ledger"))
+    first = stored(e.filter("day <= 10").select("trace_id").distinct(), "run")
+    sinks.mark_done(ledger, first)
+    second = stored(sinks.not_done(e, ledger.read(spark)).select("trace_id").distinct(), "run")
+    sinks.mark_done(ledger, second)
+    return ledger.read(spark).join(first.withColumn("early", F.lit(True)), "trace_id", "left").select("trace_id", F.coalesce("early", F.lit(False)).alias("early"))
+
+
+@query("""SELECT doc_id, md5(text) AS answer, 1::BIGINT AS times_sent FROM documents WHERE text IS NOT NULL""")
+def answers_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over nine tenths of the documents, then one over all: every request has been sent once, as the cache's rows show."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cache = AnswerCache(shared_folder(spark, "answer-cache"), "echo")
+    ask(d.filter("doc_id % 10 <> 3"), F.col("text"), _Echo(), "answer", cache)
+    out = ask(d, F.col("text"), _Echo(), "answer", cache)
+    sent = cache.rows(spark).groupBy(F.col("__key").alias("key")).agg(F.count(F.lit(1)).alias("times_sent"))
+    return out.join(sent, F.md5("text") == F.col("key")).select("doc_id", "answer", "times_sent")
+
+
+class _Echo:
+    """A service that answers with the request's md5."""
+
+    def __call__(self, requests: list[str]) -> list[str]:
+        return [hashlib.md5(r.encode()).hexdigest() for r in requests]
 
 
 class _ServerTools:

@@ -6,10 +6,11 @@ half-written file is never seen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import trace_name
+from .snapshots import Snapshots
 
 _JSON = {"ignoreNullFields": "false"}
 
@@ -36,7 +37,9 @@ def with_constants(df: DataFrame, **values: object) -> DataFrame:
 
 def write_by_trace_name(df: DataFrame, path: str, name_col: str = "trace_name") -> None:
     """One folder per safe trace name."""
-    df.withColumn("trace_name_safe", trace_name(F.col(name_col))).write.partitionBy("trace_name_safe").mode("append").options(**_JSON).json(path)
+    named = df.withColumn("trace_name_safe", trace_name(F.col(name_col)))
+    # rows of a name meet in as many tasks as Spark's advised partition size asks for: few files a name, and no task for a hot one alone
+    named.hint("rebalance", "trace_name_safe").write.partitionBy("trace_name_safe").mode("append").options(**_JSON).json(path)
 
 
 def valid_only(checked: DataFrame, path: str) -> None:
@@ -44,6 +47,27 @@ def valid_only(checked: DataFrame, path: str) -> None:
     write_text(checked.filter("valid"), "line", path)
 
 
+def rewrite_valid(lines: Snapshots, spark: SparkSession, valid: Column) -> int:
+    """Drop the rows of a table that aren't valid, in place: readers see the old version until the new one is whole."""
+    return lines.update(spark, lambda rows: rows.filter(F.coalesce(valid, F.lit(False))))
+
+
+def merge_counts(counters: Snapshots, delta: DataFrame) -> int:
+    """The next version of stored counters: those that are there and their increments."""
+    return counters.update(delta.sparkSession, lambda rows: delta if rows is None else new_counts(rows, delta))
+
+
+def mark_done(ledger: Snapshots, done: DataFrame, key: str = "trace_id") -> int:
+    """The ledger with the keys of ``done``, each once; null keys are never done."""
+    keys = done.select(key).filter(F.col(key).isNotNull())
+    return ledger.update(done.sparkSession, lambda rows: (keys if rows is None else rows.unionByName(keys)).distinct())
+
+
+def save_taxonomy(trees: Snapshots, nodes: DataFrame) -> int:
+    """Adjacency rows as the next version; the one before stays as the backup."""
+    return trees.commit(nodes)
+
+
 def new_counts(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Stored counters and their increments as one table, to be written as the next version."""
     keys = [c for c in stored.columns if c != "n"]

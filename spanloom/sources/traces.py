@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from .. import schemas
+from ..adapters import retry
 
 
 @dataclass(frozen=True)
@@ -31,30 +35,112 @@ class StubStore:
         return rows[page * self.page : (page + 1) * self.page]
 
 
+@dataclass(frozen=True)
+class PageFolder:
+    """A store of pages as files: ``trace=<id>/page=<n>/*.json``, one span a line; ids of traces sort by time.
+
+    The place of a service's paged answers, on any file system that pyarrow opens.
+    """
+
+    path: str
+
+    def _files(self, under: str) -> list:
+        """The file system, and the paths of what Spark's writers have put there."""
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(self.path)
+        found = system.get_file_info(fs.FileSelector(f"{base.rstrip('/')}{under}", allow_not_found=True))
+        return [system, sorted(f.path for f in found if not f.base_name.startswith((".", "_")))]
+
+    def trace_ids(self, start: str | None, end: str | None) -> list[str]:
+        """Ids of traces whose own time, which their id begins with, touches the range."""
+        ids = [f.rsplit("=", 1)[1] for f in self._files("")[1]]
+        return [t for t in ids if (not start or t >= start[: len(t)]) and (not end or t <= end[: len(t)])]
+
+    def observations(self, trace_id: str, page: int) -> list[dict]:
+        system, files = self._files(f"/trace={trace_id}/page={page}")
+        rows = []
+        for f in files:
+            with system.open_input_stream(f) as stream:
+                rows += [json.loads(line) | {"trace_id": trace_id} for line in stream.read().splitlines()]
+        return rows
+
+
 @dataclass
 class _Trace(InputPartition):
     trace_id: str
 
 
+def _spans(store: StubStore | PageFolder, trace_id: str, attempts: int, wait_s: float) -> Iterator[tuple]:
+    """A trace's spans ordered by time, from all of its pages; a page that fails is asked for again."""
+    fetch = retry(lambda pages: [store.observations(trace_id, p) for p in pages], attempts, wait_s)
+    rows, page = [], 0
+    while batch := fetch([page])[0]:
+        rows += batch
+        page += 1
+    rows.sort(key=lambda r: (r.get("start_time_s") is not None, r.get("start_time_s") or ""))  # stable; without a time first
+    for i, r in enumerate(rows):
+        yield tuple("" if n == "_raw" else i if n == "line_no" else r.get(n) for n in schemas.SPANS.names)
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, store: StubStore, start: str | None, end: str | None) -> None:
-        self.store, self.start, self.end = store, start, end
+    def __init__(self, store: StubStore | PageFolder, start: str | None, end: str | None, attempts: int, wait_s: float) -> None:
+        self.store, self.start, self.end, self.how = store, start, end, (attempts, wait_s)
+        self.pushed: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Ranges of ``start_time_s`` choose the traces that are asked for, and the rows; Spark sees to all other filters."""
+        for f in filters:
+            if type(f) in _COMPARE and f.attribute == ("start_time_s",) and isinstance(f.value, str):
+                self.pushed.append(f)
+            else:
+                yield f
 
     def partitions(self) -> list[_Trace]:
-        return [_Trace(t) for t in self.store.trace_ids(self.start, self.end)]
+        low = max([self.start or "", *(f.value for f in self.pushed if type(f) in (GreaterThan, GreaterThanOrEqual, EqualTo))])
+        high = min([self.end or "\uffff", *(f.value for f in self.pushed if type(f) in (LessThan, LessThanOrEqual, EqualTo))])
+        return [_Trace(t) for t in self.store.trace_ids(low or None, None if high == "\uffff" else high)]
 
     def read(self, partition: _Trace) -> Iterator[tuple]:
-        rows, page = [], 0
-        while batch := self.store.observations(partition.trace_id, page):
-            rows += batch
-            page += 1
-        rows.sort(key=lambda r: (r.get("start_time_s") is not None, r.get("start_time_s") or ""))  # stable; without a time first
-        for i, r in enumerate(rows):
-            yield tuple("" if n == "_raw" else i if n == "line_no" else r.get(n) for n in schemas.SPANS.names)
+        at = schemas.SPANS.names.index("start_time_s")
+        for row in _spans(self.store, partition.trace_id, *self.how):
+            if all(row[at] is not None and _COMPARE[type(f)](row[at], f.value) for f in self.pushed):
+                yield row
+
+
+_COMPARE = {GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le, EqualTo: operator.eq}
+
+
+class _Pull(DataSourceStreamReader):
+    """Traces as a stream: the offset is the last trace that was read; the newest ``unsettled`` ones may still grow and wait."""
+
+    def __init__(self, store: StubStore | PageFolder, unsettled: int, attempts: int, wait_s: float) -> None:
+        self.store, self.unsettled, self.how = store, unsettled, (attempts, wait_s)
+
+    def initialOffset(self) -> dict:
+        return {"after": ""}
+
+    def latestOffset(self) -> dict:
+        ids = self.store.trace_ids(None, None)
+        settled = ids[: len(ids) - self.unsettled] if self.unsettled else ids
+        return {"after": settled[-1] if settled else ""}
+
+    def partitions(self, start: dict, end: dict) -> list[_Trace]:
+        return [_Trace(t) for t in self.store.trace_ids(None, None) if start["after"] < t <= end["after"]]
+
+    def read(self, partition: _Trace) -> Iterator[tuple]:
+        yield from _spans(self.store, partition.trace_id, *self.how)
+
+    def commit(self, end: dict) -> None:
+        """Nothing is kept for offsets that are done: the store has all pages."""
 
 
 class TraceSource(DataSource):
-    """``spark.read.format("spanloom_traces")`` with options ``traces``, ``page``, ``start`` and ``end`` (ISO times)."""
+    """``spark.read.format("spanloom_traces")`` or ``readStream``: a :class:`PageFolder` at the option ``path``, else the stub store.
+
+    Options: ``traces`` and ``page`` of the stub, ``start`` and ``end`` (ISO times),
+    ``attempts`` and ``wait`` (seconds) of a page's requests, ``unsettled`` of a stream.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -63,14 +149,39 @@ class TraceSource(DataSource):
     def schema(self):
         return schemas.SPANS
 
-    def store(self) -> StubStore:
+    def store(self) -> StubStore | PageFolder:
+        if "path" in self.options:
+            return PageFolder(self.options["path"])
         return StubStore(int(self.options.get("traces", "10")), int(self.options.get("page", "3")))
 
+    def _how(self) -> tuple[int, float]:
+        return int(self.options.get("attempts", "3")), float(self.options.get("wait", "5"))
+
     def reader(self, schema) -> _Reader:
-        return _Reader(self.store(), self.options.get("start"), self.options.get("end"))
+        return _Reader(self.store(), self.options.get("start"), self.options.get("end"), *self._how())
+
+    def streamReader(self, schema) -> _Pull:
+        return _Pull(self.store(), int(self.options.get("unsettled", "0")), *self._how())
+
+
+def write_pages(spans: DataFrame, path: str, trace: str, page: int = 500) -> None:
+    """``spans`` as a :class:`PageFolder`: ``trace`` names the column with the trace's id, a page holds about ``page`` spans.  Further traces can be added later."""
+    size = spans.groupBy(trace).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / page)).alias("__pages"))
+    dealt = spans.join(size, trace).withColumn("page", F.pmod(F.xxhash64("span_id"), F.col("__pages"))).withColumnRenamed(trace, "trace").drop("__pages")
+    dealt.repartition("trace", "page").write.mode("append").partitionBy("trace", "page").options(ignoreNullFields="false").json(path)
 
 
 def traces(spark: SparkSession, source: type[TraceSource] = TraceSource, **options: str) -> DataFrame:
-    """Spans of a paged store between ``start`` and ``end``; subclass :class:`TraceSource` to read another store."""
+    """Spans of a paged store between ``start`` and ``end``; subclass :class:`TraceSource` to read another store.
+
+    Filters on ``start_time_s`` are pushed into the source, which the session is told to allow.
+    """
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(source)
     return spark.read.format(source.name()).options(**options).load()
+
+
+def trace_stream(spark: SparkSession, source: type[TraceSource] = TraceSource, **options: str) -> DataFrame:
+    """The same store as a stream of traces."""
+    spark.dataSource.register(source)
+    return spark.readStream.format(source.name()).options(**options).load()
