@@ -138,12 +138,27 @@ class StubSearch:
         return [json.dumps([{"title": f"{r[:40]} {i}", "snippet": f"about {r[:40]}", "url": f"https://site{i}.example/{_pick(r, 1000)}", "source": f"site{i}", "date": "2024-01-01"} for i in range(5)]) for r in requests]
 
 
+@dataclass(frozen=True)
+class StubbornLLM:
+    """Answers repairs by a hash of the prompt: a quarter is refused, a quarter gets a URL that works, the others one that doesn't."""
+
+    def __call__(self, requests: list[str]) -> list[str]:
+        def one(prompt: str) -> str:
+            kind, tag = _pick(prompt, 4), hashlib.md5(prompt.encode()).hexdigest()[:6]
+            url = f"https://ok.example/{tag}" if kind == 1 else f"http://gone.example/{tag}"
+            return json.dumps({"repairable": kind > 0, "suggested_urls": [url] if kind else [], "reasoning": "stub"})
+
+        return [one(r) for r in requests]
+
+
 @dataclass(frozen=True)
 class StubProbe:
-    """Status of a URL: 200 for hosts under ``ok.`` and for two thirds of the others, else 404."""
+    """Status of a URL: 200 for hosts under ``ok.`` and for two thirds of the others, else 404; never 200 for one that holds ``gone``."""
+
+    gone: str = ""
 
     def __call__(self, requests: list[str]) -> list[str]:
-        return ["200" if "://ok." in u or _pick(u, 3) else "404" for u in requests]
+        return ["200" if "://ok." in u or (_pick(u, 3) and not (self.gone and self.gone in u)) else "404" for u in requests]
 
 
 def retry(service: TextService, attempts: int = 3, wait_s: float = 5.0) -> TextService:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..adapters import AnswerCache, ask
 from ..functions import text as X
-from ..operators import calls, spans, stats, synth, taxonomy
+from ..operators import calls, dialects, spans, stats, synth, taxonomy
 from ..sources import files, sinks, traces
 from ..sources.snapshots import Snapshots
 from ..storage import shared_folder, stored
@@ -76,6 +76,34 @@ def taxonomy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.taxonomies(spark, f"{path}/*")
 
 
+@query("""SELECT 'geo' AS framework, 'root' AS id, NULL AS parent_id, 'World' AS en, '世界' AS zh, 0 AS sib_pos
+UNION ALL SELECT 'geo', 'r' || r_regionkey, 'root', r_name, '', CAST(row_number() OVER (ORDER BY r_regionkey) - 1 AS INTEGER) FROM region
+UNION ALL SELECT 'geo', 'n' || n_nationkey, 'r' || n_regionkey, n_name, '国', CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) FROM nation
+UNION ALL SELECT 'geo', 'c' || c_custkey, 'n' || c_nationkey, c_name, c_mktsegment, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) FROM customer""")
+def taxonomy_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjacency rows saved as a version, nested into a document, written, and walked back into adjacency rows."""
+    row = lambda t, ident, parent, en, zh, pos: table(spark, sf_dir, t).selectExpr("'geo' AS framework", f"{ident} AS id", f"{parent} AS parent_id", f"{en} AS en", f"{zh} AS zh", f"cast({pos} AS int) AS sib_pos")
+    nodes = row("region", "'root'", "cast(null as string)", "'World'", "'世界'", "0").distinct()
+    nodes = nodes.unionByName(row("region", "concat('r', r_regionkey)", "'root'", "r_name", "''", "r_regionkey")).unionByName(row("nation", "concat('n', n_nationkey)", "concat('r', n_regionkey)", "n_name", "'国'", "n_nationkey"))
+    nodes = nodes.unionByName(row("customer", "concat('c', c_custkey)", "concat('n', c_nationkey)", "c_name", "c_mktsegment", "c_custkey"))
+    trees, path = Snapshots(shared_folder(spark, "taxonomy")), shared_folder(spark, "taxonomy-documents")
+    sinks.save_taxonomy(trees, nodes)
+    sinks.write_documents(files.taxonomy_documents(trees.read(spark)), "document", "framework", path)
+    return files.taxonomies(spark, f"{path}/*")
+
+
+@query(r"""WITH e AS (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events)
+SELECT event_id, '{"type": "' || event_type || '", "steps": [["<tool_call>lookup\n<arg_key>k</arg_key>\n<arg_value>' || k || '</arg_value>\n</tool_call>", ' || k || '], {"inner": {"' || event_type || '": "none < ' || k || '"}}]}' AS document FROM e""")
+def leaf_rewrites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls in any string of a nested document, in another dialect."""
+    k = F.get_json_object("props", "$.k")
+    call = F.concat(F.lit("<tool_use><tool_name>lookup</tool_name><parameter><k>"), k, F.lit("</k></parameter></tool_use>"))
+    inner = F.struct(F.create_map("event_type", F.concat(F.lit("none < "), k)).alias("inner"))
+    steps = F.concat(F.lit("[["), F.to_json(F.array(call)).substr(F.lit(2), F.length(F.to_json(F.array(call))) - 2), F.lit(","), k, F.lit("],"), F.to_json(inner), F.lit("]"))
+    doc = F.concat(F.lit('{"type":"'), "event_type", F.lit('","steps":'), steps, F.lit("}"))
+    return table(spark, sf_dir, "events").select("event_id", dialects.leaf_rewriter("glm")(doc).alias("document"))
+
+
 def _configs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """A configuration a nation: two agents of one name where its number divides by 5, and limits that some nations break."""
     k = F.col("n_nationkey")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import stats, synth, taxonomy, urls
-from ..adapters import StubLLM, StubProbe, ask
+from ..adapters import StubbornLLM, StubLLM, StubProbe, ask
 from .base import Registry, table
 
 query = Registry()
@@ -163,6 +163,24 @@ def url_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.repair_urls(p, "page_id", "query", StubProbe(), StubLLM()).select("page_id", "query", "url_stats.*")
 
 
+@query("""WITH s0 AS (SELECT page_id, url, ('0x' || substr(md5(url), 1, 8))::BIGINT % 3 <> 0 AS ok, CAST(NULL AS VARCHAR) AS new_url, ('0x' || substr(md5(url), 1, 8))::BIGINT % 3 = 0 AS open, 'not accessible' AS note FROM pages),
+p0 AS (SELECT *, '# repair 0' || chr(10) || url || chr(10) || note AS q FROM s0),
+s1 AS (SELECT page_id, url, ok, CASE WHEN open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 = 1 THEN 'https://ok.example/' || substr(md5(q), 1, 6) ELSE new_url END AS new_url,
+  open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 > 1 AS open, 'failed: http://gone.example/' || substr(md5(q), 1, 6) AS note FROM p0),
+p1 AS (SELECT *, '# repair 1' || chr(10) || url || chr(10) || note AS q FROM s1),
+s2 AS (SELECT page_id, url, ok, CASE WHEN open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 = 1 THEN 'https://ok.example/' || substr(md5(q), 1, 6) ELSE new_url END AS new_url,
+  open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 > 1 AS open, 'failed: http://gone.example/' || substr(md5(q), 1, 6) AS note FROM p1),
+p2 AS (SELECT *, '# repair 2' || chr(10) || url || chr(10) || note AS q FROM s2),
+s3 AS (SELECT page_id, url, ok, CASE WHEN open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 = 1 THEN 'https://ok.example/' || substr(md5(q), 1, 6) ELSE new_url END AS new_url,
+  open AND ('0x' || substr(md5(q), 1, 8))::BIGINT % 4 > 1 AS open, 'failed: http://gone.example/' || substr(md5(q), 1, 6) AS note FROM p2)
+SELECT page_id, 'read ' || CASE WHEN ok THEN url ELSE coalesce(new_url, '[URL removed]') END AS query, 1::BIGINT AS total_extracted, ok::BIGINT AS accessible,
+(NOT ok AND new_url IS NOT NULL)::BIGINT AS repaired, (NOT ok AND new_url IS NULL)::BIGINT AS removed FROM s3""")
+def url_repair_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that refuses a quarter of the requests and suggests broken URLs for half of them: every round runs, and some URLs go."""
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("read "), "url").alias("query"))
+    return urls.repair_urls(p, "page_id", "query", StubProbe(gone="://gone."), StubbornLLM()).select("page_id", "query", "url_stats.*")
+
+
 @query("""SELECT page_id, CASE WHEN f = '' THEN 'download' ELSE f END AS name FROM (SELECT page_id, regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1) AS f FROM pages)""")
 def filename_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.file_name(F.col("url")).alias("name"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions import deepjson
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,15 +58,18 @@ def personas(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.col("line_no").alias("persona_idx"), F.coalesce(_text("persona"), F.lit("")).alias("persona"), F.coalesce(_text("persona_chinese"), F.lit("")).alias("persona_chinese"), F.to_json(rest).alias("metadata"))
 
 
-def walk_tree(node: dict, framework: str, parent: str | None = None, place: int = 0) -> Iterator[tuple]:
-    yield framework, node["id"], parent, node.get("en", ""), node.get("zh", ""), place
-    for i, child in enumerate(node.get("children") or []):
-        yield from walk_tree(child, framework, node["id"], i)
+def walk_tree(node: dict, framework: str) -> Iterator[tuple]:
+    """Adjacency rows of a tree in depth-first order, however deep it is."""
+    todo = [(node, None, 0)]
+    while todo:
+        x, parent, place = todo.pop()
+        yield framework, x["id"], parent, x.get("en", ""), x.get("zh", ""), place
+        todo += [(child, x["id"], i) for i, child in reversed(list(enumerate(x.get("children") or [])))]
 
 
 def taxonomy(spark: SparkSession, document: str) -> DataFrame:
     """Adjacency rows of one taxonomy document (``framework`` and ``tree``), a few hundred nodes."""
-    data = json.loads(document)
+    data = deepjson.loads(document)
     return spark.createDataFrame(list(walk_tree(data["tree"], data.get("framework", ""))), schemas.TAXONOMY_NODES)
 
 
@@ -79,9 +83,9 @@ def taxonomies(spark: SparkSession, path: str) -> DataFrame:
             rows = []
             for text in batch["value"]:
                 try:
-                    data = json.loads(text)
+                    data = deepjson.loads(text)
                     rows += list(walk_tree(data["tree"], data.get("framework", "")))
-                except (ValueError, KeyError, TypeError):
+                except (ValueError, KeyError, TypeError, AttributeError):
                     continue
             yield pd.DataFrame(rows, columns=schemas.TAXONOMY_NODES.names)
 
@@ -90,8 +94,39 @@ def taxonomies(spark: SparkSession, path: str) -> DataFrame:
 
 def nested_tree(nodes: list[tuple[str, str | None, str, int]], parent: str | None = None) -> list[dict]:
     """Nested documents of one framework's (id, parent_id, name, sib_pos) rows, for display."""
-    own = sorted((n for n in nodes if n[1] == parent), key=lambda n: n[3])
-    return [{"id": n[0], "name": n[2]} | ({"children": kids} if (kids := nested_tree(nodes, n[0])) else {}) for n in own]
+    made, below = {}, {}
+    for ident, above, name, _ in sorted(nodes, key=lambda n: n[3]):
+        made[ident] = {"id": ident, "name": name}
+        below.setdefault(above, []).append(ident)
+    for above, kids in below.items():
+        if above in made:
+            made[above]["children"] = [made[k] for k in kids]
+    return [made[k] for k in below.get(parent, [])]
+
+
+def taxonomy_documents(nodes: DataFrame) -> DataFrame:
+    """(framework, document): each framework's tree as one document, children in their places; the reverse of :func:`taxonomies`.
+
+    A document is one row, so its nodes meet where it is written.  A node whose
+    parent is missing, or that no root leads to, is left out; frameworks without a root give no row.
+    """
+
+    def nest(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("sib_pos", kind="stable")
+        made = {r.id: {"id": r.id, "en": r.en, "zh": r.zh} for r in pdf.itertuples()}
+        root = None
+        for r in pdf.itertuples():
+            if r.parent_id is None:
+                root = root or made[r.id]
+            elif r.parent_id in made:
+                made[r.parent_id].setdefault("children", []).append(made[r.id])
+        framework = pdf["framework"].iloc[0]
+        documents = [] if root is None else [deepjson.dumps({"framework": framework, "tree": root})]
+        return pd.DataFrame({"framework": [framework] * len(documents), "document": documents}, dtype=object)
+
+    return nodes.groupBy("framework").applyInPandas(nest, "framework string, document string")
 
 
 def framework_configs(spark: SparkSession, path: str) -> dict[str, DataFrame]:

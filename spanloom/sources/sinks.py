@@ -24,6 +24,11 @@ def write_text(df: DataFrame, column: str, path: str, mode: str = "errorifexists
     df.select(F.col(column).alias("value")).write.mode(mode).text(path)
 
 
+def write_documents(df: DataFrame, column: str, name: str, path: str, mode: str = "errorifexists") -> None:
+    """One document a row, each in a file of its own under ``path``/``name``=value."""
+    df.select(F.col(name), F.col(column).alias("value")).write.mode(mode).option("maxRecordsPerFile", 1).partitionBy(name).text(path)
+
+
 def as_json_array(df: DataFrame, group: list[str]) -> DataFrame:
     """One JSON array per group, for exports of a group that fits a row."""
     rest = [c for c in df.columns if c not in group]

@@ -15,6 +15,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 from .. import schemas
 from ..adapters import retry
+from ..operators.taxonomy import prefix
 
 
 @dataclass(frozen=True)
@@ -165,10 +166,9 @@ class TraceSource(DataSource):
 
 
 def write_pages(spans: DataFrame, path: str, trace: str, page: int = 500) -> None:
-    """``spans`` as a :class:`PageFolder`: ``trace`` names the column with the trace's id, a page holds about ``page`` spans.  Further traces can be added later."""
-    size = spans.groupBy(trace).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / page)).alias("__pages"))
-    dealt = spans.join(size, trace).withColumn("page", F.pmod(F.xxhash64("span_id"), F.col("__pages"))).withColumnRenamed(trace, "trace").drop("__pages")
-    dealt.repartition("trace", "page").write.mode("append").partitionBy("trace", "page").options(ignoreNullFields="false").json(path)
+    """``spans`` as a :class:`PageFolder`: ``trace`` names the column with the trace's id, a page holds ``page`` spans, the last one the rest.  Further traces can be added later."""
+    placed = prefix(spans.withColumnRenamed(trace, "trace"), "trace", "span_id").withColumn("page", F.floor(F.col("place") / page)).drop("place")
+    placed.repartition("trace", "page").write.mode("append").partitionBy("trace", "page").options(ignoreNullFields="false").json(path)
 
 
 def traces(spark: SparkSession, source: type[TraceSource] = TraceSource, **options: str) -> DataFrame:
