@@ -66,9 +66,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
         def likely(n: int) -> Column:
             """The windows of ``n`` words that pass the sieve, with their words: a row carries no more of its document than that."""
-            hash_at = lambda i: F.xxhash64(F.slice(w, i, n))
-            row = lambda i: F.struct((i - 1).cast("int").alias("at"), F.lit(n).alias("n"), hash_at(i).alias("hash"), F.slice(w, i, n).alias("of"))
-            return F.when(F.size(w) >= n, F.transform(F.filter(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: maybe(hash_at(i))), row)).otherwise(nothing)
+            # a hash is a lambda's variable before it is looked up: expressions inside lambdas are computed wherever they stand
+            hashes = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(F.slice(w, i, n)))
+            places = F.filter(F.transform(hashes, lambda h, i: F.when(maybe(h), i)), lambda i: i.isNotNull())
+            row = lambda of: F.transform(places, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(of(i)).alias("hash"), of(i).alias("of")))
+            return F.when(F.size(w) >= n, row(lambda i: F.slice(w, i + 1, n))).otherwise(nothing)
 
         # a first row per document (at -1) carries its number of words through the join
         lead = F.array(F.struct(F.lit(-1).alias("at"), F.size(w).alias("n"), F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("array<string>").alias("of")))
