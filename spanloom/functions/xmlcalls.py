@@ -38,8 +38,8 @@ class Tag(NamedTuple):
 
 def tags(text: str) -> Iterator[Tag]:
     """The tags of a text in order; a ``<`` that begins no tag is text."""
-    at = text.find("<")
-    while at >= 0:
+    at, last = text.find("<"), text.rfind(">")
+    while 0 <= at < last:  # no tag ends beyond it, so no search for an end runs through the rest in vain
         closer = text.startswith("/", at + 1)
         name = _NAME.match(text, at + 1 + closer)
         end = -1

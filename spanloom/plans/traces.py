@@ -189,7 +189,7 @@ SELECT page_id, CAST(errors + len(waiting) AS BIGINT) AS n_errors FROM w JOIN n
 @query(_TAG_STACK)
 def tag_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.size(quality.tag_balance()(F.col("html"))).cast("long").alias("n_errors"))
+    return quality.tag_balance(p, "page_id", "html").select("page_id", "n_errors")
 
 
 @query("""SELECT page_id, len(regexp_extract_all(html, '<p>'))::BIGINT AS opened, len(regexp_extract_all(html, '</p>'))::BIGINT AS closed FROM pages""")
