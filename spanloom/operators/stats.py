@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..storage import stored
 
 def agent_distribution(spans: DataFrame, agent: str = "agent_name") -> DataFrame:
     """Rows of each agent; a null agent counts as ``unknown``."""
@@ -47,17 +48,29 @@ def ordered_distinct(*texts: Column) -> Column:
 
 
 def last_of_each(pairs: Column) -> Column:
-    """map from key to the value of its last pair, of array<struct<k,v>>."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["k"] == k), -1)["v"]))
+    """map from key to the value of its last pair, of array<struct<k,v>>; keys in the order of their first pairs.
+
+    Pairs without a key are left out; null pairs give null.  Sorted by key and
+    place, each key's first and last pair stand at the ends of its run.
+    """
+
+    def bound(array: Column, f) -> Column:
+        """``f`` of an array that is made once, not once for each element it is compared with."""
+        return F.get(F.transform(F.array(array), f), 0)
+
+    placed = F.array_sort(F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"))), lambda p: p["k"].isNotNull()))
+    firsts = lambda a: F.filter(a, lambda p, i: (i == 0) | (F.get(a, i - 1)["k"] != p["k"]))
+    lasts = lambda a: F.filter(a, lambda p, i: (i == F.size(a) - 1) | (F.get(a, i + 1)["k"] != p["k"]))
+    ends = bound(placed, lambda a: F.array_sort(F.zip_with(firsts(a), lasts(a), lambda f, l: F.struct(f["i"].alias("first"), l["i"].alias("last")))))
+    picked = F.transform(ends, lambda e: F.get(pairs, e["last"]))
+    return F.map_from_entries(F.transform(picked, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
     """``rows`` numbered from 1 in the given order, without gathering them: parts are counted, then each row adds its part's base."""
-    spark = rows.sparkSession
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
     ranged = ranged.withColumn("__part", F.shiftright("__id", 33)).withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
-    ranged = ranged.checkpoint() if spark.sparkContext.getCheckpointDir() else ranged.cache()
+    ranged = stored(ranged, "numbered")
     sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
     base = sizes.select("__part", F.coalesce(F.sum("n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     return ranged.join(F.broadcast(base), "__part").withColumn("number", F.col("base") + F.col("__at") + 1).drop("__id", "__part", "__at", "base")

@@ -212,6 +212,16 @@ def pulled_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("trace_id", "span_id")
 
 
+@query("""SELECT strftime(ts, '%Y-%m-%d') AS trace_id, CAST(event_id AS VARCHAR) AS span_id, event_type AS span_name, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS start_time_s, CAST(user_id AS VARCHAR) AS parent_id
+FROM events WHERE strftime(ts, '%Y-%m-%d') >= '2024-01-05'""")
+def traces_to_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traces since a day, pulled page by page into a file and read back from there."""
+    path, out = shared_folder(spark, "pages"), shared_folder(spark, "trace-file")
+    traces.write_pages(_day_spans(spark, sf_dir), path, "day")
+    traces.save_traces(spark, out, path=path, start="2024-01-05")
+    return files.spans(spark, out).select("trace_id", "span_id", "span_name", "start_time_s", "parent_id")
+
+
 @query("""SELECT doc_id, source FROM documents WHERE doc_id % 3 = 1""")
 def valid_rows_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table rewritten in place to its valid rows; what was a version before stays readable."""
@@ -274,6 +284,36 @@ def server_tool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.server_tools(spark, servers, _ServerTools()).select("server", "url_key", "tool_name", "parameters")
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS server, md5('https://tools.example/' || c_custkey % 500) AS url_key, unnest(['find_' || c_custkey % 500, 'list']) AS tool_name, 1::BIGINT AS times_sent FROM customer""")
+def server_tools_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over some of the customers' servers, then one over all of them: each URL, shared by many rows, has been asked once."""
+    servers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("server"), F.concat(F.lit("https://tools.example/"), F.col("c_custkey") % 500).alias("url"))
+    cache = AnswerCache(shared_folder(spark, "tool-cache"), "tools")
+    files.server_tools(spark, servers.filter("server % 3 = 0"), _ServerTools(), cache)
+    out = files.server_tools(spark, servers, _ServerTools(), cache)
+    sent = cache.rows(spark).groupBy(F.col("__key").alias("url_key")).agg(F.count(F.lit(1)).alias("times_sent"))
+    return out.join(sent, "url_key").select("server", "url_key", "tool_name", "times_sent")
+
+
+@query("""SELECT 'fw' || s_suppkey AS framework, CASE WHEN s_suppkey % 3 = 0 THEN 'own' ELSE 'shared' END AS root, CASE WHEN s_suppkey % 7 = 0 THEN '' WHEN s_nationkey % 2 = 0 AND s_suppkey % 5 <> 0 THEN '框架 ' || s_name
+ELSE s_name || CASE WHEN s_suppkey % 3 = 0 THEN ' own' ELSE ' shared' END END AS description, s_suppkey % 4 = 0 AS has_extra FROM supplier""")
+def framework_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Configurations in two roots, the first of which wins; descriptions by language: some lack the Chinese one, some have neither."""
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.concat(F.lit("fw"), k).alias("framework"), k.alias("k"), "s_name", F.when(F.col("s_nationkey") % 2 == 0, "Chinese").otherwise("english").alias("language"))
+    roots = rows.filter(F.col("k") % 3 == 0).withColumn("root", F.lit("own")).unionByName(rows.withColumn("root", F.lit("shared")))
+    told, both = F.col("k") % 7 != 0, (F.col("k") % 7 != 0) & (F.col("k") % 5 != 0)
+    doc = F.struct(F.col("framework").alias("name"), F.when(told, F.concat_ws(" ", "s_name", "root")).alias("description"), F.when(both, F.concat(F.lit("框架 "), "s_name")).alias("description_chinese"), F.when(F.col("k") % 4 == 0, "x").alias("extra"))
+    path = shared_folder(spark, "roots")
+    sinks.write_text(roots.select("root", "framework", F.to_json(doc).alias("line")).select(F.concat_ws("\t", "root", "framework", "line").alias("line")), "line", path)
+    part = lambda i: F.split_part(F.col("value"), F.lit("\t"), F.lit(i))
+    read = spark.read.text(path).select(part(1).alias("path"), part(2).alias("framework"), part(3).alias("config"))
+    found = files.located(read.withColumn("rank", F.when(F.col("path") == "own", 0).otherwise(1)))
+    wanted = read.join(found, ["framework", "path"]).join(rows.select("framework", "language"), "framework")
+    extra = F.map_contains_key(files.config_metadata(F.col("config")), "extra")
+    return wanted.select("framework", F.col("path").alias("root"), files.framework_description(F.col("config"), F.col("language")).alias("description"), extra.alias("has_extra"))
+
+
 @query("""SELECT n_nationkey, n_name || '_sub_agent' AS name, 'Sub-agent ' || n_name AS description, 'find_' || n_name AS text_name, 'Finds ' || n_name || '.' AS text_description,
 '{"type": "object", "properties": {"q": {"type": "string"}, "n": {"type": "string"}}}' AS text_parameters FROM nation""")
 def agent_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,6 +176,15 @@ def xml_filter_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.filter_statistics(quality.filter_valid(c.select(line.alias("line"))))
 
 
+@query("""SELECT doc_id, count(*) AS n_words, CAST(sum(last) AS BIGINT) AS places FROM (SELECT doc_id, w, max(i) AS last FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents) GROUP BY doc_id, w) GROUP BY doc_id""")
+def last_place_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document's words the last place, within its row."""
+    words = F.transform(F.split("text", " "), lambda w, i: F.struct(w.alias("k"), (i + 1).alias("v")))
+    last = F.map_values(stats.last_of_each(words))
+    d = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", last.alias("last"))
+    return d.select("doc_id", F.size("last").cast("long").alias("n_words"), F.aggregate("last", F.lit(0).cast("long"), lambda a, v: a + v).alias("places"))
+
+
 #: Fixed values in SQL: what a tag's name holds, and the elements that need no closer.
 _TAG_NAME = r"[A-Za-z\x{4e00}-\x{9fff}][\p{L}\p{N}_:-]*"
 _TAG_STACK = rf"""WITH RECURSIVE t AS (SELECT page_id, list_filter(regexp_extract_all(regexp_replace(coalesce(html, ''), '(?s)<!--.*?-->', '', 'g'), '</?{_TAG_NAME}(?:>|/>|\s[^>]*>)'),

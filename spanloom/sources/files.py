@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..adapters import AnswerCache, ask
 from ..functions import deepjson
 
 
@@ -258,12 +259,14 @@ def located(candidates: DataFrame, order: str = "rank") -> DataFrame:
     return candidates.groupBy("framework").agg(F.min_by("path", order).alias("path"))
 
 
-def server_tools(spark: SparkSession, servers: DataFrame, fetch) -> DataFrame:
-    """(server, url_key, tool_name, description, parameters) of the tools that ``fetch`` (url -> JSON list) names; the url's md5 is the cache key."""
-    from ..adapters import as_udf
+def server_tools(spark: SparkSession, servers: DataFrame, fetch, cache: AnswerCache | None = None) -> DataFrame:
+    """(server, url_key, tool_name, description, parameters) of the tools that ``fetch`` (url -> JSON list) names; the url's md5 is the cache key.
 
+    Each distinct URL is asked once, and with a ``cache`` only if it holds no answer that is young enough.
+    A null URL and an answer that isn't a JSON list give no tools.
+    """
     schema = "array<struct<name:string,description:string,inputSchema:string>>"
-    asked = servers.withColumn("__t", F.explode(F.from_json(as_udf(fetch)(F.col("url")), schema)))
+    asked = ask(servers, F.col("url"), fetch, "__answer", cache).withColumn("__t", F.explode(F.from_json("__answer", schema)))
     return asked.select("server", F.md5("url").alias("url_key"), F.col("__t.name").alias("tool_name"), F.col("__t.description").alias("description"), F.col("__t.inputSchema").alias("parameters"))
 
 

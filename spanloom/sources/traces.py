@@ -16,6 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from .. import schemas
 from ..adapters import retry
 from ..operators.taxonomy import prefix
+from .sinks import write_json_lines
 
 
 @dataclass(frozen=True)
@@ -181,6 +182,15 @@ def traces(spark: SparkSession, source: type[TraceSource] = TraceSource, **optio
     return spark.read.format(source.name()).options(**options).load()
 
 
+def save_traces(spark: SparkSession, out: str, source: type[TraceSource] = TraceSource, **options: str) -> None:
+    """The spans of a paged store as JSON lines that :func:`sources.files.spans` reads, appended to what is at ``out``.
+
+    Each trace is written by the task that pulls it; no trace passes through the driver.
+    """
+    found = traces(spark, source, **options).drop("_raw", "src_file", "line_no")
+    write_json_lines(found.withColumnsRenamed({"start_time_s": "startTime", "end_time_s": "endTime", "parent_id": "parentObservationId"}), out, "append")
+
+
 def trace_stream(spark: SparkSession, source: type[TraceSource] = TraceSource, **options: str) -> DataFrame:
     """The same store as a stream of traces."""
     spark.dataSource.register(source)
