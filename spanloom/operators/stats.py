@@ -58,12 +58,16 @@ def last_of_each(pairs: Column) -> Column:
         """``f`` of an array that is made once, not once for each element it is compared with."""
         return F.get(F.transform(F.array(array), f), 0)
 
-    placed = F.array_sort(F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"))), lambda p: p["k"].isNotNull()))
     firsts = lambda a: F.filter(a, lambda p, i: (i == 0) | (F.get(a, i - 1)["k"] != p["k"]))
     lasts = lambda a: F.filter(a, lambda p, i: (i == F.size(a) - 1) | (F.get(a, i + 1)["k"] != p["k"]))
-    ends = bound(placed, lambda a: F.array_sort(F.zip_with(firsts(a), lasts(a), lambda f, l: F.struct(f["i"].alias("first"), l["i"].alias("last")))))
-    picked = F.transform(ends, lambda e: F.get(pairs, e["last"]))
-    return F.map_from_entries(F.transform(picked, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value"))))
+
+    def entries(pairs: Column) -> Column:
+        placed = F.array_sort(F.filter(F.transform(pairs, lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"))), lambda p: p["k"].isNotNull()))
+        ends = bound(placed, lambda a: F.array_sort(F.zip_with(firsts(a), lasts(a), lambda f, l: F.struct(f["i"].alias("first"), l["i"].alias("last")))))
+        picked = F.transform(ends, lambda e: F.get(pairs, e["last"]))
+        return F.transform(picked, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value")))
+
+    return F.map_from_entries(bound(pairs, entries))
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:

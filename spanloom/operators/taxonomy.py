@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import bucket, path_weight
+from ..sources.snapshots import Snapshots
 from ..storage import stored
 
 
@@ -133,10 +136,35 @@ def tag_traces(found: DataFrame, counts: DataFrame, draws: DataFrame, seed: str,
         drawn = drawn.join(tags, ["framework", "draw_id"], "left")
         cut = F.slice("node_ids", 1, F.array_position("node_ids", F.col("parent_id")).cast("int"))
         drawn = drawn.withColumn("node_ids", F.when(F.col("tag").isNotNull(), F.array_append(cut, F.col("tag"))).otherwise(F.col("node_ids"))).drop("tag")
-    traces = drawn.select(*draws.columns, "path_id", path_id(F.col("node_ids")).alias("trace"))
+    traces = drawn.select(*draws.columns, "path_id", path_id(F.col("node_ids")).alias("trace"), "node_ids")
     return traces, merge_counts(counts, count_samples(drawn))
 
 
+def trace_rounds(state: Snapshots, draws: DataFrame, seed: str, rounds: int, expansion: float = 0.0, new_tag=None) -> DataFrame:
+    """Tag traces of ``draws`` (framework, draw_id, round from 0): each round draws by the counts, and from the paths, that the one before left.
+
+    ``state`` holds (framework, path_id, node_ids, n); version 0 must be there, and
+    round k makes version k + 1: the paths it was given and those that it grew, with
+    their counts.  A path that several draws grow is one path; a new path begins
+    uncounted.  A round's traces are committed before its state, and a round that is
+    committed is not drawn again: a run that was cut off goes on where it was, and
+    repeats the round that it lost with the same result.
+    """
+    spark, kept = draws.sparkSession, []
+    for k in range(rounds):
+        made = Snapshots(f"{state.path}/traces-{k}")
+        if max(state.versions(spark)) <= k:
+            now = state.read(spark)
+            traces, after = tag_traces(now, now.select("framework", "path_id", "n"), draws.filter(F.col("round") == k), f"{seed}.{k}", expansion, new_tag)
+            made.commit(traces, 0)
+            grown = made.read(spark).select("framework", F.col("trace").alias("path_id"), "node_ids").dropDuplicates(["framework", "path_id"])
+            every = now.select("framework", "path_id", "node_ids").unionByName(grown.join(now, ["framework", "path_id"], "left_anti"))
+            counted = every.join(after, ["framework", "path_id"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+            state.commit(counted, k + 1)
+        kept.append(made.read(spark))
+    return reduce(DataFrame.unionByName, kept)
+
+
 def uniform_pick(rows: DataFrame, draws: DataFrame, seed: str, purpose: str) -> DataFrame:
     """Each draw (framework, draw_id) with one of its framework's ``rows`` (framework, item), all alike likely."""
     numbered = prefix(rows.select("framework", "item"), "framework", "item").withColumnRenamed("place", "__at")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import stats, synth, taxonomy, urls
 from ..adapters import StubbornLLM, StubLLM, StubProbe, ask
+from ..sources.snapshots import Snapshots
+from ..storage import shared_folder
 from .base import Registry, table
 
 query = Registry()
@@ -85,6 +87,36 @@ def whole_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(F.col("draw_id").alias("o_orderkey"), "path_id", "persona", synth.drawn_difficulty({"easy": 0.2, "medium": 0.5, "hard": 0.3}, u).alias("difficulty"))
 
 
+_U = "(('0x' || substr(md5({}), 1, 8))::BIGINT % 1000000) / 1000000.0"
+
+
+def _round_sql(k: int) -> str:
+    """Round k in SQL: draws from the paths ``p`` and counts ``c`` of the round before."""
+    u, v, x = (_U.format(f"'4.{k}:{what}:' || o_orderkey") for what in ("f' || (o_orderkey % 2) || '", "node", "expand"))
+    return f"""w{k} AS MATERIALIZED (SELECT f, path_id, nodes, pow(n + 1, -1.5) AS w FROM p{k}),
+s{k} AS MATERIALIZED (SELECT f, path_id, nodes, sum(w / t) OVER (PARTITION BY f ORDER BY path_id) - w / t AS lo FROM w{k} JOIN (SELECT f, sum(w) AS t FROM w{k} GROUP BY 1) USING (f)),
+d{k} AS MATERIALIZED (SELECT o_orderkey, o_orderkey % 2 AS f, {u} AS u, {v} AS v, {x} AS x FROM orders WHERE o_orderkey // 2 % 3 = {k}),
+r{k} AS MATERIALIZED (SELECT o_orderkey, f, path_id, CASE WHEN x < 0.3 THEN list_append(nodes[1:pos], 't' || nodes[pos]) ELSE nodes END AS nodes
+  FROM (SELECT o_orderkey, d.f, x, path_id, nodes, 2 + CAST(floor(v * (len(nodes) - 1)) AS BIGINT) AS pos FROM d{k} AS d ASOF JOIN s{k} AS s ON d.f = s.f AND d.u >= greatest(s.lo, 0))),
+p{k + 1} AS MATERIALIZED (SELECT f, path_id, any_value(nodes) AS nodes, CAST(sum(n) AS BIGINT) AS n FROM (SELECT f, path_id, nodes, n FROM p{k} UNION ALL SELECT f, array_to_string(nodes, '→'), nodes, 0 FROM r{k}
+  UNION ALL SELECT r.f, path_id, p.nodes, 1 FROM r{k} AS r JOIN p{k} AS p USING (f, path_id)) GROUP BY 1, 2)"""
+
+
+@query(f"""WITH p0 AS (SELECT c_custkey % 2 AS f, array_to_string(nodes, '→') AS path_id, nodes, n FROM (SELECT c_custkey, ['root', 'n' || c_nationkey, 'c' || c_custkey] AS nodes, CAST(c_custkey % 5 AS BIGINT) AS n FROM customer)),
+{", ".join(_round_sql(k) for k in range(3))}
+{" UNION ALL ".join(f"SELECT o_orderkey, {k} AS round, path_id, array_to_string(nodes, '→') AS trace FROM r{k}" for k in range(3))}""")
+def tag_trace_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of tag traces, one for each order, over a path a customer; what a round grows the next ones draw from."""
+    name = lambda k: F.concat(F.lit("f"), (F.col(k) % 2).cast("string")).alias("framework")
+    ids = F.array(F.lit("root"), F.concat(F.lit("n"), F.col("c_nationkey")), F.concat(F.lit("c"), F.col("c_custkey")))
+    state = Snapshots(shared_folder(spark, "tag-traces"))
+    state.commit(table(spark, sf_dir, "customer").select(name("c_custkey"), taxonomy.path_id(ids).alias("path_id"), ids.alias("node_ids"), (F.col("c_custkey") % 5).cast("long").alias("n")))
+    draws = table(spark, sf_dir, "orders").select(name("o_orderkey"), F.col("o_orderkey").alias("draw_id"), (F.floor(F.col("o_orderkey") / 2) % 3).cast("int").alias("round"))
+    grow = lambda rows: rows.withColumn("tag", F.concat(F.lit("t"), "parent_id"))
+    traces = taxonomy.trace_rounds(state, draws, "4", 3, 0.3, grow)
+    return traces.select(F.col("draw_id").alias("o_orderkey"), "round", "path_id", "trace")
+
+
 @query("""SELECT doc_id, CASE WHEN u < 0.2 THEN 'easy' WHEN u < 0.7 THEN 'medium' ELSE 'hard' END AS difficulty FROM (SELECT doc_id, (('0x' || substr(md5('0:difficulty:' || doc_id), 1, 8))::BIGINT % 1000000) / 1000000.0 AS u FROM documents)""")
 def difficulty_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = X.bucket(F.lit("0"), F.lit("difficulty"), F.col("doc_id"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from spanloom import adapters
 from spanloom.operators import spans, synth, taxonomy, urls
 from spanloom.sources import files
+from spanloom.sources.snapshots import Snapshots
 from spanloom.storage import shared_folder
 
 
@@ -119,6 +120,34 @@ def test_tag_traces(spark):
     assert {r.path_id: r.n for r in after.collect()}.get("r→b", 0) >= 1000 and sum(r.n for r in after.collect()) == 1300
 
 
+def test_trace_rounds_go_on_after_a_failure(spark, tmp_path):
+    """A run that fails in its second round and one that goes through leave the same traces; committed rounds send nothing again."""
+    draws = spark.range(90).select(F.lit("f").alias("framework"), F.col("id").alias("draw_id"), (F.col("id") % 3).cast("int").alias("round"))
+    first = spark.createDataFrame([("f", "r→a", ["r", "a"], 0), ("f", "r→b", ["r", "b"], 0)], "framework string, path_id string, node_ids array<string>, n long")
+    asked = []
+
+    def grow(rows):
+        asked.append(1)
+        if fails and len(asked) == 2:
+            raise RuntimeError("no answer")
+        return rows.withColumn("tag", F.concat(F.lit("t"), "parent_id"))
+
+    results = []
+    for where, fails in (("whole", False), ("cut", True)):
+        asked.clear()
+        state = Snapshots(str(tmp_path / where))
+        state.commit(first)
+        if fails:
+            with pytest.raises(RuntimeError):
+                taxonomy.trace_rounds(state, draws, "1", 3, 0.4, grow)
+            assert state.versions(spark)[-1] == 1
+        results.append({(r.draw_id, r.path_id, r.trace) for r in taxonomy.trace_rounds(state, draws, "1", 3, 0.4, grow).collect()})
+        assert len(asked) == (4 if fails else 3) and state.versions(spark)[-1] == 3
+        assert state.read(spark).agg(F.sum("n")).first()[0] == 90
+    assert results[0] == results[1] and len(results[0]) == 90
+    assert any(p.rsplit("→", 1)[1].startswith("t") for _, p, _ in results[0])  # a later round draws what an earlier one grew
+
+
 def test_yaml_configurations(spark, tmp_path):
     pytest.importorskip("yaml")
     (tmp_path / "fw" / "tools").mkdir(parents=True)
