@@ -30,6 +30,14 @@ def test_last_of_each_in_long_rows(spark):
     assert tuple(m) == (150_000, sum(range(150_000 - 100_000 + 1, 150_000 + 1)) + sum(range(150_001, 200_001)))
 
 
+def test_last_of_each_makes_its_array_once(spark):
+    """Pairs that are an expression of a column: not made again for each key (50,000 times 100,000 words)."""
+    text = " ".join(str(i % 50_000) for i in range(100_000))
+    words = F.transform(F.split("t", " "), lambda w, i: F.struct(w.alias("k"), i.alias("v")))
+    m = spark.createDataFrame([(text,)], "t string").select(F.map_values(stats.last_of_each(words)).alias("v")).first().v
+    assert m == list(range(50_000, 100_000))
+
+
 def test_server_tools_of_odd_rows(spark, tmp_path):
     fetch = lambda urls: ["no list" if u.endswith("bad") else '[{"name": "t"}]' for u in urls]
     servers = spark.createDataFrame([("a", "u1"), ("b", "u1"), ("c", None), ("d", "bad")], "server string, url string")
