@@ -117,39 +117,59 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 
 class _Generations(StatefulProcessor):
-    """Per key the group that is open: first and last time (ms), the last row's value, rows so far; a timer closes it."""
+    """Per key the groups that aren't final: first and last time (ms), the last row's value, rows so far; one timer, for the first that ends.
+
+    A row that comes late may still join two groups or stretch one, so a row beyond the
+    pause ends nothing by itself: a group is final once the watermark has passed its end.
+    """
 
     def __init__(self, key: str, time_col: str, value: str, idle_ms: int) -> None:
         self.key, self.time_col, self.value, self.idle = key, time_col, value, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.group = handle.getValueState("group", "first bigint, last bigint, value string, n bigint")
-
-    def _row(self, key: tuple, g: tuple) -> dict:
-        return {self.key: key[0], "first_ms": g[0], "last_ms": g[1], "last_value": g[2], "n": g[3]}
+        self.open = handle.getListState("open", "first bigint, last bigint, value string, n bigint")
+
+    def _merged(self, groups: list[tuple]) -> list[tuple]:
+        """Groups by time; those without a pause between them are one."""
+        out: list[tuple] = []
+        for g in sorted(groups):
+            if out and g[0] <= out[-1][1] + self.idle:
+                o = out[-1]
+                out[-1] = (o[0], *max(o[1:3], g[1:3]), o[3] + g[3])
+            else:
+                out.append(g)
+        return out
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        g = tuple(self.group.get()) if self.group.exists() else None
-        if g:
-            self.handle.deleteTimer(g[1] + self.idle)
-        pdf = pd.concat(rows)
-        pdf = pdf.assign(__ms=pdf[self.time_col].astype("datetime64[ms]").astype("int64")).sort_values(["__ms", self.value])
-        closed = []
-        for ms, value in zip(pdf["__ms"].tolist(), pdf[self.value].tolist(), strict=True):
-            if g and ms > g[1] + self.idle:
-                closed.append(self._row(key, g))
-                g = None
-            g = (min(g[0], ms), *((ms, value) if (ms, value) >= g[1:3] else g[1:3]), g[3] + 1) if g else (ms, ms, value, 1)
-        self.group.update(g)
-        self.handle.registerTimer(g[1] + self.idle)
-        if closed:
-            yield pd.DataFrame(closed)
+        groups = [tuple(g) for g in self.open.get()]
+        timer = groups[0][1] + self.idle if groups else None
+        for pdf in rows:
+            times = pdf[self.time_col].astype("datetime64[ms]").astype("int64").tolist()
+            groups = self._merged(groups + [(ms, ms, value, 1) for ms, value in zip(times, pdf[self.value].tolist(), strict=True)])
+        self._keep(groups, timer)
+        yield from ()
+
+    def _keep(self, groups: list[tuple], timer: int | None) -> None:
+        """The key's groups from now on, and the timer of the first in place of ``timer``."""
+        if groups:
+            self.open.put(groups)
+        else:
+            self.open.clear()
+        first = groups[0][1] + self.idle if groups else None
+        if timer is not None and timer != first:
+            self.handle.deleteTimer(timer)
+        if first is not None and timer != first:
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        g = tuple(self.group.get())
-        self.group.clear()
-        yield pd.DataFrame([self._row(key, g)])
+        """All groups that the watermark has passed; they are in order of their ends, too."""
+        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        groups = [tuple(g) for g in self.open.get()]
+        final = [g for g in groups if g[1] + self.idle <= passed]
+        self._keep(groups[len(final) :], None)
+        if final:
+            yield pd.DataFrame([(key[0], *g) for g in final], columns=[self.key, "first_ms", "last_ms", "last_value", "n"])
 
     def close(self) -> None:
         pass
@@ -158,10 +178,10 @@ class _Generations(StatefulProcessor):
 def closed_generations(stream: DataFrame, key: str, time_col: str, value: str, idle_ms: int, late: str) -> DataFrame:
     """(append mode) a row for each group of a key that is final: no row came within ``idle_ms`` after its last, in event time.
 
-    A group ends by the next row of its key beyond that pause or, once the
-    watermark has passed it, by its timer; state and timer are cleared then, and a key that
-    comes back opens a new group.  ``key`` and ``value`` are strings.  A row that
-    is older than the watermark is dropped before it gets here.
+    A group ends by a timer, once the watermark has passed it; its state is cleared
+    then, and a key that comes back opens a new group.  Until then rows that come late still
+    count, and two groups become one if a row between them comes.  ``key`` and ``value`` are
+    strings.  A row that is older than the watermark is dropped before it gets here.
     """
     marked = stream.withWatermark(time_col, late).select(key, time_col, value)
     shape = f"{key} string, first_ms bigint, last_ms bigint, last_value string, n bigint"

@@ -43,6 +43,14 @@ def test_gap_within_one_batch_closes_a_group(spark):
     assert sorted((r["k"], r["first_ms"] % 86_400_000 // 60_000, r["last_value"], r["n"]) for r in out.collect()) == [("a", 0, "1", 1), ("a", 90, "3", 2)]
 
 
+def test_late_row_joins_groups_and_none_ends_before_the_watermark(spark):
+    """A row beyond the pause ends nothing while rows may still come between; at the end only what the watermark has reached is final."""
+    parts = arrivals(spark, [("a", at(20), "1"), ("a", at(52), "2")], [("a", at(45), "late")], [("b", at(260), "3"), ("c", at(261), "4"), ("c", at(300), "5")])
+    out = streams.run_in_arrivals(parts, lambda s: streams.closed_generations(s, "k", "t", "v", 30 * 60_000, "10 minutes"), f"late-{uuid.uuid4().hex}")
+    rows = sorted((r["k"], r["first_ms"] % 86_400_000 // 60_000, r["last_value"], r["n"]) for r in out.collect())
+    assert rows == [("a", 20, "2", 3), ("b", 260, "3", 1)]
+
+
 def test_repeated_batch_changes_nothing_and_second_run_reads_new_files_only(spark):
     rows = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k string")
     found, read = streams.merge_counts_once([rows("a", "b", "a"), rows("a"), rows("c", "b")], "k")
