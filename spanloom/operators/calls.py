@@ -163,10 +163,17 @@ def definition_from_text(name: Column, text: Column) -> Column:
     return tool_definition(name, head, F.concat(F.lit('{"type": "object", "properties": {'), body, F.lit("}}")))
 
 
-def agent_tools(agents: DataFrame, tools: DataFrame, agent: str = "agent_name", names: str = "tools", tool: str = "tool_name") -> DataFrame:
-    """(agent, tool, all columns of tools): each name on an agent's list that is a tool; misses are dropped."""
-    listed = agents.select(agent, F.explode(names).alias(tool)).distinct()
-    return listed.join(tools, tool)
+def agent_tools(agents: DataFrame, tools: DataFrame, agent: str = "agent_name", names: str = "tools", tool: str = "tool_name", parts: int | None = None) -> DataFrame:
+    """(agent, tool, all columns of tools): each name on an agent's list that is a tool; misses are dropped.
+
+    ``names`` is a list, or a single name where an agent has a row for each: such rows needn't be gathered first.
+    With ``parts`` pairs are dealt out to so many tasks where repeats are dropped and where the tables are joined, so that a task's share is small however many there are.
+    """
+    name = F.explode(names) if agents.schema[names].dataType.typeName() == "array" else F.col(names)
+    listed = agents.select(agent, name.alias(tool))
+    if parts:
+        listed, tools = listed.repartition(parts, agent, tool), tools.repartition(parts, tool)
+    return listed.distinct().join(tools, tool)
 
 
 def agent_mcp_tools(agents: DataFrame, servers: DataFrame, server_tools: DataFrame) -> DataFrame:

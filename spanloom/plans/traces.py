@@ -138,9 +138,10 @@ def system_prompt_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_suppkey AS agent, count(*) AS n_tools, sum(p_size)::BIGINT AS total_size, min(p_name) AS first_name FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def tool_definition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("agent")).agg(F.collect_set("l_partkey").alias("names"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("agent"), F.col("l_partkey").alias("name"))
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("tool"), "p_name", "p_size")
-    return calls.agent_tools(li, p, "agent", "names", "tool").groupBy("agent").agg(F.count(F.lit(1)).alias("n_tools"), F.sum("p_size").alias("total_size"), F.min("p_name").alias("first_name"))
+    parts = 16 * li.rdd.getNumPartitions()  # a split of the file system is bounded, and so is a sixteenth of it
+    return calls.agent_tools(li, p, "agent", "name", "tool", parts).groupBy("agent").agg(F.count(F.lit(1)).alias("n_tools"), F.sum("p_size").alias("total_size"), F.min("p_name").alias("first_name"))
 
 
 @query("""SELECT c_nationkey AS src, s_nationkey AS dst, count(*) AS n FROM (SELECT DISTINCT c_nationkey FROM customer) c JOIN (SELECT DISTINCT s_nationkey, s_suppkey FROM supplier) s ON s_suppkey % 25 = c_nationkey
