@@ -68,17 +68,19 @@ class AnswerCache:
         answers.select("__key", F.lit(self.service).alias("service"), "answer", F.lit(time.time()).alias("given")).write.mode("append").parquet(self.path)
 
 
-def ask(df: DataFrame, request: Column, service: TextService, out: str, cache: AnswerCache | None = None) -> DataFrame:
+def ask(df: DataFrame, request: Column | str, service: TextService, out: str, cache: AnswerCache | None = None) -> DataFrame:
     """``df`` plus ``out``: the service's answer to each row's request; a null request gets null.
 
     Each distinct request goes out once: answers are stored with a hash of their
     request before they are joined, so neither a second use of the result nor a
     lost executor repeats a call.  With a ``cache`` only requests that it doesn't
-    know go out, and their answers are added to it.
+    know go out, and their answers are added to it.  Where the request is a column
+    of ``df``, give its name: it is then stored with the rows only, not a second time.
     """
     spark = df.sparkSession
-    asked = stored(df.withColumn("__request", request).withColumn("__key", F.md5("__request")), "requests")
-    once = asked.filter("__key is not null").select("__key", "__request").dropDuplicates(["__key"])
+    rows, name = (df, request) if isinstance(request, str) else (df.withColumn("__request", request), "__request")
+    asked = stored(rows.withColumn("__key", F.md5(F.col(f"`{name}`"))), "requests")
+    once = asked.filter("__key is not null").select("__key", F.col(f"`{name}`").alias("__request")).dropDuplicates(["__key"])
     known = stored(cache.known(spark), "known-answers") if cache else None
     new = once.join(known, "__key", "left_anti") if known is not None else once
     answers = stored(new.select("__key", as_udf(service)(F.col("__request")).alias("answer")), "answers")

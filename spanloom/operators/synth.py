@@ -132,7 +132,7 @@ def with_search(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     on = df.withColumn("used_web_search", gate(cfg.web_search, cfg.seed, "search", F.col("draw_id")))
     terms = F.array_distinct(F.array(X.shorten(F.concat_ws(" ", "problem_type", "persona")), X.shorten(F.col("problem_type"))))
     asked = on.filter("used_web_search").withColumn("__q", terms)
-    flat = ask(asked.select("draw_id", F.posexplode("__q").alias("i", "query")), F.col("query"), cfg.search, "answer").withColumn("results", F.from_json("answer", schema))
+    flat = ask(asked.select("draw_id", F.posexplode("__q").alias("i", "query")), "query", cfg.search, "answer").withColumn("results", F.from_json("answer", schema))
     found = flat.groupBy("draw_id").agg(F.sort_array(F.collect_list(F.struct("i", "query", F.to_json("results").alias("r")))).alias("s"))
     block = search_block(F.transform("s", lambda x: F.struct(x["query"].alias("query"), F.from_json(x["r"], schema).alias("results"))))
     return on.join(found, "draw_id", "left").withColumn("search_context", F.coalesce(block, F.lit(""))).drop("s")
@@ -159,7 +159,7 @@ def with_downloads(df: DataFrame, cfg: SynthesisConfig) -> DataFrame:
     wanted = F.when(F.col("requires_local_files"), prompt("plan", cfg.language, query=F.col("query"), items=F.array_join("file_required_items", ", ")))
     planned = ask(df, wanted, cfg.llm, "__plan").withColumn("__files", X.file_plan(F.col("__plan"))).drop("__plan")
     each = planned.select("draw_id", X.download_folder(cfg.download_base, F.col("framework"), F.col("query"), F.col("draw_id")).alias("folder"), F.posexplode("__files").alias("i", "f"))
-    got = ask(each.select("draw_id", "folder", "i", "f.name", "f.url"), F.col("url"), cfg.download, "status")
+    got = ask(each.select("draw_id", "folder", "i", "f.name", "f.url"), "url", cfg.download, "status")
     per = got.groupBy("draw_id").agg(F.sort_array(F.collect_list(F.struct("i", "name", "url", F.concat_ws("/", "folder", "name").alias("path"), "status"))).alias("__got"))
     none = F.expr("cast(array() as array<struct<name:string,url:string,path:string,status:string>>)")
     files = F.coalesce(F.transform("__got", lambda x: F.struct(x["name"].alias("name"), x["url"].alias("url"), x["path"].alias("path"), x["status"].alias("status"))), none)

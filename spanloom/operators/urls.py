@@ -43,7 +43,7 @@ def repair_urls(df: DataFrame, key: str, query_col: str, probe: TextService, llm
     """
     check, rows = probe_twice(probe), stored(df, "queries")
     flat = rows.select(key, F.posexplode(urls_in(F.coalesce(F.col(query_col), F.lit("")))).alias("at", "url"))
-    first = ask(flat, F.col("url"), check, "status").withColumn("ok", F.col("status") == "200")
+    first = ask(flat, "url", check, "status").withColumn("ok", F.col("status") == "200")
     state = stored(first.select(key, "at", "url", "ok", F.lit(None).cast("string").alias("new_url"), (~F.col("ok")).alias("open"), F.lit("not accessible").alias("note")), "url-state")
     for k in range(rounds):
         todo = state.filter("open")
@@ -51,7 +51,7 @@ def repair_urls(df: DataFrame, key: str, query_col: str, probe: TextService, llm
             break
         answered = ask(todo, F.concat(F.lit(f"# repair {k}\n"), F.col("url"), F.lit("\n"), F.col("note")), llm, "answer").withColumn("r", repair_response(F.col("answer")))
         offered = answered.select(key, "at", F.col("r.repairable").alias("more"), F.posexplode_outer("r.suggested_urls").alias("i", "candidate"))
-        tried = ask(offered, F.col("candidate"), check, "status")
+        tried = ask(offered, "candidate", check, "status")
         best = tried.groupBy(key, "at").agg(F.first("more").alias("more"), F.min_by("candidate", F.when(F.col("status") == "200", F.col("i"))).alias("winner"), F.max_by("candidate", "i").alias("last"))
         joined = state.join(best, [key, "at"], "left")
         state = stored(joined.select(key, "at", "url", "ok", F.coalesce("new_url", F.when(F.col("more"), F.col("winner"))).alias("new_url"), (F.col("open") & F.coalesce("more", F.lit(False)) & F.col("winner").isNull()).alias("open"), F.coalesce(F.concat(F.lit("failed: "), "last"), F.col("note")).alias("note")), "url-state")

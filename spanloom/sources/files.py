@@ -266,7 +266,7 @@ def server_tools(spark: SparkSession, servers: DataFrame, fetch, cache: AnswerCa
     A null URL and an answer that isn't a JSON list give no tools.
     """
     schema = "array<struct<name:string,description:string,inputSchema:string>>"
-    asked = ask(servers, F.col("url"), fetch, "__answer", cache).withColumn("__t", F.explode(F.from_json("__answer", schema)))
+    asked = ask(servers, "url", fetch, "__answer", cache).withColumn("__t", F.explode(F.from_json("__answer", schema)))
     return asked.select("server", F.md5("url").alias("url_key"), F.col("__t.name").alias("tool_name"), F.col("__t.description").alias("description"), F.col("__t.inputSchema").alias("parameters"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spanloom import registry
+from spanloom import adapters, registry
 from spanloom.operators import calls
 
 
@@ -22,3 +22,21 @@ def test_agents_tools_from_rows_as_from_lists(spark):
 def test_tool_definitions_gather_no_lists(spark, sf_dir):
     plan = registry.queries()["tool_definition_join"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" not in plan and "explode" not in plan
+
+
+def test_requests_that_are_columns_are_stored_once(spark, sf_dir, monkeypatch):
+    """By its name a request is no second column of the stored rows; the answers are those of an expression."""
+    kept = []
+    monkeypatch.setattr(adapters, "stored", lambda df, what, store=adapters.stored: kept.append((what, df.columns)) or store(df, what))
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x"), (4, None)], "id int, `a text` string")
+    service = lambda requests: [r + "!" for r in requests]
+    expected = [(1, "x", "x!"), (2, "y", "y!"), (3, "x", "x!"), (4, None, None)]
+    for request in (F.col("`a text`"), "a text"):
+        assert sorted(tuple(r) for r in adapters.ask(df, request, service, "out").collect()) == expected
+    assert [columns for what, columns in kept if what == "requests"][1] == ["id", "a text", "__key"]
+
+
+def test_answers_are_joined_without_their_texts(spark, sf_dir):
+    plan = registry.queries()["answers_across_runs"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "FileScan parquet" in line and "doc_id" in line]
+    assert reads and not any("text#" in line.split("Batched")[0] for line in reads)
