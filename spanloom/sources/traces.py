@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import operator
+import pickle
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,16 +77,52 @@ class _Trace(InputPartition):
     trace_id: str
 
 
+#: Spans of a trace that are sorted in memory; longer traces are sorted in runs on the task's own disk, which are then merged.
+RUN = 20_000
+
+
+def _when(row: tuple) -> tuple:
+    """Order of a trace's spans: by time, those without one first."""
+    at = row[schemas.SPANS.names.index("start_time_s")]
+    return at is not None, at or ""
+
+
+def _put_aside(rows: list[tuple]) -> BinaryIO:
+    """The rows in a file that is gone once it is closed, in short blocks."""
+    file = tempfile.TemporaryFile()
+    for k in range(0, len(rows), 500):
+        pickle.dump(rows[k : k + 500], file)
+    file.seek(0)
+    return file
+
+
+def _taken_up(file: BinaryIO) -> Iterator[tuple]:
+    with file:
+        while True:
+            try:
+                block = pickle.load(file)
+            except EOFError:
+                return
+            yield from block
+
+
 def _spans(store: StubStore | PageFolder, trace_id: str, attempts: int, wait_s: float) -> Iterator[tuple]:
-    """A trace's spans ordered by time, from all of its pages; a page that fails is asked for again."""
+    """A trace's spans ordered by time, from all of its pages; a page that fails is asked for again.
+
+    Memory holds :data:`RUN` spans, and a block of each run while runs are merged, however long the trace is.
+    """
     fetch = retry(lambda pages: [store.observations(trace_id, p) for p in pages], attempts, wait_s)
-    rows, page = [], 0
+    rows, runs, page = [], [], 0
     while batch := fetch([page])[0]:
-        rows += batch
+        rows += (tuple("" if n == "_raw" else r.get(n) for n in schemas.SPANS.names) for r in batch)
         page += 1
-    rows.sort(key=lambda r: (r.get("start_time_s") is not None, r.get("start_time_s") or ""))  # stable; without a time first
-    for i, r in enumerate(rows):
-        yield tuple("" if n == "_raw" else i if n == "line_no" else r.get(n) for n in schemas.SPANS.names)
+        if len(rows) >= RUN:
+            runs.append(_put_aside(sorted(rows, key=_when)))
+            rows = []
+    rows.sort(key=_when)  # stable, as the merge is: equal times stay in the order of their pages
+    at = schemas.SPANS.names.index("line_no")
+    for i, r in enumerate(heapq.merge(*map(_taken_up, runs), rows, key=_when)):
+        yield (*r[:at], i, *r[at + 1 :])
 
 
 class _Reader(DataSourceReader):

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
 from pyspark.sql import functions as F
 
 from spanloom import adapters, registry
 from spanloom.operators import calls
+from spanloom.sources import traces
 
 
 def test_agents_tools_from_rows_as_from_lists(spark):
@@ -40,3 +44,34 @@ def test_answers_are_joined_without_their_texts(spark, sf_dir):
     plan = registry.queries()["answers_across_runs"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     reads = [line for line in plan.splitlines() if "FileScan parquet" in line and "doc_id" in line]
     assert reads and not any("text#" in line.split("Batched")[0] for line in reads)
+
+
+class _LongTrace:
+    """A store of one trace: ``pages`` pages of 500 spans with few times, some of them missing."""
+
+    def __init__(self, pages: int) -> None:
+        self.pages = pages
+
+    def observations(self, trace_id: str, page: int) -> list[dict]:
+        rng = random.Random(page)
+        times = [None, *(f"2024-01-01T00:00:{k:02d}" for k in range(60))]
+        return [{"trace_id": trace_id, "span_id": f"{page}-{k}", "input": "x" * 200, "start_time_s": rng.choice(times)} for k in range(500)] if page < self.pages else []
+
+
+def test_long_traces_are_sorted_in_runs(monkeypatch):
+    """Order and line numbers are those of one stable sort, and memory is that of a run, not of the trace."""
+
+    def peak(pages: int) -> int:
+        tracemalloc.start()
+        assert sum(1 for _ in traces._spans(_LongTrace(pages), "t", 1, 0)) == pages * 500
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found
+
+    monkeypatch.setattr(traces, "RUN", 2_000, raising=False)
+    names = traces.schemas.SPANS.names
+    rows = [dict(zip(names, r, strict=True)) for r in traces._spans(_LongTrace(9), "t", 1, 0)]
+    every = [r for p in range(9) for r in _LongTrace(9).observations("t", p)]
+    every.sort(key=lambda r: (r["start_time_s"] is not None, r["start_time_s"] or ""))
+    assert [(r["span_id"], r["line_no"]) for r in rows] == [(r["span_id"], i) for i, r in enumerate(every)]
+    assert peak(60) < 2.5 * peak(12)
