@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +61,10 @@ def personas(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.col("line_no").alias("persona_idx"), F.coalesce(_text("persona"), F.lit("")).alias("persona"), F.coalesce(_text("persona_chinese"), F.lit("")).alias("persona_chinese"), F.to_json(rest).alias("metadata"))
 
 
+#: Nodes of a document that leave a Python worker at once.
+NODES = 10_000
+
+
 def walk_tree(node: dict, framework: str) -> Iterator[tuple]:
     """Adjacency rows of a tree in depth-first order, however deep it is."""
     todo = [(node, None, 0)]
@@ -74,23 +80,24 @@ def taxonomy(spark: SparkSession, document: str) -> DataFrame:
     return spark.createDataFrame(list(walk_tree(data["tree"], data.get("framework", ""))), schemas.TAXONOMY_NODES)
 
 
-def taxonomies(spark: SparkSession, path: str) -> DataFrame:
-    """Adjacency rows of all taxonomy files under ``path``; each file is parsed where it is read."""
-
-    def parse(batches):
-        import pandas as pd
+def taxonomy_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adjacency rows of documents (``value``), at most :data:`NODES` at once."""
+    for batch in batches:
+        for text in batch["value"]:
+            try:
+                data = deepjson.loads(text)
+                tree, framework = data["tree"], data.get("framework", "")
+                deque(walk_tree(tree, framework), maxlen=0)  # a document with a node that isn't one gives no rows at all
+            except (ValueError, KeyError, TypeError, AttributeError):
+                continue
+            rows = walk_tree(tree, framework)
+            while part := list(islice(rows, NODES)):
+                yield pd.DataFrame(part, columns=schemas.TAXONOMY_NODES.names)
 
-        for batch in batches:
-            rows = []
-            for text in batch["value"]:
-                try:
-                    data = deepjson.loads(text)
-                    rows += list(walk_tree(data["tree"], data.get("framework", "")))
-                except (ValueError, KeyError, TypeError, AttributeError):
-                    continue
-            yield pd.DataFrame(rows, columns=schemas.TAXONOMY_NODES.names)
 
-    return spark.read.text(path, wholetext=True).mapInPandas(parse, schemas.TAXONOMY_NODES)
+def taxonomies(spark: SparkSession, path: str) -> DataFrame:
+    """Adjacency rows of all taxonomy files under ``path``; each file is parsed where it is read."""
+    return spark.read.text(path, wholetext=True).mapInPandas(taxonomy_rows, schemas.TAXONOMY_NODES)
 
 
 def nested_tree(nodes: list[tuple[str, str | None, str, int]], parent: str | None = None) -> list[dict]:
@@ -115,15 +122,16 @@ def taxonomy_documents(nodes: DataFrame) -> DataFrame:
     def nest(pdf):
         import pandas as pd
 
-        pdf = pdf.sort_values("sib_pos", kind="stable")
-        made = {r.id: {"id": r.id, "en": r.en, "zh": r.zh} for r in pdf.itertuples()}
+        framework, pdf = pdf["framework"].iloc[0], pdf.drop(columns="framework").sort_values("sib_pos", kind="stable")
+        ids, parents = pdf["id"].tolist(), pdf["parent_id"].tolist()
+        made = {i: {"id": i, "en": en, "zh": zh} for i, en, zh in zip(ids, pdf["en"], pdf["zh"], strict=True)}
+        del pdf
         root = None
-        for r in pdf.itertuples():
-            if r.parent_id is None:
-                root = root or made[r.id]
-            elif r.parent_id in made:
-                made[r.parent_id].setdefault("children", []).append(made[r.id])
-        framework = pdf["framework"].iloc[0]
+        for ident, parent in zip(ids, parents, strict=True):
+            if parent is None:
+                root = root or made[ident]
+            elif parent in made:
+                made[parent].setdefault("children", []).append(made[ident])
         documents = [] if root is None else [deepjson.dumps({"framework": framework, "tree": root})]
         return pd.DataFrame({"framework": [framework] * len(documents), "document": documents}, dtype=object)
 

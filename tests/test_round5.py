@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import random
 import tracemalloc
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from spanloom import adapters, registry
 from spanloom.operators import calls
-from spanloom.sources import traces
+from spanloom.sources import files, traces
 
 
 def test_agents_tools_from_rows_as_from_lists(spark):
@@ -75,3 +77,13 @@ def test_long_traces_are_sorted_in_runs(monkeypatch):
     every.sort(key=lambda r: (r["start_time_s"] is not None, r["start_time_s"] or ""))
     assert [(r["span_id"], r["line_no"]) for r in rows] == [(r["span_id"], i) for i, r in enumerate(every)]
     assert peak(60) < 2.5 * peak(12)
+
+
+def test_rows_of_a_large_document_leave_in_parts():
+    """Of a document with a node that has no id nothing leaves, as before."""
+    kids = [{"id": f"n{k}", "en": "x"} for k in range(25_000)]
+    texts = [json.dumps({"framework": "f", "tree": {"id": "r", "children": c}}) for c in (kids, [*kids, {"en": "no id"}])]
+    parts = list(files.taxonomy_rows([pd.DataFrame({"value": [*texts, "{bad"]})]))
+    assert max(map(len, parts)) <= 10_000
+    every = pd.concat(parts)
+    assert len(every) == 25_001 and every["sib_pos"].tolist() == [0, *range(25_000)] and every["parent_id"].tolist() == [None, *["r"] * 25_000]
