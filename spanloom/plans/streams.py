@@ -80,7 +80,7 @@ def stream_parent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         side = lambda kind, name: s.filter(F.col("event_type") == kind).selectExpr("user_id", f"event_id AS {name}_id", f"ts AS {name}_ts")
         return streams.with_parent_in_time(side("purchase", "child"), side("view", "parent"), "user_id", "12 hours", "1 hour")
 
-    parts = _parts(spark, sf_dir, "user_id", "event_id", "event_type", "ts")
+    parts = [p.filter("event_type in ('view', 'purchase')") for p in _parts(spark, sf_dir, "user_id", "event_id", "event_type", "ts")]  # no other row arrives: both sides would read it
     return streams.run_in_arrivals(parts, joined, f"parents_{uuid.uuid4().hex}").select("user_id", "child_id", "parent_id")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from spanloom import adapters, registry
 from spanloom.operators import calls
 from spanloom.sources import files, traces
+from spanloom.streaming import streams
 
 
 def test_agents_tools_from_rows_as_from_lists(spark):
@@ -87,3 +88,10 @@ def test_rows_of_a_large_document_leave_in_parts():
     assert max(map(len, parts)) <= 10_000
     every = pd.concat(parts)
     assert len(every) == 25_001 and every["sib_pos"].tolist() == [0, *range(25_000)] and every["parent_id"].tolist() == [None, *["r"] * 25_000]
+
+
+def test_only_rows_that_are_joined_arrive(spark, sf_dir, monkeypatch):
+    arrived = []
+    monkeypatch.setattr(streams, "run_in_arrivals", lambda parts, build, name: arrived.extend(parts) or spark.createDataFrame([], "user_id int, child_id int, parent_id int"))
+    registry.queries()["stream_parent_join"](spark, sf_dir)
+    assert len(arrived) == 3 and {r["event_type"] for p in arrived for r in p.select("event_type").distinct().collect()} == {"view", "purchase"}
