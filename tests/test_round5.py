@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from spanloom import adapters, registry
+from spanloom.llm import quality_rules
 from spanloom.operators import calls
 from spanloom.sources import files, traces
 from spanloom.streaming import streams
@@ -95,3 +96,8 @@ def test_only_rows_that_are_joined_arrive(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(streams, "run_in_arrivals", lambda parts, build, name: arrived.extend(parts) or spark.createDataFrame([], "user_id int, child_id int, parent_id int"))
     registry.queries()["stream_parent_join"](spark, sf_dir)
     assert len(arrived) == 3 and {r["event_type"] for p in arrived for r in p.select("event_type").distinct().collect()} == {"view", "purchase"}
+
+
+def test_all_trusted_documents_count_unless_a_bound_is_given(spark):
+    labels = spark.range(9_000).selectExpr("id AS doc_id", "if(id % 100 = 0, 0, 1) AS quality")
+    assert quality_rules.trusted_ids(labels).count() == 8_910 and quality_rules.trusted_ids(labels, most=8_000).count() == 8_000
